@@ -6,6 +6,7 @@ import importlib
 
 _MODULES = [
     "tabwatch.plans.drift_queries",
+    "tabwatch.plans.prep_queries",
 ]
 
 
