@@ -7,6 +7,7 @@ import importlib
 _MODULES = [
     "tabwatch.plans.drift_queries",
     "tabwatch.plans.prep_queries",
+    "tabwatch.plans.runlog_queries",
 ]
 
 
