@@ -142,6 +142,20 @@ def drift_status(report: DataFrame, alert: float = 0.25, warn: float | None = 0.
         "n_features")
 
 
+def with_status(report: DataFrame, alert: float = 0.25, warn: float | None = 0.10) -> DataFrame:
+    """The report with the overall status repeated on each row.
+
+    The report has one row per configured feature, so the un-keyed window
+    below stays configuration-sized.
+    """
+    w = Window.partitionBy()
+    any_a = F.max((F.col("psi") >= F.lit(alert)).cast("int")).over(w) == 1
+    any_w = (F.max((F.col("psi") >= F.lit(warn)).cast("int")).over(w) == 1) if warn is not None else F.lit(False)
+    return (report.withColumn("max_psi", F.max("psi").over(w))
+                  .withColumn("status", F.when(any_a, "ALERT").when(any_w, "WARN").otherwise("OK"))
+                  .withColumn("retrain", F.when(any_a, 1).otherwise(0)))
+
+
 def generate_drift_batch(df: DataFrame, key: str, n: int = 300, seed: int = 123,
                          adjust: dict[str, tuple[float, float]] | None = None) -> DataFrame:
     """A synthetic drifted batch: exactly min(n, rows) rows chosen by key hash,

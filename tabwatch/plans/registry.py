@@ -8,6 +8,7 @@ _MODULES = [
     "tabwatch.plans.drift_queries",
     "tabwatch.plans.prep_queries",
     "tabwatch.plans.runlog_queries",
+    "tabwatch.plans.sampling_queries",
 ]
 
 
