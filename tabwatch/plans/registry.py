@@ -9,6 +9,7 @@ _MODULES = [
     "tabwatch.plans.prep_queries",
     "tabwatch.plans.runlog_queries",
     "tabwatch.plans.sampling_queries",
+    "tabwatch.plans.feature_queries",
 ]
 
 
