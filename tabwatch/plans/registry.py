@@ -10,6 +10,7 @@ _MODULES = [
     "tabwatch.plans.runlog_queries",
     "tabwatch.plans.sampling_queries",
     "tabwatch.plans.feature_queries",
+    "tabwatch.plans.model_queries",
 ]
 
 
