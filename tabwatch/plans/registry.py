@@ -11,6 +11,7 @@ _MODULES = [
     "tabwatch.plans.sampling_queries",
     "tabwatch.plans.feature_queries",
     "tabwatch.plans.model_queries",
+    "tabwatch.plans.stream_queries",
 ]
 
 
