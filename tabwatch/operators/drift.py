@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tabwatch.functions.levels import quantile_levels
 from tabwatch.operators.histogram import bin_grid, check_small, histogram_closed, histogram_open
 from tabwatch.operators.profile import build_profile
-from tabwatch.operators.quantiles import exact_quantiles
+from tabwatch.operators.quantiles import feature_quantiles
 from tabwatch.operators.reshape import features_frame, to_long
 from tabwatch.spec import DriftSpec, PSI_EPS, RAW_LAST_EDGE_PAD, RAW_SHARE_FLOOR
 
@@ -67,18 +67,20 @@ def psi(baseline_df: DataFrame, new_df: DataFrame, spec: DriftSpec) -> DataFrame
     return psi_report(prof, new_df, spec.expected, spec.eps)
 
 
-def raw_breakpoints(expected_long: DataFrame, buckets: int = 10,
+def raw_breakpoints(expected_df: DataFrame, features: Sequence[str], buckets: int = 10,
                     levels: str = "percent") -> DataFrame:
     """``(feature, edges)``: percentiles of the expected sample, duplicates kept,
     last breakpoint raised by 1e-6 so the maximum falls inside."""
-    q = exact_quantiles(expected_long, ["feature"], quantile_levels(buckets, levels))
-    per = q.groupBy("feature").agg(
-        F.array_sort(F.collect_list(F.struct("level_idx", "quantile"))).alias("_q"))
-    edges = F.transform("_q", lambda s: s["quantile"])
-    n = F.size(edges)
-    padded = F.concat(F.slice(edges, 1, n - 1),
-                      F.array(F.element_at(edges, n) + F.lit(RAW_LAST_EDGE_PAD)))
-    return per.select("feature", padded.alias("edges"))
+    q = feature_quantiles(expected_df, features, quantile_levels(buckets, levels))
+    per: dict[str, list] = {}
+    for r in q.select("feature", "level_idx", "quantile").collect():   # features x levels
+        per.setdefault(r["feature"], []).append((int(r["level_idx"]), float(r["quantile"])))
+    rows = []
+    for f, qs in per.items():
+        e = [x for _, x in sorted(qs)]
+        e[-1] = e[-1] + RAW_LAST_EDGE_PAD
+        rows.append((f, e))
+    return expected_df.sparkSession.createDataFrame(rows, "feature string, edges array<double>")
 
 
 def psi_raw_sample(expected_df: DataFrame, actual_df: DataFrame, features: Sequence[str],
@@ -93,8 +95,7 @@ def psi_raw_sample(expected_df: DataFrame, actual_df: DataFrame, features: Seque
     present = [f for f in features if f in actual_df.columns and f in expected_df.columns]
     e_long = to_long(expected_df, present)
     a_long = to_long(actual_df, present)
-    bp = check_small(raw_breakpoints(e_long, buckets, levels), what="breakpoints")
-    bp = bp.cache()
+    bp = raw_breakpoints(expected_df, present, buckets, levels)
     e_h = histogram_closed(e_long, bp).withColumnRenamed("n", "e_n")
     a_h = histogram_closed(a_long, bp).withColumnRenamed("n", "a_n")
     e_tot = e_long.groupBy("feature").agg(F.count(F.lit(1)).alias("e_total"))

@@ -1,4 +1,11 @@
-"""Histograms of new data over a profile's edges (all bins kept, zeros filled)."""
+"""Histograms over a profile's edges (all bins kept, zeros filled).
+
+Bins are assigned with a binary-search expression over the profile's
+literal cut points (codegen, log2(bins) compares per value), on the wide
+rows, before one narrow unpivot to ``(feature, bin)`` and a map-side
+combined count: the shuffle is at most features x bins rows per task.
+Profiles too large to inline fall back to a broadcast join of the cuts.
+"""
 
 from __future__ import annotations
 
@@ -6,18 +13,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwatch.functions.binning import bin_closed, bin_open
+from tabwatch.functions.search import count_le_sql, quoted
 from tabwatch.operators.reshape import to_long
 
-# A profile has one row per feature; broadcasting it is safe only while the
-# feature list is a configuration-sized list.  Checked before every broadcast.
+# Profiles hold one row per feature.  Up to this many features the cut
+# points become literal expressions; beyond it they are broadcast (bounded
+# by this same check), and more than MAX_BROADCAST_FEATURES is refused.
+MAX_LITERAL_FEATURES = 256
 MAX_BROADCAST_FEATURES = 100_000
 
 
 def check_small(df: DataFrame, limit: int = MAX_BROADCAST_FEATURES,
                 what: str = "profile") -> DataFrame:
-    n = df.count()
+    n = df.limit(limit + 1).count()
     if n > limit:
-        raise ValueError(f"{what} has {n} rows; more than {limit} cannot be broadcast")
+        raise ValueError(f"{what} has more than {limit} rows; it cannot be broadcast")
     return df
 
 
@@ -26,39 +36,82 @@ def bin_grid(profile: DataFrame, bins_col: str = "bins") -> DataFrame:
     return profile.select("feature", F.explode(F.sequence(F.lit(0), F.col(bins_col) - 1)).alias("bin"))
 
 
+def _zero_fill(grid: DataFrame, counts: DataFrame) -> DataFrame:
+    return (grid.join(counts, ["feature", "bin"], "left")
+                .select("feature", "bin", F.coalesce("n", F.lit(0).cast("bigint")).alias("n")))
+
+
+def _profile_rows(profile: DataFrame, cols: list[str], limit: int):
+    rows = profile.select(*cols).limit(limit + 1).collect()
+    return rows if len(rows) <= limit else None
+
+
 def histogram_open(df: DataFrame, profile: DataFrame, zero_fill: bool = True) -> DataFrame:
     """``(feature, bin, n)`` counts of ``df``'s non-null values per open-ended bin.
 
-    ``df`` is wide (the features are columns).  The profile is broadcast (it
-    has one row per feature); counting combines map-side, so the shuffle is
-    at most features x bins rows per task.
+    ``df`` is wide (the features are columns); features missing from ``df``
+    get zero counts.
     """
-    feats = [r["feature"] for r in check_small(profile).select("feature").collect()]
-    present = [f for f in feats if f in df.columns]
-    if present:
-        long = to_long(df, present)
-        counts = (long.join(F.broadcast(profile.select("feature", "cuts")), "feature")
+    spark = df.sparkSession
+    rows = _profile_rows(profile, ["feature", "cuts"], MAX_LITERAL_FEATURES)
+    empty = spark.createDataFrame([], "feature string, bin int, n bigint")
+    if rows is not None:
+        present = [(r["feature"], r["cuts"]) for r in rows if r["feature"] in df.columns]
+        if present:
+            sel = []
+            for f, cuts in present:
+                x = f"CAST({quoted(f)} AS DOUBLE)"
+                sel.append(F.expr(f"CASE WHEN {x} IS NULL OR isnan({x}) THEN NULL "
+                                  f"ELSE {count_le_sql(x, cuts)} END").cast("int").alias(f))
+            names = [f for f, _ in present]
+            counts = (df.select(*sel).unpivot([], names, "feature", "bin")
+                        .where(F.col("bin").isNotNull())
+                        .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
+        else:
+            counts = empty
+    else:
+        check_small(profile)
+        feats = [r["feature"] for r in profile.select("feature").collect()]
+        present = [f for f in feats if f in df.columns]
+        counts = empty
+        if present:
+            counts = (to_long(df, present).join(F.broadcast(profile.select("feature", "cuts")), "feature")
                       .select("feature", bin_open(F.col("value"), F.col("cuts")).alias("bin"))
                       .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
-    else:
-        counts = df.sparkSession.createDataFrame([], "feature string, bin int, n bigint")
-    if not zero_fill:
-        return counts
-    return (bin_grid(profile).join(counts, ["feature", "bin"], "left")
-            .select("feature", "bin", F.coalesce("n", F.lit(0).cast("bigint")).alias("n")))
+    return _zero_fill(bin_grid(profile), counts) if zero_fill else counts
 
 
 def histogram_closed(long_df: DataFrame, edges: DataFrame, edges_col: str = "edges") -> DataFrame:
     """``(feature, bin, n)`` for closed-range edges; out-of-range values dropped.
 
     ``long_df`` is ``(feature, value)``; ``edges`` is ``(feature, edges)``
-    with B+1 non-decreasing edges.  Duplicate edges keep their (empty) bins.
+    with B+1 non-decreasing edges.  Bins are [e_i, e_i+1) except the last,
+    [e_B-1, e_B]; duplicate edges keep their (empty) bins.
     """
-    e = check_small(edges.select("feature", F.col(edges_col).alias("_edges")), what="edges")
-    counts = (long_df.join(F.broadcast(e), "feature")
-                     .select("feature", bin_closed(F.col("value"), F.col("_edges")).alias("bin"))
-                     .where(F.col("bin").isNotNull())
-                     .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
+    e = edges.select("feature", F.col(edges_col).alias("_edges"))
     grid = e.select("feature", F.explode(F.sequence(F.lit(0), F.size("_edges") - 2)).alias("bin"))
-    return (grid.join(counts, ["feature", "bin"], "left")
-                .select("feature", "bin", F.coalesce("n", F.lit(0).cast("bigint")).alias("n")))
+    rows = _profile_rows(e, ["feature", "_edges"], MAX_LITERAL_FEATURES)
+    if rows is not None:
+        arms = []
+        for r in rows:
+            ed = [float(x) for x in r["_edges"]]
+            fq = r["feature"].replace("'", "\\'")
+            inner = count_le_sql("value", ed[:-1])
+            arms.append(f"WHEN feature = '{fq}' THEN CASE WHEN value >= {_d(ed[0])} AND value <= {_d(ed[-1])} "
+                        f"THEN {inner} - 1 END")
+        expr = F.expr("CASE " + " ".join(arms) + " END") if arms else F.lit(None)
+        counts = (long_df.select("feature", expr.cast("int").alias("bin"))
+                         .where(F.col("bin").isNotNull())
+                         .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
+    else:
+        check_small(e, what="edges")
+        counts = (long_df.join(F.broadcast(e), "feature")
+                         .select("feature", bin_closed(F.col("value"), F.col("_edges")).alias("bin"))
+                         .where(F.col("bin").isNotNull())
+                         .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
+    return _zero_fill(grid, counts)
+
+
+def _d(x: float) -> str:
+    from tabwatch.functions.search import sql_double
+    return sql_double(x)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwatch.functions.scalars import collapse_category
-from tabwatch.operators.quantiles import exact_quantiles
+from tabwatch.operators.quantiles import feature_quantiles
 from tabwatch.operators.reshape import features_frame, to_long
 
 
@@ -65,7 +65,7 @@ def column_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None
     imputer's surrogate values.
     """
     cols = list(cols)
-    med = exact_quantiles(to_long(df, cols), ["feature"], [0.5])
+    med = feature_quantiles(df, cols, [0.5])
     got = {r["feature"]: r["quantile"] for r in med.select("feature", "quantile").collect()}
     return {c: got.get(c) for c in cols}
 

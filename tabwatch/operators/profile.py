@@ -5,12 +5,15 @@ A profile is one row per feature::
     feature string, pos int, edges array<double>, cuts array<double>,
     bins int, n bigint, counts array<bigint>
 
-``edges`` are the sorted distinct quantiles before open-ending (as stored by
-the reference's baseline file after its first/last edge are replaced by
--inf/+inf), ``cuts`` are the inner edges that remain after open-ending,
-``counts`` are the baseline's own rows per bin (for empirical expected
-shares).  Profiles are tiny (one row per feature) and are checkpointed so
-the quantile work runs once.
+``edges`` are the sorted distinct quantiles before open-ending, ``cuts``
+the inner edges that remain once the first and last edge become -inf/+inf
+(fewer than three distinct edges leave a single open bin), ``counts`` the
+baseline's own rows per bin (for empirical expected shares).
+
+The quantiles and counts are computed by distributed jobs; the profile
+itself is configuration-sized (one row per feature), so it is kept as a
+small local table: no lineage back to the baseline scan, identical on
+every read, cheap to broadcast or to turn into literal expressions.
 """
 
 from __future__ import annotations
@@ -20,53 +23,66 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwatch.functions.binning import open_ended_cuts
 from tabwatch.functions.levels import quantile_levels
 from tabwatch.operators.histogram import histogram_open
 from tabwatch.operators.quantiles import quantiles
-from tabwatch.operators.reshape import features_frame, to_long
-from tabwatch.session import materialize
 
 NEG_INF = float("-inf")
 POS_INF = float("inf")
 
+EDGES_SCHEMA = "feature string, pos int, edges array<double>, n bigint"
+PROFILE_SCHEMA = ("feature string, pos int, edges array<double>, cuts array<double>, "
+                  "bins int, n bigint, counts array<bigint>")
+
+
+def _edge_rows(df: DataFrame, features: Sequence[str], n_bins: int, levels: str,
+               method: str) -> list[tuple]:
+    features = list(features)
+    present = [f for f in features if f in df.columns]
+    got: dict[str, tuple[list[float], int]] = {}
+    if present:
+        q = quantiles(df, present, quantile_levels(n_bins, levels), method=method)
+        for r in q.select("feature", "quantile", "n").collect():
+            vals, _ = got.get(r["feature"], ([], 0))
+            vals.append(float(r["quantile"]))
+            got[r["feature"]] = (vals, int(r["n"]))
+    rows = []
+    for i, f in enumerate(features):
+        vals, n = got.get(f, ([], 0))
+        rows.append((f, i, sorted(set(vals)), n))
+    return rows
+
 
 def quantile_edges(df: DataFrame, features: Sequence[str], n_bins: int = 10,
                    levels: str = "exact", method: str = "exact") -> DataFrame:
     """``(feature, pos, edges, n)``: sorted distinct quantiles at the level grid.
 
-    Features with no non-null value get ``edges = []`` and ``n = 0``.
+    Features with no non-null value (or absent) get ``edges = []``, ``n = 0``.
     """
-    features = list(features)
-    long = to_long(df, features)
-    q = quantiles(long, ["feature"], quantile_levels(n_bins, levels), method=method)
-    per = q.groupBy("feature").agg(
-        F.array_sort(F.array_distinct(F.collect_list("quantile"))).alias("edges"),
-        F.max("n").alias("n"))
-    spec = features_frame(df, features)
-    return (spec.join(per, "feature", "left")
-                .select("feature", "pos",
-                        F.coalesce("edges", F.array().cast("array<double>")).alias("edges"),
-                        F.coalesce("n", F.lit(0).cast("bigint")).alias("n")))
+    rows = _edge_rows(df, features, n_bins, levels, method)
+    return df.sparkSession.createDataFrame(rows, EDGES_SCHEMA)
+
+
+def _cuts(edges: list[float]) -> list[float]:
+    return list(edges[1:-1]) if len(edges) >= 3 else []
 
 
 def build_profile(df: DataFrame, features: Sequence[str], n_bins: int = 10,
                   levels: str = "exact", method: str = "exact",
                   with_counts: bool = True) -> DataFrame:
-    """Equal-frequency baseline for every feature, checkpointed (tiny)."""
-    e = quantile_edges(df, features, n_bins, levels, method)
-    prof = (e.withColumn("cuts", open_ended_cuts(F.col("edges")))
-             .withColumn("bins", (F.size("cuts") + 1).cast("int")))
-    prof = materialize(prof)
-    if with_counts:
-        hist = histogram_open(df, prof)
-        counts = hist.groupBy("feature").agg(
-            F.array_sort(F.collect_list(F.struct("bin", "n"))).alias("_bn"))
-        prof = (prof.join(counts, "feature", "left")
-                    .withColumn("counts", F.transform("_bn", lambda s: s["n"]))
-                    .drop("_bn"))
-        prof = materialize(prof)
-    return prof
+    """Equal-frequency baseline for every feature (small local table)."""
+    spark = df.sparkSession
+    rows = [(f, i, e, _cuts(e), len(_cuts(e)) + 1, n, None)
+            for f, i, e, n in _edge_rows(df, features, n_bins, levels, method)]
+    prof = spark.createDataFrame(rows, PROFILE_SCHEMA)
+    if not with_counts:
+        return prof
+    counts: dict[str, dict[int, int]] = {}
+    for r in histogram_open(df, prof).collect():
+        counts.setdefault(r["feature"], {})[int(r["bin"])] = int(r["n"])
+    rows = [(f, i, e, c, b, n, [counts.get(f, {}).get(k, 0) for k in range(b)])
+            for f, i, e, c, b, n, _ in rows]
+    return spark.createDataFrame(rows, PROFILE_SCHEMA)
 
 
 def open_edges(profile: DataFrame) -> DataFrame:

@@ -1,68 +1,240 @@
-"""Quantiles per group, exact and distributed.
-
-``exact_quantiles`` returns the linear-interpolation quantile
-``v[lo] + (v[hi] - v[lo]) * (pos - lo)`` with ``pos = level * (n - 1)`` and
-``lo``/``hi`` its floor/ceiling ranks, for every group and level.  It never
-sends a whole column (or a whole group) to one task:
-
-1. distinct values are counted per group (map-side combined shuffle; a
-   value that holds a third of all rows is one row afterwards);
-2. a bounded-memory sketch (``percentile_approx``) over the distinct values
-   gives ``buckets`` range cuts per group; the cuts are checkpointed so every
-   later read sees the same cuts;
-3. bucket totals and their running offsets are small (groups x buckets);
-4. only the buckets that hold a wanted rank are sorted, each in its own
-   task, to find the exact values at the wanted ranks.
-
-``approx_quantiles`` (sketch, actual elements) is the bounded-memory mode.
+"""Quantiles per feature, exact and distributed.
+
+``feature_quantiles`` returns the linear-interpolation quantile
+between ``v[lo]`` and ``v[hi]`` at ``pos = level * (n - 1)``, with ``lo``/``hi``
+its floor/ceiling ranks (numpy's default method), for every feature and level, by
+iterative range refinement.  No task ever holds a whole column:
+
+1. one aggregation gives, per feature (later: per open value interval
+   still holding a wanted rank), its row count and a bounded-memory sketch
+   (``percentile_approx``, combined per task) of ``buckets`` cut points;
+2. an interval larger than ``max_sort_rows`` is split: rows are counted
+   per bucket with a binary-search expression over the literal cuts
+   (codegen, map-side combined).  Every cut is its own single-value bucket,
+   so a value that holds a third of all rows is resolved on the spot
+   without any sort, and each open bucket shrinks by about ``buckets``;
+3. once small enough, each interval holding a wanted rank is reduced to
+   its distinct values and sorted in one task to pick the exact values.
+
+At 100 TB this is about log_32(rows / max_sort_rows) rounds of two scans;
+at small scale it is one sketch scan and one sort scan.  The driver only
+sees configuration-sized metadata (cuts, bucket totals, the picked
+values), the way an MLlib estimator collects its fitted parameters.
+
+``exact_quantiles_many`` gives the same result for a long ``(*keys,
+value)`` table with any number of groups as one DataFrame plan.
+
+Inputs must be deterministic (a table scan and expressions over it): the
+passes read them independently.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwatch.session import materialize
+from tabwatch.functions.search import count_le_sql, quoted, sql_double
 
-DEFAULT_BUCKETS = 256
+DEFAULT_BUCKETS = 32
+MAX_SORT_ROWS = 1_000_000
+MAX_ROUNDS = 16
 DEFAULT_ACCURACY = 10000
 
+QUANTILE_SCHEMA_TAIL = "level_idx int, level double, quantile double, n bigint"
+
+
+def lerp(a: float, b: float, t: float) -> float:
+    """Linear interpolation as numpy's quantile does it (the form that is
+    exact at both ends: from ``b`` backwards once t >= 0.5)."""
+    if t == 0.0 or a == b:
+        return a
+    d = b - a
+    return b - d * (1.0 - t) if t >= 0.5 else a + d * t
+
+
+class _Seg:
+    """An open value interval (lo, hi) of one feature and its rank offset."""
+
+    __slots__ = ("feature", "lo", "hi", "base", "n", "ranks")
+
+    def __init__(self, feature, lo, hi, base, n, ranks):
+        self.feature, self.lo, self.hi, self.base, self.n, self.ranks = feature, lo, hi, base, n, ranks
+
+    def in_range(self, x: str) -> str:
+        conds = [f"{x} IS NOT NULL", f"NOT isnan({x})"]
+        if self.lo is not None:
+            conds.append(f"{x} > {sql_double(self.lo)}")
+        if self.hi is not None:
+            conds.append(f"{x} < {sql_double(self.hi)}")
+        return " AND ".join(conds)
+
+
+def _point_tree(x: str, cuts: list[float]) -> str:
+    """SQL: 2*(#cuts < x) + (1 if x is a cut): odd ids are single-value
+    buckets, even ids the open intervals between cuts (binary search)."""
+    def tree(lo: int, hi: int) -> str:
+        if lo == hi:
+            return str(2 * lo)
+        mid = (lo + hi) // 2
+        c = sql_double(cuts[mid])
+        return (f"CASE WHEN {x} < {c} THEN {tree(lo, mid)} "
+                f"WHEN {x} = {c} THEN {2 * mid + 1} ELSE {tree(mid + 1, hi)} END")
+    return tree(0, len(cuts))
+
+
+def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[float],
+                      buckets: int = DEFAULT_BUCKETS, accuracy: int | None = None,
+                      max_sort_rows: int = MAX_SORT_ROWS, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+    """Exact interpolated quantiles of wide feature columns ->
+    ``(feature, level_idx, level, quantile, n)`` (a small local table).
+
+    Nulls and NaNs are dropped per feature; features without values give no
+    rows.  Selection by iterative range refinement (see the module notes).
+    """
+    spark = df.sparkSession
+    features = [f for f in features if f in df.columns]
+    levels = [float(x) for x in levels]
+    schema = "feature string, " + QUANTILE_SCHEMA_TAIL
+    if not features:
+        return spark.createDataFrame([], schema)
+    acc = accuracy or max(32 * buckets, 1000)
+    fine = [i / buckets for i in range(1, buckets)]
+    xs = {f: f"CAST({quoted(f)} AS DOUBLE)" for f in features}
+
+    at_rank: dict[tuple[str, int], float] = {}
+    plan: dict[tuple[str, int], tuple[float, int, int]] = {}
+    n_of: dict[str, int] = {}
+    active = [_Seg(f, None, None, 0, None, None) for f in features]
+    final: list[_Seg] = []
+    rounds = 0
+    while active:
+        rounds += 1
+        # sketch and row count of every active segment, one aggregation
+        aggs = []
+        for i, sg in enumerate(active):
+            xv = F.expr(f"CASE WHEN {sg.in_range(xs[sg.feature])} THEN {xs[sg.feature]} END")
+            aggs += [F.percentile_approx(xv, fine, acc).alias(f"_c{i}"), F.count(xv).alias(f"_n{i}")]
+        r1 = df.agg(*aggs).first()
+        split: list[tuple[_Seg, list[float]]] = []
+        for i, sg in enumerate(active):
+            n = int(r1[f"_n{i}"])
+            if sg.n is None:               # first round: whole feature
+                sg.n = n
+                n_of[sg.feature] = n
+                if n == 0:
+                    continue
+                sg.ranks = set()
+                for li, lv in enumerate(levels):
+                    pos = lv * float(n - 1)
+                    lo, hi = int(math.floor(pos)), int(math.ceil(pos))
+                    plan[(sg.feature, li)] = (pos, lo, hi)
+                    sg.ranks |= {lo, hi}
+            cuts = sorted(set(float(c) for c in (r1[f"_c{i}"] or [])))
+            if sg.n <= max_sort_rows or rounds >= max_rounds or not cuts:
+                final.append(sg)
+            else:
+                split.append((sg, cuts))
+        if not split:
+            break
+        # rows per bucket of the segments being split
+        sel, names = [], []
+        for j, (sg, cuts) in enumerate(split):
+            x = xs[sg.feature]
+            sel.append(F.expr(f"CASE WHEN {sg.in_range(x)} THEN {_point_tree(x, cuts)} END")
+                        .cast("int").alias(f"s{j}"))
+            names.append(f"s{j}")
+        bt = (df.select(*sel).unpivot([], names, "_seg", "_b").where(F.col("_b").isNotNull())
+                .groupBy("_seg", "_b").agg(F.count(F.lit(1)).alias("_bn")).collect())
+        counts: dict[int, dict[int, int]] = {}
+        for r in bt:
+            counts.setdefault(int(r["_seg"][1:]), {})[int(r["_b"])] = int(r["_bn"])
+        nxt: dict[tuple, _Seg] = {}
+        for j, (sg, cuts) in enumerate(split):
+            off = sg.base
+            spans = []
+            for b in sorted(counts.get(j, {})):
+                bn = counts[j][b]
+                spans.append((b, off, bn))
+                off += bn
+            for r in sg.ranks:
+                for b, o, bn in spans:
+                    if o <= r < o + bn:
+                        if b % 2 == 1:            # a single value: resolved
+                            at_rank[(sg.feature, r)] = cuts[b // 2]
+                        else:
+                            k = b // 2
+                            lo = cuts[k - 1] if k >= 1 else sg.lo
+                            hi = cuts[k] if k < len(cuts) else sg.hi
+                            key = (sg.feature, lo, hi)
+                            if key not in nxt:
+                                nxt[key] = _Seg(sg.feature, lo, hi, o, bn, set())
+                            nxt[key].ranks.add(r)
+                        break
+        active = list(nxt.values())
+
+    # sort the final segments (distinct values only), one task per segment
+    todo = [sg for sg in final if sg.n and any((sg.feature, r) not in at_rank for r in sg.ranks)]
+    if todo:
+        sel, names, targets = [], [], []
+        for j, sg in enumerate(todo):
+            x = xs[sg.feature]
+            sel.append(F.expr(f"CASE WHEN {sg.in_range(x)} THEN {x} END").alias(f"s{j}"))
+            names.append(f"s{j}")
+            targets += [(f"s{j}", r - sg.base, sg.feature, r) for r in sg.ranks]
+        w = Window.partitionBy("_seg").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+        vc = (df.select(*sel).unpivot([], names, "_seg", "_v").where(F.col("_v").isNotNull())
+                .groupBy("_seg", "_v").agg(F.count(F.lit(1)).alias("_c"))
+                .withColumn("_s", F.coalesce(F.sum("_c").over(w), F.lit(0)))
+                .withColumn("_e", F.col("_s") + F.col("_c")))
+        tdf = spark.createDataFrame([(a, b) for a, b, _, _ in targets], "_seg string, _lr bigint")
+        picked = (vc.join(F.broadcast(tdf), "_seg")
+                    .where((F.col("_lr") >= F.col("_s")) & (F.col("_lr") < F.col("_e")))
+                    .select("_seg", "_lr", "_v").collect())
+        got = {(r["_seg"], int(r["_lr"])): float(r["_v"]) for r in picked}
+        for seg, lr, f, r in targets:
+            at_rank[(f, r)] = got[(seg, lr)]
+
+    rows = []
+    for (f, i), (pos, lo, hi) in sorted(plan.items(), key=lambda kv: (features.index(kv[0][0]), kv[0][1])):
+        rows.append((f, i, levels[i], lerp(at_rank[(f, lo)], at_rank[(f, hi)], pos - float(lo)), n_of[f]))
+    return spark.createDataFrame(rows, schema)
+
 
 def exact_quantiles(long_df: DataFrame, keys: Sequence[str], levels: Sequence[float],
                     value: str = "value", buckets: int = DEFAULT_BUCKETS,
                     accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Exact interpolated quantiles -> ``(*keys, level_idx, level, quantile, n)``.
+    """Exact interpolated quantiles of a long ``(*keys, value)`` table for any
+    number of groups -> ``(*keys, level_idx, level, quantile, n)``."""
+    return exact_quantiles_many(long_df, keys, levels, value, buckets, accuracy)
 
-    ``long_df`` must hold non-null, non-NaN ``value`` rows.  Groups without
-    rows produce no output.
-    """
+
+def exact_quantiles_many(long_df: DataFrame, keys: Sequence[str], levels: Sequence[float],
+                         value: str = "value", buckets: int = DEFAULT_BUCKETS,
+                         accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """Same result as ``exact_quantiles`` for any number of groups, as one
+    DataFrame plan: distinct values are counted, sketch cuts per group are
+    joined back (broadcast when small, by Spark's own size check), bucket
+    totals and offsets are windowed per group, and only wanted buckets are
+    sorted.  Cuts are written once to the shared checkpoint folder so every
+    read sees the same cuts."""
+    from tabwatch.session import materialize
     keys = list(keys)
     v = F.col(value)
-
-    # 1. distinct values with their multiplicity
     vc = long_df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_cnt"))
-
-    # 2. range cuts from a sketch over the distinct values (bounded memory)
     fine = [i / buckets for i in range(1, buckets)]
-    cuts = materialize(
-        vc.groupBy(*keys).agg(
-            F.array_distinct(F.percentile_approx(value, fine, accuracy)).alias("_cuts")))
-
-    vb = (vc.join(F.broadcast(cuts), keys)
+    cuts = materialize(long_df.groupBy(*keys).agg(
+        F.array_distinct(F.percentile_approx(value, fine, accuracy)).alias("_cuts")))
+    vb = (vc.join(cuts, keys)
             .withColumn("_b", F.size(F.filter("_cuts", lambda c: c <= v)))
             .drop("_cuts"))
-
-    # 3. bucket totals and offsets (groups x buckets rows)
     bt = vb.groupBy(*keys, "_b").agg(F.sum("_cnt").alias("_bn"))
-    w_off = Window.partitionBy(*keys).orderBy("_b").rowsBetween(
-        Window.unboundedPreceding, -1)
+    w_off = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(*keys)
     bt = (bt.withColumn("_off", F.coalesce(F.sum("_bn").over(w_off), F.lit(0)))
             .withColumn("_n", F.sum("_bn").over(w_all)))
-
-    # wanted ranks: floor and ceiling of level * (n - 1)
     lv = F.array(*[F.lit(float(x)) for x in levels])
     totals = bt.select(*keys, "_n").distinct()
     targets = (totals.select(*keys, "_n", F.posexplode(lv).alias("level_idx", "level"))
@@ -70,35 +242,27 @@ def exact_quantiles(long_df: DataFrame, keys: Sequence[str], levels: Sequence[fl
                      .withColumn("_pos", F.col("level") * (F.col("_n") - 1).cast("double"))
                      .withColumn("_lo", F.floor("_pos").cast("bigint"))
                      .withColumn("_hi", F.ceil("_pos").cast("bigint")))
-    ranks = (targets.select(*keys, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r"))
-                    .distinct())
+    ranks = targets.select(*keys, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r")).distinct()
     rank_b = (ranks.join(bt.select(*keys, "_b", "_off", "_bn"), keys)
-                   .where((F.col("_r") >= F.col("_off"))
-                          & (F.col("_r") < F.col("_off") + F.col("_bn")))
+                   .where((F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_bn")))
                    .select(*keys, "_b", "_r"))
-
-    # 4. sort only the buckets holding a wanted rank
     wanted_b = rank_b.select(*keys, "_b").distinct()
-    w_in = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(
-        Window.unboundedPreceding, -1)
-    inb = (vb.join(F.broadcast(wanted_b), keys + ["_b"], "left_semi")
-             .join(F.broadcast(bt.select(*keys, "_b", "_off")), keys + ["_b"])
+    w_in = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    inb = (vb.join(wanted_b, keys + ["_b"], "left_semi")
+             .join(bt.select(*keys, "_b", "_off"), keys + ["_b"])
              .withColumn("_start", F.col("_off") + F.coalesce(F.sum("_cnt").over(w_in), F.lit(0)))
              .withColumn("_end", F.col("_start") + F.col("_cnt")))
-    at_rank = (F.broadcast(rank_b).join(inb, keys + ["_b"])
+    at_rank = (rank_b.join(inb, keys + ["_b"])
                .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_end")))
                .select(*keys, "_r", F.col(value).alias("_v")))
-
     lo = at_rank.select(*keys, F.col("_r").alias("_lo"), F.col("_v").alias("_vlo"))
     hi = at_rank.select(*keys, F.col("_r").alias("_hi"), F.col("_v").alias("_vhi"))
-    out = (F.broadcast(targets).join(lo, keys + ["_lo"]).join(hi, keys + ["_hi"])
-           .select(*keys, "level_idx", "level",
-                   F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo"))
-                    .otherwise(F.col("_vlo") + (F.col("_vhi") - F.col("_vlo"))
-                               * (F.col("_pos") - F.col("_lo").cast("double")))
-                    .alias("quantile"),
-                   F.col("_n").alias("n")))
-    return out
+    return (targets.join(lo, keys + ["_lo"]).join(hi, keys + ["_hi"])
+            .select(*keys, "level_idx", "level",
+                    F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo"))
+                     .otherwise(F.col("_vlo") + (F.col("_vhi") - F.col("_vlo"))
+                                * (F.col("_pos") - F.col("_lo").cast("double"))).alias("quantile"),
+                    F.col("_n").alias("n")))
 
 
 def approx_quantiles(long_df: DataFrame, keys: Sequence[str], levels: Sequence[float],
@@ -114,19 +278,22 @@ def approx_quantiles(long_df: DataFrame, keys: Sequence[str], levels: Sequence[f
               .select(*keys, F.col("level_idx").cast("int"), "level", "quantile", "n")
 
 
-def quantiles(long_df: DataFrame, keys: Sequence[str], levels: Sequence[float],
-              method: str = "exact", value: str = "value", **kw) -> DataFrame:
+def quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[float],
+              method: str = "exact", **kw) -> DataFrame:
+    """Quantiles of wide feature columns -> ``(feature, level_idx, level, quantile, n)``."""
     if method == "exact":
-        return exact_quantiles(long_df, keys, levels, value=value, **kw)
+        return feature_quantiles(df, features, levels, **kw)
     if method == "approx":
-        return approx_quantiles(long_df, keys, levels, value=value, **kw)
+        from tabwatch.operators.reshape import to_long
+        present = [f for f in features if f in df.columns]
+        return approx_quantiles(to_long(df, present), ["feature"], levels, **kw)
     raise ValueError(f"unknown quantile method {method!r}")
 
 
-def median_exact(long_df: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
-    """Interpolated median per group -> ``(*keys, median, n)``."""
-    q = exact_quantiles(long_df, keys, [0.5], value=value)
-    return q.select(*keys, F.col("quantile").alias("median"), "n")
+def median_exact(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Interpolated median of each feature column -> ``(feature, median, n)``."""
+    q = feature_quantiles(df, features, [0.5])
+    return q.select("feature", F.col("quantile").alias("median"), "n")
 
 
 def median_element(long_df: DataFrame, keys: Sequence[str], value: str = "value",

@@ -166,9 +166,8 @@ SELECT feature, CAST(bin AS INTEGER) AS bin, n FROM ({S.hist_open_cte(NEW_SQL, F
 
 def q_histogram_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabwatch.operators.drift import raw_breakpoints
-    base_long = to_long(lineitem_baseline(spark, sf_dir), FEATS)
     new_long = to_long(lineitem_new(spark, sf_dir), FEATS)
-    bp = raw_breakpoints(base_long, BINS)
+    bp = raw_breakpoints(lineitem_baseline(spark, sf_dir), FEATS, BINS)
     h = histogram_closed(new_long, bp)
     tot = new_long.groupBy("feature").agg(F.count(F.lit(1)).alias("total"))
     share = F.col("n").cast("double") / F.col("total").cast("double")
@@ -210,7 +209,7 @@ FROM h
 
 def q_median_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = with_nulls(table(spark, sf_dir, "lineitem"))
-    m = median_exact(to_long(df, FEATS), ["feature"])
+    m = median_exact(df, FEATS)
     return m.select("feature", F.round("median", R).alias("median"), "n")
 
 
