@@ -48,7 +48,7 @@ def save_legacy(open_edges: DataFrame, path: str) -> None:
 
 
 def _whole_text(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("wholetext", True).text(path).where(F.length(F.trim("value")) > 0)
+    return spark.read.text(path, wholetext=True).where(F.length(F.trim("value")) > 0)
 
 
 def load_baseline(spark: SparkSession, path: str, n_bins: int | None = None) -> DataFrame:
