@@ -182,3 +182,39 @@ def monitor(baseline_df: DataFrame, new_df: DataFrame, spec: DriftSpec,
     report = psi(baseline_df, new_df, spec)
     status = drift_status(report, spec.alert, spec.warn)
     return report, status
+
+
+def run_name(epoch_seconds: int, prefix: str = "drift") -> str:
+    """``drift_<epoch seconds>``."""
+    return f"{prefix}_{int(epoch_seconds)}"
+
+
+def monitor_log_rows(report: DataFrame, status: DataFrame, spec: DriftSpec, run_id: str,
+                     model_name: str = "model", model_stage: str = "Production") -> DataFrame:
+    """Run-log rows ``(run_id, kind, key, value, text)`` of one monitor run:
+    metrics ``psi_<feature>``, ``psi_worst``, ``retraining_triggered``;
+    params ``psi_bins``, ``psi_warn``, ``psi_alert``, ``drift_status``;
+    tags ``model_name``, ``model_stage``, ``psi_worst_feature``."""
+    spark = report.sparkSession
+    rid = F.lit(run_id)
+    none_d, none_s = F.lit(None).cast("double"), F.lit(None).cast("string")
+    metrics = report.select(rid.alias("run_id"), F.lit("metric").alias("kind"),
+                            F.concat(F.lit("psi_"), F.col("feature")).alias("key"),
+                            F.col("psi").alias("value"), none_s.alias("text"))
+    def entry(kind, key, value, text):
+        return F.struct(F.lit(kind).alias("kind"), F.lit(key).alias("key"),
+                        value.cast("double").alias("value"), text.cast("string").alias("text"))
+
+    st = status.select(
+        F.explode(F.array(
+            entry("metric", "psi_worst", F.col("max_psi"), none_s),
+            entry("metric", "retraining_triggered", F.col("retrain"), none_s),
+            entry("param", "drift_status", none_d, F.col("status")),
+            entry("tag", "psi_worst_feature", none_d, F.col("worst_feature")),
+        )).alias("r")).select(rid.alias("run_id"), "r.*")
+    fixed = spark.createDataFrame(
+        [("param", "psi_bins", None, str(spec.n_bins)), ("param", "psi_warn", None, str(spec.warn)),
+         ("param", "psi_alert", None, str(spec.alert)), ("tag", "model_name", None, model_name),
+         ("tag", "model_stage", None, model_stage)],
+        "kind string, key string, value double, text string").select(rid.alias("run_id"), "*")
+    return metrics.unionByName(st).unionByName(fixed)

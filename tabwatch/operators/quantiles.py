@@ -280,13 +280,20 @@ def approx_quantiles(long_df: DataFrame, keys: Sequence[str], levels: Sequence[f
 
 def quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[float],
               method: str = "exact", **kw) -> DataFrame:
-    """Quantiles of wide feature columns -> ``(feature, level_idx, level, quantile, n)``."""
+    """Quantiles of wide feature columns -> ``(feature, level_idx, level, quantile, n)``.
+
+    method: ``exact`` (distributed selection, equals numpy/SQL),
+    ``approx`` (percentile_approx, actual elements, bounded memory),
+    ``sketch`` (KLL sketches, mergeable across batches).
+    """
     if method == "exact":
         return feature_quantiles(df, features, levels, **kw)
     if method == "approx":
         from tabwatch.operators.reshape import to_long
         present = [f for f in features if f in df.columns]
         return approx_quantiles(to_long(df, present), ["feature"], levels, **kw)
+    if method == "sketch":
+        return sketch_quantiles(feature_sketches(df, features, **kw), levels)
     raise ValueError(f"unknown quantile method {method!r}")
 
 
@@ -303,3 +310,40 @@ def median_element(long_df: DataFrame, keys: Sequence[str], value: str = "value"
     return long_df.groupBy(*keys).agg(
         F.percentile_approx(value, 0.5, acc).alias("median"),
         F.count(F.lit(1)).alias("n"))
+
+
+# ------------------------------------------------------------ sketch mode
+
+def feature_sketches(df: DataFrame, features: Sequence[str], k: int | None = None) -> DataFrame:
+    """``(feature, sketch binary, n)``: one mergeable KLL sketch per feature,
+    built in a single aggregation.  Sketch tables of different days can be
+    appended and merged (``merge_sketches``) into an incremental baseline."""
+    feats = [f for f in features if f in df.columns]
+    karg = f", {int(k)}" if k else ""
+    aggs = [F.expr(f"kll_sketch_agg_double(CASE WHEN NOT isnan(CAST({quoted(f)} AS DOUBLE)) "
+                   f"THEN CAST({quoted(f)} AS DOUBLE) END{karg})").alias(f"_s{i}")
+            for i, f in enumerate(feats)]
+    one = df.agg(*aggs)
+    parts = [one.select(F.lit(f).alias("feature"), F.col(f"_s{i}").alias("sketch")) for i, f in enumerate(feats)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("n", F.expr("kll_sketch_get_n_double(sketch)"))
+
+
+def merge_sketches(sketches: DataFrame) -> DataFrame:
+    """Merge sketch rows per feature (e.g. daily sketches into one baseline)."""
+    return (sketches.groupBy("feature").agg(F.expr("kll_merge_agg_double(sketch)").alias("sketch"))
+                    .withColumn("n", F.expr("kll_sketch_get_n_double(sketch)")))
+
+
+def sketch_quantiles(sketches: DataFrame, levels: Sequence[float]) -> DataFrame:
+    """Quantiles read from sketches -> ``(feature, level_idx, level, quantile, n)``."""
+    lv = "array(" + ", ".join(sql_double(float(x)) for x in levels) + ")"
+    q = sketches.where(F.col("n") > 0).select(
+        "feature", F.expr(f"kll_sketch_get_quantile_double(sketch, {lv})").alias("_q"), "n")
+    lvl = F.array(*[F.lit(float(x)) for x in levels])
+    return q.select("feature", F.posexplode("_q").alias("level_idx", "quantile"), "n").select(
+        "feature", F.col("level_idx").cast("int").alias("level_idx"),
+        F.element_at(lvl, F.col("level_idx") + 1).alias("level"), "quantile",
+        F.col("n").cast("bigint").alias("n"))

@@ -280,7 +280,44 @@ SELECT feature AS worst_feature, round(psi, {R}) AS worst_psi, 'psi_' || feature
 FROM rep JOIN pos USING (feature) ORDER BY psi DESC, pos ASC LIMIT 1
 """
 
+def q_drift_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run-log rows of a monitor run; the run is named after the newest ship
+    date of the batch (epoch seconds), so the rows are reproducible."""
+    from tabwatch.operators.drift import monitor_log_rows, run_name
+    from tabwatch.spec import DriftSpec
+    new = lineitem_new(spark, sf_dir)
+    ts = new.agg(F.max(F.expr("unix_timestamp(l_shipdate)")).alias("t")).first()["t"]
+    spec = DriftSpec(features=tuple(FEATS), n_bins=BINS, expected="uniform")
+    rep = psi_report(_profile(spark, sf_dir, counts=False), new, "uniform")
+    st = drift_status(rep, spec.alert, spec.warn)
+    rows = monitor_log_rows(rep, st, spec, run_name(ts), model_name="lineitem_rf")
+    return rows.select("run_id", "kind", "key", F.round("value", R).alias("value"), "text")
+
+
+def _sql_run_log() -> str:
+    rep = _sql_psi("uniform", False)
+    st = _sql_status(rep, 0.25, 0.10)
+    rid = f"'drift_' || CAST((SELECT max(epoch(l_shipdate)) FROM {NEW_SQL}) AS BIGINT)"
+    return f"""
+    WITH rep AS ({rep}), st AS ({st})
+    SELECT {rid} AS run_id, 'metric' AS kind, 'psi_' || feature AS key, round(psi, {R}) AS value,
+           NULL::VARCHAR AS text FROM rep
+    UNION ALL SELECT {rid}, 'metric', 'psi_worst', max_psi, NULL FROM st
+    UNION ALL SELECT {rid}, 'metric', 'retraining_triggered', CAST(retrain AS DOUBLE), NULL FROM st
+    UNION ALL SELECT {rid}, 'param', 'drift_status', NULL, status FROM st
+    UNION ALL SELECT {rid}, 'tag', 'psi_worst_feature', NULL, worst_feature FROM st
+    UNION ALL SELECT {rid}, 'param', 'psi_bins', NULL, '10'
+    UNION ALL SELECT {rid}, 'param', 'psi_warn', NULL, '0.1'
+    UNION ALL SELECT {rid}, 'param', 'psi_alert', NULL, '0.25'
+    UNION ALL SELECT {rid}, 'tag', 'model_name', NULL, 'lineitem_rf'
+    UNION ALL SELECT {rid}, 'tag', 'model_stage', NULL, 'Production'
+    """
+
+
+SQL_DRIFT_RUN_LOG = _sql_run_log()
+
 QUERIES = {
+    "drift_run_log": q_drift_run_log,
     "psi_uniform": q_psi_uniform,
     "psi_empirical": q_psi_empirical,
     "psi_raw_sample": q_psi_raw_sample,
@@ -296,6 +333,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "drift_run_log": SQL_DRIFT_RUN_LOG,
     "psi_uniform": SQL_PSI_UNIFORM,
     "psi_empirical": SQL_PSI_EMPIRICAL,
     "psi_raw_sample": SQL_PSI_RAW,

@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-EDGES_T = T.StructType([T.StructField("bin_edges", T.ArrayType(T.DoubleType()), True)])
+EDGES_T = T.StructType([T.StructField("bin_edges", T.ArrayType(T.DoubleType()), True),
+                        T.StructField("counts", T.ArrayType(T.LongType()), True)])
 BASELINE_SCHEMA = T.StructType([
     T.StructField("num_cols", T.ArrayType(T.StringType()), True),
     T.StructField("bins", T.MapType(T.StringType(), EDGES_T), True),
@@ -26,13 +27,17 @@ LEGACY_SCHEMA = T.MapType(T.StringType(), EDGES_T)
 
 def profile_document(open_edges: DataFrame, n_bins: int) -> DataFrame:
     """One-row DataFrame in the current baseline shape from
-    ``(feature, pos, bin_edges)`` rows (one per feature)."""
-    agg = open_edges.agg(
-        F.array_sort(F.collect_list(F.struct("pos", "feature", "bin_edges"))).alias("_r"))
+    ``(feature, pos, bin_edges[, counts])`` rows (one per feature; the
+    optional per-bin baseline counts are an extra key that readers of the
+    plain shape ignore).  The feature list is configuration-sized."""
+    cnt = F.col("counts") if "counts" in open_edges.columns else F.lit(None).cast("array<bigint>")
+    agg = open_edges.select("pos", "feature", "bin_edges", cnt.alias("counts")).agg(
+        F.array_sort(F.collect_list(F.struct("pos", "feature", "bin_edges", "counts"))).alias("_r"))
     return agg.select(
         F.transform("_r", lambda s: s["feature"]).alias("num_cols"),
         F.map_from_entries(F.transform(
-            "_r", lambda s: F.struct(s["feature"], F.struct(s["bin_edges"].alias("bin_edges"))))
+            "_r", lambda s: F.struct(s["feature"], F.struct(s["bin_edges"].alias("bin_edges"),
+                                                            s["counts"].alias("counts"))))
         ).alias("bins"),
         F.lit(int(n_bins)).alias("n_bins"))
 
@@ -43,8 +48,9 @@ def save_baseline(open_edges: DataFrame, path: str, n_bins: int) -> None:
 
 def save_legacy(open_edges: DataFrame, path: str) -> None:
     """Write the legacy ``{feature: {bin_edges}}`` shape (for migration tests)."""
-    doc = profile_document(open_edges, 0)
-    doc.select(F.to_json("bins").alias("value")).coalesce(1).write.mode("overwrite").text(path)
+    doc = profile_document(open_edges.select("feature", "pos", "bin_edges"), 0)
+    legacy = F.transform_values("bins", lambda k, v: F.struct(v["bin_edges"].alias("bin_edges")))
+    doc.select(F.to_json(legacy).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
 def _whole_text(spark: SparkSession, path: str) -> DataFrame:
@@ -87,6 +93,7 @@ def _explode_current(doc: DataFrame) -> DataFrame:
     return doc.select(F.posexplode("num_cols").alias("pos", "feature"), "bins", "n_bins") \
               .select("feature", F.col("pos").cast("int").alias("pos"),
                       F.element_at("bins", F.col("feature"))["bin_edges"].alias("bin_edges"),
+                      F.element_at("bins", F.col("feature"))["counts"].alias("counts"),
                       "n_bins")
 
 
@@ -96,4 +103,4 @@ def profile_from_edges(loaded: DataFrame) -> DataFrame:
     n = F.size("bin_edges")
     cuts = F.when(n >= 3, F.slice("bin_edges", 2, n - 2)).otherwise(F.array().cast("array<double>"))
     return loaded.select("feature", "pos", cuts.alias("cuts"),
-                         F.greatest(n - 1, F.lit(1)).cast("int").alias("bins"))
+                         F.greatest(n - 1, F.lit(1)).cast("int").alias("bins"), "counts")

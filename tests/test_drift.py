@@ -89,3 +89,17 @@ def test_status_levels_and_worst_feature_ties(spark):
     assert alert["status"] == "ALERT" and alert["retrain"] == 1
     empty = drift_status(rep.where("false"), 0.25, 0.10).first()
     assert empty["status"] == "OK" and empty["max_psi"] == 0.0
+
+
+def test_ensure_baseline_builds_then_reuses_and_warns(spark):
+    from tabwatch.operators.profile import ensure_baseline
+    from tabwatch.session import scratch_path
+    base = _df(spark, [float(i % 37) for i in range(500)])
+    p = scratch_path(spark, "ensure")
+    first = ensure_baseline(spark, p, base, ["x"], 10).first()
+    again = ensure_baseline(spark, p, None, ["x"], 10).first()
+    assert first["cuts"] == again["cuts"] and first["counts"] == again["counts"]
+    with pytest.warns(UserWarning):
+        ensure_baseline(spark, p, None, ["x", "y"], 5)
+    with pytest.raises(FileNotFoundError):
+        ensure_baseline(spark, scratch_path(spark, "none"), None, ["x"], 10)

@@ -69,3 +69,15 @@ def test_median_and_approx(spark):
     assert median_exact(df, ["x"]).first()["median"] == 2.5
     ap = approx_quantiles(to_long(df, ["x"]), ["feature"], [0.5], accuracy=1000).first()
     assert ap["quantile"] == 2.0   # an actual element
+
+
+def test_sketch_mode_is_mergeable(spark):
+    from tabwatch.operators.quantiles import feature_sketches, merge_sketches, sketch_quantiles
+    vals = [float(i) for i in range(10000)]
+    df = _frame(spark, {"x": vals})
+    a, b = df.where("x < 5000"), df.where("x >= 5000")
+    merged = merge_sketches(feature_sketches(a, ["x"]).unionByName(feature_sketches(b, ["x"])))
+    q = {r["level"]: r["quantile"] for r in sketch_quantiles(merged, [0.1, 0.5, 0.9]).collect()}
+    assert merged.first()["n"] == 10000
+    for lv, v in q.items():
+        assert abs(v - lv * 9999) <= 0.02 * 10000     # within the sketch's rank error
