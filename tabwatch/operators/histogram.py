@@ -37,7 +37,8 @@ def bin_grid(profile: DataFrame, bins_col: str = "bins") -> DataFrame:
 
 
 def _zero_fill(grid: DataFrame, counts: DataFrame) -> DataFrame:
-    return (grid.join(counts, ["feature", "bin"], "left")
+    # counts has at most one row per (feature, bin) of the checked profile
+    return (grid.join(F.broadcast(counts), ["feature", "bin"], "left")
                 .select("feature", "bin", F.coalesce("n", F.lit(0).cast("bigint")).alias("n")))
 
 

@@ -23,8 +23,8 @@ RUNLOG_SCHEMA = ("run_id string, kind string, key string, value double, "
 
 def epoch_ms(ts_col: str) -> F.Column:
     """Milliseconds since the epoch of a timestamp without time zone."""
-    us = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts_col})")
-    return F.floor(us / F.lit(1000)).cast("bigint")
+    from tabwatch.functions.timeparts import ntz_epoch_millis
+    return ntz_epoch_millis(F.col(ts_col))
 
 
 def append_runlog(rows: DataFrame, path: str) -> None:

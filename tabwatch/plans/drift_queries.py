@@ -286,7 +286,8 @@ def q_drift_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabwatch.operators.drift import monitor_log_rows, run_name
     from tabwatch.spec import DriftSpec
     new = lineitem_new(spark, sf_dir)
-    ts = new.agg(F.max(F.expr("unix_timestamp(l_shipdate)")).alias("t")).first()["t"]
+    from tabwatch.functions.timeparts import ntz_epoch_seconds
+    ts = new.agg(F.max(ntz_epoch_seconds(F.col("l_shipdate"))).alias("t")).first()["t"]
     spec = DriftSpec(features=tuple(FEATS), n_bins=BINS, expected="uniform")
     rep = psi_report(_profile(spark, sf_dir, counts=False), new, "uniform")
     st = drift_status(rep, spec.alert, spec.warn)

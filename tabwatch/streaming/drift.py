@@ -29,8 +29,8 @@ from tabwatch.spec import PSI_EPS
 
 def event_time(ts_col: str) -> F.Column:
     """A timestamp without zone as an instant on the UTC line (zone-free)."""
-    us = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts_col})")
-    return F.timestamp_micros(us)
+    from tabwatch.functions.timeparts import ntz_as_instant
+    return ntz_as_instant(F.col(ts_col))
 
 
 def run_available(query_builder, timeout_s: int = 900):

@@ -18,7 +18,7 @@ def spark_session(cores: int | str = "*", shuffle_partitions: int = 8):
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
              .config("spark.sql.adaptive.enabled", "true")
-             .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.sql.session.timeZone", os.environ.get("TABWATCH_TEST_TZ", "UTC"))
              .config("spark.driver.memory", "8g")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
