@@ -6,8 +6,9 @@ AUC = sum over distinct scores s of pos(s) * (neg_below(s) + neg(s) / 2) / (P *
 Rows are first reduced to one row per distinct score (map-side combined),
 so a score that a third of all rows share is one row.  The running count of
 negatives below each score is a prefix sum over the ordered distinct
-scores: a bounded-memory sketch cuts the scores into range buckets, bucket
-totals give each bucket's offset, and each bucket is sorted in its own task.
+scores: a bounded-memory sketch cuts the scores into range buckets (a
+binary-search expression over the literal cuts assigns them), bucket totals
+give each bucket's offset, and each bucket is sorted in its own task.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabwatch.functions.search import count_le_sql
+
 
 
 def auc_rank_sum(df: DataFrame, label: str, score: str, buckets: int = 256,
@@ -29,9 +32,7 @@ def auc_rank_sum(df: DataFrame, label: str, score: str, buckets: int = 256,
     # at most `buckets` doubles come back: they become a literal array
     row = sc.agg(F.array_distinct(F.percentile_approx("s", fine, accuracy)).alias("_cuts")).first()
     cut_vals = [float(c) for c in (row["_cuts"] or [])]
-    cut_arr = (F.array(*[F.lit(c) for c in cut_vals]) if cut_vals
-               else F.array().cast("array<double>"))
-    sb = sc.withColumn("_b", F.size(F.filter(cut_arr, lambda c: c <= F.col("s"))))
+    sb = sc.withColumn("_b", F.expr(count_le_sql("s", sorted(set(cut_vals)))))
     bt = sb.groupBy("_b").agg(F.sum("n").alias("_bn"))
     w_off = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     bt = bt.withColumn("_off", F.coalesce(F.sum("_bn").over(w_off), F.lit(0)))  # buckets rows only

@@ -38,13 +38,18 @@ def get_spark(master: str | None = None, app: str = "tabwatch",
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a local one only if none is configured."""
-    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions have no SparkContext
+        if not conf_dir:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return conf_dir
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="tabwatch-ckpt-")
+        conf_dir = tempfile.mkdtemp(prefix="tabwatch-ckpt-")   # only when unset, as in tests
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 
@@ -62,12 +67,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
-
-    Used for small intermediate tables (quantile cuts, profiles) that are read
-    more than once, so that they are computed exactly once and stay
-    identical across the reads even if an executor is lost.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Cut lineage by writing a written table in the shared folder and
+    reading it back: computed exactly once, identical on every later read,
+    and it survives the loss of the executors that computed it.  Used for
+    small intermediate tables that are read more than once."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
