@@ -54,3 +54,21 @@ DEFAULT_ALERT = 0.25
 PSI_EPS = 1e-12
 RAW_SHARE_FLOOR = 1e-6
 RAW_LAST_EDGE_PAD = 1e-6
+
+
+# Example configuration: the 12-column passenger table the reference trains
+# on (declared instead of inferred; the label is absent in scoring files).
+PASSENGER_SPEC = FeatureSpec(num=("Age", "SibSp", "Parch", "Fare"), cat=("Sex", "Embarked", "Pclass"),
+                             label="Survived", key="PassengerId")
+PASSENGER_COLUMNS = (
+    ("PassengerId", "int"), ("Survived", "int"), ("Pclass", "int"), ("Name", "string"),
+    ("Sex", "string"), ("Age", "double"), ("SibSp", "int"), ("Parch", "int"), ("Ticket", "string"),
+    ("Fare", "double"), ("Cabin", "string"), ("Embarked", "string"),
+)
+
+
+def passenger_schema(with_label: bool = True):
+    from pyspark.sql import types as T
+    names = {"int": T.IntegerType(), "double": T.DoubleType(), "string": T.StringType()}
+    return T.StructType([T.StructField(c, names[t], True) for c, t in PASSENGER_COLUMNS
+                         if with_label or c != "Survived"])
