@@ -29,6 +29,7 @@ from tabwatch.operators.score import batch_score, load_model, production_model_p
 from tabwatch.operators.train import train_cv, training_report
 from tabwatch.sources.csv import read_csv, write_csv
 from tabwatch.spec import DriftSpec, FeatureSpec
+from tabwatch.session import local_frame
 
 RUN_COLS = "run_id string, kind string, key string, value double, text string, ts_ms bigint"
 VERSION_COLS = "name string, version string, stage string, run_id string, path string"
@@ -69,7 +70,7 @@ def train(spark, src: str, spec: FeatureSpec, model_out: str, runlog: str, schem
     save_model(res.model.bestModel, model_out)
     run_id = uuid.uuid4().hex
     rep = training_report(spark, res).withColumnRenamed("value_text", "text")
-    rep = rep.unionByName(spark.createDataFrame([("artifact", "model_path", None, model_out)],
+    rep = rep.unionByName(local_frame(spark, [("artifact", "model_path", None, model_out)],
                                                 "kind string, key string, value double, text string"))
     _log(spark, rep.withColumn("run_id", F.lit(run_id)), runlog, int(time.time() * 1000))
     return {"run_id": run_id, "val_auc": res.val_auc, "model_path": model_out}
@@ -86,10 +87,10 @@ def register(spark, runlog: str, versions: str, name: str, metric: str = "val_au
     try:
         vt = spark.read.parquet(versions)
     except Exception:  # noqa: BLE001 - first registration
-        vt = spark.createDataFrame([], VERSION_COLS)
-    names = spark.createDataFrame([(name,)], "name string")
+        vt = local_frame(spark, [], VERSION_COLS)
+    names = local_frame(spark, [(name,)], "name string")
     v = str(next_version(vt, names).first()["next_version"])
-    row = spark.createDataFrame([(name, v, "None", best["run_id"], path)], VERSION_COLS)
+    row = local_frame(spark, [(name, v, "None", best["run_id"], path)], VERSION_COLS)
     allv = vt.unionByName(row)
     mine = promote(allv.where(F.col("name") == name), policy="newest", archive_existing=archive_existing)
     updated = mine.unionByName(allv.where(F.col("name") != name))

@@ -18,6 +18,7 @@ from tabwatch.operators.profile import build_profile
 from tabwatch.operators.quantiles import feature_quantiles
 from tabwatch.operators.reshape import features_frame, to_long
 from tabwatch.spec import DriftSpec, PSI_EPS, RAW_LAST_EDGE_PAD, RAW_SHARE_FLOOR
+from tabwatch.session import local_frame
 
 
 def psi_term(p: Column, q: Column, eps: float = PSI_EPS) -> Column:
@@ -80,7 +81,7 @@ def raw_breakpoints(expected_df: DataFrame, features: Sequence[str], buckets: in
         e = [x for _, x in sorted(qs)]
         e[-1] = e[-1] + RAW_LAST_EDGE_PAD
         rows.append((f, e))
-    return expected_df.sparkSession.createDataFrame(rows, "feature string, edges array<double>")
+    return local_frame(expected_df.sparkSession, rows, "feature string, edges array<double>")
 
 
 def psi_raw_sample(expected_df: DataFrame, actual_df: DataFrame, features: Sequence[str],
@@ -212,7 +213,7 @@ def monitor_log_rows(report: DataFrame, status: DataFrame, spec: DriftSpec, run_
             entry("param", "drift_status", none_d, F.col("status")),
             entry("tag", "psi_worst_feature", none_d, F.col("worst_feature")),
         )).alias("r")).select(rid.alias("run_id"), "r.*")
-    fixed = spark.createDataFrame(
+    fixed = local_frame(spark, 
         [("param", "psi_bins", None, str(spec.n_bins)), ("param", "psi_warn", None, str(spec.warn)),
          ("param", "psi_alert", None, str(spec.alert)), ("tag", "model_name", None, model_name),
          ("tag", "model_stage", None, model_stage)],

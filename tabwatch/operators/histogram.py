@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tabwatch.functions.binning import bin_closed, bin_open
 from tabwatch.functions.search import count_le_sql, quoted
 from tabwatch.operators.reshape import to_long
+from tabwatch.session import local_frame
 
 # Profiles hold one row per feature.  Up to this many features the cut
 # points become literal expressions; beyond it they are broadcast (bounded
@@ -55,7 +56,7 @@ def histogram_open(df: DataFrame, profile: DataFrame, zero_fill: bool = True) ->
     """
     spark = df.sparkSession
     rows = _profile_rows(profile, ["feature", "cuts"], MAX_LITERAL_FEATURES)
-    empty = spark.createDataFrame([], "feature string, bin int, n bigint")
+    empty = local_frame(spark, [], "feature string, bin int, n bigint")
     if rows is not None:
         present = [(r["feature"], r["cuts"]) for r in rows if r["feature"] in df.columns]
         if present:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabwatch.functions.scalars import collapse_category
 from tabwatch.operators.quantiles import feature_quantiles
 from tabwatch.operators.reshape import features_frame, to_long
+from tabwatch.session import local_frame
 
 
 def replace_column(df: DataFrame, name: str, expr) -> DataFrame:
@@ -48,7 +49,7 @@ def column_checks(df: DataFrame, features: Sequence[str]) -> DataFrame:
         counts = to_long(df, present).groupBy("feature").agg(
             F.count(F.lit(1)).alias("non_null"))
     else:
-        counts = df.sparkSession.createDataFrame([], "feature string, non_null bigint")
+        counts = local_frame(df.sparkSession, [], "feature string, non_null bigint")
     present_lit = F.array(*[F.lit(p) for p in present]) if present else F.array().cast("array<string>")
     out = (spec.join(counts, "feature", "left")
                .withColumn("present", F.array_contains(present_lit, F.col("feature")))

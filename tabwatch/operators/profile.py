@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tabwatch.functions.levels import quantile_levels
 from tabwatch.operators.histogram import histogram_open
 from tabwatch.operators.quantiles import quantiles
+from tabwatch.session import local_frame
 
 NEG_INF = float("-inf")
 POS_INF = float("inf")
@@ -60,7 +61,7 @@ def quantile_edges(df: DataFrame, features: Sequence[str], n_bins: int = 10,
     Features with no non-null value (or absent) get ``edges = []``, ``n = 0``.
     """
     rows = _edge_rows(df, features, n_bins, levels, method)
-    return df.sparkSession.createDataFrame(rows, EDGES_SCHEMA)
+    return local_frame(df.sparkSession, rows, EDGES_SCHEMA)
 
 
 def _cuts(edges: list[float]) -> list[float]:
@@ -74,7 +75,7 @@ def build_profile(df: DataFrame, features: Sequence[str], n_bins: int = 10,
     spark = df.sparkSession
     rows = [(f, i, e, _cuts(e), len(_cuts(e)) + 1, n, None)
             for f, i, e, n in _edge_rows(df, features, n_bins, levels, method)]
-    prof = spark.createDataFrame(rows, PROFILE_SCHEMA)
+    prof = local_frame(spark, rows, PROFILE_SCHEMA)
     if not with_counts:
         return prof
     counts: dict[str, dict[int, int]] = {}
@@ -82,7 +83,7 @@ def build_profile(df: DataFrame, features: Sequence[str], n_bins: int = 10,
         counts.setdefault(r["feature"], {})[int(r["bin"])] = int(r["n"])
     rows = [(f, i, e, c, b, n, [counts.get(f, {}).get(k, 0) for k in range(b)])
             for f, i, e, c, b, n, _ in rows]
-    return spark.createDataFrame(rows, PROFILE_SCHEMA)
+    return local_frame(spark, rows, PROFILE_SCHEMA)
 
 
 def open_edges(profile: DataFrame) -> DataFrame:

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwatch.functions.search import count_le_sql, quoted, sql_double
+from tabwatch.session import local_frame
 
 DEFAULT_BUCKETS = 32
 MAX_SORT_ROWS = 1_000_000
@@ -99,7 +100,7 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
     levels = [float(x) for x in levels]
     schema = "feature string, " + QUANTILE_SCHEMA_TAIL
     if not features:
-        return spark.createDataFrame([], schema)
+        return local_frame(spark, [], schema)
     acc = accuracy or max(32 * buckets, 1000)
     fine = [i / buckets for i in range(1, buckets)]
     xs = {f: f"CAST({quoted(f)} AS DOUBLE)" for f in features}
@@ -189,7 +190,7 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
                 .groupBy("_seg", "_v").agg(F.count(F.lit(1)).alias("_c"))
                 .withColumn("_s", F.coalesce(F.sum("_c").over(w), F.lit(0)))
                 .withColumn("_e", F.col("_s") + F.col("_c")))
-        tdf = spark.createDataFrame([(a, b) for a, b, _, _ in targets], "_seg string, _lr bigint")
+        tdf = local_frame(spark, [(a, b) for a, b, _, _ in targets], "_seg string, _lr bigint")
         picked = (vc.join(F.broadcast(tdf), "_seg")
                     .where((F.col("_lr") >= F.col("_s")) & (F.col("_lr") < F.col("_e")))
                     .select("_seg", "_lr", "_v").collect())
@@ -200,7 +201,7 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
     rows = []
     for (f, i), (pos, lo, hi) in sorted(plan.items(), key=lambda kv: (features.index(kv[0][0]), kv[0][1])):
         rows.append((f, i, levels[i], lerp(at_rank[(f, lo)], at_rank[(f, hi)], pos - float(lo)), n_of[f]))
-    return spark.createDataFrame(rows, schema)
+    return local_frame(spark, rows, schema)
 
 
 def exact_quantiles(long_df: DataFrame, keys: Sequence[str], levels: Sequence[float],

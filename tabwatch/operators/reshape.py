@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tabwatch.session import local_frame
 
 
 def to_long(df: DataFrame, features: Sequence[str], ids: Sequence[str] = (),
@@ -34,4 +35,4 @@ def features_frame(df: DataFrame, features: Sequence[str],
     """A tiny ``(feature, pos)`` table from the spec (configuration, not data)."""
     spark = df.sparkSession
     rows = [(f, i) for i, f in enumerate(features)]
-    return spark.createDataFrame(rows, f"{feature_col} string, pos int")
+    return local_frame(spark, rows, f"{feature_col} string, pos int")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwatch.sources.parquet import read_parquet, write_parquet
+from tabwatch.session import local_frame
 
 RUNLOG_SCHEMA = ("run_id string, kind string, key string, value double, "
                  "ts_ms bigint, seq bigint")
@@ -52,7 +53,7 @@ def metric_series(wide: DataFrame, metric: str) -> DataFrame:
     """``(run_id, start_time, value)`` of one metric, ordered by start time;
     empty when the metric is not a column."""
     if metric not in wide.columns:
-        return wide.sparkSession.createDataFrame([], "run_id string, start_time bigint, value double")
+        return local_frame(wide.sparkSession, [], "run_id string, start_time bigint, value double")
     return (wide.where(F.col(metric).isNotNull())
                 .select("run_id", "start_time", F.col(metric).alias("value"))
                 .orderBy("start_time", "run_id"))

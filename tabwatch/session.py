@@ -76,3 +76,45 @@ def materialize(df: DataFrame, name: str = "materialized") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def _sql_lit(v, dtype) -> str:
+    from pyspark.sql import types as T
+
+    from tabwatch.functions.search import sql_double
+    if v is None:
+        return f"CAST(NULL AS {dtype.simpleString()})"
+    if isinstance(dtype, T.StringType):
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(dtype, T.BooleanType):
+        return "TRUE" if v else "FALSE"
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return sql_double(float(v))
+    if isinstance(dtype, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
+        return f"CAST({int(v)} AS {dtype.simpleString()})"
+    if isinstance(dtype, T.ArrayType):
+        if len(v) == 0:
+            return f"CAST(array() AS {dtype.simpleString()})"
+        return f"CAST(array({', '.join(_sql_lit(x, dtype.elementType) for x in v)}) AS {dtype.simpleString()})"
+    raise TypeError(f"unsupported literal type {dtype}")
+
+
+def local_frame(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A small table of configuration-sized rows as an inline (local) relation.
+
+    Unlike ``createDataFrame`` on a list (a parallelized RDD), the result is
+    planned as a local table scan: reading or collecting it runs no job, its
+    size is known to the optimizer, and joins against it broadcast it.
+    """
+    from pyspark.sql import types as T
+    st = T._parse_datatype_string(schema)
+    names = [f.name for f in st.fields]
+    rows = list(rows)
+    cols = ", ".join(f"`{n}`" for n in names)
+    if not rows:
+        sel = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in st.fields)
+        return spark.sql(f"SELECT {sel} WHERE FALSE")
+    vals = ", ".join("(" + ", ".join(_sql_lit(v, f.dataType) for v, f in zip(r, st.fields)) + ")"
+                     for r in rows)
+    df = spark.sql(f"SELECT * FROM VALUES {vals} AS t({cols})")
+    return df.select(*[df[f"`{f.name}`"].cast(f.dataType).alias(f.name) for f in st.fields])

@@ -25,6 +25,7 @@ from tabwatch.operators.drift import psi_report, psi_term
 from tabwatch.operators.histogram import bin_grid, check_small
 from tabwatch.operators.reshape import to_long
 from tabwatch.spec import PSI_EPS
+from tabwatch.session import local_frame
 
 
 def event_time(ts_col: str) -> F.Column:
@@ -108,5 +109,5 @@ def read_sink(spark: SparkSession, sink: str, schema: str) -> DataFrame:
         return spark.read.parquet(sink)
     except Exception:  # noqa: BLE001 - an empty stream leaves no sink files
         if sink.startswith("file:") or os.path.isabs(sink):
-            return spark.createDataFrame([], schema)
+            return local_frame(spark, [], schema)
         raise
