@@ -73,7 +73,7 @@ def histogram_open(df: DataFrame, profile: DataFrame, zero_fill: bool = True) ->
             counts = empty
     else:
         check_small(profile)
-        feats = [r["feature"] for r in profile.select("feature").collect()]
+        feats = [r["feature"] for r in profile.select("feature").collect()]   # checked above
         present = [f for f in feats if f in df.columns]
         counts = empty
         if present:

@@ -67,7 +67,7 @@ def column_medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float | None
     """
     cols = list(cols)
     med = feature_quantiles(df, cols, [0.5])
-    got = {r["feature"]: r["quantile"] for r in med.select("feature", "quantile").collect()}
+    got = {r["feature"]: r["quantile"] for r in med.select("feature", "quantile").collect()}  # 1 per column
     return {c: got.get(c) for c in cols}
 
 

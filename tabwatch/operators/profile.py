@@ -43,7 +43,7 @@ def _edge_rows(df: DataFrame, features: Sequence[str], n_bins: int, levels: str,
     got: dict[str, tuple[list[float], int]] = {}
     if present:
         q = quantiles(df, present, quantile_levels(n_bins, levels), method=method)
-        for r in q.select("feature", "quantile", "n").collect():
+        for r in q.select("feature", "quantile", "n").collect():   # features x levels
             vals, _ = got.get(r["feature"], ([], 0))
             vals.append(float(r["quantile"]))
             got[r["feature"]] = (vals, int(r["n"]))
@@ -79,7 +79,7 @@ def build_profile(df: DataFrame, features: Sequence[str], n_bins: int = 10,
     if not with_counts:
         return prof
     counts: dict[str, dict[int, int]] = {}
-    for r in histogram_open(df, prof).collect():
+    for r in histogram_open(df, prof).collect():   # features x bins
         counts.setdefault(r["feature"], {})[int(r["bin"])] = int(r["n"])
     rows = [(f, i, e, c, b, n, [counts.get(f, {}).get(k, 0) for k in range(b)])
             for f, i, e, c, b, n, _ in rows]
@@ -117,7 +117,7 @@ def ensure_baseline(spark, path: str, train_df: DataFrame | None, features: Sequ
     except AnalysisException:
         loaded = None
     if loaded is not None:
-        got = loaded.select("feature", "n_bins").collect()
+        got = loaded.select("feature", "n_bins").collect()   # one row per feature
         feats = [r["feature"] for r in got]
         nb = {r["n_bins"] for r in got}
         if sorted(feats) != sorted(features) or nb != {n_bins}:

@@ -148,7 +148,8 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
                         .cast("int").alias(f"s{j}"))
             names.append(f"s{j}")
         bt = (df.select(*sel).unpivot([], names, "_seg", "_b").where(F.col("_b").isNotNull())
-                .groupBy("_seg", "_b").agg(F.count(F.lit(1)).alias("_bn")).collect())
+                .groupBy("_seg", "_b").agg(F.count(F.lit(1)).alias("_bn"))
+                .collect())   # bucket totals: segments x (2 * buckets + 1) rows at most
         counts: dict[int, dict[int, int]] = {}
         for r in bt:
             counts.setdefault(int(r["_seg"][1:]), {})[int(r["_b"])] = int(r["_bn"])
@@ -193,7 +194,7 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
         tdf = local_frame(spark, [(a, b) for a, b, _, _ in targets], "_seg string, _lr bigint")
         picked = (vc.join(F.broadcast(tdf), "_seg")
                     .where((F.col("_lr") >= F.col("_s")) & (F.col("_lr") < F.col("_e")))
-                    .select("_seg", "_lr", "_v").collect())
+                    .select("_seg", "_lr", "_v").collect())   # one row per wanted rank
         got = {(r["_seg"], int(r["_lr"])): float(r["_v"]) for r in picked}
         for seg, lr, f, r in targets:
             at_rank[(f, r)] = got[(seg, lr)]
