@@ -46,6 +46,15 @@ def run_available(query_builder, timeout_s: int = 900):
     return q
 
 
+def write_batch(df: DataFrame, batch_id: int, sink: str) -> None:
+    """Idempotent micro-batch write: each batch replaces only its own
+    ``batch_id`` partition, so a batch replayed after a failure does not
+    duplicate rows (exactly-once output from ``foreachBatch``)."""
+    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("batch_id").parquet(sink))
+
+
 def stream_score(stream: DataFrame, model: PipelineModel, keep: list[str], sink: str,
                  checkpoint: str) -> None:
     scored = model.transform(stream).select(*keep, F.col("prediction").cast("int").alias("prediction"))
@@ -59,8 +68,7 @@ def drift_per_batch(stream: DataFrame, profile: DataFrame, sink: str, checkpoint
 
     def score(batch: DataFrame, batch_id: int) -> None:
         rep = psi_report(prof, batch, expected)
-        (rep.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-            .write.mode("append").parquet(sink))
+        write_batch(rep, batch_id, sink)
 
     run_available(stream.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint))
 
@@ -97,7 +105,7 @@ def drift_per_window(stream: DataFrame, profile: DataFrame, features: list[str],
             F.sum(psi_term(F.col("p"), F.col("q"), eps)).alias("psi"),
             F.max("bins").cast("int").alias("bins"),
             F.sum("n").cast("bigint").alias("new_total"))
-        rep.withColumn("batch_id", F.lit(int(batch_id)).cast("bigint")).write.mode("append").parquet(sink)
+        write_batch(rep, batch_id, sink)
 
     run_available(counts.writeStream.outputMode("append").foreachBatch(score)
                   .option("checkpointLocation", checkpoint))
@@ -106,7 +114,10 @@ def drift_per_window(stream: DataFrame, profile: DataFrame, features: list[str],
 def read_sink(spark: SparkSession, sink: str, schema: str) -> DataFrame:
     import os
     try:
-        return spark.read.parquet(sink)
+        df = spark.read.parquet(sink)
+        if "batch_id" in df.columns:
+            df = df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
+        return df
     except Exception:  # noqa: BLE001 - an empty stream leaves no sink files
         if sink.startswith("file:") or os.path.isabs(sink):
             return local_frame(spark, [], schema)
