@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwatch.functions.levels import quantile_levels
-from tabwatch.operators.histogram import bin_grid, check_small, histogram_closed, histogram_open
+from tabwatch.operators.histogram import bin_grid, histogram_closed, histogram_open
 from tabwatch.operators.profile import build_profile
 from tabwatch.operators.quantiles import feature_quantiles
 from tabwatch.operators.reshape import features_frame, to_long
@@ -97,12 +97,14 @@ def psi_raw_sample(expected_df: DataFrame, actual_df: DataFrame, features: Seque
     e_long = to_long(expected_df, present)
     a_long = to_long(actual_df, present)
     bp = raw_breakpoints(expected_df, present, buckets, levels)
-    e_h = histogram_closed(e_long, bp).withColumnRenamed("n", "e_n")
-    a_h = histogram_closed(a_long, bp).withColumnRenamed("n", "a_n")
-    e_tot = e_long.groupBy("feature").agg(F.count(F.lit(1)).alias("e_total"))
-    a_tot = a_long.groupBy("feature").agg(F.count(F.lit(1)).alias("a_total"))
-    t = (e_h.join(a_h, ["feature", "bin"])
-            .join(e_tot, "feature").join(a_tot, "feature"))
+    # one pass per sample: in-range bins plus an out-of-range bin (-1), whose
+    # sum is the sample's non-null total (the shares' denominator)
+    e_h = histogram_closed(e_long, bp, keep_outside=True).withColumnRenamed("n", "e_n")
+    a_h = histogram_closed(a_long, bp, keep_outside=True).withColumnRenamed("n", "a_n")
+    w = Window.partitionBy("feature")   # features x bins rows
+    e_h = e_h.withColumn("e_total", F.sum("e_n").over(w))
+    a_h = a_h.withColumn("a_total", F.sum("a_n").over(w))
+    t = (e_h.where(F.col("bin") >= 0).join(a_h.where(F.col("bin") >= 0), ["feature", "bin"]))
     floor = F.lit(RAW_SHARE_FLOOR)
     e_p = F.col("e_n").cast("double") / F.col("e_total").cast("double")
     a_p = F.col("a_n").cast("double") / F.col("a_total").cast("double")

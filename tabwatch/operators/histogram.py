@@ -48,47 +48,49 @@ def _profile_rows(profile: DataFrame, cols: list[str], limit: int):
     return rows if len(rows) <= limit else None
 
 
+def binned(df: DataFrame, profile: DataFrame, ids: list[str] | None = None) -> DataFrame:
+    """``(*ids, feature, bin)``: one row per non-null feature value of the wide
+    ``df`` with its open-ended bin.  Stateless, so it also runs on streams."""
+    ids = list(ids or [])
+    rows = _profile_rows(profile, ["feature", "cuts"], MAX_LITERAL_FEATURES)
+    if rows is not None:
+        present = [(r["feature"], r["cuts"]) for r in rows if r["feature"] in df.columns]
+        if not present:
+            return local_frame(df.sparkSession, [], "feature string, bin int")
+        sel = []
+        for f, cuts in present:
+            x = f"CAST({quoted(f)} AS DOUBLE)"
+            sel.append(F.expr(f"CASE WHEN {x} IS NULL OR isnan({x}) THEN NULL "
+                              f"ELSE {count_le_sql(x, cuts)} END").cast("int").alias(f))
+        names = [f for f, _ in present]
+        return (df.select(*ids, *sel).unpivot(ids, names, "feature", "bin")
+                  .where(F.col("bin").isNotNull()))
+    check_small(profile)
+    feats = [r["feature"] for r in profile.select("feature").collect()]   # checked above
+    present = [f for f in feats if f in df.columns]
+    return (to_long(df, present, ids=ids).join(F.broadcast(profile.select("feature", "cuts")), "feature")
+            .select(*ids, "feature", bin_open(F.col("value"), F.col("cuts")).cast("int").alias("bin")))
+
+
 def histogram_open(df: DataFrame, profile: DataFrame, zero_fill: bool = True) -> DataFrame:
     """``(feature, bin, n)`` counts of ``df``'s non-null values per open-ended bin.
 
     ``df`` is wide (the features are columns); features missing from ``df``
     get zero counts.
     """
-    spark = df.sparkSession
-    rows = _profile_rows(profile, ["feature", "cuts"], MAX_LITERAL_FEATURES)
-    empty = local_frame(spark, [], "feature string, bin int, n bigint")
-    if rows is not None:
-        present = [(r["feature"], r["cuts"]) for r in rows if r["feature"] in df.columns]
-        if present:
-            sel = []
-            for f, cuts in present:
-                x = f"CAST({quoted(f)} AS DOUBLE)"
-                sel.append(F.expr(f"CASE WHEN {x} IS NULL OR isnan({x}) THEN NULL "
-                                  f"ELSE {count_le_sql(x, cuts)} END").cast("int").alias(f))
-            names = [f for f, _ in present]
-            counts = (df.select(*sel).unpivot([], names, "feature", "bin")
-                        .where(F.col("bin").isNotNull())
-                        .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
-        else:
-            counts = empty
-    else:
-        check_small(profile)
-        feats = [r["feature"] for r in profile.select("feature").collect()]   # checked above
-        present = [f for f in feats if f in df.columns]
-        counts = empty
-        if present:
-            counts = (to_long(df, present).join(F.broadcast(profile.select("feature", "cuts")), "feature")
-                      .select("feature", bin_open(F.col("value"), F.col("cuts")).alias("bin"))
-                      .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
+    counts = binned(df, profile).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
     return _zero_fill(bin_grid(profile), counts) if zero_fill else counts
 
 
-def histogram_closed(long_df: DataFrame, edges: DataFrame, edges_col: str = "edges") -> DataFrame:
+def histogram_closed(long_df: DataFrame, edges: DataFrame, edges_col: str = "edges",
+                     keep_outside: bool = False) -> DataFrame:
     """``(feature, bin, n)`` for closed-range edges; out-of-range values dropped.
 
     ``long_df`` is ``(feature, value)``; ``edges`` is ``(feature, edges)``
     with B+1 non-decreasing edges.  Bins are [e_i, e_i+1) except the last,
-    [e_B-1, e_B]; duplicate edges keep their (empty) bins.
+    [e_B-1, e_B]; duplicate edges keep their (empty) bins.  With
+    ``keep_outside`` the values outside the range are counted as bin -1 (so
+    the same pass gives the sample total).
     """
     e = edges.select("feature", F.col(edges_col).alias("_edges"))
     grid = e.select("feature", F.explode(F.sequence(F.lit(0), F.size("_edges") - 2)).alias("bin"))
@@ -100,18 +102,23 @@ def histogram_closed(long_df: DataFrame, edges: DataFrame, edges_col: str = "edg
             fq = r["feature"].replace("'", "\\'")
             inner = count_le_sql("value", ed[:-1])
             arms.append(f"WHEN feature = '{fq}' THEN CASE WHEN value >= {_d(ed[0])} AND value <= {_d(ed[-1])} "
-                        f"THEN {inner} - 1 END")
+                        f"THEN {inner} - 1 ELSE -1 END")
         expr = F.expr("CASE " + " ".join(arms) + " END") if arms else F.lit(None)
         counts = (long_df.select("feature", expr.cast("int").alias("bin"))
                          .where(F.col("bin").isNotNull())
                          .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
+        outside = counts.where(F.col("bin") == -1)
+        counts = counts.where(F.col("bin") >= 0)
     else:
         check_small(e, what="edges")
-        counts = (long_df.join(F.broadcast(e), "feature")
-                         .select("feature", bin_closed(F.col("value"), F.col("_edges")).alias("bin"))
-                         .where(F.col("bin").isNotNull())
-                         .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
-    return _zero_fill(grid, counts)
+        all_counts = (long_df.join(F.broadcast(e), "feature")
+                             .select("feature", F.coalesce(bin_closed(F.col("value"), F.col("_edges")),
+                                                           F.lit(-1)).alias("bin"))
+                             .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
+        outside = all_counts.where(F.col("bin") == -1)
+        counts = all_counts.where(F.col("bin") >= 0)
+    filled = _zero_fill(grid, counts)
+    return filled.unionByName(outside) if keep_outside else filled
 
 
 def _d(x: float) -> str:

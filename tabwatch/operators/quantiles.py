@@ -36,7 +36,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwatch.functions.search import count_le_sql, quoted, sql_double
+from tabwatch.functions.search import quoted, sql_double
 from tabwatch.session import local_frame
 
 DEFAULT_BUCKETS = 32

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwatch.functions.levels import quantile_levels
 from tabwatch.operators.drift import drift_status, psi_raw_sample, psi_report
 from tabwatch.operators.histogram import histogram_closed, histogram_open
 from tabwatch.operators.profile import build_profile, quantile_edges, row_count

@@ -20,10 +20,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabwatch.functions.binning import bin_open
 from tabwatch.operators.drift import psi_report, psi_term
-from tabwatch.operators.histogram import bin_grid, check_small
-from tabwatch.operators.reshape import to_long
+from tabwatch.operators.histogram import bin_grid, binned, check_small
 from tabwatch.spec import PSI_EPS
 from tabwatch.session import local_frame
 
@@ -78,10 +76,8 @@ def drift_per_window(stream: DataFrame, profile: DataFrame, features: list[str],
                      expected: str = "empirical", eps: float = PSI_EPS) -> None:
     prof = check_small(profile)
     timed = stream.withColumn("_et", event_time(time_col)).withWatermark("_et", delay)
-    long = to_long(timed, features, ids=["_et"])
-    binned = (long.join(F.broadcast(prof.select("feature", "cuts")), "feature")
-                  .select("_et", "feature", bin_open(F.col("value"), F.col("cuts")).alias("bin")))
-    counts = binned.groupBy(F.window("_et", window).alias("w"), "feature", "bin").agg(
+    rows = binned(timed.select("_et", *[f for f in features if f in timed.columns]), prof, ids=["_et"])
+    counts = rows.groupBy(F.window("_et", window).alias("w"), "feature", "bin").agg(
         F.count(F.lit(1)).alias("n"))
     extra = ["counts"] if expected == "empirical" else []
     grid = bin_grid(prof).join(prof.select("feature", "bins", *extra), "feature")
