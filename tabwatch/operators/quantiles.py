@@ -216,8 +216,10 @@ def exact_quantiles(long_df: DataFrame, keys: Sequence[str], levels: Sequence[fl
 def exact_quantiles_many(long_df: DataFrame, keys: Sequence[str], levels: Sequence[float],
                          value: str = "value", buckets: int = DEFAULT_BUCKETS,
                          accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Same result as ``exact_quantiles`` for any number of groups, as one
-    DataFrame plan: distinct values are counted, sketch cuts per group are
+    """Same result as ``feature_quantiles`` for a long table with any number
+    of groups, as one DataFrame plan (one bucketing round, so a wanted bucket
+    holds about 1/buckets of its group's distinct values: suited to many
+    moderate groups; very large single groups belong in ``feature_quantiles``): distinct values are counted, sketch cuts per group are
     joined back (broadcast when small, by Spark's own size check), bucket
     totals and offsets are windowed per group, and only wanted buckets are
     sorted.  Cuts are written once to the shared checkpoint folder so every

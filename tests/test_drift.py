@@ -103,3 +103,15 @@ def test_ensure_baseline_builds_then_reuses_and_warns(spark):
         ensure_baseline(spark, p, None, ["x", "y"], 5)
     with pytest.raises(FileNotFoundError):
         ensure_baseline(spark, scratch_path(spark, "none"), None, ["x"], 10)
+
+
+@pytest.mark.parametrize("method", ["approx", "sketch"])
+def test_profile_in_bounded_memory_modes(spark, method):
+    rng = np.random.default_rng(2)
+    xs = list(rng.normal(size=3000))
+    df = _df(spark, xs)
+    exact = build_profile(df, ["x"], 10, method="exact").first()
+    other = build_profile(df, ["x"], 10, method=method).first()
+    assert other["bins"] == exact["bins"] and sum(other["counts"]) == len(xs)
+    ranks = np.searchsorted(np.sort(xs), other["cuts"]) / len(xs)
+    assert np.allclose(ranks, [k / 10 for k in range(1, 10)], atol=0.02)
