@@ -104,7 +104,9 @@ def psi_raw_sample(expected_df: DataFrame, actual_df: DataFrame, features: Seque
     w = Window.partitionBy("feature")   # features x bins rows
     e_h = e_h.withColumn("e_total", F.sum("e_n").over(w))
     a_h = a_h.withColumn("a_total", F.sum("a_n").over(w))
-    t = (e_h.where(F.col("bin") >= 0).join(a_h.where(F.col("bin") >= 0), ["feature", "bin"]))
+    # a feature with no value in either sample is skipped (no division by zero)
+    t = (e_h.where(F.col("bin") >= 0).join(a_h.where(F.col("bin") >= 0), ["feature", "bin"])
+            .where((F.col("e_total") > 0) & (F.col("a_total") > 0)))
     floor = F.lit(RAW_SHARE_FLOOR)
     e_p = F.col("e_n").cast("double") / F.col("e_total").cast("double")
     a_p = F.col("a_n").cast("double") / F.col("a_total").cast("double")

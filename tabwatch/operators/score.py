@@ -31,3 +31,14 @@ def production_model_path(versions: DataFrame, name: str, stage: str = "Producti
     if row is None:
         raise ValueError(f"no {stage} version of {name}")
     return row["path"]
+
+
+def score_record(model: PipelineModel, spark, payload: dict, schema) -> int:
+    """One record (a dict of raw fields) -> integer class.  Missing fields
+    are null and take the pipeline's null handling (median fill, extra
+    category slot)."""
+    from pyspark.sql import types as T
+    st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+    row = tuple(payload.get(f.name) for f in st.fields)
+    df = spark.createDataFrame([row], st)
+    return int(model.transform(df).select("prediction").first()["prediction"])

@@ -115,3 +115,10 @@ def test_profile_in_bounded_memory_modes(spark, method):
     assert other["bins"] == exact["bins"] and sum(other["counts"]) == len(xs)
     ranks = np.searchsorted(np.sort(xs), other["cuts"]) / len(xs)
     assert np.allclose(ranks, [k / 10 for k in range(1, 10)], atol=0.02)
+
+
+def test_raw_sample_skips_feature_all_null_in_new_data(spark):
+    exp = spark.createDataFrame([(float(i), float(i % 3)) for i in range(50)], "x double, y double")
+    act = spark.createDataFrame([(float(i), None) for i in range(40)], "x double, y double")
+    got = {r["feature"] for r in psi_raw_sample(exp, act, ["x", "y", "z"]).collect()}
+    assert got == {"x"}

@@ -54,3 +54,27 @@ def test_auc_rank_sum_matches_evaluator_with_ties(spark):
     neg = [s for y, s in rows if y == 0]
     pw = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
     assert a == pytest.approx(pw, abs=1e-12)
+
+
+def test_all_null_numeric_can_be_left_out(spark):
+    df = spark.createDataFrame([(None, 1.0, "a"), (None, 2.0, "b")], "x double, z double, c string")
+    with pytest.warns(UserWarning):
+        m = fit_features(df, FeatureSpec(num=("x", "z"), cat=("c",)), label_index=False, all_null="drop")
+    assert m.transform(df).select("features").count() == 2
+
+
+def test_score_one_record(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from tabwatch.operators.features import feature_stages
+    from tabwatch.operators.score import score_record
+    rows = [(float(i), "a" if i % 2 else "b", float(i % 2)) for i in range(40)]
+    df = spark.createDataFrame(rows, "x double, c string, y double")
+    spec = FeatureSpec(num=("x",), cat=("c",), label="y")
+    pipe = Pipeline(stages=feature_stages(spec, label_index=False)
+                    + [RandomForestClassifier(labelCol="y", seed=42, numTrees=5)])
+    model = pipe.fit(df)
+    got = score_record(model, spark, {"x": 3.0, "c": "a"}, "x double, c string")
+    assert got in (0, 1)
+    assert score_record(model, spark, {"c": "zzz"}, "x double, c string") in (0, 1)   # null + unseen
