@@ -38,29 +38,41 @@ PROFILE_SCHEMA = ("feature string, pos int, edges array<double>, cuts array<doub
 
 def _edge_rows(df: DataFrame, features: Sequence[str], n_bins: int, levels: str,
                method: str) -> list[tuple]:
+    """[(feature, pos, edges, n, below)] where ``below`` maps each edge to the
+    number of rows strictly below it (exact method only, else None)."""
     features = list(features)
     present = [f for f in features if f in df.columns]
-    got: dict[str, tuple[list[float], int]] = {}
+    got: dict[str, tuple[list[float], int, dict]] = {}
     if present:
         q = quantiles(df, present, quantile_levels(n_bins, levels), method=method)
-        for r in q.select("feature", "quantile", "n").collect():   # features x levels
-            vals, _ = got.get(r["feature"], ([], 0))
+        has_below = "below" in q.columns
+        cols = ["feature", "quantile", "n"] + (["below"] if has_below else [])
+        for r in q.select(*cols).collect():   # features x levels
+            vals, _, bl = got.get(r["feature"], ([], 0, {}))
             vals.append(float(r["quantile"]))
-            got[r["feature"]] = (vals, int(r["n"]))
+            if has_below:
+                bl[float(r["quantile"])] = int(r["below"])
+            got[r["feature"]] = (vals, int(r["n"]), bl if has_below else None)
     rows = []
     for i, f in enumerate(features):
-        vals, n = got.get(f, ([], 0))
-        rows.append((f, i, sorted(set(vals)), n))
+        vals, n, bl = got.get(f, ([], 0, {}))
+        rows.append((f, i, sorted(set(vals)), n, bl))
     return rows
 
 
+def _counts_from_ranks(cuts: list[float], n: int, below: dict) -> list[int]:
+    """Rows per open-ended bin from the rows-below count of each cut."""
+    b = [below[c] for c in cuts]
+    return [b[0] - 0] + [b[k] - b[k - 1] for k in range(1, len(b))] + [n - b[-1]] if b else [n]
+
+
 def quantile_edges(df: DataFrame, features: Sequence[str], n_bins: int = 10,
                    levels: str = "exact", method: str = "exact") -> DataFrame:
     """``(feature, pos, edges, n)``: sorted distinct quantiles at the level grid.
 
     Features with no non-null value (or absent) get ``edges = []``, ``n = 0``.
     """
-    rows = _edge_rows(df, features, n_bins, levels, method)
+    rows = [r[:4] for r in _edge_rows(df, features, n_bins, levels, method)]
     return local_frame(df.sparkSession, rows, EDGES_SCHEMA)
 
 
@@ -71,18 +83,34 @@ def _cuts(edges: list[float]) -> list[float]:
 def build_profile(df: DataFrame, features: Sequence[str], n_bins: int = 10,
                   levels: str = "exact", method: str = "exact",
                   with_counts: bool = True) -> DataFrame:
-    """Equal-frequency baseline for every feature (small local table)."""
+    """Equal-frequency baseline for every feature (small local table).
+
+    With the exact method the baseline's own bin counts come from the rank
+    bookkeeping of the quantile selection (no extra scan); the sketch modes
+    count them with one histogram pass.
+    """
     spark = df.sparkSession
-    rows = [(f, i, e, _cuts(e), len(_cuts(e)) + 1, n, None)
-            for f, i, e, n in _edge_rows(df, features, n_bins, levels, method)]
+    edge_rows = _edge_rows(df, features, n_bins, levels, method)
+    rows, need_hist = [], False
+    for f, i, e, n, bl in edge_rows:
+        cuts = _cuts(e)
+        counts = None
+        if with_counts:
+            if n == 0:
+                counts = [0]
+            elif bl is not None:
+                counts = _counts_from_ranks(cuts, n, bl)
+            else:
+                need_hist = True
+        rows.append((f, i, e, cuts, len(cuts) + 1, n, counts))
     prof = local_frame(spark, rows, PROFILE_SCHEMA)
-    if not with_counts:
+    if not (with_counts and need_hist):
         return prof
     counts: dict[str, dict[int, int]] = {}
     for r in histogram_open(df, prof).collect():   # features x bins
         counts.setdefault(r["feature"], {})[int(r["bin"])] = int(r["n"])
-    rows = [(f, i, e, c, b, n, [counts.get(f, {}).get(k, 0) for k in range(b)])
-            for f, i, e, c, b, n, _ in rows]
+    rows = [(f, i, e, c, b, n, cnt if cnt is not None else [counts.get(f, {}).get(k, 0) for k in range(b)])
+            for f, i, e, c, b, n, cnt in rows]
     return local_frame(spark, rows, PROFILE_SCHEMA)
 
 

@@ -90,7 +90,9 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
                       buckets: int = DEFAULT_BUCKETS, accuracy: int | None = None,
                       max_sort_rows: int = MAX_SORT_ROWS, max_rounds: int = MAX_ROUNDS) -> DataFrame:
     """Exact interpolated quantiles of wide feature columns ->
-    ``(feature, level_idx, level, quantile, n)`` (a small local table).
+    ``(feature, level_idx, level, quantile, n, below)`` (a small local table);
+    ``below`` is the number of rows strictly below the quantile, which gives
+    a baseline's bin counts without another scan.
 
     Nulls and NaNs are dropped per feature; features without values give no
     rows.  Selection by iterative range refinement (see the module notes).
@@ -105,7 +107,8 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
     fine = [i / buckets for i in range(1, buckets)]
     xs = {f: f"CAST({quoted(f)} AS DOUBLE)" for f in features}
 
-    at_rank: dict[tuple[str, int], float] = {}
+    # (feature, rank) -> (value at that rank, rank where that value starts)
+    at_rank: dict[tuple[str, int], tuple[float, int]] = {}
     plan: dict[tuple[str, int], tuple[float, int, int]] = {}
     n_of: dict[str, int] = {}
     active = [_Seg(f, None, None, 0, None, None) for f in features]
@@ -165,7 +168,7 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
                 for b, o, bn in spans:
                     if o <= r < o + bn:
                         if b % 2 == 1:            # a single value: resolved
-                            at_rank[(sg.feature, r)] = cuts[b // 2]
+                            at_rank[(sg.feature, r)] = (cuts[b // 2], o)
                         else:
                             k = b // 2
                             lo = cuts[k - 1] if k >= 1 else sg.lo
@@ -185,24 +188,29 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
             x = xs[sg.feature]
             sel.append(F.expr(f"CASE WHEN {sg.in_range(x)} THEN {x} END").alias(f"s{j}"))
             names.append(f"s{j}")
-            targets += [(f"s{j}", r - sg.base, sg.feature, r) for r in sg.ranks]
+            targets += [(f"s{j}", r - sg.base, sg.feature, r, sg.base) for r in sg.ranks]
         w = Window.partitionBy("_seg").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
         vc = (df.select(*sel).unpivot([], names, "_seg", "_v").where(F.col("_v").isNotNull())
                 .groupBy("_seg", "_v").agg(F.count(F.lit(1)).alias("_c"))
                 .withColumn("_s", F.coalesce(F.sum("_c").over(w), F.lit(0)))
                 .withColumn("_e", F.col("_s") + F.col("_c")))
-        tdf = local_frame(spark, [(a, b) for a, b, _, _ in targets], "_seg string, _lr bigint")
+        tdf = local_frame(spark, [(a, b) for a, b, _, _, _ in targets], "_seg string, _lr bigint")
         picked = (vc.join(F.broadcast(tdf), "_seg")
                     .where((F.col("_lr") >= F.col("_s")) & (F.col("_lr") < F.col("_e")))
-                    .select("_seg", "_lr", "_v").collect())   # one row per wanted rank
-        got = {(r["_seg"], int(r["_lr"])): float(r["_v"]) for r in picked}
-        for seg, lr, f, r in targets:
-            at_rank[(f, r)] = got[(seg, lr)]
+                    .select("_seg", "_lr", "_v", "_s").collect())   # one row per wanted rank
+        got = {(r["_seg"], int(r["_lr"])): (float(r["_v"]), int(r["_s"])) for r in picked}
+        for seg, lr, f, r, base in targets:
+            v, start = got[(seg, lr)]
+            at_rank[(f, r)] = (v, base + start)
 
     rows = []
     for (f, i), (pos, lo, hi) in sorted(plan.items(), key=lambda kv: (features.index(kv[0][0]), kv[0][1])):
-        rows.append((f, i, levels[i], lerp(at_rank[(f, lo)], at_rank[(f, hi)], pos - float(lo)), n_of[f]))
-    return local_frame(spark, rows, schema)
+        (vlo, slo), (vhi, shi) = at_rank[(f, lo)], at_rank[(f, hi)]
+        q = lerp(vlo, vhi, pos - float(lo))
+        # rows strictly below q: where its value starts, or every row up to lo
+        below = slo if q == vlo else (shi if q == vhi else hi)
+        rows.append((f, i, levels[i], q, n_of[f], below))
+    return local_frame(spark, rows, schema + ", below bigint")
 
 
 def exact_quantiles(long_df: DataFrame, keys: Sequence[str], levels: Sequence[float],

@@ -122,3 +122,19 @@ def test_raw_sample_skips_feature_all_null_in_new_data(spark):
     act = spark.createDataFrame([(float(i), None) for i in range(40)], "x double, y double")
     got = {r["feature"] for r in psi_raw_sample(exp, act, ["x", "y", "z"]).collect()}
     assert got == {"x"}
+
+
+@pytest.mark.parametrize("max_sort_rows", [1_000_000, 40])
+def test_counts_from_ranks_equal_a_histogram(spark, max_sort_rows, monkeypatch):
+    import tabwatch.operators.quantiles as Q
+    monkeypatch.setattr(Q, "MAX_SORT_ROWS", max_sort_rows)
+    monkeypatch.setattr(Q.feature_quantiles, "__defaults__",
+                        (Q.DEFAULT_BUCKETS, None, max_sort_rows, Q.MAX_ROUNDS))
+    rng = np.random.default_rng(9)
+    xs = [3.0] * 300 + list(rng.integers(0, 12, 500).astype(float)) + list(rng.normal(size=400))
+    df = _df(spark, xs)
+    for levels in ("exact", "linspace"):
+        prof = build_profile(df, ["x"], 10, levels=levels)
+        got = prof.first()["counts"]
+        hist = [r["n"] for r in histogram_open(df, prof).orderBy("bin").collect()]
+        assert got == hist and sum(got) == len(xs)
