@@ -70,18 +70,30 @@ def psi(baseline_df: DataFrame, new_df: DataFrame, spec: DriftSpec) -> DataFrame
 
 def raw_breakpoints(expected_df: DataFrame, features: Sequence[str], buckets: int = 10,
                     levels: str = "percent") -> DataFrame:
-    """``(feature, edges)``: percentiles of the expected sample, duplicates kept,
-    last breakpoint raised by 1e-6 so the maximum falls inside."""
+    """``(feature, edges, e_counts, e_total)``: percentiles of the expected
+    sample (duplicates kept, last breakpoint raised by 1e-6 so the maximum
+    falls inside) and the expected sample's own rows per closed-range bin.
+
+    The counts come from the exact selection's rows-below bookkeeping: bin i
+    holds below(e_i+1) - below(e_i), the last bin every row from e_B-1 up;
+    nothing lies below the first breakpoint (the minimum).  No extra scan.
+    """
     q = feature_quantiles(expected_df, features, quantile_levels(buckets, levels))
     per: dict[str, list] = {}
-    for r in q.select("feature", "level_idx", "quantile").collect():   # features x levels
-        per.setdefault(r["feature"], []).append((int(r["level_idx"]), float(r["quantile"])))
+    for r in q.select("feature", "level_idx", "quantile", "below", "n").collect():   # features x levels
+        per.setdefault(r["feature"], []).append(
+            (int(r["level_idx"]), float(r["quantile"]), int(r["below"]), int(r["n"])))
     rows = []
     for f, qs in per.items():
-        e = [x for _, x in sorted(qs)]
+        qs.sort()
+        e = [x for _, x, _, _ in qs]
+        below = [b for _, _, b, _ in qs]
+        n = qs[0][3]
+        counts = [below[i + 1] - below[i] for i in range(len(e) - 2)] + [n - below[-2]]
         e[-1] = e[-1] + RAW_LAST_EDGE_PAD
-        rows.append((f, e))
-    return local_frame(expected_df.sparkSession, rows, "feature string, edges array<double>")
+        rows.append((f, e, counts, n))
+    return local_frame(expected_df.sparkSession, rows,
+                       "feature string, edges array<double>, e_counts array<bigint>, e_total bigint")
 
 
 def psi_raw_sample(expected_df: DataFrame, actual_df: DataFrame, features: Sequence[str],
@@ -92,20 +104,22 @@ def psi_raw_sample(expected_df: DataFrame, actual_df: DataFrame, features: Seque
     are dropped from the counts but stay in the denominator); empty shares
     are floored to 1e-6.  A feature that is absent from the new data or all
     null there is skipped.  -> ``(feature, psi, bins, new_total)``
+
+    Passes: the exact selection over the expected sample (its bin counts
+    come with it) and one histogram pass over the new sample.
     """
     present = [f for f in features if f in actual_df.columns and f in expected_df.columns]
-    e_long = to_long(expected_df, present)
     a_long = to_long(actual_df, present)
     bp = raw_breakpoints(expected_df, present, buckets, levels)
-    # one pass per sample: in-range bins plus an out-of-range bin (-1), whose
-    # sum is the sample's non-null total (the shares' denominator)
-    e_h = histogram_closed(e_long, bp, keep_outside=True).withColumnRenamed("n", "e_n")
+    e_h = bp.select("feature", F.posexplode("e_counts").alias("bin", "e_n"), "e_total") \
+            .withColumn("bin", F.col("bin").cast("int"))
+    # in-range bins plus an out-of-range bin (-1), whose sum is the new
+    # sample's non-null total (the shares' denominator)
     a_h = histogram_closed(a_long, bp, keep_outside=True).withColumnRenamed("n", "a_n")
     w = Window.partitionBy("feature")   # features x bins rows
-    e_h = e_h.withColumn("e_total", F.sum("e_n").over(w))
     a_h = a_h.withColumn("a_total", F.sum("a_n").over(w))
     # a feature with no value in either sample is skipped (no division by zero)
-    t = (e_h.where(F.col("bin") >= 0).join(a_h.where(F.col("bin") >= 0), ["feature", "bin"])
+    t = (e_h.join(a_h.where(F.col("bin") >= 0), ["feature", "bin"])
             .where((F.col("e_total") > 0) & (F.col("a_total") > 0)))
     floor = F.lit(RAW_SHARE_FLOOR)
     e_p = F.col("e_n").cast("double") / F.col("e_total").cast("double")

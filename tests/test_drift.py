@@ -138,3 +138,16 @@ def test_counts_from_ranks_equal_a_histogram(spark, max_sort_rows, monkeypatch):
         got = prof.first()["counts"]
         hist = [r["n"] for r in histogram_open(df, prof).orderBy("bin").collect()]
         assert got == hist and sum(got) == len(xs)
+
+
+def test_raw_breakpoint_counts_equal_closed_histogram(spark):
+    from tabwatch.operators.drift import raw_breakpoints
+    from tabwatch.operators.histogram import histogram_closed
+    from tabwatch.operators.reshape import to_long
+    rng = np.random.default_rng(4)
+    xs = [1.0] * 200 + list(rng.integers(0, 6, 300).astype(float)) + list(rng.exponential(size=300))
+    df = _df(spark, xs)
+    bp = raw_breakpoints(df, ["x"], 10)
+    r = bp.first()
+    hist = [h["n"] for h in histogram_closed(to_long(df, ["x"]), bp).orderBy("bin").collect()]
+    assert r["e_counts"] == hist and r["e_total"] == len(xs) and sum(hist) == len(xs)
