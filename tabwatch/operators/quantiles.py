@@ -6,8 +6,9 @@ its floor/ceiling ranks (numpy's default method), for every feature and level, b
 iterative range refinement.  No task ever holds a whole column:
 
 1. one aggregation gives, per feature (later: per open value interval
-   still holding a wanted rank), its row count and a bounded-memory sketch
-   (``percentile_approx``, combined per task) of ``buckets`` cut points;
+   still holding a wanted rank), its row count and ``buckets`` cut points
+   from mergeable KLL sketches, merged as a two-level tree (per task-derived
+   salt, then across salts) so no single task merges one sketch per split;
 2. an interval larger than ``max_sort_rows`` is split: rows are counted
    per bucket with a binary-search expression over the literal cuts
    (codegen, map-side combined).  Every cut is its own single-value bucket,
@@ -43,10 +44,40 @@ DEFAULT_BUCKETS = 32
 MAX_SORT_ROWS = 1_000_000
 MAX_ROUNDS = 16
 DEFAULT_ACCURACY = 10000
+KLL_K = 1024
 
 QUANTILE_SCHEMA_TAIL = "level_idx int, level double, quantile double, n bigint"
 
 
+SKETCH_SALTS = 256
+
+
+def _segment_sketches(df: DataFrame, cols: list, fine: list[float], k: int,
+                      salts: int = SKETCH_SALTS):
+    """One row: for each ``(name, column)``, ``<name>_c`` = cut points at the
+    ``fine`` ranks and ``<name>_n`` = non-null rows.
+
+    Mergeable KLL sketches are built per task and merged as a two-level
+    tree (by task-derived salt, then across salts), so no single task
+    merges one sketch per input split.  The cuts only steer bucketing, so
+    their rank error affects balance, never the exact result.
+    """
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts)).alias("_salt")
+    k = max(8, min(int(k), 65535))
+    lvl1 = (df.select(salt, *[c.alias(n) for n, c in cols])
+              .groupBy("_salt")
+              .agg(*[F.expr(f"kll_sketch_agg_double({n}, {k})").alias(n) for n, _ in cols],
+                   *[F.count(n).alias(f"{n}_n") for n, _ in cols]))
+    lvl2 = lvl1.agg(*[F.expr(f"kll_merge_agg_double({n})").alias(n) for n, _ in cols],
+                    *[F.sum(f"{n}_n").alias(f"{n}_n") for n, _ in cols])
+    lv = "array(" + ", ".join(sql_double(x) for x in fine) + ")"
+    out = []
+    for n, _ in cols:
+        out += [F.expr(f"CASE WHEN {n}_n > 0 THEN kll_sketch_get_quantile_double({n}, {lv}) END").alias(f"{n}_c"),
+                F.coalesce(F.col(f"{n}_n"), F.lit(0)).cast("bigint").alias(f"{n}_n")]
+    return lvl2.select(*out).first()
+
+
 def lerp(a: float, b: float, t: float) -> float:
     """Linear interpolation as numpy's quantile does it (the form that is
     exact at both ends: from ``b`` backwards once t >= 0.5)."""
@@ -103,7 +134,7 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
     schema = "feature string, " + QUANTILE_SCHEMA_TAIL
     if not features:
         return local_frame(spark, [], schema)
-    acc = accuracy or max(32 * buckets, 1000)
+    acc = accuracy or KLL_K
     fine = [i / buckets for i in range(1, buckets)]
     xs = {f: f"CAST({quoted(f)} AS DOUBLE)" for f in features}
 
@@ -116,15 +147,13 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
     rounds = 0
     while active:
         rounds += 1
-        # sketch and row count of every active segment, one aggregation
-        aggs = []
-        for i, sg in enumerate(active):
-            xv = F.expr(f"CASE WHEN {sg.in_range(xs[sg.feature])} THEN {xs[sg.feature]} END")
-            aggs += [F.percentile_approx(xv, fine, acc).alias(f"_c{i}"), F.count(xv).alias(f"_n{i}")]
-        r1 = df.agg(*aggs).first()
+        # sketch cuts and row count of every active segment (two-level merge)
+        r1 = _segment_sketches(df, [(f"_x{i}", F.expr(f"CASE WHEN {sg.in_range(xs[sg.feature])} "
+                                                     f"THEN {xs[sg.feature]} END"))
+                                    for i, sg in enumerate(active)], fine, acc)
         split: list[tuple[_Seg, list[float]]] = []
         for i, sg in enumerate(active):
-            n = int(r1[f"_n{i}"])
+            n = int(r1[f"_x{i}_n"])
             if sg.n is None:               # first round: whole feature
                 sg.n = n
                 n_of[sg.feature] = n
@@ -136,7 +165,7 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
                     lo, hi = int(math.floor(pos)), int(math.ceil(pos))
                     plan[(sg.feature, li)] = (pos, lo, hi)
                     sg.ranks |= {lo, hi}
-            cuts = sorted(set(float(c) for c in (r1[f"_c{i}"] or [])))
+            cuts = sorted(set(float(c) for c in (r1[f"_x{i}_c"] or [])))
             if sg.n <= max_sort_rows or rounds >= max_rounds or not cuts:
                 final.append(sg)
             else:
