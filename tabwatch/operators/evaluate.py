@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwatch.functions.search import count_le_sql
+from tabwatch.operators.quantiles import sketch_cuts
 
 
 
 def auc_rank_sum(df: DataFrame, label: str, score: str, buckets: int = 256,
-                 accuracy: int = 10000) -> DataFrame:
+                 accuracy: int = 2048) -> DataFrame:
     """One row ``(auc, n_pos, n_neg)``; label 1 = positive, 0 = negative."""
     y = F.col(label).cast("double")
     sc = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
@@ -29,9 +30,10 @@ def auc_rank_sum(df: DataFrame, label: str, score: str, buckets: int = 256,
             .agg(F.sum(F.when(y == 1.0, 1).otherwise(0)).cast("bigint").alias("p"),
                  F.sum(F.when(y == 1.0, 0).otherwise(1)).cast("bigint").alias("n")))
     fine = [i / buckets for i in range(1, buckets)]
-    # at most `buckets` doubles come back: they become a literal array
-    row = sc.agg(F.array_distinct(F.percentile_approx("s", fine, accuracy)).alias("_cuts")).first()
-    cut_vals = [float(c) for c in (row["_cuts"] or [])]
+    # at most `buckets` doubles come back (two-level sketch merge); they
+    # become literal cut points
+    row = sketch_cuts(sc, [("_s", F.col("s"))], fine, accuracy)
+    cut_vals = [float(c) for c in (row["_s_c"] or [])]
     sb = sc.withColumn("_b", F.expr(count_le_sql("s", sorted(set(cut_vals)))))
     bt = sb.groupBy("_b").agg(F.sum("n").alias("_bn"))
     w_off = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)

@@ -52,7 +52,7 @@ QUANTILE_SCHEMA_TAIL = "level_idx int, level double, quantile double, n bigint"
 SKETCH_SALTS = 256
 
 
-def _segment_sketches(df: DataFrame, cols: list, fine: list[float], k: int,
+def sketch_cuts(df: DataFrame, cols: list, fine: list[float], k: int,
                       salts: int = SKETCH_SALTS):
     """One row: for each ``(name, column)``, ``<name>_c`` = cut points at the
     ``fine`` ranks and ``<name>_n`` = non-null rows.
@@ -148,7 +148,7 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
     while active:
         rounds += 1
         # sketch cuts and row count of every active segment (two-level merge)
-        r1 = _segment_sketches(df, [(f"_x{i}", F.expr(f"CASE WHEN {sg.in_range(xs[sg.feature])} "
+        r1 = sketch_cuts(df, [(f"_x{i}", F.expr(f"CASE WHEN {sg.in_range(xs[sg.feature])} "
                                                      f"THEN {xs[sg.feature]} END"))
                                     for i, sg in enumerate(active)], fine, acc)
         split: list[tuple[_Seg, list[float]]] = []
@@ -355,16 +355,20 @@ def median_element(long_df: DataFrame, keys: Sequence[str], value: str = "value"
 
 # ------------------------------------------------------------ sketch mode
 
-def feature_sketches(df: DataFrame, features: Sequence[str], k: int | None = None) -> DataFrame:
+def feature_sketches(df: DataFrame, features: Sequence[str], k: int | None = None,
+                     salts: int = SKETCH_SALTS) -> DataFrame:
     """``(feature, sketch binary, n)``: one mergeable KLL sketch per feature,
-    built in a single aggregation.  Sketch tables of different days can be
-    appended and merged (``merge_sketches``) into an incremental baseline."""
+    built per task and merged as a two-level tree (task-derived salt, then
+    across salts).  Sketch tables of different days can be appended and
+    merged (``merge_sketches``) into an incremental baseline."""
     feats = [f for f in features if f in df.columns]
     karg = f", {int(k)}" if k else ""
-    aggs = [F.expr(f"kll_sketch_agg_double(CASE WHEN NOT isnan(CAST({quoted(f)} AS DOUBLE)) "
-                   f"THEN CAST({quoted(f)} AS DOUBLE) END{karg})").alias(f"_s{i}")
-            for i, f in enumerate(feats)]
-    one = df.agg(*aggs)
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts)).alias("_salt")
+    xs = [F.expr(f"CASE WHEN NOT isnan(CAST({quoted(f)} AS DOUBLE)) THEN CAST({quoted(f)} AS DOUBLE) END")
+          .alias(f"_x{i}") for i, f in enumerate(feats)]
+    lvl1 = (df.select(salt, *xs).groupBy("_salt")
+              .agg(*[F.expr(f"kll_sketch_agg_double(_x{i}{karg})").alias(f"_s{i}") for i in range(len(feats))]))
+    one = lvl1.agg(*[F.expr(f"kll_merge_agg_double(_s{i})").alias(f"_s{i}") for i in range(len(feats))])
     parts = [one.select(F.lit(f).alias("feature"), F.col(f"_s{i}").alias("sketch")) for i, f in enumerate(feats)]
     out = parts[0]
     for p in parts[1:]:
