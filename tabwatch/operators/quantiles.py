@@ -32,7 +32,7 @@ passes read them independently.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,54 +117,41 @@ def _point_tree(x: str, cuts: list[float]) -> str:
     return tree(0, len(cuts))
 
 
-def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[float],
-                      buckets: int = DEFAULT_BUCKETS, accuracy: int | None = None,
-                      max_sort_rows: int = MAX_SORT_ROWS, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """Exact interpolated quantiles of wide feature columns ->
-    ``(feature, level_idx, level, quantile, n, below)`` (a small local table);
-    ``below`` is the number of rows strictly below the quantile, which gives
-    a baseline's bin counts without another scan.
+def select_ranks(df: DataFrame, exprs: dict[str, str], ranks_for: Callable[[str, int], set[int]],
+                 buckets: int = DEFAULT_BUCKETS, accuracy: int | None = None,
+                 max_sort_rows: int = MAX_SORT_ROWS, max_rounds: int = MAX_ROUNDS):
+    """Exact values at wanted ranks of one or more numeric expressions.
 
-    Nulls and NaNs are dropped per feature; features without values give no
-    rows.  Selection by iterative range refinement (see the module notes).
+    ``exprs`` maps a name to a SQL expression over ``df`` (cast to double;
+    nulls and NaNs are left out).  ``ranks_for(name, n)`` gives the wanted
+    0-based ranks once the row count n is known.  Returns ``(at_rank,
+    n_of)``: ``at_rank[(name, rank)] = (value, rank where that value
+    starts)`` and ``n_of[name] = n``.  Iterative range refinement (module
+    notes); the driver only sees cut points, bucket totals and picked values.
     """
-    spark = df.sparkSession
-    features = [f for f in features if f in df.columns]
-    levels = [float(x) for x in levels]
-    schema = "feature string, " + QUANTILE_SCHEMA_TAIL
-    if not features:
-        return local_frame(spark, [], schema)
     acc = accuracy or KLL_K
     fine = [i / buckets for i in range(1, buckets)]
-    xs = {f: f"CAST({quoted(f)} AS DOUBLE)" for f in features}
-
-    # (feature, rank) -> (value at that rank, rank where that value starts)
+    xs = dict(exprs)
     at_rank: dict[tuple[str, int], tuple[float, int]] = {}
-    plan: dict[tuple[str, int], tuple[float, int, int]] = {}
     n_of: dict[str, int] = {}
-    active = [_Seg(f, None, None, 0, None, None) for f in features]
+    active = [_Seg(f, None, None, 0, None, None) for f in xs]
     final: list[_Seg] = []
     rounds = 0
     while active:
         rounds += 1
         # sketch cuts and row count of every active segment (two-level merge)
         r1 = sketch_cuts(df, [(f"_x{i}", F.expr(f"CASE WHEN {sg.in_range(xs[sg.feature])} "
-                                                     f"THEN {xs[sg.feature]} END"))
-                                    for i, sg in enumerate(active)], fine, acc)
+                                                 f"THEN {xs[sg.feature]} END"))
+                              for i, sg in enumerate(active)], fine, acc)
         split: list[tuple[_Seg, list[float]]] = []
         for i, sg in enumerate(active):
             n = int(r1[f"_x{i}_n"])
-            if sg.n is None:               # first round: whole feature
+            if sg.n is None:               # first round: the whole column
                 sg.n = n
                 n_of[sg.feature] = n
-                if n == 0:
+                sg.ranks = {r for r in ranks_for(sg.feature, n) if 0 <= r < n} if n else set()
+                if not sg.ranks:
                     continue
-                sg.ranks = set()
-                for li, lv in enumerate(levels):
-                    pos = lv * float(n - 1)
-                    lo, hi = int(math.floor(pos)), int(math.ceil(pos))
-                    plan[(sg.feature, li)] = (pos, lo, hi)
-                    sg.ranks |= {lo, hi}
             cuts = sorted(set(float(c) for c in (r1[f"_x{i}_c"] or [])))
             if sg.n <= max_sort_rows or rounds >= max_rounds or not cuts:
                 final.append(sg)
@@ -223,7 +210,8 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
                 .groupBy("_seg", "_v").agg(F.count(F.lit(1)).alias("_c"))
                 .withColumn("_s", F.coalesce(F.sum("_c").over(w), F.lit(0)))
                 .withColumn("_e", F.col("_s") + F.col("_c")))
-        tdf = local_frame(spark, [(a, b) for a, b, _, _, _ in targets], "_seg string, _lr bigint")
+        tdf = local_frame(df.sparkSession, [(a, b) for a, b, _, _, _ in targets],
+                          "_seg string, _lr bigint")
         picked = (vc.join(F.broadcast(tdf), "_seg")
                     .where((F.col("_lr") >= F.col("_s")) & (F.col("_lr") < F.col("_e")))
                     .select("_seg", "_lr", "_v", "_s").collect())   # one row per wanted rank
@@ -231,15 +219,52 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
         for seg, lr, f, r, base in targets:
             v, start = got[(seg, lr)]
             at_rank[(f, r)] = (v, base + start)
+    return at_rank, n_of
+
+
+def _level_ranks(levels: list[float], n: int) -> list[tuple[float, int, int]]:
+    out = []
+    for lv in levels:
+        pos = lv * float(n - 1)
+        out.append((pos, int(math.floor(pos)), int(math.ceil(pos))))
+    return out
+
+
+def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[float],
+                      buckets: int = DEFAULT_BUCKETS, accuracy: int | None = None,
+                      max_sort_rows: int = MAX_SORT_ROWS, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+    """Exact interpolated quantiles of wide feature columns ->
+    ``(feature, level_idx, level, quantile, n, below)`` (a small local table);
+    ``below`` is the number of rows strictly below the quantile, which gives
+    a baseline's bin counts without another scan.
+
+    Nulls and NaNs are dropped per feature; features without values give no
+    rows.  Selection by iterative range refinement (see the module notes).
+    """
+    spark = df.sparkSession
+    features = [f for f in features if f in df.columns]
+    levels = [float(x) for x in levels]
+    schema = "feature string, " + QUANTILE_SCHEMA_TAIL + ", below bigint"
+    if not features:
+        return local_frame(spark, [], schema)
+    xs = {f: f"CAST({quoted(f)} AS DOUBLE)" for f in features}
+
+    def ranks_for(_name: str, n: int) -> set[int]:
+        return {r for _, lo, hi in _level_ranks(levels, n) for r in (lo, hi)}
 
+    at_rank, n_of = select_ranks(df, xs, ranks_for, buckets, accuracy, max_sort_rows, max_rounds)
     rows = []
-    for (f, i), (pos, lo, hi) in sorted(plan.items(), key=lambda kv: (features.index(kv[0][0]), kv[0][1])):
-        (vlo, slo), (vhi, shi) = at_rank[(f, lo)], at_rank[(f, hi)]
-        q = lerp(vlo, vhi, pos - float(lo))
-        # rows strictly below q: where its value starts, or every row up to lo
-        below = slo if q == vlo else (shi if q == vhi else hi)
-        rows.append((f, i, levels[i], q, n_of[f], below))
-    return local_frame(spark, rows, schema + ", below bigint")
+    for f in features:
+        n = n_of.get(f, 0)
+        if n == 0:
+            continue
+        for i, (pos, lo, hi) in enumerate(_level_ranks(levels, n)):
+            (vlo, slo), (vhi, shi) = at_rank[(f, lo)], at_rank[(f, hi)]
+            q = lerp(vlo, vhi, pos - float(lo))
+            # rows strictly below q: where its value starts, or every row up to lo
+            below = slo if q == vlo else (shi if q == vhi else hi)
+            rows.append((f, i, levels[i], q, n, below))
+    return local_frame(spark, rows, schema)
 
 
 def exact_quantiles(long_df: DataFrame, keys: Sequence[str], levels: Sequence[float],
