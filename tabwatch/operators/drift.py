@@ -17,7 +17,8 @@ from tabwatch.operators.histogram import bin_grid, histogram_closed, histogram_o
 from tabwatch.operators.profile import build_profile
 from tabwatch.operators.quantiles import feature_quantiles
 from tabwatch.operators.reshape import features_frame, to_long
-from tabwatch.spec import DriftSpec, PSI_EPS, RAW_LAST_EDGE_PAD, RAW_SHARE_FLOOR
+from tabwatch.spec import (DRIFT_BATCH_ROWS, DRIFT_BATCH_SEED, PSI_EPS, RAW_LAST_EDGE_PAD,
+                           RAW_SHARE_FLOOR, DriftSpec)
 from tabwatch.session import local_frame
 
 
@@ -176,7 +177,7 @@ def with_status(report: DataFrame, alert: float = 0.25, warn: float | None = 0.1
                   .withColumn("retrain", F.when(any_a, 1).otherwise(0)))
 
 
-def generate_drift_batch(df: DataFrame, key: str, n: int = 300, seed: int = 123,
+def generate_drift_batch(df: DataFrame, key: str, n: int = DRIFT_BATCH_ROWS, seed: int = DRIFT_BATCH_SEED,
                          adjust: dict[str, tuple[float, float]] | None = None) -> DataFrame:
     """A synthetic drifted batch: exactly min(n, rows) rows chosen by key hash,
     then for each column present in ``adjust`` = {col: (scale, shift)}: nulls

@@ -9,11 +9,11 @@ from tabwatch.operators.drift import generate_drift_batch, monitor, with_status
 from tabwatch.operators.sampling import kfold_hash, sample_exact_n, split_hash
 from tabwatch.plans import sqlfrag as S
 from tabwatch.plans.tables import SQL_CUTOFF, cutoff_col, table, with_nulls
-from tabwatch.spec import DriftSpec, PSI_EPS
+from tabwatch.spec import DRIFT_BATCH_SCALE, DRIFT_BATCH_SHIFT, PSI_EPS, DriftSpec
 
 R = 6
 ORDER_FEATS = ["o_totalprice", "o_custkey"]
-ADJUST = {"o_totalprice": (1.5, 0.0), "o_custkey": (1.0, 8.0)}
+ADJUST = {"o_totalprice": (DRIFT_BATCH_SCALE, 0.0), "o_custkey": (1.0, DRIFT_BATCH_SHIFT)}
 
 
 def _hex32(expr: str) -> str:

@@ -55,6 +55,15 @@ PSI_EPS = 1e-12
 RAW_SHARE_FLOOR = 1e-6
 RAW_LAST_EDGE_PAD = 1e-6
 
+# The synthetic drifted batch (rows sampled, sampling seed,
+# shift added to one column, factor applied to another, factor of the
+# inline demo variant).
+DRIFT_BATCH_ROWS = 300
+DRIFT_BATCH_SEED = 123
+DRIFT_BATCH_SHIFT = 8.0
+DRIFT_BATCH_SCALE = 1.5
+DRIFT_DEMO_SCALE = 1.3
+
 
 # Example configuration: the 12-column passenger table the reference trains
 # on (declared instead of inferred; the label is absent in scoring files).
