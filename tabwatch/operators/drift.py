@@ -35,7 +35,10 @@ def psi_report(profile: DataFrame, new_df: DataFrame, expected: str = "empirical
     ``annotate`` adds ``note``: 'unmeasurable' for a single bin, 'no_data' for
     an empty new column, else 'ok'.
     """
-    hist = histogram_open(new_df, profile)
+    if expected == "empirical" and "counts" not in profile.columns:
+        raise ValueError("empirical shares need a profile with baseline counts "
+                         "(build_profile, or a baseline file written with counts)")
+    hist = histogram_open(new_df, profile, zero_fill=False)   # the grid below fills zeros
     grid = bin_grid(profile).join(
         profile.select("feature", "pos", "bins", *(["counts"] if expected == "empirical" else [])),
         "feature")
