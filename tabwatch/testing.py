@@ -72,3 +72,24 @@ def compare_frames(a, b):
         if x != y:
             return False, f"first diff: {x} vs {y}"
     return True, ""
+
+
+# Physical operators that must not appear in any registered query: row or
+# Arrow Python evaluation in the hot path, and joins that pair every row
+# with every row.
+FORBIDDEN_PLAN_NODES = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct",
+                        "BroadcastNestedLoopJoin")
+
+
+def plan_text(df) -> str:
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode="formatted")
+    return buf.getvalue()
+
+
+def forbidden_nodes(df) -> list[str]:
+    text = plan_text(df)
+    return [n for n in FORBIDDEN_PLAN_NODES if n in text]

@@ -4,7 +4,7 @@ correctness gate), and the rows-only queries for non-empty, stable output."""
 import pytest
 
 import __spark_entry__ as E
-from tabwatch.testing import compare_frames, duck_connect
+from tabwatch.testing import compare_frames, duck_connect, forbidden_nodes
 
 SF = "/root/testdata/sf0.01"
 QUERIES = E.queries()
@@ -18,7 +18,9 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, name):
-    got = QUERIES[name](spark, SF).toPandas()
+    df = QUERIES[name](spark, SF)
+    assert forbidden_nodes(df) == [], name      # no Python UDFs, no all-pairs joins
+    got = df.toPandas()
     exp = con.execute(ORACLES[name]).df()
     ok, msg = compare_frames(got, exp)
     assert ok, msg
@@ -27,6 +29,7 @@ def test_query_matches_oracle(spark, con, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_rows_only_queries_run(spark, name):
     df = QUERIES[name](spark, SF)
+    assert forbidden_nodes(df) == [], name
     assert df.count() > 0
 
 
