@@ -9,7 +9,7 @@ from tabwatch.operators.profile import build_profile
 from tabwatch.plans import sqlfrag as S
 from tabwatch.plans.model_queries import _lineitem_model_path
 from tabwatch.plans.tables import table
-from tabwatch.session import ensure_checkpoint_dir, scratch_path
+from tabwatch.session import scratch_path
 from tabwatch.spec import PSI_EPS
 from tabwatch.streaming.drift import drift_per_batch, drift_per_window, read_sink, stream_score
 
@@ -39,8 +39,8 @@ def _events_baseline(spark, sf_dir):
 
 
 def _ckpt(spark, name):
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return scratch_path(spark, name) + "-ckpt" if not base else f"{base}/{name}-{scratch_path(spark, 'x')[-12:]}"
+    """A fresh stream checkpoint location in the shared folder."""
+    return scratch_path(spark, f"{name}-checkpoint")
 
 
 def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
