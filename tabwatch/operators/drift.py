@@ -197,14 +197,24 @@ def generate_drift_batch(df: DataFrame, key: str, n: int = DRIFT_BATCH_ROWS, see
 
 
 def monitor(baseline_df: DataFrame, new_df: DataFrame, spec: DriftSpec,
-            required: bool = True) -> tuple[DataFrame, DataFrame]:
-    """End-to-end drift check -> (report, status)."""
+            required: bool = True, formula: str = "binned") -> tuple[DataFrame, DataFrame]:
+    """End-to-end drift check -> (report, status).
+
+    formula="binned": equal-frequency baseline profile, PSI per feature with
+    ``spec.expected`` shares, three-level status (warn and alert).
+    formula="raw": the raw-sample formula (closed percentile breakpoints,
+    1e-6 floor) with the two-level status (alert only).
+    """
     from tabwatch.operators.prep import require_columns
     if required:
         require_columns(new_df, spec.features)
-    report = psi(baseline_df, new_df, spec)
-    status = drift_status(report, spec.alert, spec.warn)
-    return report, status
+    if formula == "binned":
+        report = psi(baseline_df, new_df, spec)
+        return report, drift_status(report, spec.alert, spec.warn)
+    if formula == "raw":
+        report = psi_raw_sample(baseline_df, new_df, spec.features, spec.n_bins)
+        return report, drift_status(report, spec.alert, None)
+    raise ValueError(f"unknown formula {formula!r}")
 
 
 def run_name(epoch_seconds: int, prefix: str = "drift") -> str:

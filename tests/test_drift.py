@@ -151,3 +151,18 @@ def test_raw_breakpoint_counts_equal_closed_histogram(spark):
     r = bp.first()
     hist = [h["n"] for h in histogram_closed(to_long(df, ["x"]), bp).orderBy("bin").collect()]
     assert r["e_counts"] == hist and r["e_total"] == len(xs) and sum(hist) == len(xs)
+
+
+def test_monitor_formulas(spark):
+    from tabwatch.operators.drift import monitor
+    from tabwatch.spec import DriftSpec
+    rng = np.random.default_rng(8)
+    base = _df(spark, list(rng.normal(size=800)))
+    new = _df(spark, list(rng.normal(loc=1.5, size=600)))
+    spec = DriftSpec(features=("x",))
+    rep, st = monitor(base, new, spec)
+    assert st.first()["status"] == "ALERT" and rep.count() == 1
+    rep2, st2 = monitor(base, new, spec, formula="raw")
+    assert st2.first()["status"] == "ALERT" and st2.first()["trigger"] == ">= 0.25"
+    with pytest.raises(ValueError):
+        monitor(base, new, DriftSpec(features=("x", "missing")))
