@@ -82,14 +82,19 @@ def _cuts(edges: list[float]) -> list[float]:
 
 def build_profile(df: DataFrame, features: Sequence[str], n_bins: int = 10,
                   levels: str = "exact", method: str = "exact",
-                  with_counts: bool = True) -> DataFrame:
+                  with_counts: bool = True, stage_input: bool = False) -> DataFrame:
     """Equal-frequency baseline for every feature (small local table).
 
     With the exact method the baseline's own bin counts come from the rank
     bookkeeping of the quantile selection (no extra scan); the sketch modes
-    count them with one histogram pass.
+    count them with one histogram pass.  ``stage_input`` first writes the
+    narrow feature projection to the shared folder (for inputs that are
+    expensive to recompute, such as joins), and every pass reads that.
     """
     spark = df.sparkSession
+    if stage_input:
+        from tabwatch.session import materialize
+        df = materialize(df.select(*[f for f in features if f in df.columns]), "profile_input")
     edge_rows = _edge_rows(df, features, n_bins, levels, method)
     rows, need_hist = [], False
     for f, i, e, n, bl in edge_rows:

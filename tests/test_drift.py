@@ -166,3 +166,11 @@ def test_monitor_formulas(spark):
     assert st2.first()["status"] == "ALERT" and st2.first()["trigger"] == ">= 0.25"
     with pytest.raises(ValueError):
         monitor(base, new, DriftSpec(features=("x", "missing")))
+
+
+def test_staged_input_gives_the_same_profile(spark):
+    rng = np.random.default_rng(12)
+    df = _df(spark, list(rng.integers(0, 50, 700).astype(float)))
+    a = build_profile(df, ["x"], 10).first()
+    b = build_profile(df, ["x"], 10, stage_input=True).first()
+    assert (a["cuts"], a["counts"], a["n"]) == (b["cuts"], b["counts"], b["n"])
