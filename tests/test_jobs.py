@@ -39,3 +39,16 @@ def test_workflow(spark):
     assert st["status"] in ("OK", "WARN", "ALERT") and st["n_features"] == 4
     again = jobs.monitor(spark, bl, new, feats)        # reuses the saved baseline
     assert again["max_psi"] == st["max_psi"]
+
+
+def test_command_line_monitor(spark, capsys):
+    import json
+    li = spark.read.parquet(f"{SF}/lineitem.parquet")
+    cut = F.lit("1996-01-01").cast("timestamp_ntz")
+    base, new = scratch_path(spark, "c_base"), scratch_path(spark, "c_new")
+    li.where(F.col("l_shipdate") < cut).write.parquet(base)
+    li.where(F.col("l_shipdate") >= cut).write.parquet(new)
+    jobs.main(["monitor", "--baseline", scratch_path(spark, "c_bl"), "--new", new, "--train", base,
+               "--features", "l_quantity,l_discount", "--expected", "empirical"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["n_features"] == 2 and out["status"] in ("OK", "WARN", "ALERT")
