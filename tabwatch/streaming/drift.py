@@ -4,11 +4,13 @@
 * ``drift_per_batch``: each micro-batch scored against a fixed baseline
   profile inside ``foreachBatch`` (where the batch is a static DataFrame,
   so the zero-filled outer join of bins is allowed).
-* ``drift_per_window``: rows binned against the broadcast baseline
-  (stream-static join), counted per tumbling event-time window with a
-  watermark (append mode: a window is emitted once the watermark passes
-  its end, later rows are dropped), PSI computed per closed window in
-  ``foreachBatch``.
+* ``drift_per_window``: rows binned against the baseline's literal cuts
+  (a stateless codegen projection), counted per tumbling event-time window
+  with a watermark (append mode: a window is emitted once the watermark
+  passes its end), PSI computed per closed window in ``foreachBatch``.
+  Rows later than the delay are dropped once the watermark of an earlier
+  micro-batch has passed them (Spark filters late rows with the previous
+  batch's watermark; rows within the delay are always kept).
 
 All sinks are Parquet tables in the shared folder with checkpoints in the
 shared checkpoint folder, so a restarted query resumes exactly once.

@@ -39,3 +39,30 @@ def test_replayed_batch_does_not_duplicate(spark):
     got = read_sink(spark, sink, "feature string, psi double, batch_id bigint")
     assert got.count() == 4
     assert sorted(r[0] for r in got.select("batch_id").distinct().collect()) == [0, 1]
+
+
+def test_window_drift_drops_rows_behind_the_watermark(spark):
+    import time as _t
+
+    from tabwatch.streaming.drift import drift_per_window
+    ev = (spark.read.parquet(f"{SF}/events.parquet")
+          .withColumn("k", F.get_json_object("props", "$.k").cast("double")))
+    prof = build_profile(ev.where(F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz")), EV_FEATS, 10)
+    src = scratch_path(spark, "t_late_src")
+    day = lambda d: F.lit(d).cast("timestamp_ntz")
+    recent_a = ev.where((F.col("ts") >= day("2024-01-20")) & (F.col("ts") < day("2024-01-25")))
+    recent_b = ev.where(F.col("ts") >= day("2024-01-25"))
+    late = ev.where(F.col("ts") < day("2024-01-10"))
+    # one file per micro-batch; Spark filters late rows with the watermark of
+    # the previous batch, so the late file comes third
+    for part in (recent_a, recent_b, late):
+        part.coalesce(1).write.mode("append").parquet(src)
+        _t.sleep(1.1)
+    stream = spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    sink = scratch_path(spark, "t_late_sink")
+    drift_per_window(stream, prof, EV_FEATS, "ts", "1 day", "1 hour", sink,
+                     scratch_path(spark, "t_late_ckpt"))
+    got = read_sink(spark, sink, "window_start bigint, feature string")
+    starts = [r[0] for r in got.select("window_start").distinct().collect()]
+    jan20 = 1705708800                              # 2024-01-20 00:00:00 UTC
+    assert starts and min(starts) >= jan20          # every late row was dropped
