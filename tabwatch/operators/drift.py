@@ -26,38 +26,59 @@ def psi_term(p: Column, q: Column, eps: float = PSI_EPS) -> Column:
     return (p - q) * F.ln((p + F.lit(eps)) / (q + F.lit(eps)))
 
 
-def psi_report(profile: DataFrame, new_df: DataFrame, expected: str = "empirical",
-               eps: float = PSI_EPS, annotate: bool = False) -> DataFrame:
-    """``(feature, psi, bins, new_total)``, one row per profiled feature.
-
-    expected="uniform": each bin expects 1/bins (compat; wrong under tied
-    edges).  expected="empirical": the baseline's stored bin counts.
-    ``annotate`` adds ``note``: 'unmeasurable' for a single bin, 'no_data' for
-    an empty new column, else 'ok'.
-    """
+def expected_grid(profile: DataFrame, expected: str = "empirical") -> DataFrame:
+    """``(feature, pos, bin, bins, p_raw)``: every bin of the profile with its
+    unnormalised expected weight (1/bins, or the baseline's count)."""
     if expected == "empirical" and "counts" not in profile.columns:
         raise ValueError("empirical shares need a profile with baseline counts "
                          "(build_profile, or a baseline file written with counts)")
-    hist = histogram_open(new_df, profile, zero_fill=False)   # the grid below fills zeros
-    grid = bin_grid(profile).join(
-        profile.select("feature", "pos", "bins", *(["counts"] if expected == "empirical" else [])),
-        "feature")
     if expected == "uniform":
         p_raw = F.lit(1.0) / F.col("bins").cast("double")
     elif expected == "empirical":
         p_raw = F.element_at("counts", F.col("bin") + 1).cast("double")
     else:
         raise ValueError(f"unknown expected mode {expected!r}")
-    t = (grid.withColumn("p_raw", p_raw)
-             .join(hist, ["feature", "bin"], "left")
-             .withColumn("n", F.coalesce("n", F.lit(0).cast("bigint"))))
-    # one row per feature and bin: the window is configuration-sized
-    w = Window.partitionBy("feature")
-    t = (t.withColumn("p", F.col("p_raw") / (F.sum("p_raw").over(w) + F.lit(eps)))
-          .withColumn("q", F.col("n").cast("double") / (F.sum("n").over(w).cast("double") + F.lit(eps))))
-    rep = t.groupBy("feature", "pos", "bins").agg(
+    extra = ["counts"] if expected == "empirical" else []
+    return (bin_grid(profile).join(profile.select("feature", "pos", "bins", *extra), "feature")
+            .select("feature", "pos", "bin", "bins", p_raw.alias("p_raw")))
+
+
+def psi_from_counts(counts: DataFrame, grid: DataFrame, keys: Sequence[str] = (),
+                    eps: float = PSI_EPS) -> DataFrame:
+    """PSI per ``(*keys, feature)`` from observed ``(*keys, feature, bin, n)``
+    counts and an expected grid.  Every group present in ``counts`` gets all
+    of its feature's bins (missing ones count 0).  The inputs are
+    configuration-sized (groups x features x bins), so are the windows.
+    """
+    keys = list(keys)
+    if keys:
+        groups = counts.select(*keys, "feature").distinct()
+        full = groups.join(grid, "feature")
+    else:
+        full = grid
+    full = (full.join(counts, keys + ["feature", "bin"], "left")
+                .withColumn("n", F.coalesce("n", F.lit(0).cast("bigint"))))
+    w = Window.partitionBy(*keys, "feature")
+    full = (full.withColumn("p", F.col("p_raw") / (F.sum("p_raw").over(w) + F.lit(eps)))
+                .withColumn("q", F.col("n").cast("double")
+                            / (F.sum("n").over(w).cast("double") + F.lit(eps))))
+    return full.groupBy(*keys, "feature", "pos", "bins").agg(
         F.sum(psi_term(F.col("p"), F.col("q"), eps)).alias("psi"),
         F.sum("n").cast("bigint").alias("new_total"))
+
+
+def psi_report(profile: DataFrame, new_df: DataFrame, expected: str = "empirical",
+               eps: float = PSI_EPS, annotate: bool = False) -> DataFrame:
+    """``(feature, psi, bins, new_total)``, one row per profiled feature.
+
+    expected="uniform": each bin expects 1/bins (compat; wrong under tied
+    edges).  expected="empirical": the baseline's stored bin counts.
+    ``annotate`` adds ``note``: 'unmeasurable' for a single bin, 'no_data' for
+    an empty new column, else 'ok'.
+    """
+    grid = expected_grid(profile, expected)
+    hist = histogram_open(new_df, profile, zero_fill=False)   # the grid fills zeros
+    rep = psi_from_counts(hist, grid, eps=eps)
     cols = ["feature", "psi", F.col("bins").cast("int").alias("bins"), "new_total", "pos"]
     if annotate:
         cols.append(F.when(F.col("bins") <= 1, "unmeasurable")

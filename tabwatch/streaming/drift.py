@@ -19,11 +19,11 @@ shared checkpoint folder, so a restarted query resumes exactly once.
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwatch.operators.drift import psi_report, psi_term
-from tabwatch.operators.histogram import bin_grid, binned, check_small
+from tabwatch.operators.drift import expected_grid, psi_from_counts, psi_report
+from tabwatch.operators.histogram import binned, check_small
 from tabwatch.spec import PSI_EPS
 from tabwatch.session import local_frame
 
@@ -81,29 +81,13 @@ def drift_per_window(stream: DataFrame, profile: DataFrame, features: list[str],
     rows = binned(timed.select("_et", *[f for f in features if f in timed.columns]), prof, ids=["_et"])
     counts = rows.groupBy(F.window("_et", window).alias("w"), "feature", "bin").agg(
         F.count(F.lit(1)).alias("n"))
-    extra = ["counts"] if expected == "empirical" else []
-    grid = bin_grid(prof).join(prof.select("feature", "bins", *extra), "feature")
-    if expected == "uniform":
-        p_raw = F.lit(1.0) / F.col("bins").cast("double")
-    else:
-        p_raw = F.element_at("counts", F.col("bin") + 1).cast("double")
-    grid = grid.withColumn("p_raw", p_raw).select("feature", "bin", "bins", "p_raw")
+    grid = expected_grid(prof, expected)
 
     def score(batch: DataFrame, batch_id: int) -> None:
         c = batch.select(F.unix_seconds(F.col("w.start")).alias("window_start"), "feature", "bin", "n")
-        wf = c.select("window_start", "feature").distinct()
-        full = (wf.join(grid, "feature")
-                  .join(c, ["window_start", "feature", "bin"], "left")
-                  .withColumn("n", F.coalesce("n", F.lit(0).cast("bigint"))))
-        w = Window.partitionBy("window_start", "feature")
-        full = (full.withColumn("p", F.col("p_raw") / (F.sum("p_raw").over(w) + F.lit(eps)))
-                    .withColumn("q", F.col("n").cast("double")
-                                / (F.sum("n").over(w).cast("double") + F.lit(eps))))
-        rep = full.groupBy("window_start", "feature").agg(
-            F.sum(psi_term(F.col("p"), F.col("q"), eps)).alias("psi"),
-            F.max("bins").cast("int").alias("bins"),
-            F.sum("n").cast("bigint").alias("new_total"))
-        write_batch(rep, batch_id, sink)
+        rep = psi_from_counts(c, grid, ["window_start"], eps)
+        write_batch(rep.select("window_start", "feature", "psi", F.col("bins").cast("int").alias("bins"),
+                               "new_total"), batch_id, sink)
 
     run_available(counts.writeStream.outputMode("append").foreachBatch(score)
                   .option("checkpointLocation", checkpoint))
