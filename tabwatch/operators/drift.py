@@ -272,3 +272,20 @@ def monitor_log_rows(report: DataFrame, status: DataFrame, spec: DriftSpec, run_
          ("tag", "model_stage", None, model_stage)],
         "kind string, key string, value double, text string").select(rid.alias("run_id"), "*")
     return metrics.unionByName(st).unionByName(fixed)
+
+
+def psi_by_window(profile: DataFrame, df: DataFrame, time_col: str, window: str,
+                  expected: str = "empirical", eps: float = PSI_EPS) -> DataFrame:
+    """Batch PSI per tumbling event-time window ->
+    ``(window_start bigint epoch seconds, feature, psi, bins, new_total)``;
+    the batch counterpart of the windowed stream (same binning, same math)."""
+    from tabwatch.functions.timeparts import ntz_as_instant
+    from tabwatch.operators.histogram import binned
+    feats = [r["feature"] for r in profile.select("feature").collect()]   # one row per feature
+    timed = df.withColumn("_et", ntz_as_instant(F.col(time_col)))
+    rows = binned(timed.select("_et", *[f for f in feats if f in timed.columns]), profile, ids=["_et"])
+    counts = (rows.groupBy(F.window("_et", window).alias("w"), "feature", "bin")
+                  .agg(F.count(F.lit(1)).alias("n"))
+                  .select(F.unix_seconds(F.col("w.start")).alias("window_start"), "feature", "bin", "n"))
+    rep = psi_from_counts(counts, expected_grid(profile, expected), ["window_start"], eps)
+    return rep.select("window_start", "feature", "psi", F.col("bins").cast("int").alias("bins"), "new_total")
