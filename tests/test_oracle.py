@@ -8,6 +8,8 @@ from tabwatch.testing import compare_frames, duck_connect, forbidden_nodes
 
 SF = "/root/testdata/sf0.01"
 QUERIES = E.queries()
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+             "boolean": "BOOLEAN"}
 ORACLES = E.oracle_sql()
 
 
@@ -20,8 +22,13 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF)
     assert forbidden_nodes(df) == [], name      # no Python UDFs, no all-pairs joins
+    rel = con.sql(ORACLES[name])
+    duck_types = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    spark_types = {f.name: SQL_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == duck_types            # same names and types, column for column
     got = df.toPandas()
-    exp = con.execute(ORACLES[name]).df()
+    exp = rel.df()
     ok, msg = compare_frames(got, exp)
     assert ok, msg
 
