@@ -159,19 +159,26 @@ def select_ranks(df: DataFrame, exprs: dict[str, str], ranks_for: Callable[[str,
                 split.append((sg, cuts))
         if not split:
             break
-        # rows per bucket of the segments being split
+        # rows per bucket of the segments being split: a feature's segments
+        # are disjoint, so one column per feature carries (segment, bucket)
         sel, names = [], []
-        for j, (sg, cuts) in enumerate(split):
-            x = xs[sg.feature]
-            sel.append(F.expr(f"CASE WHEN {sg.in_range(x)} THEN {_point_tree(x, cuts)} END")
-                        .cast("int").alias(f"s{j}"))
-            names.append(f"s{j}")
-        bt = (df.select(*sel).unpivot([], names, "_seg", "_b").where(F.col("_b").isNotNull())
+        for f in {sg.feature for sg, _ in split}:
+            x = xs[f]
+            arms = [(j, sg, cuts) for j, (sg, cuts) in enumerate(split) if sg.feature == f]
+            seg = " ".join(f"WHEN {sg.in_range(x)} THEN {j}" for j, sg, _ in arms)
+            bkt = " ".join(f"WHEN {sg.in_range(x)} THEN {_point_tree(x, cuts)}" for _, sg, cuts in arms)
+            name = f"f{len(names)}"
+            sel.append(F.struct(F.expr(f"CASE {seg} END").cast("int").alias("s"),
+                                F.expr(f"CASE {bkt} END").cast("int").alias("b")).alias(name))
+            names.append(name)
+        bt = (df.select(*sel).unpivot([], names, "_f", "_sb")
+                .select(F.col("_sb.s").alias("_seg"), F.col("_sb.b").alias("_b"))
+                .where(F.col("_seg").isNotNull())
                 .groupBy("_seg", "_b").agg(F.count(F.lit(1)).alias("_bn"))
                 .collect())   # bucket totals: segments x (2 * buckets + 1) rows at most
         counts: dict[int, dict[int, int]] = {}
         for r in bt:
-            counts.setdefault(int(r["_seg"][1:]), {})[int(r["_b"])] = int(r["_bn"])
+            counts.setdefault(int(r["_seg"]), {})[int(r["_b"])] = int(r["_bn"])
         nxt: dict[tuple, _Seg] = {}
         for j, (sg, cuts) in enumerate(split):
             off = sg.base
@@ -201,12 +208,18 @@ def select_ranks(df: DataFrame, exprs: dict[str, str], ranks_for: Callable[[str,
     if todo:
         sel, names, targets = [], [], []
         for j, sg in enumerate(todo):
-            x = xs[sg.feature]
-            sel.append(F.expr(f"CASE WHEN {sg.in_range(x)} THEN {x} END").alias(f"s{j}"))
-            names.append(f"s{j}")
             targets += [(f"s{j}", r - sg.base, sg.feature, r, sg.base) for r in sg.ranks]
+        for f in {sg.feature for sg in todo}:
+            x = xs[f]
+            seg = " ".join(f"WHEN {sg.in_range(x)} THEN 's{j}'" for j, sg in enumerate(todo)
+                           if sg.feature == f)
+            name = f"f{len(names)}"
+            sel.append(F.struct(F.expr(f"CASE {seg} END").alias("s"), F.expr(x).alias("v")).alias(name))
+            names.append(name)
         w = Window.partitionBy("_seg").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-        vc = (df.select(*sel).unpivot([], names, "_seg", "_v").where(F.col("_v").isNotNull())
+        vc = (df.select(*sel).unpivot([], names, "_f", "_sv")
+                .select(F.col("_sv.s").alias("_seg"), F.col("_sv.v").alias("_v"))
+                .where(F.col("_seg").isNotNull())
                 .groupBy("_seg", "_v").agg(F.count(F.lit(1)).alias("_c"))
                 .withColumn("_s", F.coalesce(F.sum("_c").over(w), F.lit(0)))
                 .withColumn("_e", F.col("_s") + F.col("_c")))
