@@ -36,3 +36,13 @@ def test_promote_with_and_without_archiving(spark):
     assert k[("m", "9")] == "Production" and k[("m", "10")] == "Production"
     cur = {r["name"]: r["version"] for r in current_production(promote(_versions(spark))).collect()}
     assert cur == {"m": "10", "n": "1"}
+
+
+def test_promote_best_metric_policy(spark):
+    scores = spark.createDataFrame([("m", "9", 0.91), ("m", "10", 0.85), ("m", "2", 0.91), ("n", "1", 0.5)],
+                                   "name string, version string, score double")
+    got = {(r["name"], r["version"]): r["stage"]
+           for r in promote(_versions(spark), policy="best", metric=scores).collect()}
+    # best score wins; ties go to the lower version number
+    assert got[("m", "2")] == "Production" and got[("m", "9")] == "Archived"
+    assert got[("m", "10")] == "None" and got[("n", "1")] == "Production"
