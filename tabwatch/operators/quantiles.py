@@ -201,7 +201,11 @@ def select_ranks(df: DataFrame, exprs: dict[str, str], ranks_for: Callable[[str,
                                 nxt[key] = _Seg(sg.feature, lo, hi, o, bn, set())
                             nxt[key].ranks.add(r)
                         break
-        active = list(nxt.values())
+        # sub-intervals small enough to sort skip the next sketch round (their
+        # row count is already known from the bucket totals)
+        active = []
+        for sg in nxt.values():
+            (final if sg.n <= max_sort_rows or rounds + 1 >= max_rounds else active).append(sg)
 
     # sort the final segments (distinct values only), one task per segment
     todo = [sg for sg in final if sg.n and any((sg.feature, r) not in at_rank for r in sg.ranks)]
