@@ -209,7 +209,9 @@ def generate_drift_batch(df: DataFrame, key: str, n: int = DRIFT_BATCH_ROWS, see
     """
     from tabwatch.operators.sampling import sample_exact_n
     from tabwatch.operators.prep import fill_median, shift_scale
-    sample = sample_exact_n(df, key, n, seed)
+    from tabwatch.session import materialize
+    # the sample is bounded by n and read by several passes: written once
+    sample = materialize(sample_exact_n(df, key, n, seed), "drift_sample")
     adjust = {c: v for c, v in (adjust or {}).items() if c in sample.columns}
     if not adjust:
         return sample
