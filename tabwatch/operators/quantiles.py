@@ -40,20 +40,18 @@ from pyspark.sql import functions as F
 from tabwatch.functions.search import quoted, sql_double
 from tabwatch.session import local_frame
 
-DEFAULT_BUCKETS = 32
-MAX_SORT_ROWS = 1_000_000
-MAX_ROUNDS = 16
-DEFAULT_ACCURACY = 10000
-KLL_K = 1024
+DEFAULT_BUCKETS = 32          # cut points per interval and round
+MAX_SORT_ROWS = 1_000_000     # an interval this small is sorted in one task
+MAX_ROUNDS = 16               # never reached: each round shrinks intervals ~30x
+DEFAULT_ACCURACY = 10000      # percentile_approx accuracy in the approx mode
+KLL_K = 1024                  # KLL sketch size for the refinement cuts
+SKETCH_SALTS = 256            # first-level merge groups of the sketch tree
 
 QUANTILE_SCHEMA_TAIL = "level_idx int, level double, quantile double, n bigint"
 
 
-SKETCH_SALTS = 256
-
-
 def sketch_cuts(df: DataFrame, cols: list, fine: list[float], k: int,
-                      salts: int = SKETCH_SALTS):
+                salts: int = SKETCH_SALTS):
     """One row: for each ``(name, column)``, ``<name>_c`` = cut points at the
     ``fine`` ranks and ``<name>_n`` = non-null rows.
 
