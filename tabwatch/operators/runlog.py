@@ -76,7 +76,8 @@ def run_artifacts(log: DataFrame) -> DataFrame:
 
 def best_run_location(wide: DataFrame, log: DataFrame, metric: str) -> DataFrame:
     best = best_run(wide, metric)
-    return best.join(F.broadcast(run_artifacts(log)), "run_id")  # left side is 1 row; right keyed
+    # the best run is a single row (top-1): it is the side that is broadcast
+    return F.broadcast(best).join(run_artifacts(log), "run_id")
 
 
 # ------------------------------------------------------------ model versions

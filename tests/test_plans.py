@@ -31,3 +31,9 @@ def test_profile_is_a_local_relation(spark):
     prof = build_profile(lineitem_baseline(spark, SF), ["l_quantity"], 10)
     plan = plan_text(prof)
     assert "LocalTableScan" in plan and "Scan parquet" not in plan
+
+
+def test_best_run_location_broadcasts_the_single_best_row(spark):
+    import __spark_entry__ as E
+    plan = plan_text(E.queries()["best_run_location"](spark, SF))
+    assert "BroadcastHashJoin Inner BuildLeft" in plan   # the 1-row top run, not the run table
