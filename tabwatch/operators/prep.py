@@ -13,10 +13,6 @@ from tabwatch.operators.reshape import features_frame, to_long
 from tabwatch.session import local_frame
 
 
-def replace_column(df: DataFrame, name: str, expr) -> DataFrame:
-    return df.withColumn(name, expr)
-
-
 def collapse(df: DataFrame, col: str, keep: str, default: str) -> DataFrame:
     """Two-way category collapse in place (null and other spellings -> default)."""
     return df.withColumn(col, collapse_category(F.col(col), keep, default))

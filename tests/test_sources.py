@@ -72,3 +72,19 @@ def test_required_columns_lists_missing(spark):
     df = spark.createDataFrame([(1.0,)], "Age double")
     with pytest.raises(ValueError, match=r"\['Fare', 'Parch'\]"):
         require_columns(df, ["Age", "Fare", "Parch"])
+
+
+def test_migrate_legacy_rewrites_the_current_shape(spark):
+    from tabwatch.sources.baseline import migrate_legacy
+    legacy, out = scratch_path(spark, "mig_in"), scratch_path(spark, "mig_out")
+    save_legacy(_edges(spark), legacy)
+    migrate_legacy(spark, legacy, out, n_bins=10)
+    back = load_baseline(spark, out).orderBy("pos").collect()
+    assert [r["feature"] for r in back] == ["Age", "SibSp"] and back[0]["n_bins"] == 10
+    assert back[0]["bin_edges"] == [float("-inf"), 14.0, 28.0, float("inf")]
+
+
+def test_passenger_schema_is_declared(spark):
+    from tabwatch.spec import PASSENGER_SPEC, passenger_schema
+    assert len(passenger_schema(True).fields) == 12 and len(passenger_schema(False).fields) == 11
+    assert set(PASSENGER_SPEC.columns) <= set(passenger_schema(True).fieldNames())
