@@ -108,13 +108,28 @@ SQL_STREAM_DRIFT_WINDOW = _psi_sql(
     "CAST(epoch(date_trunc('day', ts)) AS BIGINT)", "window_start", _EV_NEW,
     where=f"date_trunc('day', v.ts) + INTERVAL 1 DAY <= (SELECT max(ts) FROM {_EV_NEW}) - INTERVAL 1 HOUR")
 
+def q_drift_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch PSI per daily window of the new period (every window, closed or
+    not): the batch counterpart of the windowed stream."""
+    from tabwatch.operators.drift import psi_by_window
+    prof = build_profile(_events_baseline(spark, sf_dir), EV_FEATS, 10)
+    ev = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("double"))
+    new = ev.where(F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp_ntz"))
+    rep = psi_by_window(prof, new, "ts", WINDOW)
+    return rep.select("window_start", "feature", F.round("psi", R).alias("psi"), "bins", "new_total")
+
+
 QUERIES = {
+    "drift_by_window": q_drift_by_window,
     "stream_score": q_stream_score,
     "stream_drift_batch": q_stream_drift_batch,
     "stream_drift_window": q_stream_drift_window,
 }
 
+SQL_DRIFT_BY_WINDOW = _psi_sql("CAST(epoch(date_trunc('day', ts)) AS BIGINT)", "window_start", _EV_NEW)
+
 ORACLES = {
+    "drift_by_window": SQL_DRIFT_BY_WINDOW,
     "stream_drift_batch": SQL_STREAM_DRIFT_BATCH,
     "stream_drift_window": SQL_STREAM_DRIFT_WINDOW,
 }
