@@ -11,7 +11,7 @@ from tabwatch.operators.prep import collapse, column_checks, fill_median, shift_
 from tabwatch.operators.profile import build_profile, open_edges, quantile_edges
 from tabwatch.operators.reshape import to_long
 from tabwatch.plans import sqlfrag as S
-from tabwatch.plans.drift_queries import BASE_SQL, FEATS, NULLED_SQL, R
+from tabwatch.plans.drift_queries import BASE_SQL, FEATS, NULLED_SQL, R, SQL_PSI_EMPIRICAL
 from tabwatch.plans.tables import lineitem_baseline, sql_nulls, table, with_nulls
 from tabwatch.session import scratch_path
 from tabwatch.sources.baseline import load_baseline, save_baseline, save_legacy
@@ -115,6 +115,19 @@ SQL_BASELINE_LEGACY_MIGRATE = f"""
 SELECT *, 10 AS n_bins FROM ({_sql_open_edges(BASE_SQL, 'exact')})
 """
 
+def q_psi_from_saved_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Build and save the baseline file, then reuse it (K2) to score the new
+    rows with the stored counts: equals the empirical PSI report."""
+    from tabwatch.operators.drift import psi_report
+    from tabwatch.operators.profile import ensure_baseline
+    from tabwatch.plans.tables import lineitem_new
+    path = scratch_path(spark, "baseline_reuse")
+    ensure_baseline(spark, path, lineitem_baseline(spark, sf_dir), FEATS, 10, levels="exact")
+    reused = ensure_baseline(spark, path, None, FEATS, 10)          # loaded from the file
+    rep = psi_report(reused, lineitem_new(spark, sf_dir), "empirical")
+    return rep.select("feature", F.round("psi", R).alias("psi"), "bins", "new_total")
+
+
 RECORD_SCHEMA = T.StructType([
     T.StructField("l_quantity", T.DoubleType()),
     T.StructField("l_extendedprice", T.DoubleType()),
@@ -269,6 +282,7 @@ FROM t
 """
 
 QUERIES = {
+    "psi_from_saved_baseline": q_psi_from_saved_baseline,
     "csv_scan_nulls": q_csv_scan_nulls,
     "parquet_overwrite_roundtrip": q_parquet_overwrite_roundtrip,
     "baseline_roundtrip": q_baseline_roundtrip,
@@ -283,6 +297,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "psi_from_saved_baseline": SQL_PSI_EMPIRICAL,
     "csv_scan_nulls": SQL_CSV_SCAN_NULLS,
     "parquet_overwrite_roundtrip": SQL_PARQUET_OVERWRITE_ROUNDTRIP,
     "baseline_roundtrip": SQL_BASELINE_ROUNDTRIP,
