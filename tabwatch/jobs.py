@@ -7,6 +7,9 @@ a tracking service.  Usable as functions or from the command line::
 
     python -m tabwatch.jobs monitor --train data/train.csv --new data/new.csv \\
         --baseline out/baseline --features Age,SibSp,Parch,Fare --report out/psi
+    python -m tabwatch.jobs register --runlog out/runs --versions out/versions --name model
+    python -m tabwatch.jobs predict --versions out/versions --name model \\
+        --input data/test.csv --out out/predictions
 """
 
 from __future__ import annotations
@@ -153,6 +156,18 @@ def main(argv=None) -> None:
     r = sub.add_parser("runs")
     r.add_argument("--runlog", required=True)
     r.add_argument("--metric", default="val_auc")
+    g = sub.add_parser("register")
+    g.add_argument("--runlog", required=True)
+    g.add_argument("--versions", required=True)
+    g.add_argument("--name", required=True)
+    g.add_argument("--metric", default="val_auc")
+    g.add_argument("--keep-existing", action="store_true",
+                   help="do not archive other Production versions")
+    s_ = sub.add_parser("predict")
+    s_.add_argument("--versions", required=True)
+    s_.add_argument("--name", required=True)
+    s_.add_argument("--input", required=True)
+    s_.add_argument("--out", required=True)
     a = p.parse_args(argv)
     from tabwatch.session import get_spark
     spark = get_spark()
@@ -162,6 +177,11 @@ def main(argv=None) -> None:
         print(json.dumps(out, default=str))
     elif a.cmd == "runs":
         runs(spark, a.runlog, a.metric).show(truncate=False)
+    elif a.cmd == "register":
+        print(json.dumps(register(spark, a.runlog, a.versions, a.name, a.metric,
+                                  archive_existing=not a.keep_existing)))
+    elif a.cmd == "predict":
+        print(json.dumps({"rows": predict(spark, a.versions, a.name, a.input, a.out)}))
 
 
 if __name__ == "__main__":

@@ -26,6 +26,12 @@ def test_workflow(spark):
     assert stages == {"1": "Archived", "2": "Production"}
     assert jobs.predict(spark, versions, "docs_rf", src, scratch_path(spark, "t_pred")) == n
     assert jobs.runs(spark, runlog, "val_auc").count() == 2
+    jobs.main(["register", "--runlog", runlog, "--versions", versions, "--name", "docs_rf",
+               "--keep-existing"])
+    stages = {r["version"]: r["stage"] for r in spark.read.parquet(versions).collect()}
+    assert stages == {"1": "Archived", "2": "Production", "3": "Production"}   # no archiving
+    jobs.main(["predict", "--versions", versions, "--name", "docs_rf", "--input", src,
+               "--out", scratch_path(spark, "t_pred_cli")])
 
     li = spark.read.parquet(f"{SF}/lineitem.parquet")
     cut = F.lit("1996-01-01").cast("timestamp_ntz")
