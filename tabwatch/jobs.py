@@ -153,6 +153,17 @@ def main(argv=None) -> None:
     m.add_argument("--expected", default="uniform", choices=["uniform", "empirical"])
     m.add_argument("--report")
     m.add_argument("--runlog")
+    for cmd in ("preprocess", "train"):
+        x = sub.add_parser(cmd)
+        x.add_argument("--input", required=True)
+        x.add_argument("--out", required=True, help="feature table (preprocess) or model (train)")
+        x.add_argument("--num", required=True, help="numeric columns, comma separated")
+        x.add_argument("--cat", default="", help="categorical columns, comma separated")
+        x.add_argument("--label", required=True)
+        x.add_argument("--key", help="key column for splits and folds")
+        x.add_argument("--clean", help="two-way category collapse col:keep:default")
+        if cmd == "train":
+            x.add_argument("--runlog", required=True)
     r = sub.add_parser("runs")
     r.add_argument("--runlog", required=True)
     r.add_argument("--metric", default="val_auc")
@@ -171,7 +182,17 @@ def main(argv=None) -> None:
     a = p.parse_args(argv)
     from tabwatch.session import get_spark
     spark = get_spark()
-    if a.cmd == "monitor":
+    if a.cmd in ("preprocess", "train"):
+        spec = FeatureSpec(num=tuple(c for c in a.num.split(",") if c),
+                           cat=tuple(c for c in a.cat.split(",") if c), label=a.label, key=a.key)
+        clean = tuple(a.clean.split(":")) if a.clean else None
+        if a.cmd == "preprocess":
+            print(json.dumps({"rows": preprocess(spark, a.input, a.out, spec, clean=clean)}))
+        else:
+            if not spec.key:
+                raise SystemExit("train needs --key")
+            print(json.dumps(train(spark, a.input, spec, a.out, a.runlog, clean=clean)))
+    elif a.cmd == "monitor":
         out = monitor(spark, a.baseline, a.new, a.features.split(","), a.train, a.bins, a.warn,
                       a.alert, a.expected, a.report, a.runlog)
         print(json.dumps(out, default=str))

@@ -32,6 +32,12 @@ def test_workflow(spark):
     assert stages == {"1": "Archived", "2": "Production", "3": "Production"}   # no archiving
     jobs.main(["predict", "--versions", versions, "--name", "docs_rf", "--input", src,
                "--out", scratch_path(spark, "t_pred_cli")])
+    jobs.main(["preprocess", "--input", src, "--out", scratch_path(spark, "t_feat_cli"),
+               "--num", "n_chars", "--cat", "lang,source", "--label", "quality",
+               "--clean", "lang:en:other"])
+    jobs.main(["train", "--input", src, "--out", scratch_path(spark, "t_m_cli"), "--runlog", runlog,
+               "--num", "n_chars", "--cat", "lang,source", "--label", "quality", "--key", "doc_id"])
+    assert jobs.runs(spark, runlog, "val_auc").count() == 3
 
     li = spark.read.parquet(f"{SF}/lineitem.parquet")
     cut = F.lit("1996-01-01").cast("timestamp_ntz")
