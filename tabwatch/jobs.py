@@ -106,11 +106,12 @@ def register(spark, runlog: str, versions: str, name: str, metric: str = "val_au
 def monitor(spark, baseline: str, new: str, features: list[str], train_src: str | None = None,
             n_bins: int = 10, warn: float | None = 0.10, alert: float = 0.25,
             expected: str = "uniform", report_out: str | None = None, runlog: str | None = None,
-            schema=None) -> dict:
+            schema=None, levels: str = "linspace") -> dict:
     """Baseline (reuse or build) -> PSI per feature -> status (-> log)."""
-    spec = DriftSpec(features=tuple(features), n_bins=n_bins, warn=warn, alert=alert, expected=expected)
+    spec = DriftSpec(features=tuple(features), n_bins=n_bins, warn=warn, alert=alert, expected=expected,
+                     levels=levels)
     train_df = _read(spark, train_src, schema) if train_src else None
-    prof = ensure_baseline(spark, baseline, train_df, features, n_bins)
+    prof = ensure_baseline(spark, baseline, train_df, features, n_bins, levels=levels)
     new_df = _read(spark, new, schema)
     require_columns(new_df, features)
     rep = psi_report(prof, new_df, expected)
@@ -151,6 +152,7 @@ def main(argv=None) -> None:
     m.add_argument("--warn", type=float, default=0.10)
     m.add_argument("--alert", type=float, default=0.25)
     m.add_argument("--expected", default="uniform", choices=["uniform", "empirical"])
+    m.add_argument("--levels", default="linspace", choices=["linspace", "exact", "percent"])
     m.add_argument("--report")
     m.add_argument("--runlog")
     for cmd in ("preprocess", "train"):
@@ -194,7 +196,7 @@ def main(argv=None) -> None:
             print(json.dumps(train(spark, a.input, spec, a.out, a.runlog, clean=clean)))
     elif a.cmd == "monitor":
         out = monitor(spark, a.baseline, a.new, a.features.split(","), a.train, a.bins, a.warn,
-                      a.alert, a.expected, a.report, a.runlog)
+                      a.alert, a.expected, a.report, a.runlog, levels=a.levels)
         print(json.dumps(out, default=str))
     elif a.cmd == "runs":
         runs(spark, a.runlog, a.metric).show(truncate=False)

@@ -61,6 +61,6 @@ def test_command_line_monitor(spark, capsys):
     li.where(F.col("l_shipdate") < cut).write.parquet(base)
     li.where(F.col("l_shipdate") >= cut).write.parquet(new)
     jobs.main(["monitor", "--baseline", scratch_path(spark, "c_bl"), "--new", new, "--train", base,
-               "--features", "l_quantity,l_discount", "--expected", "empirical"])
+               "--features", "l_quantity,l_discount", "--expected", "empirical", "--levels", "exact"])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["n_features"] == 2 and out["status"] in ("OK", "WARN", "ALERT")
