@@ -4,13 +4,14 @@ correctness gate), and the rows-only queries for non-empty, stable output."""
 import pytest
 
 import __spark_entry__ as E
+from tabwatch.plans.registry import all_oracles, all_queries
 from tabwatch.testing import compare_frames, duck_connect, forbidden_nodes
 
 SF = "/root/testdata/sf0.01"
-QUERIES = E.queries()
+QUERIES = all_queries()
 SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
              "boolean": "BOOLEAN"}
-ORACLES = E.oracle_sql()
+ORACLES = all_oracles()
 
 
 @pytest.fixture(scope="module")
