@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwatch.llm import exact_dedup, fair_mix, packing, token_counts, token_files
+from tabwatch.llm import exact_dedup, fair_mix, packing, quality_divergence, secret_ownership, token_counts, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_divergence.quality_rules(_table(spark, sf_dir, "documents"))
+
+
+def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_ownership.scan_secrets(_table(spark, sf_dir, "documents"))
+
+
 def op4_fair_queue_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix.mix_shares(_table(spark, sf_dir, "documents"))
 
@@ -31,7 +39,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_fair_queue_mix, op5_token_counts, op7_exact_dedup, op8_sum_of_squares_packing,
+QUERIES = {f.__name__: f for f in (op1_distribution_divergence, op3_secret_ownership, op4_fair_queue_mix, op5_token_counts, op7_exact_dedup, op8_sum_of_squares_packing,
                                    op9_token_files)}
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
