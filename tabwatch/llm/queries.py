@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwatch.llm import exact_dedup, fair_mix, packing, quality_divergence, secret_ownership, token_counts, token_files
+from tabwatch.llm import exact_dedup, fair_mix, ngram_join, packing, quality_divergence, secret_ownership, token_counts, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(_table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -39,7 +43,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_distribution_divergence, op3_secret_ownership, op4_fair_queue_mix, op5_token_counts, op7_exact_dedup, op8_sum_of_squares_packing,
+QUERIES = {f.__name__: f for f in (op1_distribution_divergence, op3_secret_ownership, op4_fair_queue_mix, op5_token_counts, op6_ngram_jaccard, op7_exact_dedup, op8_sum_of_squares_packing,
                                    op9_token_files)}
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
