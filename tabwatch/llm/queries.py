@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwatch.llm import exact_dedup, fair_mix, ngram_join, packing, quality_divergence, secret_ownership, token_counts, token_files
+from tabwatch.llm import (exact_dedup, fair_mix, mil_quality, ngram_join, packing, pii_disclosure, quality_divergence,
+                          secret_ownership, token_counts, token_files)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +16,10 @@ def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_divergence.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op2_disclosure_sanitisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_disclosure.personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op3_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_ownership.scan_secrets(_table(spark, sf_dir, "documents"))
 
@@ -43,8 +48,13 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_distribution_divergence, op3_secret_ownership, op4_fair_queue_mix, op5_token_counts, op6_ngram_jaccard, op7_exact_dedup, op8_sum_of_squares_packing,
-                                   op9_token_files)}
+def op10_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return mil_quality.score(docs, mil_quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
+QUERIES = {f.__name__: f for f in (op1_distribution_divergence, op2_disclosure_sanitisation, op3_secret_ownership, op4_fair_queue_mix, op5_token_counts, op6_ngram_jaccard, op7_exact_dedup, op8_sum_of_squares_packing,
+                                   op9_token_files, op10_attention_quality)}
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
