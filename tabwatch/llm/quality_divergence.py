@@ -109,7 +109,8 @@ def _verdict(df: DataFrame, c: dict[str, str]) -> tuple[Column, Column, Column,
     n_chars = F.aggregate(c["classes"], F.lit(0).cast("long"), lambda t, x: t + x)
     far = (((n_chars >= MIN_JUDGED_CHARS) & (chars > MAX_CHAR_DISTANCE))
            | ((F.col(c["n_words"]) >= MIN_JUDGED_WORDS) & (words_ > MAX_WORD_DISTANCE)))
-    return failed, chars, words_, ~failed & ~F.coalesce(far, F.lit(False))
+    # one term with the reference's columns in it: pushed below the join, its measures would be computed again per use
+    return failed, chars, words_, ~F.coalesce(failed | far, failed)
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
