@@ -58,7 +58,84 @@ QUERIES = {f.__name__: f for f in (op1_distribution_divergence, op2_disclosure_s
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
+_LISTS = " ".join(f"WHEN '{lang}' THEN {words!r}" for lang, words in quality_divergence.COMMON_WORDS.items())
+_CLASS_COUNTS = ", ".join("len(regexp_extract_all(t, '" + p.replace("'", "''").replace('\\"', '"') + "'))" for p in quality_divergence.CLASSES)
+
+
+def _distance(counts: str, reference: str) -> str:
+    """SQL of the Jensen-Shannon distance of two lists of counts."""
+    x, y = f"{counts}[i] / list_sum({counts})", f"{reference}[i] / list_sum({reference})"
+    part = lambda z: f"CASE WHEN {z} > 0 THEN {z} * ln({z} / (({x} + {y}) / 2)) ELSE 0 END"
+    terms = f"list_transform(range(1, len({counts}) + 1), lambda i: {part(x)} + {part(y)})"
+    return (f"CASE WHEN list_sum({counts}) > 0 AND list_sum({reference}) > 0 THEN "
+            f"round(sqrt(greatest(list_sum({terms}) / 2 / ln(2), 0)), 6) END")
+
+
+_QUALITY = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT r, i, array_to_string(w[i:i + 7], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8)),
+again AS (SELECT r, i FROM (SELECT *, count(*) OVER (PARTITION BY r, g) AS c FROM win) WHERE c > 1),
+rep AS (SELECT r, count(DISTINCT i + k) AS n_repeat FROM again, (SELECT unnest(range(0, 8)) AS k) GROUP BY r),
+dup AS (SELECT r, count(*) - count(DISTINCT l) AS n_dup FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d)
+        WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r),
+counted AS (SELECT *, length(array_to_string(w, '')) AS word_chars, [{_CLASS_COUNTS}] AS found, CASE lang {_LISTS} END AS cw FROM d),
+hist AS (SELECT *, [word_chars - list_sum(found), length(t) - word_chars] || found AS classes,
+           list_transform(cw, lambda c: len(list_filter(w, lambda x: x = c))) AS hits FROM counted),
+full_hist AS (SELECT *, hits || [len(w) - list_sum(hits)] AS common FROM hist),
+refs AS (SELECT lang AS ref_lang, [{", ".join(f"sum(classes[{i}])" for i in range(1, 8))}] AS ref_classes,
+           [{", ".join(f"sum(common[{i}])" for i in range(1, 22))}] AS ref_common FROM full_hist WHERE cw IS NOT NULL GROUP BY lang),
+judged AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars, found[3]::BIGINT AS n_symbols,
+             coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat, 0)::BIGINT AS n_repeat_words, length(t) AS n_chars,
+             {_distance("classes", "ref_classes")} AS char_distance, {_distance("common", "ref_common")} AS word_distance
+           FROM full_hist LEFT JOIN rep USING (r) LEFT JOIN dup USING (r) LEFT JOIN refs ON lang = ref_lang),
+failed AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM judged)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_distance, word_distance,
+       NOT coalesce(base_failed OR (n_chars >= {quality_divergence.MIN_JUDGED_CHARS} AND char_distance > {quality_divergence.MAX_CHAR_DISTANCE})
+                    OR (n_words >= {quality_divergence.MIN_JUDGED_WORDS} AND word_distance > {quality_divergence.MAX_WORD_DISTANCE}), base_failed) AS kept
+FROM failed"""
+
+
+def _secret_kind(k: int, kind: str, pattern: str, group: int, least: int) -> str:
+    p = pattern.replace("'", "''")
+    return (f"SELECT r, '{kind}' AS kind, {k} AS k, sum(length(gap) + length(hit)) OVER (PARTITION BY r ORDER BY i) AS e, length(hit) AS n, value "
+            f"FROM (SELECT r, unnest(string_split_regex(t, '{p}')) AS gap, unnest(regexp_extract_all(t, '{p}', 0)) AS hit, "
+            f"unnest(regexp_extract_all(t, '{p}', {group})) AS value, unnest(range(1, len(string_split_regex(t, '{p}')) + 1)) AS i FROM d) "
+            f"WHERE hit IS NOT NULL QUALIFY length(value) >= {least}")
+
+
+_SECRETS = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, chr(1)) AS owner, coalesce(text, '') AS t FROM documents),
+found AS ({" UNION ALL ".join(f"({_secret_kind(k, *x)})" for k, x in enumerate((*secret_ownership.BASE_KINDS, secret_ownership.OPAQUE)))}),
+looked AS (SELECT *, len(list_distinct(string_split(value, ''))) >= {secret_ownership.LIVE_VARIETY} AND regexp_matches(value, '[0-9]')
+             AND regexp_matches(value, '[A-Za-z]') AS random FROM found),
+cand AS (SELECT c.*, owner FROM looked c JOIN d USING (r) WHERE kind <> 'opaque' OR random),
+owned AS (SELECT value, count(DISTINCT owner) AS n_owners FROM cand GROUP BY value),
+judged AS (SELECT *, n_owners >= {secret_ownership.EXAMPLE_OWNERS} AS copied, random AND n_owners = 1 AS live FROM cand JOIN owned USING (value)),
+per AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+          string_agg(kind || ':' || (e - n) || ':' || e, ',' ORDER BY e - n, k) FILTER (kind <> 'opaque') AS base,
+          string_agg(kind || ':' || (e - n) || ':' || e, ',' ORDER BY e - n, k) AS spans,
+          count(*) FILTER (live) AS n_live, count(*) FILTER (copied) AS n_copied
+        FROM judged WHERE kind <> 'opaque' OR live GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0)::BIGINT AS n_live, coalesce(n_copied, 0)::BIGINT AS n_copied
+FROM d LEFT JOIN per USING (r)"""
+
+_SIMILAR = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS g FROM (SELECT r, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT r, count(*) AS n FROM grams GROUP BY r),
+met AS (SELECT a.r AS u, b.r AS v, count(*) AS o FROM grams a JOIN grams b ON a.g = b.g AND a.r <> b.r GROUP BY ALL),
+links AS (SELECT u, v FROM met JOIN sizes a ON a.r = u JOIN sizes b ON b.r = v WHERE 100 * o >= 85 * (a.n + b.n - o)),
+reach(u, v) AS (SELECT r, r FROM d UNION SELECT reach.u, links.v FROM reach JOIN links ON reach.v = links.u)
+SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
+FROM d LEFT JOIN sizes USING (r) JOIN reach ON reach.u = d.r JOIN d o ON o.r = reach.v GROUP BY d.r, d.doc_id"""
+
 ORACLES: dict[str, str] = {
+    "op1_distribution_divergence": _QUALITY,
+    "op3_secret_ownership": _SECRETS,
+    "op6_ngram_jaccard": _SIMILAR,
     "op4_fair_queue_mix": rf"""
 WITH docs AS (SELECT doc_id, source, {_WORDS}::BIGINT AS size FROM documents),
 keyed AS (SELECT *, ('0x' || substr(md5('{fair_mix.SEED}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || size::VARCHAR), 1, 15))::BIGINT AS k FROM docs),

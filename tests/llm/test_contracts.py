@@ -1,0 +1,154 @@
+"""The registered queries against brute force or their oracle SQL."""
+
+from collections import Counter, defaultdict
+
+import pytest
+
+import __spark_entry__ as E
+from tabwatch.llm import queries as Q
+from tabwatch.testing import compare_frames, duck_connect, plan_text
+from tests.llm import brute
+from tests.llm.conftest import SF
+
+SQL_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+def got(spark, name, *columns):
+    return Counter(tuple(r) for r in Q.QUERIES[name](spark, SF).select(*columns).collect())
+
+
+@pytest.mark.parametrize("name", sorted(Q.ORACLES))
+def test_query_matches_oracle(spark, name):
+    df = Q.QUERIES[name](spark, SF)
+    rel = duck_connect(SF).sql(Q.ORACLES[name])
+    assert {f.name: SQL_TYPES[f.dataType.simpleString()] for f in df.schema.fields} == dict(zip(rel.columns, map(str, rel.types)))
+    ok, msg = compare_frames(df.toPandas(), rel.df())
+    assert ok, msg
+
+
+@pytest.mark.parametrize("name", ["op1_distribution_divergence", "op3_secret_ownership", "op4_fair_queue_mix"])
+def test_native_queries_run_no_python(spark, name):
+    text = plan_text(Q.QUERIES[name](spark, SF))
+    assert not any(n in text for n in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
+
+
+def test_quality_base(spark, documents):
+    assert got(spark, "op1_distribution_divergence", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+               "base_failed") == Counter(brute.quality(documents))
+
+
+def test_quality_keeps_the_good_and_drops_the_bad(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    n = Counter(tuple(r) for r in Q.op1_distribution_divergence(spark, SF).join(labels, "doc_id").where("not base_failed").select("quality", "kept").collect())
+    assert n[1, False] == 0 and n[0, False] > 3 * n[0, True]
+
+
+def test_personal_data(spark, documents):
+    assert got(spark, "op2_disclosure_sanitisation", "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == Counter(brute.personal(documents))
+
+
+def test_secrets(spark, documents):
+    assert got(spark, "op3_secret_ownership", "doc_id", "n_assign", "n_access", "n_hex", "base_sha256") == Counter(brute.secrets(documents))
+
+
+def test_mix_meets_targets(spark, documents):
+    size, total = {}, Counter()
+    for doc, text, _, source in documents:
+        size[doc] = (len(brute.words(text)), source)
+        total[source] += size[doc][0]
+    want, taken = brute.targets(total), Counter()
+    for doc, n, all_, target, took in got(spark, "op4_fair_queue_mix", "doc_id", "size", "source_size", "target", "taken"):
+        source = size[doc][1]
+        assert (n, all_) == (size[doc][0], total[source]) and 0 <= took <= 2 * n
+        assert target == pytest.approx(want[source])
+        taken[source] += took
+    assert all(abs(taken[s] - want[s]) <= 1 for s in want)
+
+
+def test_token_counts(spark, documents):
+    import public_tokenizers
+    import sentencepiece
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    want = Counter()
+    for doc, text, *_ in documents:
+        n = len(model.encode(text or ""))
+        want[doc, len((text or "").encode()), n, n > 4096] += 1
+    assert got(spark, "op5_token_counts", "doc_id", "n_bytes", "n_tokens", "over_limit") == want
+
+
+def test_similar(spark, documents):
+    assert got(spark, "op6_ngram_jaccard", "doc_id", "n_shingles", "component_id") == Counter(brute.similar(documents))
+
+
+def test_exact(spark, documents):
+    assert got(spark, "op7_exact_dedup", "doc_id", "keep_id", "group_size", "kept", "text_sha256") == Counter(brute.exact(documents))
+
+
+def test_packing(spark, documents):
+    tokenizer = brute.bpe()
+    ids = [(doc, tokenizer.encode(text or "", add_special_tokens=False).ids + [1]) for doc, text, *_ in documents]
+    sizes = brute.check_packing(list(got(spark, "op8_sum_of_squares_packing", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset").elements()), ids)
+    assert sum(s == 2048 for s in sizes) >= len(sizes) - 8 * 11
+
+
+def test_token_files(spark, documents):
+    tokenizer, at, want = brute.bpe(), 0, Counter()
+    for doc, text, *_ in sorted(documents):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [0]
+        want[doc, at, len(ids), brute.crc(ids)] += 1
+        at += len(ids)
+    assert got(spark, "op9_token_files", "doc_id", "start", "n_tokens", "ids_crc32") == want
+
+
+def test_quality_scores(spark):
+    import zlib
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    right, n = 0, 0
+    for doc, out, score, predicted in got(spark, "op10_attention_quality", "doc_id", "held_out", "score", "predicted"):
+        assert out == (zlib.crc32(str(doc).encode()) % 3 == 1) and 0 <= score <= 1 and predicted == (score >= 0.5)
+        if out and doc in labels:
+            right, n = right + (predicted == labels[doc]), n + 1
+    assert n > 50 and right / n > 0.95
+
+
+def test_every_operator_is_registered_once():
+    names = list(Q.QUERIES)
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert set(names) | {"pipeline"} <= set(E.queries()) and set(Q.ORACLES) <= set(E.oracle_sql())
+
+
+def pipeline_rows(spark, documents):
+    """What the stages before packing keep, by brute force: (doc_id, text, source)."""
+    kept_ids = {r.doc_id for r in Q.op1_distribution_divergence(spark, SF).where("kept").collect()}
+    rows = [r for r in documents if r[0] in kept_ids]
+    keep = {k[0] for k in brute.exact(rows) if k[3]}
+    rows = [r for r in rows if r[0] in keep]
+    label = {d: c for d, _, c in brute.similar(rows, 5, 80)}
+    return [r for r in rows if label[r[0]] == r[0]]
+
+
+def test_pipeline(spark, documents):
+    rows = pipeline_rows(spark, documents)
+    text = {r[0]: r[1] for r in rows}
+    tokenizer = brute.bpe()
+    whole = {d: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for d, t in text.items()}
+    source, total = {r[0]: r[3] for r in rows}, Counter()
+    for doc, t, _, s in rows:
+        total[s] += len(brute.words(t))
+    pieces = E.queries()["pipeline"](spark, SF).collect()
+    have, cut, sequences = Counter(), set(), defaultdict(int)
+    for p in pieces:
+        assert p.doc_id in text
+        have[p.doc_id, p.doc_tokens] += p.length
+        sequences[p.sequence_id] += p.length
+        if p.doc_tokens != whole[p.doc_id]:
+            cut.add((source[p.doc_id], p.doc_id))
+    assert all(n in (size, 2 * size) for (_, size), n in have.items())
+    assert all(n == 2048 or n & (n - 1) == 0 for n in sequences.values())
+    assert len(cut) <= len(total) and len({s for s, _ in cut}) == len(cut)      # one document at most is cut in each source
+    want, took = brute.targets(total), Counter()
+    for (doc, size), n in have.items():
+        if size == whole[doc]:
+            took[source[doc]] += n // size * len(brute.words(text[doc]))
+    most = {s: max(len(brute.words(r[1])) for r in rows if r[3] == s) for s in total}
+    assert all(0 <= want[s] - took[s] <= most[s] for s in total)
