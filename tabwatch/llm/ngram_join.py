@@ -251,7 +251,8 @@ def _partners(docs: DataFrame, digests: DataFrame, text_col: str, n: int, percen
     able = stored(sets.where(F.col("held") >= least_overlap(F.col("n"), percent)), "ngram-sets")
     index = stored(able.select("node", F.col("n").cast("long").alias("n"), "held", "parts").mapInArrow(
         _prefixes(percent), "gram long, node long, n long, held long"), "ngram-index")
-    part = F.pmod(F.col("x.f"), F.lit(PARTS)).cast("int")
+    # the heavy n-grams are a part of their own, whatever fragment carried them
+    part = F.when(F.col("x.f") < 0, F.lit(PARTS)).otherwise(F.pmod(F.col("x.f"), F.lit(PARTS))).cast("int")
     parts = (able.select("node", F.explode("parts").alias("x")).groupBy("node", part.alias("part"))
              .agg(F.flatten(F.collect_list("x.ids")).alias("ids")))
     return index, stored(parts, "ngram-parts")

@@ -102,10 +102,9 @@ def similar(rows, n=4, percent=85):
     sets = [ngrams(t, n) for _, t, *_ in rows]
     least = {}
     for (doc, *_), s in zip(rows, sets):
-        if s and doc is not None:
-            least[s] = min(least.get(s, doc), doc)
-        elif s:
-            least.setdefault(s, None)
+        if s:
+            ids = [x for x in (least.get(s), doc) if x is not None]
+            least[s] = min(ids, default=None)
     kinds = list(least)
     parent = list(range(len(kinds)))
 
