@@ -42,6 +42,8 @@ PARTS = 4
 #: An n-gram is heavy when this share of all documents has it: of a set's average
 #: length divided by the share there are so many heavy n-grams at most.
 HEAVY, HEAVY_IN_BATCH = 0.005, 32
+#: 64-bit words of the sketch of a set, one bit per n-gram that it shares.
+SKETCH = 16
 #: Entries of a worker's cache of word hashes.
 CACHED = 300_000
 
@@ -192,11 +194,13 @@ def _shared(heavy_counts: np.ndarray):
 
 
 def _prefixes(percent: int):
-    """Index rows (gram, node, n, held): the prefix of each set in order of (count,
-    id), less what no other document has, which comes first."""
+    """Index rows (gram, node, n, held, rest): the prefix of each set in order of
+    (count, id), less what no other document has, which comes first; ``rest``
+    counts the set's n-grams from this one on.  A set's first row has its sketch
+    and its whole prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [[], [], [], []]
+            found, sketches, wholes = [[], [], [], [], []], [], []
             for node, n, held, parts in zip(*(batch.column(i) for i in range(4))):
                 node, n, held = node.as_py(), n.as_py(), held.as_py()
                 parts = parts.values
@@ -204,10 +208,18 @@ def _prefixes(percent: int):
                 counts = np.concatenate([parts.field("counts")[i].values.to_numpy() for i in range(len(parts))])
                 take = n - (percent * n + 99) // 100 + 1 - (n - held)
                 grams = ids[np.lexsort((ids, counts))[:take]]
-                for column, value in zip(found, (grams, *(np.full(len(grams), x, dtype=np.int64) for x in (node, n, held)))):
+                rest = held - np.arange(len(grams), dtype=np.int64)
+                for column, value in zip(found, (grams, *(np.full(len(grams), x, dtype=np.int64) for x in (node, n, held)), rest)):
                     column.append(value)
+                if len(grams):
+                    bits = np.zeros(64 * SKETCH, dtype=np.uint8)
+                    bits[ids.astype(np.uint64) % np.uint64(64 * SKETCH)] = 1
+                    sketches += [np.packbits(bits).view(np.int64).tolist(), *[None] * (len(grams) - 1)]
+                    wholes += [grams, *[None] * (len(grams) - 1)]
             if found[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in found], names=["gram", "node", "n", "held"])
+                yield pa.RecordBatch.from_arrays([*(pa.array(np.concatenate(x)) for x in found), pa.array(sketches, pa.list_(pa.int64())),
+                                                  pa.array(wholes, pa.list_(pa.int64()))],
+                                                 names=["gram", "node", "n", "held", "rest", "sketch", "prefix"])
     return run
 
 
@@ -221,9 +233,20 @@ def _overlaps(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return counted.where(100 * F.col("o") >= percent * (F.col("n_u") + F.col("n_v") - F.col("o"))).select("u", "v")
 
 
-def _can_match(n_u: str, n_v: str, held_u: str, held_v: str, percent: int) -> Column:
-    """Whether sets of these sizes, of which so much is shared at all, can be similar."""
-    return (F.least(held_u, held_v) * (100 + percent) >= percent * (F.col(n_u) + F.col(n_v)))
+def _can_match(n_u: str, n_v: str, rest_u: str, rest_v: str, percent: int) -> Column:
+    """Whether sets of these sizes can be similar if the n-gram at hand is the
+    first that they share, so that they overlap in what comes from it on at most.
+    Similar sets pass at their first shared n-gram, wherever else they fail."""
+    return F.least(rest_u, rest_v) * (100 + percent) >= percent * (F.col(n_u) + F.col(n_v))
+
+
+def _sketches_allow(percent: int) -> Column:
+    """Whether the sketches of two sets let them be similar: a bit that the
+    other's sketch lacks is an n-gram, at least, that the other lacks."""
+    def overlap(held: str, own: str, other: str) -> Column:
+        return F.col(held) - sum(F.bit_count(F.col(own)[i].bitwiseAND(F.bitwise_not(F.col(other)[i]))) for i in range(SKETCH))
+    most = F.least(overlap("held_u", "sketch_u", "sketch"), overlap("held", "sketch", "sketch_u"))
+    return most * (100 + percent) >= percent * (F.col("n_u") + F.col("n"))
 
 
 def _partners(docs: DataFrame, digests: DataFrame, text_col: str, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -250,7 +273,7 @@ def _partners(docs: DataFrame, digests: DataFrame, text_col: str, n: int, percen
     sets = held.groupBy("node").agg(F.first("n").alias("n"), F.sum("held").alias("held"), F.collect_list(F.struct("f", "ids", "counts")).alias("parts"))
     able = stored(sets.where(F.col("held") >= least_overlap(F.col("n"), percent)), "ngram-sets")
     index = stored(able.select("node", F.col("n").cast("long").alias("n"), "held", "parts").mapInArrow(
-        _prefixes(percent), "gram long, node long, n long, held long"), "ngram-index")
+        _prefixes(percent), "gram long, node long, n long, held long, rest long, sketch array<long>, prefix array<long>"), "ngram-index")
     # the heavy n-grams are a part of their own, whatever fragment carried them
     part = F.when(F.col("x.f") < 0, F.lit(PARTS)).otherwise(F.pmod(F.col("x.f"), F.lit(PARTS))).cast("int")
     parts = (able.select("node", F.explode("parts").alias("x")).groupBy("node", part.alias("part"))
@@ -261,24 +284,30 @@ def _partners(docs: DataFrame, digests: DataFrame, text_col: str, n: int, percen
 def _around_centres(index: DataFrame, percent: int) -> DataFrame:
     """Pairs of every document of an n-gram with the one of it whose set has
     least of its own, the likeliest to be what the others were made from."""
-    centres = index.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.min_by(F.struct("node", "n", "held"), F.struct(F.col("n") - F.col("held"), F.col("node"))).alias("x"))
-    centres = stored(centres.where("c > 1").select("gram", F.col("x.node").alias("u"), F.col("x.n").alias("n_u"), F.col("x.held").alias("held_u")), "ngram-centres")
-    joined = index.join(centres, "gram").where((F.col("node") != F.col("u")) & _can_match("n_u", "n", "held_u", "held", percent))
+    centres = index.groupBy("gram").agg(F.count(F.lit(1)).alias("c"), F.min_by(F.struct("node", "n", "rest"), F.struct(F.col("n") - F.col("held"), F.col("node"))).alias("x"))
+    centres = stored(centres.where("c > 1").select("gram", F.col("x.node").alias("u"), F.col("x.n").alias("n_u"), F.col("x.rest").alias("rest_u")), "ngram-centres")
+    joined = index.join(centres, "gram").where((F.col("node") != F.col("u")) & _can_match("n_u", "n", "rest_u", "rest", percent))
     return joined.select("u", F.col("node").alias("v"), "n_u", F.col("n").alias("n_v")).distinct()
 
 
 def _across_components(index: DataFrame, parts_of: DataFrame, done: DataFrame, percent: int) -> DataFrame:
-    """Pairs that share an indexed n-gram and are in different components: one
-    of them is outside its n-gram's largest component."""
+    """Pairs that share an indexed n-gram and are in different components, each
+    at the first n-gram that they share: one of them is outside its n-gram's
+    largest component.  Only pairs that size, position and sketch allow leave the
+    join."""
     rows = index.join(parts_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rows = stored(rows, "ngram-index-components")
     sizes = rows.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("c"))
     largest = sizes.groupBy("gram").agg(F.count(F.lit(1)).alias("several"), F.max_by("component", F.struct("c", "component")).alias("largest"))
     open_ = stored(largest.where("several > 1").select("gram", "largest"), "ngram-open")
-    rows = stored(rows.join(open_, "gram"), "ngram-open-rows")
+    sketches = index.where("sketch is not null").select("node", "sketch", "prefix")
+    rows = stored(rows.drop("sketch", "prefix").join(open_, "gram").join(sketches, "node"), "ngram-open-rows")
     outside = rows.where(F.col("component") != F.col("largest")).select(
-        "gram", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("held").alias("held_u"), F.col("component").alias("of"))
-    met = outside.join(rows, "gram").where((F.col("component") != F.col("of")) & _can_match("n_u", "n", "held_u", "held", percent))
+        "gram", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("held").alias("held_u"),
+        F.col("rest").alias("rest_u"), F.col("sketch").alias("sketch_u"), F.col("prefix").alias("prefix_u"), F.col("component").alias("of"))
+    met = outside.join(rows, "gram").where((F.col("component") != F.col("of")) & _can_match("n_u", "n", "rest_u", "rest", percent)
+                                           & _sketches_allow(percent)
+                                           & (F.get(F.array_intersect("prefix_u", "prefix"), F.lit(0)) == F.col("gram")))
     met = met.select(*(F.when(F.col("u") < F.col("node"), F.col(a)).otherwise(F.col(b)).alias(name) for name, a, b in (
         ("u", "u", "node"), ("v", "node", "u"), ("n_u", "n_u", "n"), ("n_v", "n", "n_u")))).distinct()
     known = done.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
