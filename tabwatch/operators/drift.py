@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwatch.functions.levels import quantile_levels
-from tabwatch.operators.histogram import bin_grid, histogram_closed, histogram_open
+from tabwatch.operators.histogram import histogram_closed, histogram_open
 from tabwatch.operators.profile import build_profile
 from tabwatch.operators.quantiles import feature_quantiles
-from tabwatch.operators.reshape import features_frame, to_long
+from tabwatch.operators.reshape import features_frame
 from tabwatch.spec import (DRIFT_BATCH_ROWS, DRIFT_BATCH_SEED, PSI_EPS, RAW_LAST_EDGE_PAD,
                            RAW_SHARE_FLOOR, DriftSpec)
 from tabwatch.session import local_frame
@@ -27,41 +27,42 @@ def psi_term(p: Column, q: Column, eps: float = PSI_EPS) -> Column:
 
 
 def expected_grid(profile: DataFrame, expected: str = "empirical") -> DataFrame:
-    """``(feature, pos, bin, bins, p_raw)``: every bin of the profile with its
-    unnormalised expected weight (1/bins, or the baseline's count)."""
-    if expected == "empirical" and "counts" not in profile.columns:
-        raise ValueError("empirical shares need a profile with baseline counts "
-                         "(build_profile, or a baseline file written with counts)")
+    """``(feature, pos, bin, bins, p_raw, p_sum)``: every bin of the profile with
+    its unnormalised expected weight (1/bins, or the baseline's count) and their
+    sum.  Empirical weights need a profile with counts for every feature."""
     if expected == "uniform":
-        p_raw = F.lit(1.0) / F.col("bins").cast("double")
+        weights = F.array_repeat(F.lit(1.0) / F.col("bins").cast("double"), F.col("bins"))
     elif expected == "empirical":
-        p_raw = F.element_at("counts", F.col("bin") + 1).cast("double")
+        if "counts" not in profile.columns:
+            raise ValueError("empirical shares need the baseline's bin counts, which this profile lacks")
+        bare = [r["feature"] for r in profile.where("counts IS NULL").select("feature").collect()]   # of a row per feature
+        if bare:
+            raise ValueError(f"empirical shares need the baseline's bin counts; none stored for {bare}: "
+                             "rebuild the baseline or score with uniform shares")
+        weights = F.col("counts").cast("array<double>")
     else:
         raise ValueError(f"unknown expected mode {expected!r}")
-    extra = ["counts"] if expected == "empirical" else []
-    return (bin_grid(profile).join(profile.select("feature", "pos", "bins", *extra), "feature")
-            .select("feature", "pos", "bin", "bins", p_raw.alias("p_raw")))
+    total = F.aggregate(weights, F.lit(0.0), lambda t, x: t + x)
+    return profile.select("feature", "pos", "bins", total.alias("p_sum"),
+                          F.posexplode(F.slice(weights, F.lit(1), F.col("bins"))).alias("bin", "p_raw"))
 
 
-def psi_from_counts(counts: DataFrame, grid: DataFrame, keys: Sequence[str] = (),
-                    eps: float = PSI_EPS) -> DataFrame:
+def score_counts(counts: DataFrame, grid: DataFrame, keys: Sequence[str] = (),
+                 eps: float = PSI_EPS) -> DataFrame:
     """PSI per ``(*keys, feature)`` from observed ``(*keys, feature, bin, n)``
     counts and an expected grid.  Every group present in ``counts`` gets all
-    of its feature's bins (missing ones count 0).  The inputs are
-    configuration-sized (groups x features x bins), so are the windows.
+    of its feature's bins (missing ones count 0); without ``keys``, so does
+    every feature of the grid.  ``counts`` is read once: a group's bins are
+    gathered into one map, bounded by the bins of a feature.
     """
     keys = list(keys)
-    if keys:
-        groups = counts.select(*keys, "feature").distinct()
-        full = groups.join(grid, "feature")
-    else:
-        full = grid
-    full = (full.join(counts, keys + ["feature", "bin"], "left")
-                .withColumn("n", F.coalesce("n", F.lit(0).cast("bigint"))))
-    w = Window.partitionBy(*keys, "feature")
-    full = (full.withColumn("p", F.col("p_raw") / (F.sum("p_raw").over(w) + F.lit(eps)))
-                .withColumn("q", F.col("n").cast("double")
-                            / (F.sum("n").over(w).cast("double") + F.lit(eps))))
+    groups = counts.groupBy(*keys, "feature").agg(
+        F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct(F.col("bin").cast("int"), "n"))).alias("seen"))
+    full = grid.join(groups, "feature", "inner" if keys else "left")
+    n = F.coalesce(F.try_element_at("seen", F.col("bin").cast("int")), F.lit(0)).cast("bigint")
+    total = F.coalesce("total", F.lit(0)).cast("double")
+    full = full.withColumns({"n": n, "p": F.col("p_raw") / (F.col("p_sum") + F.lit(eps)),
+                             "q": n.cast("double") / (total + F.lit(eps))})
     return full.groupBy(*keys, "feature", "pos", "bins").agg(
         F.sum(psi_term(F.col("p"), F.col("q"), eps)).alias("psi"),
         F.sum("n").cast("bigint").alias("new_total"))
@@ -78,7 +79,7 @@ def psi_report(profile: DataFrame, new_df: DataFrame, expected: str = "empirical
     """
     grid = expected_grid(profile, expected)
     hist = histogram_open(new_df, profile, zero_fill=False)   # the grid fills zeros
-    rep = psi_from_counts(hist, grid, eps=eps)
+    rep = score_counts(hist, grid, eps=eps)
     cols = ["feature", "psi", F.col("bins").cast("int").alias("bins"), "new_total", "pos"]
     if annotate:
         cols.append(F.when(F.col("bins") <= 1, "unmeasurable")
@@ -134,13 +135,12 @@ def psi_raw_sample(expected_df: DataFrame, actual_df: DataFrame, features: Seque
     come with it) and one histogram pass over the new sample.
     """
     present = [f for f in features if f in actual_df.columns and f in expected_df.columns]
-    a_long = to_long(actual_df, present)
     bp = raw_breakpoints(expected_df, present, buckets, levels)
     e_h = bp.select("feature", F.posexplode("e_counts").alias("bin", "e_n"), "e_total") \
             .withColumn("bin", F.col("bin").cast("int"))
     # in-range bins plus an out-of-range bin (-1), whose sum is the new
     # sample's non-null total (the shares' denominator)
-    a_h = histogram_closed(a_long, bp, keep_outside=True).withColumnRenamed("n", "a_n")
+    a_h = histogram_closed(actual_df, bp, keep_outside=True).withColumnRenamed("n", "a_n")
     w = Window.partitionBy("feature")   # features x bins rows
     a_h = a_h.withColumn("a_total", F.sum("a_n").over(w))
     # a feature with no value in either sample is skipped (no division by zero)
@@ -163,21 +163,23 @@ def drift_status(report: DataFrame, alert: float = 0.25, warn: float | None = 0.
                  pos_col: str = "pos") -> DataFrame:
     """One row: ``max_psi, status, trigger, retrain, worst_feature, worst_psi, n_features``.
 
-    ALERT if any psi >= alert, else WARN if any psi >= warn (when warn is
-    set), else OK.  The worst feature is the largest psi, first in feature
-    order on ties.  An empty report gives OK with max_psi 0.
+    ALERT if any psi >= alert, else UNKNOWN if any psi is null (it could not be
+    measured), else WARN if any psi >= warn (when warn is set), else OK.  The
+    worst feature is the largest psi, first in feature order on ties.  An
+    empty report gives OK with max_psi 0.
     """
-    worst = F.max(F.struct(F.col("psi").alias("psi"), (-F.col(pos_col)).alias("neg_pos"),
+    worst = F.max(F.struct(F.when(~F.isnan("psi"), F.col("psi")).alias("psi"), (-F.col(pos_col)).alias("neg_pos"),
                            F.col("feature").alias("feature")))
     agg = report.agg(
-        F.coalesce(F.max("psi"), F.lit(0.0)).alias("max_psi"),
-        F.coalesce(F.bool_or(F.col("psi") >= F.lit(alert)), F.lit(False)).alias("_a"),
+        F.coalesce(F.max(F.when(~F.isnan("psi"), F.col("psi"))), F.lit(0.0)).alias("max_psi"),
+        F.coalesce(F.bool_or(~F.isnan("psi") & (F.col("psi") >= F.lit(alert))), F.lit(False)).alias("_a"),
         (F.coalesce(F.bool_or(F.col("psi") >= F.lit(warn)), F.lit(False)) if warn is not None
          else F.lit(False)).alias("_w"),
+        F.coalesce(F.bool_or(F.col("psi").isNull() | F.isnan("psi")), F.lit(False)).alias("_u"),
         worst.alias("_worst"),
         F.count(F.lit(1)).alias("n_features"))
-    status = F.when(F.col("_a"), "ALERT").when(F.col("_w"), "WARN").otherwise("OK")
-    trigger = (F.when(F.col("_a"), F.lit(f">= {alert}"))
+    status = F.when(F.col("_a"), "ALERT").when(F.col("_u"), "UNKNOWN").when(F.col("_w"), "WARN").otherwise("OK")
+    trigger = (F.when(F.col("_a"), F.lit(f">= {alert}")).when(F.col("_u"), F.lit("no psi"))
                 .when(F.col("_w"), F.lit(f">= {warn}")))
     return agg.select(
         "max_psi", status.alias("status"), trigger.alias("trigger"),
@@ -195,9 +197,10 @@ def with_status(report: DataFrame, alert: float = 0.25, warn: float | None = 0.1
     """
     w = Window.partitionBy()
     any_a = F.max((F.col("psi") >= F.lit(alert)).cast("int")).over(w) == 1
+    any_u = F.max((F.col("psi").isNull() | F.isnan("psi")).cast("int")).over(w) == 1
     any_w = (F.max((F.col("psi") >= F.lit(warn)).cast("int")).over(w) == 1) if warn is not None else F.lit(False)
     return (report.withColumn("max_psi", F.max("psi").over(w))
-                  .withColumn("status", F.when(any_a, "ALERT").when(any_w, "WARN").otherwise("OK"))
+                  .withColumn("status", F.when(any_a, "ALERT").when(any_u, "UNKNOWN").when(any_w, "WARN").otherwise("OK"))
                   .withColumn("retrain", F.when(any_a, 1).otherwise(0)))
 
 
@@ -246,11 +249,13 @@ def run_name(epoch_seconds: int, prefix: str = "drift") -> str:
 
 
 def monitor_log_rows(report: DataFrame, status: DataFrame, spec: DriftSpec, run_id: str,
-                     model_name: str = "model", model_stage: str = "Production") -> DataFrame:
+                     model_name: str = "model", model_stage: str = "Production",
+                     paths: dict[str, str] | None = None) -> DataFrame:
     """Run-log rows ``(run_id, kind, key, value, text)`` of one monitor run:
     metrics ``psi_<feature>``, ``psi_worst``, ``retraining_triggered``;
     params ``psi_bins``, ``psi_warn``, ``psi_alert``, ``drift_status``;
-    tags ``model_name``, ``model_stage``, ``psi_worst_feature``."""
+    tags ``model_name``, ``model_stage``, ``psi_worst_feature`` and those of
+    ``paths`` (``new_data_path``, ``baseline_path``)."""
     spark = report.sparkSession
     rid = F.lit(run_id)
     none_d, none_s = F.lit(None).cast("double"), F.lit(None).cast("string")
@@ -271,7 +276,8 @@ def monitor_log_rows(report: DataFrame, status: DataFrame, spec: DriftSpec, run_
     fixed = local_frame(spark, 
         [("param", "psi_bins", None, str(spec.n_bins)), ("param", "psi_warn", None, str(spec.warn)),
          ("param", "psi_alert", None, str(spec.alert)), ("tag", "model_name", None, model_name),
-         ("tag", "model_stage", None, model_stage)],
+         ("tag", "model_stage", None, model_stage),
+         *(("tag", k, None, v) for k, v in (paths or {}).items())],
         "kind string, key string, value double, text string").select(rid.alias("run_id"), "*")
     return metrics.unionByName(st).unionByName(fixed)
 
@@ -289,5 +295,5 @@ def psi_by_window(profile: DataFrame, df: DataFrame, time_col: str, window: str,
     counts = (rows.groupBy(F.window("_et", window).alias("w"), "feature", "bin")
                   .agg(F.count(F.lit(1)).alias("n"))
                   .select(F.unix_seconds(F.col("w.start")).alias("window_start"), "feature", "bin", "n"))
-    rep = psi_from_counts(counts, expected_grid(profile, expected), ["window_start"], eps)
+    rep = score_counts(counts, expected_grid(profile, expected), ["window_start"], eps)
     return rep.select("window_start", "feature", "psi", F.col("bins").cast("int").alias("bins"), "new_total")

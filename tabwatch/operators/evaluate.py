@@ -18,23 +18,26 @@ from pyspark.sql import functions as F
 
 from tabwatch.functions.search import count_le_sql
 from tabwatch.operators.quantiles import sketch_cuts
-
+from tabwatch.session import materialize
 
 
 def auc_rank_sum(df: DataFrame, label: str, score: str, buckets: int = 256,
                  accuracy: int = 2048) -> DataFrame:
-    """One row ``(auc, n_pos, n_neg)``; label 1 = positive, 0 = negative."""
+    """One row ``(auc, n_pos, n_neg)``; label 1 = positive, 0 = negative, any
+    other label fails the job.  Rows without a score or label are left out; a NaN
+    score ranks above all numbers.  The rows are read once: their distinct scores
+    are written, and the cuts and the sums read that."""
     y = F.col(label).cast("double")
+    known = F.when(y.isin(0.0, 1.0), y).otherwise(F.raise_error(F.concat(F.lit("label is neither 0 nor 1: "), y.cast("string"))).cast("double"))
     sc = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
             .groupBy(F.col(score).cast("double").alias("s"))
-            .agg(F.sum(F.when(y == 1.0, 1).otherwise(0)).cast("bigint").alias("p"),
-                 F.sum(F.when(y == 1.0, 0).otherwise(1)).cast("bigint").alias("n")))
+            .agg(F.sum(known).cast("bigint").alias("p"),
+                 F.sum(1.0 - known).cast("bigint").alias("n")))
+    sc = materialize(sc, "auc_scores")
     fine = [i / buckets for i in range(1, buckets)]
-    # at most `buckets` doubles come back (two-level sketch merge); they
-    # become literal cut points
-    row = sketch_cuts(sc, [("_s", F.col("s"))], fine, accuracy)
-    cut_vals = [float(c) for c in (row["_s_c"] or [])]
-    sb = sc.withColumn("_b", F.expr(count_le_sql("s", sorted(set(cut_vals)))))
+    # at most `buckets` doubles come back; they become literal cut points
+    cut_vals = sketch_cuts(sc, [("CASE WHEN NOT isnan(s) THEN 0 END", "s")], fine, accuracy).get(0, ([], 0))[0]
+    sb = sc.withColumn("_b", F.expr(count_le_sql("s", cut_vals)))
     bt = sb.groupBy("_b").agg(F.sum("n").alias("_bn"))
     w_off = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     bt = bt.withColumn("_off", F.coalesce(F.sum("_bn").over(w_off), F.lit(0)))  # buckets rows only

@@ -3,33 +3,19 @@
 Bins are assigned with a binary-search expression over the profile's
 literal cut points (codegen, log2(bins) compares per value), on the wide
 rows, before one narrow unpivot to ``(feature, bin)`` and a map-side
-combined count: the shuffle is at most features x bins rows per task.
-Profiles too large to inline fall back to a broadcast join of the cuts.
+combined count: the shuffle is at most features x bins rows per task.  A
+profile has one row per column of the data, so its cuts fit in the plan
+whenever the data's columns do.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwatch.functions.binning import bin_closed, bin_open
-from tabwatch.functions.search import count_le_sql, quoted
-from tabwatch.operators.reshape import to_long
-from tabwatch.session import local_frame
-
-# Profiles hold one row per feature.  Up to this many features the cut
-# points become literal expressions; beyond it they are broadcast (bounded
-# by this same check), and more than MAX_BROADCAST_FEATURES is refused.
-MAX_LITERAL_FEATURES = 256
-MAX_BROADCAST_FEATURES = 100_000
-
-
-def check_small(df: DataFrame, limit: int = MAX_BROADCAST_FEATURES,
-                what: str = "profile") -> DataFrame:
-    n = df.limit(limit + 1).count()
-    if n > limit:
-        raise ValueError(f"{what} has more than {limit} rows; it cannot be broadcast")
-    return df
+from tabwatch.functions.search import count_le_sql, quoted, sql_double
 
 
 def bin_grid(profile: DataFrame, bins_col: str = "bins") -> DataFrame:
@@ -38,38 +24,31 @@ def bin_grid(profile: DataFrame, bins_col: str = "bins") -> DataFrame:
 
 
 def _zero_fill(grid: DataFrame, counts: DataFrame) -> DataFrame:
-    # counts has at most one row per (feature, bin) of the checked profile
-    return (grid.join(F.broadcast(counts), ["feature", "bin"], "left")
+    return (grid.join(counts, ["feature", "bin"], "left")
                 .select("feature", "bin", F.coalesce("n", F.lit(0).cast("bigint")).alias("n")))
 
 
-def _profile_rows(profile: DataFrame, cols: list[str], limit: int):
-    rows = profile.select(*cols).limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
+def _binned(df: DataFrame, edges: list[tuple[str, list[float]]], ids: list[str],
+            bin_sql: Callable[[str, list[float]], str]) -> DataFrame:
+    """``(*ids, feature, bin)`` of the non-null values of the listed columns."""
+    present = [(f, e) for f, e in edges if f in df.columns]
+    if not present:
+        none = [F.lit(None).cast("string").alias("feature"), F.lit(None).cast("int").alias("bin")]
+        return df.select(*ids, *none).where(F.lit(False))
+    sel = []
+    for f, e in present:
+        x = f"CAST({quoted(f)} AS DOUBLE)"
+        sel.append(F.expr(f"CASE WHEN {x} IS NULL OR isnan({x}) THEN NULL ELSE {bin_sql(x, e)} END")
+                   .cast("int").alias(f))
+    return (df.select(*ids, *sel).unpivot(ids, [f for f, _ in present], "feature", "bin")
+              .where(F.col("bin").isNotNull()))
 
 
 def binned(df: DataFrame, profile: DataFrame, ids: list[str] | None = None) -> DataFrame:
     """``(*ids, feature, bin)``: one row per non-null feature value of the wide
     ``df`` with its open-ended bin.  Stateless, so it also runs on streams."""
-    ids = list(ids or [])
-    rows = _profile_rows(profile, ["feature", "cuts"], MAX_LITERAL_FEATURES)
-    if rows is not None:
-        present = [(r["feature"], r["cuts"]) for r in rows if r["feature"] in df.columns]
-        if not present:
-            return local_frame(df.sparkSession, [], "feature string, bin int")
-        sel = []
-        for f, cuts in present:
-            x = f"CAST({quoted(f)} AS DOUBLE)"
-            sel.append(F.expr(f"CASE WHEN {x} IS NULL OR isnan({x}) THEN NULL "
-                              f"ELSE {count_le_sql(x, cuts)} END").cast("int").alias(f))
-        names = [f for f, _ in present]
-        return (df.select(*ids, *sel).unpivot(ids, names, "feature", "bin")
-                  .where(F.col("bin").isNotNull()))
-    check_small(profile)
-    feats = [r["feature"] for r in profile.select("feature").collect()]   # checked above
-    present = [f for f in feats if f in df.columns]
-    return (to_long(df, present, ids=ids).join(F.broadcast(profile.select("feature", "cuts")), "feature")
-            .select(*ids, "feature", bin_open(F.col("value"), F.col("cuts")).cast("int").alias("bin")))
+    rows = profile.select("feature", "cuts").collect()      # one row per feature
+    return _binned(df, [(r["feature"], r["cuts"]) for r in rows], list(ids or []), count_le_sql)
 
 
 def histogram_open(df: DataFrame, profile: DataFrame, zero_fill: bool = True) -> DataFrame:
@@ -82,45 +61,24 @@ def histogram_open(df: DataFrame, profile: DataFrame, zero_fill: bool = True) ->
     return _zero_fill(bin_grid(profile), counts) if zero_fill else counts
 
 
-def histogram_closed(long_df: DataFrame, edges: DataFrame, edges_col: str = "edges",
+def _closed_sql(x: str, edges: list[float]) -> str:
+    return (f"CASE WHEN {x} >= {sql_double(edges[0])} AND {x} <= {sql_double(edges[-1])} "
+            f"THEN {count_le_sql(x, edges[:-1])} - 1 ELSE -1 END")
+
+
+def histogram_closed(df: DataFrame, edges: DataFrame, edges_col: str = "edges",
                      keep_outside: bool = False) -> DataFrame:
     """``(feature, bin, n)`` for closed-range edges; out-of-range values dropped.
 
-    ``long_df`` is ``(feature, value)``; ``edges`` is ``(feature, edges)``
-    with B+1 non-decreasing edges.  Bins are [e_i, e_i+1) except the last,
-    [e_B-1, e_B]; duplicate edges keep their (empty) bins.  With
-    ``keep_outside`` the values outside the range are counted as bin -1 (so
-    the same pass gives the sample total).
+    ``df`` is wide; ``edges`` is ``(feature, edges)`` with B+1 non-decreasing
+    edges.  Bins are [e_i, e_i+1) except the last, [e_B-1, e_B]; duplicate
+    edges keep their (empty) bins.  With ``keep_outside`` bin -1 counts the
+    values outside the range, so the same pass gives the sample total.  One
+    scan and one aggregation either way.
     """
-    e = edges.select("feature", F.col(edges_col).alias("_edges"))
-    grid = e.select("feature", F.explode(F.sequence(F.lit(0), F.size("_edges") - 2)).alias("bin"))
-    rows = _profile_rows(e, ["feature", "_edges"], MAX_LITERAL_FEATURES)
-    if rows is not None:
-        arms = []
-        for r in rows:
-            ed = [float(x) for x in r["_edges"]]
-            fq = r["feature"].replace("'", "\\'")
-            inner = count_le_sql("value", ed[:-1])
-            arms.append(f"WHEN feature = '{fq}' THEN CASE WHEN value >= {_d(ed[0])} AND value <= {_d(ed[-1])} "
-                        f"THEN {inner} - 1 ELSE -1 END")
-        expr = F.expr("CASE " + " ".join(arms) + " END") if arms else F.lit(None)
-        counts = (long_df.select("feature", expr.cast("int").alias("bin"))
-                         .where(F.col("bin").isNotNull())
-                         .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
-        outside = counts.where(F.col("bin") == -1)
-        counts = counts.where(F.col("bin") >= 0)
-    else:
-        check_small(e, what="edges")
-        all_counts = (long_df.join(F.broadcast(e), "feature")
-                             .select("feature", F.coalesce(bin_closed(F.col("value"), F.col("_edges")),
-                                                           F.lit(-1)).alias("bin"))
-                             .groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n")))
-        outside = all_counts.where(F.col("bin") == -1)
-        counts = all_counts.where(F.col("bin") >= 0)
-    filled = _zero_fill(grid, counts)
-    return filled.unionByName(outside) if keep_outside else filled
-
-
-def _d(x: float) -> str:
-    from tabwatch.functions.search import sql_double
-    return sql_double(x)
+    rows = edges.select("feature", F.col(edges_col).alias("e")).collect()      # one row per feature
+    closed = [(r["feature"], [float(x) for x in r["e"]]) for r in rows]
+    counts = _binned(df, closed, [], _closed_sql).groupBy("feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    first = F.lit(-1 if keep_outside else 0)
+    grid = edges.select("feature", F.explode(F.sequence(first, F.size(edges_col) - 2)).alias("bin"))
+    return _zero_fill(grid, counts)

@@ -22,9 +22,6 @@ at small scale it is one sketch scan and one sort scan.  The driver only
 sees configuration-sized metadata (cuts, bucket totals, the picked
 values), the way an MLlib estimator collects its fitted parameters.
 
-``exact_quantiles_many`` gives the same result for a long ``(*keys,
-value)`` table with any number of groups as one DataFrame plan.
-
 Inputs must be deterministic (a table scan and expressions over it): the
 passes read them independently.
 """
@@ -42,7 +39,6 @@ from tabwatch.session import local_frame
 
 DEFAULT_BUCKETS = 32          # cut points per interval and round
 MAX_SORT_ROWS = 1_000_000     # an interval this small is sorted in one task
-MAX_ROUNDS = 16               # never reached: each round shrinks intervals ~30x
 DEFAULT_ACCURACY = 10000      # percentile_approx accuracy in the approx mode
 KLL_K = 1024                  # KLL sketch size for the refinement cuts
 SKETCH_SALTS = 256            # first-level merge groups of the sketch tree
@@ -50,30 +46,29 @@ SKETCH_SALTS = 256            # first-level merge groups of the sketch tree
 QUANTILE_SCHEMA_TAIL = "level_idx int, level double, quantile double, n bigint"
 
 
-def sketch_cuts(df: DataFrame, cols: list, fine: list[float], k: int,
-                salts: int = SKETCH_SALTS):
-    """One row: for each ``(name, column)``, ``<name>_c`` = cut points at the
-    ``fine`` ranks and ``<name>_n`` = non-null rows.
+def sketch_cuts(df: DataFrame, columns: list[tuple[str, str]], fine: list[float], k: int,
+                salts: int = SKETCH_SALTS) -> dict[int, tuple[list[float], int]]:
+    """``{segment: (cut points at the fine ranks, rows)}``.
 
-    Mergeable KLL sketches are built per task and merged as a two-level
-    tree (by task-derived salt, then across salts), so no single task
-    merges one sketch per input split.  The cuts only steer bucketing, so
-    their rank error affects balance, never the exact result.
+    ``columns`` are pairs of SQL expressions: a row's segment (null: none) and
+    its value.  The rows are unpivoted to (segment, value) once and mergeable KLL
+    sketches are built per segment and task-derived salt, then merged across
+    salts: one aggregate however many segments there are, and no task merges
+    one sketch per input split.  The cuts only steer bucketing, so their rank
+    error affects balance, never the exact result.
     """
-    salt = F.pmod(F.spark_partition_id(), F.lit(salts)).alias("_salt")
     k = max(8, min(int(k), 65535))
-    lvl1 = (df.select(salt, *[c.alias(n) for n, c in cols])
-              .groupBy("_salt")
-              .agg(*[F.expr(f"kll_sketch_agg_double({n}, {k})").alias(n) for n, _ in cols],
-                   *[F.count(n).alias(f"{n}_n") for n, _ in cols]))
-    lvl2 = lvl1.agg(*[F.expr(f"kll_merge_agg_double({n})").alias(n) for n, _ in cols],
-                    *[F.sum(f"{n}_n").alias(f"{n}_n") for n, _ in cols])
+    names = [f"f{i}" for i in range(len(columns))]
+    pairs = [F.struct(F.expr(seg).cast("int").alias("s"), F.expr(v).cast("double").alias("v")).alias(n)
+             for n, (seg, v) in zip(names, columns)]
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts)).alias("_salt")
+    rows = (df.select(salt, *pairs).unpivot(["_salt"], names, "_f", "_sv")
+              .select("_salt", F.col("_sv.s").alias("s"), F.col("_sv.v").alias("v")).where(F.col("s").isNotNull()))
+    parts = rows.groupBy("s", "_salt").agg(F.expr(f"kll_sketch_agg_double(v, {k})").alias("sketch"), F.count("v").alias("n"))
+    whole = parts.groupBy("s").agg(F.expr("kll_merge_agg_double(sketch)").alias("sketch"), F.sum("n").alias("n"))
     lv = "array(" + ", ".join(sql_double(x) for x in fine) + ")"
-    out = []
-    for n, _ in cols:
-        out += [F.expr(f"CASE WHEN {n}_n > 0 THEN kll_sketch_get_quantile_double({n}, {lv}) END").alias(f"{n}_c"),
-                F.coalesce(F.col(f"{n}_n"), F.lit(0)).cast("bigint").alias(f"{n}_n")]
-    return lvl2.select(*out).first()
+    found = whole.where("n > 0").select("s", F.expr(f"kll_sketch_get_quantile_double(sketch, {lv})").alias("c"), "n").collect()
+    return {r["s"]: (sorted({float(c) for c in r["c"]}), int(r["n"])) for r in found}
 
 
 def lerp(a: float, b: float, t: float) -> float:
@@ -117,7 +112,7 @@ def _point_tree(x: str, cuts: list[float]) -> str:
 
 def select_ranks(df: DataFrame, exprs: dict[str, str], ranks_for: Callable[[str, int], set[int]],
                  buckets: int = DEFAULT_BUCKETS, accuracy: int | None = None,
-                 max_sort_rows: int = MAX_SORT_ROWS, max_rounds: int = MAX_ROUNDS):
+                 max_sort_rows: int = MAX_SORT_ROWS):
     """Exact values at wanted ranks of one or more numeric expressions.
 
     ``exprs`` maps a name to a SQL expression over ``df`` (cast to double;
@@ -125,7 +120,9 @@ def select_ranks(df: DataFrame, exprs: dict[str, str], ranks_for: Callable[[str,
     0-based ranks once the row count n is known.  Returns ``(at_rank,
     n_of)``: ``at_rank[(name, rank)] = (value, rank where that value
     starts)`` and ``n_of[name] = n``.  Iterative range refinement (module
-    notes); the driver only sees cut points, bucket totals and picked values.
+    notes), as many rounds as it takes: a split leaves out the cut values
+    themselves, so every round has fewer rows; the driver only sees cut points,
+    bucket totals and picked values.
     """
     acc = accuracy or KLL_K
     fine = [i / buckets for i in range(1, buckets)]
@@ -134,24 +131,24 @@ def select_ranks(df: DataFrame, exprs: dict[str, str], ranks_for: Callable[[str,
     n_of: dict[str, int] = {}
     active = [_Seg(f, None, None, 0, None, None) for f in xs]
     final: list[_Seg] = []
-    rounds = 0
     while active:
-        rounds += 1
-        # sketch cuts and row count of every active segment (two-level merge)
-        r1 = sketch_cuts(df, [(f"_x{i}", F.expr(f"CASE WHEN {sg.in_range(xs[sg.feature])} "
-                                                 f"THEN {xs[sg.feature]} END"))
-                              for i, sg in enumerate(active)], fine, acc)
+        # sketch cuts and row count of every active segment: a feature's segments
+        # are disjoint, so one column per feature carries (segment, value)
+        columns = []
+        for f in {sg.feature: None for sg in active}:
+            arms = " ".join(f"WHEN {sg.in_range(xs[f])} THEN {i}" for i, sg in enumerate(active) if sg.feature == f)
+            columns.append((f"CASE {arms} END", xs[f]))
+        found = sketch_cuts(df, columns, fine, acc)
         split: list[tuple[_Seg, list[float]]] = []
         for i, sg in enumerate(active):
-            n = int(r1[f"_x{i}_n"])
+            cuts, n = found.get(i, ([], 0))
             if sg.n is None:               # first round: the whole column
                 sg.n = n
                 n_of[sg.feature] = n
                 sg.ranks = {r for r in ranks_for(sg.feature, n) if 0 <= r < n} if n else set()
                 if not sg.ranks:
                     continue
-            cuts = sorted(set(float(c) for c in (r1[f"_x{i}_c"] or [])))
-            if sg.n <= max_sort_rows or rounds >= max_rounds or not cuts:
+            if sg.n <= max_sort_rows or not cuts:
                 final.append(sg)
             else:
                 split.append((sg, cuts))
@@ -203,7 +200,7 @@ def select_ranks(df: DataFrame, exprs: dict[str, str], ranks_for: Callable[[str,
         # row count is already known from the bucket totals)
         active = []
         for sg in nxt.values():
-            (final if sg.n <= max_sort_rows or rounds + 1 >= max_rounds else active).append(sg)
+            (final if sg.n <= max_sort_rows else active).append(sg)
 
     # sort the final segments (distinct values only), one task per segment
     todo = [sg for sg in final if sg.n and any((sg.feature, r) not in at_rank for r in sg.ranks)]
@@ -247,7 +244,7 @@ def _level_ranks(levels: list[float], n: int) -> list[tuple[float, int, int]]:
 
 def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[float],
                       buckets: int = DEFAULT_BUCKETS, accuracy: int | None = None,
-                      max_sort_rows: int = MAX_SORT_ROWS, max_rounds: int = MAX_ROUNDS) -> DataFrame:
+                      max_sort_rows: int = MAX_SORT_ROWS) -> DataFrame:
     """Exact interpolated quantiles of wide feature columns ->
     ``(feature, level_idx, level, quantile, n, below)`` (a small local table);
     ``below`` is the number of rows strictly below the quantile, which gives
@@ -267,7 +264,7 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
     def ranks_for(_name: str, n: int) -> set[int]:
         return {r for _, lo, hi in _level_ranks(levels, n) for r in (lo, hi)}
 
-    at_rank, n_of = select_ranks(df, xs, ranks_for, buckets, accuracy, max_sort_rows, max_rounds)
+    at_rank, n_of = select_ranks(df, xs, ranks_for, buckets, accuracy, max_sort_rows)
     rows = []
     for f in features:
         n = n_of.get(f, 0)
@@ -282,70 +279,6 @@ def feature_quantiles(df: DataFrame, features: Sequence[str], levels: Sequence[f
     return local_frame(spark, rows, schema)
 
 
-def exact_quantiles(long_df: DataFrame, keys: Sequence[str], levels: Sequence[float],
-                    value: str = "value", buckets: int = DEFAULT_BUCKETS,
-                    accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Exact interpolated quantiles of a long ``(*keys, value)`` table for any
-    number of groups -> ``(*keys, level_idx, level, quantile, n)``."""
-    return exact_quantiles_many(long_df, keys, levels, value, buckets, accuracy)
-
-
-def exact_quantiles_many(long_df: DataFrame, keys: Sequence[str], levels: Sequence[float],
-                         value: str = "value", buckets: int = DEFAULT_BUCKETS,
-                         accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
-    """Same result as ``feature_quantiles`` for a long table with any number
-    of groups, as one DataFrame plan (one bucketing round, so a wanted bucket
-    holds about 1/buckets of its group's distinct values: suited to many
-    moderate groups; very large single groups belong in ``feature_quantiles``): distinct values are counted, sketch cuts per group are
-    joined back (broadcast when small, by Spark's own size check), bucket
-    totals and offsets are windowed per group, and only wanted buckets are
-    sorted.  Cuts are written once to the shared checkpoint folder so every
-    read sees the same cuts."""
-    from tabwatch.session import materialize
-    keys = list(keys)
-    v = F.col(value)
-    vc = long_df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    fine = [i / buckets for i in range(1, buckets)]
-    cuts = materialize(long_df.groupBy(*keys).agg(
-        F.array_distinct(F.percentile_approx(value, fine, accuracy)).alias("_cuts")))
-    vb = (vc.join(cuts, keys)
-            .withColumn("_b", F.size(F.filter("_cuts", lambda c: c <= v)))
-            .drop("_cuts"))
-    bt = vb.groupBy(*keys, "_b").agg(F.sum("_cnt").alias("_bn"))
-    w_off = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy(*keys)
-    bt = (bt.withColumn("_off", F.coalesce(F.sum("_bn").over(w_off), F.lit(0)))
-            .withColumn("_n", F.sum("_bn").over(w_all)))
-    lv = F.array(*[F.lit(float(x)) for x in levels])
-    totals = bt.select(*keys, "_n").distinct()
-    targets = (totals.select(*keys, "_n", F.posexplode(lv).alias("level_idx", "level"))
-                     .withColumn("level_idx", F.col("level_idx").cast("int"))
-                     .withColumn("_pos", F.col("level") * (F.col("_n") - 1).cast("double"))
-                     .withColumn("_lo", F.floor("_pos").cast("bigint"))
-                     .withColumn("_hi", F.ceil("_pos").cast("bigint")))
-    ranks = targets.select(*keys, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_r")).distinct()
-    rank_b = (ranks.join(bt.select(*keys, "_b", "_off", "_bn"), keys)
-                   .where((F.col("_r") >= F.col("_off")) & (F.col("_r") < F.col("_off") + F.col("_bn")))
-                   .select(*keys, "_b", "_r"))
-    wanted_b = rank_b.select(*keys, "_b").distinct()
-    w_in = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    inb = (vb.join(wanted_b, keys + ["_b"], "left_semi")
-             .join(bt.select(*keys, "_b", "_off"), keys + ["_b"])
-             .withColumn("_start", F.col("_off") + F.coalesce(F.sum("_cnt").over(w_in), F.lit(0)))
-             .withColumn("_end", F.col("_start") + F.col("_cnt")))
-    at_rank = (rank_b.join(inb, keys + ["_b"])
-               .where((F.col("_r") >= F.col("_start")) & (F.col("_r") < F.col("_end")))
-               .select(*keys, "_r", F.col(value).alias("_v")))
-    lo = at_rank.select(*keys, F.col("_r").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = at_rank.select(*keys, F.col("_r").alias("_hi"), F.col("_v").alias("_vhi"))
-    return (targets.join(lo, keys + ["_lo"]).join(hi, keys + ["_hi"])
-            .select(*keys, "level_idx", "level",
-                    F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo"))
-                     .otherwise(F.col("_vlo") + (F.col("_vhi") - F.col("_vlo"))
-                                * (F.col("_pos") - F.col("_lo").cast("double"))).alias("quantile"),
-                    F.col("_n").alias("n")))
-
-
 def approx_quantiles(long_df: DataFrame, keys: Sequence[str], levels: Sequence[float],
                      value: str = "value", accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Sketch quantiles (actual elements, rank error about n/accuracy)."""

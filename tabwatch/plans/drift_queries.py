@@ -9,7 +9,6 @@ from tabwatch.operators.drift import drift_status, psi_raw_sample, psi_report
 from tabwatch.operators.histogram import histogram_closed, histogram_open
 from tabwatch.operators.profile import build_profile, quantile_edges, row_count
 from tabwatch.operators.quantiles import median_exact
-from tabwatch.operators.reshape import to_long
 from tabwatch.plans import sqlfrag as S
 from tabwatch.plans.tables import (NUM_FEATURES, SQL_CUTOFF, lineitem_baseline, lineitem_new,
                                    sql_nulls, table, with_nulls)
@@ -164,16 +163,16 @@ SELECT feature, CAST(bin AS INTEGER) AS bin, n FROM ({S.hist_open_cte(NEW_SQL, F
 
 
 def q_histogram_closed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window
+
     from tabwatch.operators.drift import raw_breakpoints
-    new_long = to_long(lineitem_new(spark, sf_dir), FEATS)
     bp = raw_breakpoints(lineitem_baseline(spark, sf_dir), FEATS, BINS)
-    h = histogram_closed(new_long, bp)
-    tot = new_long.groupBy("feature").agg(F.count(F.lit(1)).alias("total"))
-    share = F.col("n").cast("double") / F.col("total").cast("double")
-    return (h.join(tot, "feature")
-             .select("feature", F.col("bin").cast("int").alias("bin"), "n",
-                     F.round(F.when(share == 0, F.lit(RAW_SHARE_FLOOR)).otherwise(share), R)
-                      .alias("share")))
+    h = histogram_closed(lineitem_new(spark, sf_dir), bp, keep_outside=True)
+    total = F.sum("n").over(Window.partitionBy("feature"))     # features x bins rows
+    share = F.col("n").cast("double") / total.cast("double")
+    h = h.withColumn("share", share).where("bin >= 0")
+    return h.select("feature", F.col("bin").cast("int").alias("bin"), "n",
+                    F.round(F.when(F.col("share") == 0, F.lit(RAW_SHARE_FLOOR)).otherwise(F.col("share")), R).alias("share"))
 
 
 SQL_HISTOGRAM_CLOSED = f"""

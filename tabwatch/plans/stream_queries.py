@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tabwatch.operators.profile import build_profile
 from tabwatch.plans import sqlfrag as S
-from tabwatch.plans.model_queries import _lineitem_model_path
+from tabwatch.plans.model_queries import SQL_RECORD_SCORE, lineitem_model, with_odd_status
 from tabwatch.plans.tables import table
 from tabwatch.session import scratch_path
 from tabwatch.spec import PSI_EPS
@@ -18,12 +18,15 @@ EV_FEATS = ["value", "k"]
 SPLIT_TS = "2024-01-16 00:00:00"
 WINDOW = "1 day"
 DELAY = "1 hour"
+FILES_PER_TRIGGER = 1000
 
 
 def file_stream(spark: SparkSession, sf_dir: str, name: str, schema) -> DataFrame:
     """A file stream over one table of the folder (new files are picked up
-    as they land; each run starts from its checkpoint)."""
+    as they land; each run starts from its checkpoint).  A backlog is read
+    ``FILES_PER_TRIGGER`` files at a time."""
     return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+            .option("maxFilesPerTrigger", FILES_PER_TRIGGER)
             .parquet(sf_dir.rstrip("/")))
 
 
@@ -45,9 +48,9 @@ def _ckpt(spark, name):
 
 def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    stream = file_stream(spark, sf_dir, "lineitem", li.schema)
+    stream = with_odd_status(file_stream(spark, sf_dir, "lineitem", li.schema))
     from tabwatch.operators.score import load_model
-    model = load_model(_lineitem_model_path(spark, sf_dir))
+    model = load_model(lineitem_model(spark, sf_dir))
     sink = scratch_path(spark, "stream_score")
     stream_score(stream, model, ["l_orderkey", "l_linenumber"], sink, _ckpt(spark, "stream_score"))
     return read_sink(spark, sink, "l_orderkey bigint, l_linenumber int, prediction int")
@@ -130,6 +133,7 @@ SQL_DRIFT_BY_WINDOW = _psi_sql("CAST(epoch(date_trunc('day', ts)) AS BIGINT)", "
 
 ORACLES = {
     "drift_by_window": SQL_DRIFT_BY_WINDOW,
+    "stream_score": SQL_RECORD_SCORE,
     "stream_drift_batch": SQL_STREAM_DRIFT_BATCH,
     "stream_drift_window": SQL_STREAM_DRIFT_WINDOW,
 }

@@ -18,12 +18,13 @@ shared checkpoint folder, so a restarted query resumes exactly once.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwatch.operators.drift import expected_grid, psi_from_counts, psi_report
-from tabwatch.operators.histogram import binned, check_small
+from tabwatch.operators.drift import expected_grid, score_counts, psi_report
+from tabwatch.operators.histogram import binned
 from tabwatch.spec import PSI_EPS
 from tabwatch.session import local_frame
 
@@ -34,15 +35,17 @@ def event_time(ts_col: str) -> F.Column:
     return ntz_as_instant(F.col(ts_col))
 
 
-def run_available(query_builder, timeout_s: int = 900):
+def run_available(query_builder):
+    """Run the stream over everything that is there now, however long it takes.
+
+    A failed batch raises here; the stream is only stopped when the wait itself
+    is interrupted."""
     q = query_builder.trigger(availableNow=True).start()
     try:
-        q.awaitTermination(timeout_s)
+        q.awaitTermination()
     finally:
         if q.isActive:
             q.stop()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
     return q
 
 
@@ -64,10 +67,8 @@ def stream_score(stream: DataFrame, model: PipelineModel, keep: list[str], sink:
 
 def drift_per_batch(stream: DataFrame, profile: DataFrame, sink: str, checkpoint: str,
                     expected: str = "empirical") -> None:
-    prof = check_small(profile)
-
     def score(batch: DataFrame, batch_id: int) -> None:
-        rep = psi_report(prof, batch, expected)
+        rep = psi_report(profile, batch, expected)
         write_batch(rep, batch_id, sink)
 
     run_available(stream.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint))
@@ -76,16 +77,15 @@ def drift_per_batch(stream: DataFrame, profile: DataFrame, sink: str, checkpoint
 def drift_per_window(stream: DataFrame, profile: DataFrame, features: list[str], time_col: str,
                      window: str, delay: str, sink: str, checkpoint: str,
                      expected: str = "empirical", eps: float = PSI_EPS) -> None:
-    prof = check_small(profile)
     timed = stream.withColumn("_et", event_time(time_col)).withWatermark("_et", delay)
-    rows = binned(timed.select("_et", *[f for f in features if f in timed.columns]), prof, ids=["_et"])
+    rows = binned(timed.select("_et", *[f for f in features if f in timed.columns]), profile, ids=["_et"])
     counts = rows.groupBy(F.window("_et", window).alias("w"), "feature", "bin").agg(
         F.count(F.lit(1)).alias("n"))
-    grid = expected_grid(prof, expected)
+    grid = expected_grid(profile, expected)
 
     def score(batch: DataFrame, batch_id: int) -> None:
         c = batch.select(F.unix_seconds(F.col("w.start")).alias("window_start"), "feature", "bin", "n")
-        rep = psi_from_counts(c, grid, ["window_start"], eps)
+        rep = score_counts(c, grid, ["window_start"], eps)
         write_batch(rep.select("window_start", "feature", "psi", F.col("bins").cast("int").alias("bins"),
                                "new_total"), batch_id, sink)
 
@@ -94,13 +94,11 @@ def drift_per_window(stream: DataFrame, profile: DataFrame, features: list[str],
 
 
 def read_sink(spark: SparkSession, sink: str, schema: str) -> DataFrame:
-    import os
+    """The sink's rows; without a sink folder (a stream that had no rows), an
+    empty table.  Anything else that cannot be read is an error."""
     try:
-        df = spark.read.parquet(sink)
-        if "batch_id" in df.columns:
-            df = df.withColumn("batch_id", F.col("batch_id").cast("bigint"))
-        return df
-    except Exception:  # noqa: BLE001 - an empty stream leaves no sink files
-        if sink.startswith("file:") or os.path.isabs(sink):
-            return local_frame(spark, [], schema)
-        raise
+        return spark.read.schema(schema).parquet(sink)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return local_frame(spark, [], schema)

@@ -91,18 +91,18 @@ def test_status_levels_and_worst_feature_ties(spark):
     assert empty["status"] == "OK" and empty["max_psi"] == 0.0
 
 
-def test_ensure_baseline_builds_then_reuses_and_warns(spark):
-    from tabwatch.operators.profile import ensure_baseline
+def test_saved_profile_builds_then_reuses_and_warns(spark):
+    from tabwatch.operators.profile import saved_profile
     from tabwatch.session import scratch_path
     base = _df(spark, [float(i % 37) for i in range(500)])
     p = scratch_path(spark, "ensure")
-    first = ensure_baseline(spark, p, base, ["x"], 10).first()
-    again = ensure_baseline(spark, p, None, ["x"], 10).first()
+    first = saved_profile(spark, p, base, ["x"], 10).first()
+    again = saved_profile(spark, p, None, ["x"], 10).first()
     assert first["cuts"] == again["cuts"] and first["counts"] == again["counts"]
     with pytest.warns(UserWarning):
-        ensure_baseline(spark, p, None, ["x", "y"], 5)
+        saved_profile(spark, p, None, ["x", "y"], 5)
     with pytest.raises(FileNotFoundError):
-        ensure_baseline(spark, scratch_path(spark, "none"), None, ["x"], 10)
+        saved_profile(spark, scratch_path(spark, "none"), None, ["x"], 10)
 
 
 @pytest.mark.parametrize("method", ["approx", "sketch"])
@@ -129,7 +129,7 @@ def test_counts_from_ranks_equal_a_histogram(spark, max_sort_rows, monkeypatch):
     import tabwatch.operators.quantiles as Q
     monkeypatch.setattr(Q, "MAX_SORT_ROWS", max_sort_rows)
     monkeypatch.setattr(Q.feature_quantiles, "__defaults__",
-                        (Q.DEFAULT_BUCKETS, None, max_sort_rows, Q.MAX_ROUNDS))
+                        (Q.DEFAULT_BUCKETS, None, max_sort_rows))
     rng = np.random.default_rng(9)
     xs = [3.0] * 300 + list(rng.integers(0, 12, 500).astype(float)) + list(rng.normal(size=400))
     df = _df(spark, xs)
@@ -143,13 +143,12 @@ def test_counts_from_ranks_equal_a_histogram(spark, max_sort_rows, monkeypatch):
 def test_raw_breakpoint_counts_equal_closed_histogram(spark):
     from tabwatch.operators.drift import raw_breakpoints
     from tabwatch.operators.histogram import histogram_closed
-    from tabwatch.operators.reshape import to_long
     rng = np.random.default_rng(4)
     xs = [1.0] * 200 + list(rng.integers(0, 6, 300).astype(float)) + list(rng.exponential(size=300))
     df = _df(spark, xs)
     bp = raw_breakpoints(df, ["x"], 10)
     r = bp.first()
-    hist = [h["n"] for h in histogram_closed(to_long(df, ["x"]), bp).orderBy("bin").collect()]
+    hist = [h["n"] for h in histogram_closed(df, bp).orderBy("bin").collect()]
     assert r["e_counts"] == hist and r["e_total"] == len(xs) and sum(hist) == len(xs)
 
 
@@ -174,3 +173,51 @@ def test_staged_input_gives_the_same_profile(spark):
     a = build_profile(df, ["x"], 10).first()
     b = build_profile(df, ["x"], 10, stage_input=True).first()
     assert (a["cuts"], a["counts"], a["n"]) == (b["cuts"], b["counts"], b["n"])
+
+
+def test_empirical_shares_need_counts(spark):
+    from tabwatch.operators.profile import open_edges, saved_profile
+    from tabwatch.session import scratch_path
+    from tabwatch.sources.baseline import is_legacy, save_legacy
+    base = _df(spark, [float(i) for i in range(100)])
+    path = scratch_path(spark, "bare")
+    save_legacy(open_edges(build_profile(base, ["x"], 10, with_counts=False)), path)
+    bare = saved_profile(spark, path, None, ["x"], 10)
+    assert not is_legacy(spark, path)                       # written back in the current shape
+    new = _df(spark, [99.0] * 50)
+    with pytest.raises(ValueError, match="none stored"):
+        psi_report(bare, new, "empirical")
+    assert psi_report(bare, new, "uniform").first()["psi"] > 10
+
+
+def test_null_psi_is_not_ok(spark):
+    from tabwatch.operators.drift import drift_status, with_status
+    rep = spark.createDataFrame([("a", None, 0), ("b", 0.01, 1)], "feature string, psi double, pos int")
+    assert drift_status(rep).first()["status"] == "UNKNOWN"
+    assert {r["status"] for r in with_status(rep).collect()} == {"UNKNOWN"}
+    worse = rep.union(spark.createDataFrame([("c", 0.5, 2)], rep.schema))
+    assert drift_status(worse).first()["status"] == "ALERT"
+
+
+def test_many_features_and_none(spark):
+    from tabwatch.operators.histogram import binned
+    names = [f"f{i}" for i in range(300)]
+    df = spark.range(40).selectExpr(*[f"cast((id * {i + 1}) % 37 as double) as {c}" for i, c in enumerate(names)], "id as t")
+    from tabwatch.session import local_frame
+    prof = local_frame(spark, [(c, i, [9.0, 18.0, 27.0], 4) for i, c in enumerate(names)], "feature string, pos int, cuts array<double>, bins int")
+    h = histogram_open(df, prof).groupBy("feature").sum("n").collect()
+    assert len(h) == 300 and {r[1] for r in h} == {40}
+    none = binned(df.select("t"), prof, ids=["t"])
+    assert none.columns == ["t", "feature", "bin"] and none.count() == 0
+
+
+def test_new_data_is_scanned_once(spark):
+    """One scan of the new rows in the executed plan of closed histograms and of
+    windowed drift."""
+    import __spark_entry__ as E
+    for name, table in (("psi_raw_sample", "lineitem"), ("histogram_closed", "lineitem"), ("drift_by_window", "events")):
+        df = E.queries()[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        final = plan.split("== Initial Plan ==")[0]
+        assert final.count("FileScan parquet") == 1, name

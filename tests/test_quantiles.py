@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tabwatch.operators.quantiles import (approx_quantiles, exact_quantiles, feature_quantiles,
+from tabwatch.operators.quantiles import (approx_quantiles, feature_quantiles,
                                           median_exact)
 from tabwatch.operators.reshape import to_long
 
@@ -53,15 +53,13 @@ def test_one_value_holding_a_third_of_rows_is_resolved_without_sorting(spark):
     assert [r["quantile"] for r in sorted(q, key=lambda r: r["level_idx"])] == exp
 
 
-def test_grouped_dataframe_variant_agrees(spark):
-    rng = np.random.default_rng(3)
-    a = list(rng.normal(size=700).round(1))
-    b = list(rng.integers(0, 4, 500).astype(float))
-    df = _frame(spark, {"a": a, "b": b})
-    many = exact_quantiles(to_long(df, ["a", "b"]), ["feature"], LEVELS).collect()
-    exp = {"a": _numpy(a, LEVELS), "b": _numpy(b, LEVELS)}
-    for r in many:
-        assert r["quantile"] == pytest.approx(exp[r["feature"]][r["level_idx"]], rel=1e-12, abs=1e-12)
+def test_two_hundred_features(spark):
+    n = 200
+    df = spark.range(500).selectExpr(*[f"cast((id * {i + 3}) % {41 + i} as double) as f{i}" for i in range(n)])
+    got = {(r["feature"], r["level_idx"]): r["quantile"] for r in feature_quantiles(df, df.columns, [0.1, 0.5], max_sort_rows=100).collect()}
+    cols = df.toPandas()
+    for c in df.columns:
+        assert [got[c, 0], got[c, 1]] == pytest.approx(_numpy(cols[c], [0.1, 0.5]), rel=1e-12)
 
 
 def test_median_and_approx(spark):

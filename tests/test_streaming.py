@@ -108,3 +108,29 @@ def test_restarted_stream_resumes_from_its_checkpoint(spark):
     exp_first = first.where(F.col("value").isNotNull()).count()
     exp_second = second.where(F.col("value").isNotNull()).count()
     assert totals == {0: exp_first, 1: exp_second}
+
+
+def test_slow_streams_are_waited_for_and_broken_sinks_raise(spark, tmp_path):
+    import time as _t
+
+    from pyspark.errors import AnalysisException
+
+    from tabwatch.streaming.drift import run_available
+    src = scratch_path(spark, "t_slow_src")
+    for _ in range(4):
+        spark.range(10).coalesce(1).write.mode("append").parquet(src)
+    seen = []
+
+    def slow(batch, _id):
+        _t.sleep(1.5)
+        seen.append(batch.count())
+
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(src)
+    run_available(stream.writeStream.foreachBatch(slow).option("checkpointLocation", scratch_path(spark, "t_slow_ckpt")))
+    assert sum(seen) == 40
+    assert read_sink(spark, str(tmp_path / "none"), "a long").collect() == []
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "x.parquet").write_text("a,b\n1,2\n")
+    with pytest.raises(Exception) as e:
+        read_sink(spark, str(tmp_path / "broken"), "a long").collect()
+    assert not isinstance(e.value, AnalysisException) or e.value.getCondition() != "PATH_NOT_FOUND"
