@@ -30,13 +30,3 @@ def bin_closed(value: Column, edges: Column) -> Column:
     lower = F.slice(edges, 1, n - 1)
     idx = F.size(F.filter(lower, lambda c: c <= value)) - 1
     return F.when(inside, idx)
-
-
-def open_ended_cuts(edges: Column) -> Column:
-    """Inner cuts after replacing the first and last edge by -inf / +inf.
-
-    Fewer than three distinct edges leave no inner cut: a single open bin.
-    """
-    n = F.size(edges)
-    return F.when(n >= 3, F.slice(edges, 2, n - 2)).otherwise(
-        F.array().cast("array<double>"))

@@ -36,3 +36,8 @@ def count_le_sql(value_sql: str, cuts: Sequence[float]) -> str:
 
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(value: str) -> str:
+    """A string literal of Spark SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwatch.functions.scalars import collapse_category
+from tabwatch.functions.search import quoted, sql_text
 from tabwatch.operators.quantiles import feature_quantiles
 from tabwatch.operators.reshape import features_frame, to_long
 from tabwatch.session import local_frame
@@ -18,18 +19,27 @@ def collapse(df: DataFrame, col: str, keep: str, default: str) -> DataFrame:
     return df.withColumn(col, collapse_category(F.col(col), keep, default))
 
 
-def collapse_sql(col: str, keep: str, default: str) -> str:
+def collapse_sql(col: str, keep: str, default: str, out: str | None = None) -> str:
     """The same collapse as a SQL statement for a ``SQLTransformer`` stage, so
-    it travels with a fitted pipeline to scoring."""
-    return (f"SELECT * EXCEPT ({col}), CASE WHEN {col} = '{keep}' THEN '{keep}' "
-            f"ELSE '{default}' END AS {col} FROM __THIS__")
+    it travels with a fitted pipeline to scoring; into ``out``, which keeps the
+    input column, or in place."""
+    c, k, d = quoted(col), sql_text(keep), sql_text(default)
+    value = f"CASE WHEN {c} = {k} THEN {k} ELSE {d} END"
+    if out:
+        return f"SELECT *, {value} AS {quoted(out)} FROM __THIS__"
+    return f"SELECT * EXCEPT ({c}), {value} AS {c} FROM __THIS__"
 
 
 def require_columns(df: DataFrame, cols: Sequence[str]) -> None:
-    """Raise ``ValueError`` listing every required column that is missing."""
-    missing = [c for c in cols if c not in df.columns]
-    if missing:
-        raise ValueError(f"New data missing columns: {missing}")
+    """Raise ``ValueError`` naming every listed column that ``df`` lacks.  Case
+    counts; a column that differs in case alone is pointed out."""
+    have = set(df.columns)
+    absent = [c for c in cols if c not in have]
+    if absent:
+        lower = {h.lower(): h for h in have}
+        alike = [lower[c.lower()] for c in absent if c.lower() in lower]
+        hint = f" (there are {alike})" if alike else ""
+        raise ValueError(f"the data lacks the columns {sorted(absent)}{hint}")
 
 
 def column_checks(df: DataFrame, features: Sequence[str]) -> DataFrame:

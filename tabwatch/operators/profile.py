@@ -131,34 +131,40 @@ def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def ensure_baseline(spark, path: str, train_df: DataFrame | None, features: Sequence[str],
-                    n_bins: int = 10, levels: str = "linspace", method: str = "exact") -> DataFrame:
+def saved_profile(spark, path: str, train_df: DataFrame | None, features: Sequence[str],
+                  n_bins: int = 10, levels: str = "linspace", method: str = "exact") -> DataFrame:
     """Reuse the baseline file at ``path`` if there is one, else build it from
     ``train_df`` and save it (current shape, with bin counts).
 
     A reused baseline is taken as is even when its features or bin count
-    differ from the request; the difference is reported as a warning.
+    differ from the request; the difference is reported as a warning.  A legacy
+    file is written back in the current shape.  Only a missing path counts as no
+    baseline; a file that cannot be read is an error.
     Returns a scoring profile ``(feature, pos, cuts, bins, counts)``.
     """
     import warnings
 
     from pyspark.errors import AnalysisException
 
-    from tabwatch.sources.baseline import load_baseline, profile_from_edges, save_baseline
+    from tabwatch.sources.baseline import is_legacy, load_baseline, profile_from_edges, save_baseline
     try:
         loaded = load_baseline(spark, path, n_bins)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         loaded = None
     if loaded is not None:
-        got = loaded.select("feature", "n_bins").collect()   # one row per feature
-        feats = [r["feature"] for r in got]
-        nb = {r["n_bins"] for r in got}
+        rows = loaded.select("feature", "pos", "bin_edges", "counts", "n_bins").collect()   # one row per feature
+        loaded = local_frame(spark, rows, "feature string, pos int, bin_edges array<double>, counts array<bigint>, n_bins int")
+        feats, nb = [r["feature"] for r in rows], {r["n_bins"] for r in rows}
+        if is_legacy(spark, path):
+            save_baseline(loaded.select("feature", "pos", "bin_edges", "counts"), path, n_bins)
         if sorted(feats) != sorted(features) or nb != {n_bins}:
             warnings.warn(f"baseline {path} has features {feats} and n_bins {sorted(nb)}; "
                           f"requested {list(features)} and {n_bins}; reusing it as is")
         return profile_from_edges(loaded)
     if train_df is None:
-        raise FileNotFoundError(f"Missing baseline {path} and no training data to build it")
+        raise FileNotFoundError(f"no baseline at {path} and no training data to build one from")
     prof = build_profile(train_df, features, n_bins, levels, method)
     save_baseline(open_edges(prof).join(prof.select("feature", "counts"), "feature"), path, n_bins)
     return prof.select("feature", "pos", "cuts", "bins", "counts")

@@ -11,7 +11,7 @@ from tabwatch.operators.prep import collapse, column_checks, fill_median, shift_
 from tabwatch.operators.profile import build_profile, open_edges, quantile_edges
 from tabwatch.operators.reshape import to_long
 from tabwatch.plans import sqlfrag as S
-from tabwatch.plans.drift_queries import BASE_SQL, FEATS, NULLED_SQL, R, SQL_PSI_EMPIRICAL
+from tabwatch.plans.drift_queries import BASE_SQL, FEATS, NULLED_SQL, R, SQL_PSI_EMPIRICAL, SQL_PSI_UNIFORM
 from tabwatch.plans.tables import lineitem_baseline, sql_nulls, table, with_nulls
 from tabwatch.session import scratch_path
 from tabwatch.sources.baseline import load_baseline, save_baseline, save_legacy
@@ -27,17 +27,19 @@ EVENTS_CSV_SCHEMA = T.StructType([
     T.StructField("event_type", T.StringType()),
     T.StructField("value", T.DoubleType()),
     T.StructField("props", T.StringType()),
+    T.StructField("note", T.StringType()),
 ])
 
 
 def q_csv_scan_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events -> CSV (with 'NA' tokens and empty fields) -> declared-schema read."""
+    """events -> CSV (columns in another order, 'NA' tokens, empty fields, whole
+    numbers as 3.0, quoted line breaks) -> read by header name."""
     ev = table(spark, sf_dir, "events")
+    user = F.when(F.col("event_id") % 5 == 0, F.concat(F.col("user_id").cast("string"), F.lit(".0"))).otherwise(F.col("user_id").cast("string"))
     dirty = ev.select(
-        "event_id", "user_id",
-        F.when(F.col("event_id") % 11 == 0, F.lit("NA")).otherwise(F.col("event_type")).alias("event_type"),
-        F.when(F.col("event_id") % 13 == 0, F.lit(None).cast("double")).otherwise(F.col("value")).alias("value"),
-        "props")
+        "props", F.when(F.col("event_id") % 13 == 0, F.lit(None).cast("double")).otherwise(F.col("value")).alias("value"),
+        F.concat(F.lit('first "line"\nsecond, '), F.col("event_type")).alias("note"), user.alias("user_id"),
+        F.when(F.col("event_id") % 11 == 0, F.lit("NA")).otherwise(F.col("event_type")).alias("event_type"), "event_id")
     path = scratch_path(spark, "csv_scan_nulls")
     write_csv(dirty, path)
     return read_csv(spark, path, EVENTS_CSV_SCHEMA)
@@ -47,7 +49,7 @@ SQL_CSV_SCAN_NULLS = """
 SELECT event_id, user_id,
        CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_type END AS event_type,
        CASE WHEN event_id % 13 = 0 THEN NULL ELSE value END AS value,
-       props
+       props, 'first "line"' || chr(10) || 'second, ' || event_type AS note
 FROM events
 """
 
@@ -119,15 +121,29 @@ def q_psi_from_saved_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Build and save the baseline file, then reuse it (K2) to score the new
     rows with the stored counts: equals the empirical PSI report."""
     from tabwatch.operators.drift import psi_report
-    from tabwatch.operators.profile import ensure_baseline
+    from tabwatch.operators.profile import saved_profile
     from tabwatch.plans.tables import lineitem_new
     path = scratch_path(spark, "baseline_reuse")
-    ensure_baseline(spark, path, lineitem_baseline(spark, sf_dir), FEATS, 10, levels="exact")
-    reused = ensure_baseline(spark, path, None, FEATS, 10)          # loaded from the file
+    saved_profile(spark, path, lineitem_baseline(spark, sf_dir), FEATS, 10, levels="exact")
+    reused = saved_profile(spark, path, None, FEATS, 10)          # loaded from the file
     rep = psi_report(reused, lineitem_new(spark, sf_dir), "empirical")
     return rep.select("feature", F.round("psi", R).alias("psi"), "bins", "new_total")
 
 
+def q_psi_from_plain_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A legacy baseline file without bin counts, reused (and rewritten in the
+    current shape) to score the new rows against uniform shares."""
+    from tabwatch.operators.drift import psi_report
+    from tabwatch.operators.profile import saved_profile
+    from tabwatch.plans.tables import lineitem_new
+    path = scratch_path(spark, "baseline_plain")
+    save_legacy(open_edges(build_profile(lineitem_baseline(spark, sf_dir), FEATS, 10, with_counts=False)), path)
+    saved_profile(spark, path, None, FEATS, 10)
+    reused = saved_profile(spark, path, None, FEATS, 10)
+    rep = psi_report(reused, lineitem_new(spark, sf_dir), "uniform")
+    return rep.select("feature", F.round("psi", R).alias("psi"), "bins", "new_total")
+
+
 RECORD_SCHEMA = T.StructType([
     T.StructField("l_quantity", T.DoubleType()),
     T.StructField("l_extendedprice", T.DoubleType()),
@@ -283,6 +299,7 @@ FROM t
 
 QUERIES = {
     "psi_from_saved_baseline": q_psi_from_saved_baseline,
+    "psi_from_plain_baseline": q_psi_from_plain_baseline,
     "csv_scan_nulls": q_csv_scan_nulls,
     "parquet_overwrite_roundtrip": q_parquet_overwrite_roundtrip,
     "baseline_roundtrip": q_baseline_roundtrip,
@@ -298,6 +315,7 @@ QUERIES = {
 
 ORACLES = {
     "psi_from_saved_baseline": SQL_PSI_EMPIRICAL,
+    "psi_from_plain_baseline": SQL_PSI_UNIFORM,
     "csv_scan_nulls": SQL_CSV_SCAN_NULLS,
     "parquet_overwrite_roundtrip": SQL_PARQUET_OVERWRITE_ROUNDTRIP,
     "baseline_roundtrip": SQL_BASELINE_ROUNDTRIP,

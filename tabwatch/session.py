@@ -49,7 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="tabwatch-ckpt-")   # only when unset, as in tests
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the whole cluster shares")
+        conf_dir = tempfile.mkdtemp(prefix="tabwatch-ckpt-")   # one machine, as in tests
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 

@@ -79,7 +79,14 @@ def load_baseline(spark: SparkSession, path: str, n_bins: int | None = None) ->
             F.map_keys("m").alias("num_cols"), F.col("m").alias("bins"),
             F.lit(int(n_bins)).alias("n_bins"))
         return _explode_current(migrated)
-    raise ValueError(f"Unexpected baseline schema in {path}")
+    raise ValueError(f"{path} holds neither a current nor a legacy baseline")
+
+
+def is_legacy(spark: SparkSession, path: str) -> bool:
+    """Whether the file at ``path`` lacks the current shape's keys."""
+    txt = _whole_text(spark, path)
+    cur = txt.select(F.from_json("value", BASELINE_SCHEMA, {"allowNonNumericNumbers": "true"}).alias("d"))
+    return cur.where("d.num_cols IS NOT NULL AND d.bins IS NOT NULL").limit(1).count() == 0
 
 
 def migrate_legacy(spark: SparkSession, path: str, out_path: str, n_bins: int) -> DataFrame:

@@ -1,37 +1,81 @@
-"""CSV with a declared schema and explicit missing-value tokens.
+"""CSV with declared or inferred types and explicit missing-value tokens.
 
-Schema inference costs an extra pass and lets types drift between batches,
-so the schema is declared.  Every column is first read as text, the
-missing-value tokens become null, then each column is ``try_cast`` to its
-declared type (bad values become null instead of failing the job).
-Quoted fields with doubled quotes are read as one quote (``escape='"'``).
+Every column is read as text under the name that the header gives it, the
+missing-value tokens become null, then each column is parsed to its type.  A
+declared column that the file lacks is an error, and so is a value that does not
+parse (or, if asked for, a null).  Whole numbers may be written as ``3.0``, as
+writers do whose integer columns hold missing values.  Quoted fields may hold
+doubled quotes and line breaks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwatch.functions.scalars import PANDAS_NULL_TOKENS, null_if_token
+from tabwatch.functions.search import quoted
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             null_tokens: Iterable[str] = PANDAS_NULL_TOKENS) -> DataFrame:
-    text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = (spark.read.schema(text_schema)
-           .option("header", True).option("escape", '"').option("quote", '"')
-           .option("mode", "PERMISSIVE").csv(path))
-    tokens = list(null_tokens)
-    cols = []
+
+def _parsed(text: Column, dtype: T.DataType) -> Column:
+    """The text as a value of the type, null where it is not one."""
+    trimmed = F.trim(text)
+    direct = trimmed.try_cast(dtype)
+    if isinstance(dtype, _WHOLE):
+        number = trimmed.try_cast("double")
+        return F.coalesce(direct, F.when(number == F.floor(number), number.try_cast(dtype)))
+    return direct
+
+
+def _text_columns(spark: SparkSession, path: str, multi_line: bool) -> DataFrame:
+    return (spark.read.option("header", True).option("escape", '"').option("quote", '"').option("inferSchema", False)
+            .option("multiLine", multi_line).option("mode", "FAILFAST").csv(path))
+
+
+def _inferred(raw: DataFrame, tokens: list[str]) -> T.StructType:
+    """bigint, double or string for each column: the narrowest that all values
+    parse to, in one pass over the file."""
+    columns = [null_if_token(F.col(quoted(c)), tokens) for c in raw.columns]
+    def misses(t: T.DataType) -> list[Column]:
+        return [F.count(F.when(c.isNotNull() & F.trim(c).try_cast(t).isNull(), 1)) for c in columns]
+    whole, number = misses(T.LongType()), misses(T.DoubleType())
+    row = raw.agg(*whole, *number).first()
+    n = len(columns)
+    kinds = [T.LongType() if row[i] == 0 else T.DoubleType() if row[n + i] == 0 else T.StringType() for i in range(n)]
+    return T.StructType([T.StructField(c, k) for c, k in zip(raw.columns, kinds)])
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+             null_tokens: Iterable[str] = PANDAS_NULL_TOKENS, bad_values: str = "fail",
+             multi_line: bool = True) -> DataFrame:
+    """The columns of ``schema`` by header name, in its order; without one, all
+    columns with inferred types.
+
+    ``bad_values``: ``fail`` stops the job at a value that does not parse,
+    ``null`` reads it as missing.  ``multi_line`` allows line breaks inside quotes, for
+    which a file is read by one task; switch it off for large files without any.
+    """
+    if bad_values not in ("fail", "null"):
+        raise ValueError(f"unknown way with bad values: {bad_values!r}")
+    raw, tokens = _text_columns(spark, path, multi_line), list(null_tokens)
+    schema = schema or _inferred(raw, tokens)
+    absent = [f.name for f in schema.fields if f.name not in raw.columns]
+    if absent:
+        raise ValueError(f"{path} has no column {', '.join(absent)}; its header has {', '.join(raw.columns)}")
+    columns = []
     for f in schema.fields:
-        c = null_if_token(F.col(f.name), tokens)
-        if not isinstance(f.dataType, T.StringType):
-            c = c.try_cast(f.dataType)
-        cols.append(c.alias(f.name))
-    return raw.select(*cols)
+        text = null_if_token(F.col(quoted(f.name)), tokens)
+        value = text if isinstance(f.dataType, T.StringType) else _parsed(text, f.dataType)
+        if value is not text and bad_values == "fail":
+            message = F.concat(F.lit(f"column {f.name}: not a {f.dataType.simpleString()}: "), text)
+            value = F.when(text.isNotNull() & value.isNull(), F.raise_error(message).cast(f.dataType)).otherwise(value)
+        columns.append(value.alias(f.name))
+    return raw.select(*columns)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -21,7 +21,9 @@ def test_csv_doubled_quotes_and_null_tokens(spark):
         f.write('3,n/a,22.0,oops\n')
     schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType()),
                            T.StructField("age", T.DoubleType()), T.StructField("fare", T.DoubleType())])
-    rows = read_csv(spark, p, schema).orderBy("id").collect()
+    with pytest.raises(Exception, match="oops"):
+        read_csv(spark, p, schema).collect()
+    rows = read_csv(spark, p, schema, bad_values="null").orderBy("id").collect()
     assert rows[0]["name"] == 'Johnston, Miss. Catherine Helen "Carrie"'
     assert rows[0]["age"] is None and rows[1]["age"] is None
     assert rows[2]["name"] is None and rows[2]["fare"] is None   # token and bad number
@@ -88,3 +90,16 @@ def test_passenger_schema_is_declared(spark):
     from tabwatch.spec import PASSENGER_SPEC, passenger_schema
     assert len(passenger_schema(True).fields) == 12 and len(passenger_schema(False).fields) == 11
     assert set(PASSENGER_SPEC.columns) <= set(passenger_schema(True).fieldNames())
+
+
+def test_csv_is_read_by_header_name(spark, tmp_path):
+    p = tmp_path / "t.csv"
+    p.write_text('fare,age,cls,note\n7.25,22.0,3.0,"two\nlines"\n,NA,1,x\n')
+    schema = T.StructType([T.StructField("age", T.IntegerType()), T.StructField("cls", T.IntegerType()), T.StructField("fare", T.DoubleType()),
+                           T.StructField("note", T.StringType())])
+    got = sorted(map(tuple, read_csv(spark, str(p), schema).collect()), key=lambda r: r[1])
+    assert got == [(None, 1, None, "x"), (22, 3, 7.25, "two\nlines")]
+    with pytest.raises(ValueError, match="sex"):
+        read_csv(spark, str(p), T.StructType([T.StructField("sex", T.StringType())]))
+    free = read_csv(spark, str(p))
+    assert [f.dataType.simpleString() for f in free.schema] == ["double", "double", "double", "string"]
