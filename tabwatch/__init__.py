@@ -11,7 +11,7 @@ from tabwatch.spec import DriftSpec, FeatureSpec
 _EXPORTS = {
     # drift
     "build_profile": "tabwatch.operators.profile",
-    "ensure_baseline": "tabwatch.operators.profile",
+    "saved_profile": "tabwatch.operators.profile",
     "quantile_edges": "tabwatch.operators.profile",
     "feature_quantiles": "tabwatch.operators.quantiles",
     "feature_sketches": "tabwatch.operators.quantiles",

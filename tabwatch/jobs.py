@@ -19,13 +19,15 @@ import json
 import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwatch.operators.drift import drift_status, monitor_log_rows, psi_report, run_name
+from tabwatch.operators.drift import (drift_status, generate_drift_batch, monitor_log_rows, psi_raw_sample, psi_report,
+                                      run_name)
 from tabwatch.operators.features import fit_features
 from tabwatch.operators.prep import collapse_sql, require_columns
-from tabwatch.operators.profile import ensure_baseline
+from tabwatch.operators.profile import saved_profile
 from tabwatch.operators.runlog import (best_run, current_production, metric_series, next_version,
                                        promote, run_wide)
 from tabwatch.operators.score import batch_score, load_model, production_model_path, save_model
@@ -35,15 +37,15 @@ from tabwatch.spec import DriftSpec, FeatureSpec
 from tabwatch.session import local_frame
 
 RUN_COLS = "run_id string, kind string, key string, value double, text string, ts_ms bigint"
-VERSION_COLS = "name string, version string, stage string, run_id string, path string"
+VERSION_COLS = "name string, version string, stage string, run_id string, path string, change bigint"
 
 
 def _read(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    if path.endswith(".csv") and schema is not None:
-        return read_csv(spark, path, schema)
-    if path.endswith(".csv"):
-        return spark.read.option("header", True).option("escape", '"').option("inferSchema", True).csv(path)
-    return spark.read.parquet(path)
+    return read_csv(spark, path, schema) if path.endswith(".csv") else spark.read.parquet(path)
+
+
+def _missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
 
 
 def _log(spark, rows: DataFrame, runlog: str, ts_ms: int) -> None:
@@ -70,7 +72,7 @@ def train(spark, src: str, spec: FeatureSpec, model_out: str, runlog: str, schem
     ``cv`` passes grid settings (trees, depths, folds, parallelism)."""
     df = _read(spark, src, schema)
     res = train_cv(df, spec, spec.key, clean_sql=collapse_sql(*clean) if clean else None, **cv)
-    save_model(res.model.bestModel, model_out)
+    save_model(res.model, model_out)
     run_id = uuid.uuid4().hex
     rep = training_report(spark, res).withColumnRenamed("value_text", "text")
     rep = rep.unionByName(local_frame(spark, [("artifact", "model_path", None, model_out)],
@@ -79,65 +81,113 @@ def train(spark, src: str, spec: FeatureSpec, model_out: str, runlog: str, schem
     return {"run_id": run_id, "val_auc": res.val_auc, "model_path": model_out}
 
 
+def read_versions(spark, versions: str) -> DataFrame:
+    """The versions as of now: of the appended rows of each, the last change."""
+    rows = spark.read.schema(VERSION_COLS).parquet(versions)
+    last = rows.groupBy("name", "version").agg(F.max_by(F.struct("stage", "run_id", "path"), "change").alias("x"), F.max("change").alias("change"))
+    return last.select("name", "version", "x.*", "change")
+
+
 def register(spark, runlog: str, versions: str, name: str, metric: str = "val_auc",
              archive_existing: bool = True) -> dict:
-    """Best run by ``metric`` -> next version of ``name`` -> Production."""
+    """Best run by ``metric`` -> next version of ``name`` -> Production.
+
+    The version table is only ever appended to: the new version and the stages that
+    change with it are rows of one change.  A missing table is the first
+    registration; a table that cannot be read is an error."""
     log = spark.read.parquet(runlog)
     wide = run_wide(log.withColumn("seq", F.lit(0).cast("bigint")), [metric])
     best = best_run(wide, metric, require=True).first()
     path = (log.where((F.col("run_id") == best["run_id"]) & (F.col("key") == "model_path"))
                .select("text").first()["text"])
     try:
-        vt = spark.read.parquet(versions)
-    except Exception:  # noqa: BLE001 - first registration
-        vt = local_frame(spark, [], VERSION_COLS)
+        known = read_versions(spark, versions).where(F.col("name") == name)
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
+        known = local_frame(spark, [], VERSION_COLS)
     names = local_frame(spark, [(name,)], "name string")
-    v = str(next_version(vt, names).first()["next_version"])
-    row = local_frame(spark, [(name, v, "None", best["run_id"], path)], VERSION_COLS)
-    allv = vt.unionByName(row)
-    mine = promote(allv.where(F.col("name") == name), policy="newest", archive_existing=archive_existing)
-    updated = mine.unionByName(allv.where(F.col("name") != name))
-    tmp = versions.rstrip("/") + f".next-{uuid.uuid4().hex[:8]}"
-    updated.write.mode("overwrite").parquet(tmp)             # write the new snapshot first,
-    spark.read.parquet(tmp).write.mode("overwrite").parquet(versions)   # then replace
+    v = str(next_version(known, names).first()["next_version"])
+    change = (known.agg(F.max("change")).first()[0] or 0) + 1
+    before = known.select("name", "version", F.col("stage").alias("was"))
+    row = local_frame(spark, [(name, v, "None", best["run_id"], path, change)], VERSION_COLS)
+    after = promote(known.unionByName(row), policy="newest", archive_existing=archive_existing)
+    changed = after.join(before, ["name", "version"], "left").where(~F.col("stage").eqNullSafe(F.col("was"))).drop("was")
+    changed.withColumn("change", F.lit(change).cast("bigint")).select(*row.columns).coalesce(1).write.mode("append").parquet(versions)
     return {"name": name, "version": v, "run_id": best["run_id"], "path": path}
 
 
+def _new_batch(spark, new: str, train_df: DataFrame | None, schema, synthesize: dict | None) -> DataFrame:
+    """The new data, or, where it is absent and ``synthesize`` says how, a
+    drifted sample of the training data."""
+    try:
+        return _read(spark, new, schema)
+    except AnalysisException as e:
+        if not _missing(e) or not synthesize or train_df is None:
+            raise
+    return generate_drift_batch(train_df, synthesize["key"], adjust=synthesize.get("adjust"))
+
+
 def monitor(spark, baseline: str, new: str, features: list[str], train_src: str | None = None,
             n_bins: int = 10, warn: float | None = 0.10, alert: float = 0.25,
             expected: str = "uniform", report_out: str | None = None, runlog: str | None = None,
-            schema=None, levels: str = "linspace") -> dict:
-    """Baseline (reuse or build) -> PSI per feature -> status (-> log)."""
-    spec = DriftSpec(features=tuple(features), n_bins=n_bins, warn=warn, alert=alert, expected=expected,
-                     levels=levels)
+            schema=None, levels: str = "linspace", formula: str = "binned", synthesize: dict | None = None) -> dict:
+    """Baseline (reuse or build) -> PSI per feature -> status (-> log).
+
+    The new data must have the columns of the baseline that is used.
+    ``formula="raw"`` compares the training sample itself (closed ranges, two-level
+    status).  ``synthesize`` = {"key": column, "adjust": {column: (scale, shift)}}
+    makes the new batch when there is none."""
+    spec = DriftSpec(features=tuple(features), n_bins=n_bins, warn=warn if formula == "binned" else None, alert=alert,
+                     expected=expected, levels=levels)
     train_df = _read(spark, train_src, schema) if train_src else None
-    prof = ensure_baseline(spark, baseline, train_df, features, n_bins, levels=levels)
-    new_df = _read(spark, new, schema)
-    require_columns(new_df, features)
-    rep = psi_report(prof, new_df, expected)
-    st = drift_status(rep, alert, warn)
+    if formula == "raw":
+        if train_df is None:
+            raise ValueError("the raw-sample formula needs the training data")
+        new_df = _new_batch(spark, new, train_df, schema, synthesize)
+        require_columns(new_df, features)
+        report = psi_raw_sample(train_df, new_df, features, n_bins)
+    elif formula == "binned":
+        prof = saved_profile(spark, baseline, train_df, features, n_bins, levels=levels)
+        new_df = _new_batch(spark, new, train_df, schema, synthesize)
+        require_columns(new_df, [r["feature"] for r in prof.select("feature").collect()])      # a row per feature
+        report = psi_report(prof, new_df, expected)
+    else:
+        raise ValueError(f"unknown formula {formula!r}")
+    # a row per feature, read by the file, the status and the log: computed once
+    report = report.select("feature", "psi", "bins", "new_total", "pos")
+    rep = local_frame(spark, report.collect(), "feature string, psi double, bins int, new_total bigint, pos int")
+    st = drift_status(rep, alert, spec.warn)
     if report_out:
         write_csv(rep.select("feature", "psi", "bins", "new_total").coalesce(1), report_out)
     s = st.first().asDict()
     if runlog:
         rid = run_name(int(time.time()))
-        _log(spark, monitor_log_rows(rep, st, spec, rid), runlog, int(time.time() * 1000))
+        rows = monitor_log_rows(rep, st, spec, rid, paths={"new_data_path": new, "baseline_path": baseline})
+        _log(spark, rows, runlog, int(time.time() * 1000))
         s["run_id"] = rid
     return s
 
 
 def predict(spark, versions: str, name: str, src: str, out: str, schema=None) -> int:
     """Score ``src`` with the Production version of ``name``; inputs kept."""
-    vt = spark.read.parquet(versions)
+    vt = read_versions(spark, versions)
     cur = current_production(vt).join(vt.select("name", "version", "path"), ["name", "version"])
     model = load_model(production_model_path(cur.withColumn("stage", F.lit("Production")), name))
     write_csv(batch_score(model, _read(spark, src, schema)), out)
-    return spark.read.option("header", True).csv(out).count()
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(out).count()
 
 
 def runs(spark, runlog: str, metric: str) -> DataFrame:
     log = spark.read.parquet(runlog).withColumn("seq", F.lit(0).cast("bigint"))
-    return metric_series(run_wide(log, [metric]), metric)
+    return metric_series(run_wide(log), metric)
+
+
+def _adjustments(key: str | None, text: str) -> dict | None:
+    if not key:
+        return None
+    parts = (x.split(":") for x in text.split(",") if x)
+    return {"key": key, "adjust": {c: (float(scale), float(shift)) for c, scale, shift in parts}}
 
 
 def main(argv=None) -> None:
@@ -153,6 +203,9 @@ def main(argv=None) -> None:
     m.add_argument("--alert", type=float, default=0.25)
     m.add_argument("--expected", default="uniform", choices=["uniform", "empirical"])
     m.add_argument("--levels", default="linspace", choices=["linspace", "exact", "percent"])
+    m.add_argument("--formula", default="binned", choices=["binned", "raw"])
+    m.add_argument("--synthesize-key", help="without new data, sample the training data by this key")
+    m.add_argument("--synthesize", default="", help="column:scale:shift, comma separated")
     m.add_argument("--report")
     m.add_argument("--runlog")
     for cmd in ("preprocess", "train"):
@@ -196,7 +249,8 @@ def main(argv=None) -> None:
             print(json.dumps(train(spark, a.input, spec, a.out, a.runlog, clean=clean)))
     elif a.cmd == "monitor":
         out = monitor(spark, a.baseline, a.new, a.features.split(","), a.train, a.bins, a.warn,
-                      a.alert, a.expected, a.report, a.runlog, levels=a.levels)
+                      a.alert, a.expected, a.report, a.runlog, levels=a.levels, formula=a.formula,
+                      synthesize=_adjustments(a.synthesize_key, a.synthesize))
         print(json.dumps(out, default=str))
     elif a.cmd == "runs":
         runs(spark, a.runlog, a.metric).show(truncate=False)

@@ -37,16 +37,22 @@ def read_runlog(spark, path: str) -> DataFrame:
     return read_parquet(spark, path)
 
 
-def run_wide(log: DataFrame, keys: Sequence[str], kind: str = "metric") -> DataFrame:
-    """One row per run: ``run_id, start_time, <key>...`` with each key's latest
-    value (by time, then sequence); a key the run never logged is null."""
-    m = log.where(F.col("kind") == kind)
+def metric_keys(log: DataFrame, kind: str = "metric") -> list[str]:
+    """The keys that any run logged, in order: names of columns to be, not data."""
+    return sorted(r["key"] for r in log.where(F.col("kind") == kind).select("key").distinct().collect())
+
+
+def run_wide(log: DataFrame, keys: Sequence[str] | None = None, kind: str = "metric") -> DataFrame:
+    """One row per run of the log: ``run_id, start_time, <key>...`` with each key's
+    latest value (by time, then sequence); a key the run never logged is null, and a
+    run without any metric keeps its row.  Without ``keys``, all that were logged."""
+    keys = metric_keys(log, kind) if keys is None else keys
     order = F.struct("ts_ms", "seq")
     aggs = [F.min("ts_ms").alias("start_time")]
     for k in keys:
-        hit = F.col("key") == F.lit(k)
+        hit = (F.col("kind") == kind) & (F.col("key") == F.lit(k))
         aggs.append(F.max_by(F.when(hit, F.col("value")), F.when(hit, order)).alias(k))
-    return m.groupBy("run_id").agg(*aggs)
+    return log.groupBy("run_id").agg(*aggs)
 
 
 def metric_series(wide: DataFrame, metric: str) -> DataFrame:
@@ -60,37 +66,40 @@ def metric_series(wide: DataFrame, metric: str) -> DataFrame:
 
 
 def best_run(wide: DataFrame, metric: str, require: bool = False) -> DataFrame:
-    """Top run by ``metric`` descending (runs lacking it last, ties by run_id)."""
-    top = (wide.orderBy(F.col(metric).desc_nulls_last(), F.col("run_id"))
+    """Top run by ``metric`` descending (runs lacking it or with NaN last, ties by run_id)."""
+    score = F.when(~F.isnan(metric), F.col(metric))
+    top = (wide.orderBy(score.desc_nulls_last(), F.col("run_id"))
                .limit(1).select("run_id", F.col(metric).alias("value")))
     if require and top.count() == 0:
-        raise ValueError("No runs found")
+        raise ValueError("the run log is empty: there is no best run")
     return top
 
 
+def artifact_uri(run_id: F.Column) -> F.Column:
+    return F.concat(F.lit("runs:/"), run_id, F.lit("/model"))
+
+
 def run_artifacts(log: DataFrame) -> DataFrame:
     """``(run_id, artifact_uri)`` for every run in the log."""
-    return (log.select("run_id").distinct()
-               .withColumn("artifact_uri", F.concat(F.lit("runs:/"), F.col("run_id"), F.lit("/model"))))
+    return log.select("run_id").distinct().withColumn("artifact_uri", artifact_uri(F.col("run_id")))
 
 
-def best_run_location(wide: DataFrame, log: DataFrame, metric: str) -> DataFrame:
-    best = best_run(wide, metric)
-    # the best run is a single row (top-1): it is the side that is broadcast
-    return F.broadcast(best).join(run_artifacts(log), "run_id")
+def best_run_location(wide: DataFrame, metric: str) -> DataFrame:
+    """``(run_id, value, artifact_uri)`` of the best run."""
+    return best_run(wide, metric).withColumn("artifact_uri", artifact_uri(F.col("run_id")))
 
 
 # ------------------------------------------------------------ model versions
 
 def next_version(versions: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """``(name, next_version int)``: previous numeric maximum + 1 (1 when none).
+    """``(name, next_version bigint)``: previous numeric maximum + 1 (1 when none).
 
     Versions are text in a registry; the maximum is taken as an integer.
     """
-    agg = versions.groupBy("name").agg(F.max(F.col("version").cast("int")).alias("_mx"))
+    agg = versions.groupBy("name").agg(F.max(F.col("version").cast("bigint")).alias("_mx"))
     if names is not None:
         agg = names.select("name").distinct().join(agg, "name", "left")
-    return agg.select("name", (F.coalesce("_mx", F.lit(0)) + 1).cast("int").alias("next_version"))
+    return agg.select("name", (F.coalesce("_mx", F.lit(0)) + 1).cast("bigint").alias("next_version"))
 
 
 def promote(versions: DataFrame, policy: str = "newest", archive_existing: bool = True,
@@ -98,21 +107,21 @@ def promote(versions: DataFrame, policy: str = "newest", archive_existing: bool
     """Promote one version per name to Production.
 
     policy 'newest' picks the highest version number; policy 'best' picks
-    the version with the highest ``metric`` (``(name, version, score)``).
+    the version with the highest ``metric`` (``(name, version, score)``; NaN is no score).
     With ``archive_existing`` other Production versions become Archived.
     """
     if policy == "newest":
-        pick = versions.groupBy("name").agg(F.max(F.col("version").cast("int")).alias("_pick"))
+        pick = versions.groupBy("name").agg(F.max(F.col("version").cast("bigint")).alias("_pick"))
     elif policy == "best":
         if metric is None:
             raise ValueError("policy 'best' needs a metric table")
         pick = metric.groupBy("name").agg(
-            F.max_by(F.col("version").cast("int"),
-                     F.struct(F.col("score"), -F.col("version").cast("int"))).alias("_pick"))
+            F.max_by(F.col("version").cast("bigint"),
+                     F.struct(F.when(~F.isnan("score"), F.col("score")), -F.col("version").cast("bigint"))).alias("_pick"))
     else:
         raise ValueError(f"unknown policy {policy!r}")
     j = versions.join(pick, "name", "left")
-    is_pick = F.col("version").cast("int") == F.col("_pick")
+    is_pick = F.col("version").cast("bigint") == F.col("_pick")
     stage = F.when(is_pick, F.lit("Production"))
     if archive_existing:
         stage = stage.when(F.col("stage") == "Production", F.lit("Archived"))
@@ -123,6 +132,6 @@ def promote(versions: DataFrame, policy: str = "newest", archive_existing: bool
 def current_production(versions: DataFrame, stage: str = "Production") -> DataFrame:
     """``(name, version, model_uri)``: the highest version in ``stage`` per name."""
     cur = (versions.where(F.col("stage") == stage)
-                   .groupBy("name").agg(F.max(F.col("version").cast("int")).alias("version")))
+                   .groupBy("name").agg(F.max(F.col("version").cast("bigint")).alias("version")))
     return cur.select("name", F.col("version").cast("string").alias("version"),
                       F.concat(F.lit("models:/"), F.col("name"), F.lit("/" + stage)).alias("model_uri"))

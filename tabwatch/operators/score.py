@@ -7,6 +7,12 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabwatch.functions.search import quoted
+
+
+#: What a fitted classifier adds; an input column of such a name does not reach it.
+MODEL_COLUMNS = ("prediction", "probability", "rawPrediction")
+
 
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
@@ -18,16 +24,23 @@ def load_model(path: str) -> PipelineModel:
 
 
 def batch_score(model: PipelineModel, df: DataFrame, out_col: str = "prediction") -> DataFrame:
-    """All input columns plus an integer prediction."""
-    scored = model.transform(df)
-    keep = [c for c in df.columns]
-    return scored.select(*keep, F.col("prediction").cast("int").alias(out_col))
+    """All input columns, with the caller's own values, plus an integer prediction.
+
+    The row goes along as one column that no stage of the pipeline touches, since a
+    stage may clean a column in place."""
+    row = "_input"
+    while row in df.columns:
+        row = "_" + row
+    bare = df.withColumn(row, F.struct(*(F.col(quoted(c)).alias(c) for c in df.columns))).drop(*MODEL_COLUMNS)
+    scored = model.transform(bare)
+    kept = [F.col(f"{row}.{quoted(c)}").alias(c) for c in df.columns if c != out_col]
+    return scored.select(*kept, F.col("prediction").cast("int").alias(out_col))
 
 
 def production_model_path(versions: DataFrame, name: str, stage: str = "Production") -> str:
     """Path of the highest version of ``name`` in ``stage`` (one row comes back)."""
     row = (versions.where((F.col("name") == name) & (F.col("stage") == stage))
-                   .orderBy(F.col("version").cast("int").desc()).select("path").first())
+                   .orderBy(F.col("version").cast("bigint").desc()).select("path").first())
     if row is None:
         raise ValueError(f"no {stage} version of {name}")
     return row["path"]

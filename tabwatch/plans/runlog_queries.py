@@ -42,7 +42,7 @@ SQL_VERSIONS = """(SELECT event_type AS name, CAST(event_id + 1 AS VARCHAR) AS v
 
 
 def _wide(spark, sf_dir):
-    return run_wide(runlog_from_events(table(spark, sf_dir, "events")), METRIC_KEYS)
+    return run_wide(runlog_from_events(table(spark, sf_dir, "events")))
 
 
 def q_run_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +80,7 @@ SELECT run_id, purchase AS value FROM ({SQL_RUN_WIDE}) ORDER BY purchase DESC NU
 
 def q_best_run_location(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = runlog_from_events(table(spark, sf_dir, "events"))
-    return best_run_location(run_wide(log, METRIC_KEYS), log, "purchase")
+    return best_run_location(run_wide(log, METRIC_KEYS), "purchase")
 
 
 SQL_BEST_RUN_LOCATION = f"""
@@ -106,7 +106,7 @@ def q_next_version(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL_NEXT_VERSION = f"""
-SELECT name, CAST(COALESCE(max(CAST(version AS INTEGER)), 0) + 1 AS INTEGER) AS next_version
+SELECT name, COALESCE(max(CAST(version AS BIGINT)), 0) + 1 AS next_version
 FROM {SQL_VERSIONS} GROUP BY name
 """
 
@@ -126,6 +126,37 @@ FROM v JOIN p USING (name)
 """
 
 
+def q_promote_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest version goes to Production beside those that are there."""
+    v = versions_from_events(table(spark, sf_dir, "events"))
+    return promote(v, policy="newest", archive_existing=False).select("name", "version", "stage")
+
+
+SQL_PROMOTE_KEEP = f"""
+WITH v AS {SQL_VERSIONS}, p AS (SELECT name, max(CAST(version AS BIGINT)) AS pick FROM v GROUP BY name)
+SELECT v.name, v.version, CASE WHEN CAST(v.version AS BIGINT) = p.pick THEN 'Production' ELSE v.stage END AS stage
+FROM v JOIN p USING (name)
+"""
+
+
+def q_promote_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The version of the best metric goes to Production; NaN is no metric."""
+    ev = table(spark, sf_dir, "events")
+    score = F.when(F.col("event_id") % 17 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("score")
+    scores = ev.select(F.col("event_type").alias("name"), (F.col("event_id") + 1).cast("string").alias("version"), score)
+    return promote(versions_from_events(ev), policy="best", metric=scores).select("name", "version", "stage")
+
+
+SQL_PROMOTE_BEST = f"""
+WITH v AS {SQL_VERSIONS},
+     p AS (SELECT event_type AS name, event_id + 1 AS pick FROM events WHERE event_id % 17 <> 0
+           QUALIFY row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) = 1)
+SELECT v.name, v.version, CASE WHEN CAST(v.version AS BIGINT) = p.pick THEN 'Production'
+       WHEN v.stage = 'Production' THEN 'Archived' ELSE v.stage END AS stage
+FROM v JOIN p USING (name)
+"""
+
+
 def q_current_production(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = versions_from_events(table(spark, sf_dir, "events"))
     return current_production(v)
@@ -145,6 +176,8 @@ QUERIES = {
     "run_log_append": q_run_log_append,
     "next_version": q_next_version,
     "promote": q_promote,
+    "promote_keep": q_promote_keep,
+    "promote_best": q_promote_best,
     "current_production": q_current_production,
 }
 
@@ -156,5 +189,7 @@ ORACLES = {
     "run_log_append": SQL_RUN_LOG_APPEND,
     "next_version": SQL_NEXT_VERSION,
     "promote": SQL_PROMOTE,
+    "promote_keep": SQL_PROMOTE_KEEP,
+    "promote_best": SQL_PROMOTE_BEST,
     "current_production": SQL_CURRENT_PRODUCTION,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -22,6 +22,16 @@ class FeatureSpec:
         return cols
 
 
+class FeatureNames:
+    """The columns that the feature stages read and add."""
+
+    def __init__(self, spec: FeatureSpec):
+        self.num, self.cat = list(spec.num), list(spec.cat)
+        self.filled = [f"{name}_imp" for name in self.num]
+        self.indexed = [f"{name}_idx" for name in self.cat]
+        self.slots = [f"{name}_oh" for name in self.cat]
+
+
 @dataclass(frozen=True)
 class DriftSpec:
     """PSI settings.
@@ -42,13 +52,11 @@ class DriftSpec:
     levels: str = "exact"
     expected: str = "empirical"
     quantile_method: str = "exact"
-    extra: dict = field(default_factory=dict, compare=False)
 
 
-# Default PSI settings (bins, warn level, alert level, epsilon,
+# Default PSI settings (warn level, alert level, epsilon,
 # floor for empty shares in the raw-sample formula, closing offset of the last
 # breakpoint in the raw-sample formula).
-DEFAULT_BINS = 10
 DEFAULT_WARN = 0.10
 DEFAULT_ALERT = 0.25
 PSI_EPS = 1e-12
@@ -56,13 +64,11 @@ RAW_SHARE_FLOOR = 1e-6
 RAW_LAST_EDGE_PAD = 1e-6
 
 # The synthetic drifted batch (rows sampled, sampling seed,
-# shift added to one column, factor applied to another, factor of the
-# inline demo variant).
+# shift added to one column, factor applied to another).
 DRIFT_BATCH_ROWS = 300
 DRIFT_BATCH_SEED = 123
 DRIFT_BATCH_SHIFT = 8.0
 DRIFT_BATCH_SCALE = 1.5
-DRIFT_DEMO_SCALE = 1.3
 
 
 # Example configuration: the 12-column passenger table the reference trains

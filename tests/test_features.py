@@ -1,10 +1,9 @@
 import pytest
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from tabwatch.operators.evaluate import auc_evaluator, auc_rank_sum
-from tabwatch.operators.features import apply_index, category_index, fit_features
+from tabwatch.operators.features import fit_features
 from tabwatch.spec import FeatureSpec
 
 
@@ -16,16 +15,12 @@ def test_index_keep_null_and_unseen_get_the_extra_slot(spark):
     assert [r["e_idx"] for r in out] == [0.0, 1.0, 2.0, 3.0, 3.0]
     assert all(len(r["oh"]) == 4 for r in out)
     assert out[4]["oh"] == [0.0, 0.0, 0.0, 1.0]     # null is its own slot, not all zeros
-    idx = category_index(fit, "e")
-    sql_form = apply_index(new, "e", idx).orderBy(F.col("e").asc_nulls_last()).collect()
-    assert sorted(r["e_idx"] for r in sql_form) == [0.0, 1.0, 2.0, 3.0, 3.0]
 
 
 def test_frequency_ties_are_alphabetical(spark):
     df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",)], "s string")
     m = StringIndexer(inputCol="s", outputCol="i").fit(df)
     assert m.labels == ["c", "a", "b"]
-    assert [r["value"] for r in category_index(df, "s").orderBy("idx").collect()] == ["c", "a", "b"]
 
 
 def test_label_null_is_an_error(spark):
@@ -78,3 +73,33 @@ def test_score_one_record(spark):
     got = score_record(model, spark, {"x": 3.0, "c": "a"}, "x double, c string")
     assert got in (0, 1)
     assert score_record(model, spark, {"c": "zzz"}, "x double, c string") in (0, 1)   # null + unseen
+
+
+def test_batch_score_keeps_the_callers_values(spark):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from tabwatch.operators.prep import collapse_sql
+    from tabwatch.operators.score import batch_score
+    df = spark.createDataFrame([("male" if i % 2 else "female", float(i % 2)) for i in range(40)], "sex string, y double")
+    m = fit_features(df, FeatureSpec(num=(), cat=("sex",), label="y"), collapse_sql("sex", "male", "female"), label_index=False)
+    rf = RandomForestClassifier(labelCol="y", seed=1, numTrees=3).fit(m.transform(df))
+    new = spark.createDataFrame([("male", 1), ("Male", 2), (None, 3), ("it's \\", 4)], "sex string, prediction int")
+    out = batch_score(PipelineModel(stages=[*m.stages, rf]), new)
+    assert sorted(((r.sex or ""), r.prediction) for r in out.collect()) == [("", 0), ("Male", 0), ("it's \\", 0), ("male", 1)]
+
+
+def test_collapse_sql_quotes_names_and_values(spark):
+    from pyspark.ml.feature import SQLTransformer
+
+    from tabwatch.operators.prep import collapse_sql
+    df = spark.createDataFrame([("it's",), ("x\\y",), (None,)], "`a b` string")
+    for keep in ("it's", "x\\y"):
+        got = [r[0] for r in SQLTransformer(statement=collapse_sql("a b", keep, "o'")).transform(df).collect()]
+        assert sorted(got) == sorted([keep, "o'", "o'"])
+
+
+def test_auc_rejects_other_labels(spark):
+    df = spark.createDataFrame([(1, 0.5), (2, 0.4)], "y int, s double")
+    with pytest.raises(Exception, match="neither 0 nor 1"):
+        auc_rank_sum(df, "y", "s").collect()

@@ -1,5 +1,6 @@
 """The runnable workflow end to end on driver tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabwatch import jobs
@@ -22,13 +23,13 @@ def test_workflow(spark):
     jobs.train(spark, src, DOC_SPEC, scratch_path(spark, "t_m2"), runlog, **grid)
     v2 = jobs.register(spark, runlog, versions, "docs_rf")
     assert (v1["version"], v2["version"]) == ("1", "2")
-    stages = {r["version"]: r["stage"] for r in spark.read.parquet(versions).collect()}
+    stages = {r["version"]: r["stage"] for r in jobs.read_versions(spark, versions).collect()}
     assert stages == {"1": "Archived", "2": "Production"}
     assert jobs.predict(spark, versions, "docs_rf", src, scratch_path(spark, "t_pred")) == n
     assert jobs.runs(spark, runlog, "val_auc").count() == 2
     jobs.main(["register", "--runlog", runlog, "--versions", versions, "--name", "docs_rf",
                "--keep-existing"])
-    stages = {r["version"]: r["stage"] for r in spark.read.parquet(versions).collect()}
+    stages = {r["version"]: r["stage"] for r in jobs.read_versions(spark, versions).collect()}
     assert stages == {"1": "Archived", "2": "Production", "3": "Production"}   # no archiving
     jobs.main(["predict", "--versions", versions, "--name", "docs_rf", "--input", src,
                "--out", scratch_path(spark, "t_pred_cli")])
@@ -64,3 +65,46 @@ def test_command_line_monitor(spark, capsys):
                "--features", "l_quantity,l_discount", "--expected", "empirical", "--levels", "exact"])
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["n_features"] == 2 and out["status"] in ("OK", "WARN", "ALERT")
+
+
+def _csv(path, header, rows):
+    path.write_text("\n".join([header, *rows]) + "\n")
+    return str(path)
+
+
+def test_command_line_on_csv(spark, tmp_path, capsys):
+    import json
+    train = _csv(tmp_path / "train.csv", "id,age,name", [f'{i},{"NA" if i % 9 == 0 else i % 50 + 0.5},"a ""b""\nc"' for i in range(200)])
+    new = _csv(tmp_path / "new.csv", "name,age,id", [f'x,{i % 50 + 20}.0,{i}.0' for i in range(100)])
+    args = ["monitor", "--baseline", str(tmp_path / "base"), "--train", train, "--features", "age", "--runlog", str(tmp_path / "log")]
+    jobs.main([*args, "--new", new])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["n_features"] == 1 and out["status"] == "ALERT"
+    tags = {r.key: r.text for r in spark.read.parquet(str(tmp_path / "log")).where("kind = 'tag'").collect()}
+    assert tags["new_data_path"] == new and tags["baseline_path"] == str(tmp_path / "base")
+    jobs.main([*args, "--new", new, "--formula", "raw"])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["status"] == "ALERT"
+    jobs.main([*args, "--new", str(tmp_path / "none.csv"), "--synthesize-key", "id", "--synthesize", "age:1.5:8"])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["retrain"] == 1
+    with pytest.raises(Exception, match="none.csv"):
+        jobs.main([*args, "--new", str(tmp_path / "none.csv")])
+
+
+def test_monitor_checks_the_baselines_own_features(spark, tmp_path):
+    base, new = str(tmp_path / "bl"), str(tmp_path / "new.parquet")
+    src = str(tmp_path / "src.parquet")
+    spark.range(100).selectExpr("cast(id as double) a", "cast(id % 7 as double) b").write.parquet(src)
+    spark.range(50).selectExpr("cast(id as double) a").write.parquet(new)
+    jobs.monitor(spark, base, src, ["a", "b"], train_src=src)
+    with pytest.raises(ValueError, match="b"):
+        jobs.monitor(spark, base, new, ["a"])
+
+
+def test_unreadable_version_table_is_not_a_first_registration(spark, tmp_path):
+    log, versions = str(tmp_path / "log"), tmp_path / "versions"
+    spark.createDataFrame([("r", "metric", "val_auc", 0.5, None, 1), ("r", "artifact", "model_path", None, "p", 1)], jobs.RUN_COLS).write.parquet(log)
+    versions.mkdir()
+    (versions / "part.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        jobs.register(spark, log, str(versions), "m")
+    assert (versions / "part.parquet").read_text() == "not parquet"

@@ -46,3 +46,19 @@ def test_promote_best_metric_policy(spark):
     # best score wins; ties go to the lower version number
     assert got[("m", "2")] == "Production" and got[("m", "9")] == "Archived"
     assert got[("m", "10")] == "None" and got[("n", "1")] == "Production"
+
+
+def test_nan_is_no_metric_and_all_runs_stay(spark):
+    rows = [("r1", "metric", "auc", 0.8, 1, 1), ("r2", "metric", "auc", float("nan"), 2, 2), ("r3", "metric", "auc", 0.9, 3, 3),
+            ("r4", "param", "depth", 5.0, 4, 4), ("r5", "metric", "loss", 0.1, 5, 5)]
+    log = spark.createDataFrame(rows, "run_id string, kind string, key string, value double, ts_ms bigint, seq bigint")
+    wide = run_wide(log)
+    assert wide.columns == ["run_id", "start_time", "auc", "loss"]
+    got = {r["run_id"]: r for r in wide.collect()}
+    assert set(got) == {"r1", "r2", "r3", "r4", "r5"} and got["r4"]["auc"] is None and got["r4"]["start_time"] == 4
+    assert best_run(wide, "auc").first()["run_id"] == "r3"
+    versions = spark.createDataFrame([("m", "1", "None"), ("m", "2", "None"), ("m", str(2**40), "None")], "name string, version string, stage string")
+    scores = spark.createDataFrame([("m", "1", 0.7), ("m", "2", float("nan"))], "name string, version string, score double")
+    best = {r["version"]: r["stage"] for r in promote(versions, policy="best", metric=scores).collect()}
+    assert best["1"] == "Production" and best["2"] == "None"
+    assert next_version(versions).first()["next_version"] == 2**40 + 1
