@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwatch.llm.common import fresh, ship, stored
+from tabwatch.llm.common import SPACE, fresh, ship, stored
 from tabwatch.llm.components import components
 
 WORDS, PERCENT = 4, 85
@@ -375,4 +375,5 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     one = (marked.where(F.col(node).isNotNull()).groupBy(node)
            .agg(F.min_by(F.struct(*docs.columns), F.struct(F.col(id_col).isNull(), F.col(id_col))).alias(row)))
     one = one.join(gone, one[node] == gone[out], "left_anti").select(f"{row}.*")
-    return one.unionByName(marked.where(F.col(node).isNull()).select(*docs.columns))
+    wordless = ~F.coalesce(F.col(text_col), F.lit("")).rlike(f"[^{SPACE}]")
+    return one.unionByName(docs.where(wordless))
