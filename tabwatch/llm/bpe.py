@@ -21,7 +21,7 @@ from tabwatch.llm.common import tokenizer_path
 VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 #: Entries of a worker's cache, and the longest piece that it holds.
-CACHED, LONGEST = 400_000, 64
+CACHED, LONGEST = 200_000, 64
 
 # where cutting at every space would part a run of white space
 _UNSAFE = re.compile(r"\s \s|\s \Z")

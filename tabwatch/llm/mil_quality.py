@@ -28,7 +28,7 @@ HIDDEN, ATTENTION, STEPS, RATE, DECAY = 24, 12, 250, 0.02, 1e-4
 SEED = 3
 BUCKETS = 48
 #: Entries of a worker's cache of word codes.
-CACHED = 300_000
+CACHED = 150_000
 
 # character classes of a byte: lower, upper, digit, space, mark of a sentence, sign, beyond ASCII
 _CLASS = np.full(256, 5, dtype=np.int64)

@@ -36,16 +36,18 @@ from tabwatch.llm.components import components
 
 WORDS, PERCENT = 4, 85
 #: n-grams of a fragment, about, and the least number of fragments.
-FRAGMENT, LEAST_FRAGMENTS = 3_000_000, 16
+FRAGMENT, LEAST_FRAGMENTS = 2_000_000, 16
 #: Parts of a set whose overlaps are counted apart.
 PARTS = 4
 #: An n-gram is heavy when this share of all documents has it: of a set's average
 #: length divided by the share there are so many heavy n-grams at most.
-HEAVY, HEAVY_IN_BATCH = 0.005, 32
+HEAVY, HEAVY_IN_BATCH = 0.005, 8
+#: Documents whose sets a task holds at a time.
+TOGETHER = 1000
 #: 64-bit words of the sketch of a set, one bit per n-gram that it shares.
 SKETCH = 16
 #: Entries of a worker's cache of word hashes.
-CACHED = 300_000
+CACHED = 150_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -89,19 +91,23 @@ def least_overlap(n: Column, percent: int) -> Column:
 
 
 def _digest(n: int):
+    """Rows (doc_id, n, node, null), and (null, count, null, gram) of the n-grams
+    that many of a few hundred documents have; sets are held for those alone."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [ngram_set(t.as_py(), n) for t in batch.column(1)]
-            nodes = [class_of(s) if len(s) else None for s in sets]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(len(sets), pa.int64())],
-                                             names=["doc_id", "n", "node", "gram"])
-            first = {node: s for node, s in zip(nodes, sets) if node is not None}
-            if first:
-                grams, counts = np.unique(np.concatenate(list(first.values())), return_counts=True)
-                often = counts >= max(HEAVY_IN_BATCH, HEAVY * len(first))
-                m = int(often.sum())
-                yield pa.RecordBatch.from_arrays([pa.nulls(m, batch.schema.field(0).type), pa.array(counts[often].astype(np.int64)), pa.nulls(m, pa.int64()),
-                                                  pa.array(grams[often].view(np.int64))], names=["doc_id", "n", "node", "gram"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, TOGETHER):
+                batch = whole.slice(at, TOGETHER)
+                sets = [ngram_set(t.as_py(), n) for t in batch.column(1)]
+                nodes = [class_of(s) if len(s) else None for s in sets]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(len(sets), pa.int64())],
+                                                 names=["doc_id", "n", "node", "gram"])
+                first = {node: s for node, s in zip(nodes, sets) if node is not None}
+                if first:
+                    grams, counts = np.unique(np.concatenate(list(first.values())), return_counts=True)
+                    often = counts >= max(HEAVY_IN_BATCH, HEAVY * len(first))
+                    m = int(often.sum())
+                    yield pa.RecordBatch.from_arrays([pa.nulls(m, batch.schema.field(0).type), pa.array(counts[often].astype(np.int64)), pa.nulls(m, pa.int64()),
+                                                      pa.array(grams[often].view(np.int64))], names=["doc_id", "n", "node", "gram"])
     return run
 
 
@@ -125,7 +131,7 @@ def _segments(n: int, fragments: int, heavy: np.ndarray):
                     seen.add(node)
                     nodes.append(node)
                     sets.append(s)
-                if len(nodes) >= 2000:
+                if len(nodes) >= TOGETHER:
                     yield from _deal(nodes, sets, fragments, heavy)
                     nodes, sets = [], []
             if nodes:
@@ -256,7 +262,7 @@ def _partners(docs: DataFrame, digests: DataFrame, text_col: str, n: int, percen
     total = real.agg(F.sum("n").alias("grams"), F.count("node").alias("docs")).first()
     fragments = max(LEAST_FRAGMENTS, -(-(total.grams or 0) // FRAGMENT))
     heavy = (digests.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))
-             .where(F.col("n") >= max(HEAVY_IN_BATCH, HEAVY * total.docs)).collect())      # bounded by average set / HEAVY
+             .where(F.col("n") >= max(4 * HEAVY_IN_BATCH, HEAVY * total.docs)).collect())      # bounded by average set / HEAVY
     listed = np.sort(np.array([r.gram for r in heavy], dtype=np.int64).view(np.uint64))
     counts = {r.gram: r.n for r in heavy}
     heavy_counts = np.array([min(counts[int(g)], 2**31 - 1) for g in listed.view(np.int64)], dtype=np.int32)

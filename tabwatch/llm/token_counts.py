@@ -23,7 +23,7 @@ MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
 #: Entries of the broadcast table, of a task's counts while it counts and when it is
 #: done, and of a worker's cache; the longest pre-token that any of them holds.
-TABLE, COUNTING, SENT, CACHED, LONGEST = 50_000, 300_000, 4_000, 400_000, 64
+TABLE, COUNTING, SENT, CACHED, LONGEST = 50_000, 200_000, 4_000, 250_000, 64
 
 _SEGMENTS = re.compile(r" *[^ ]+| +")
 _lengths: dict = {}
