@@ -36,6 +36,7 @@ class Pieces(dict):
         import public_tokenizers
         import tiktoken
         super().__init__()
+        self.before: dict[str, bytes] = {}      # the generation before: a piece in use moves over from it
         with open(ranks, "rb") as f:
             table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
         self.merge = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
@@ -44,9 +45,12 @@ class Pieces(dict):
         self.any_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
 
     def __missing__(self, piece: str) -> bytes:
-        ids = _bytes(self.merge.encode_ordinary(" " + piece))
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = _bytes(self.merge.encode_ordinary(" " + piece))
         if len(piece) <= LONGEST:
-            if len(self) >= CACHED:
+            if len(self) >= CACHED // 2:
+                self.before = dict(self)
                 self.clear()
             self[piece] = ids
         return ids

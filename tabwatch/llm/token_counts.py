@@ -35,12 +35,16 @@ class Lengths(dict):
     def __init__(self, path: str, frequent: dict[str, int]):
         import sentencepiece
         super().__init__(frequent)
+        self.before: dict[str, int] = {}        # the generation before: a piece in use moves over from it
         self.frequent, self.model = frequent, sentencepiece.SentencePieceProcessor(model_file=path)
 
     def __missing__(self, piece: str) -> int:
-        n = len(self.model.encode(piece))
+        n = self.before.get(piece)
+        if n is None:
+            n = len(self.model.encode(piece))
         if len(piece) <= LONGEST:
-            if len(self) >= CACHED:
+            if len(self) >= CACHED // 2:
+                self.before = dict(self)
                 self.clear()
                 self.update(self.frequent)
             self[piece] = n

@@ -316,3 +316,17 @@ def test_attention_gradient():
     lambda df: mil_quality.score(df, mil_quality.AttentionModel(np.random.default_rng(0)))])
 def test_empty_table(nothing, operator):
     assert operator(nothing).collect() == []
+
+
+def test_full_caches_change_no_result(monkeypatch):
+    import public_tokenizers
+    monkeypatch.setattr(bpe, "CACHED", 6)
+    monkeypatch.setattr(token_counts, "CACHED", 6)
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    ours, lengths = bpe.Pieces(*bpe.default_files()), token_counts.Lengths(path, {})
+    whole = brute.bpe()
+    text = " ".join(f"w{i * i % 11}" for i in range(80))
+    for _ in range(2):
+        assert np.frombuffer(ours.ids(text), dtype="<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+        assert lengths.count(text) == len(lengths.model.encode(text))
+    assert len(ours) + len(ours.before) <= 6 and len(lengths) + len(lengths.before) <= 6
