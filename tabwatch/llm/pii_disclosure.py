@@ -1,15 +1,16 @@
 """Personal data, and the terms that give it away.
 
 Patterns find addresses, numbers and the like.  What is left after they are taken
-out may still reveal them: a name that stands beside one telephone number again
-and again.  Over the whole corpus, a term discloses an entity by the share of the
-entity's information content that their co-occurrence carries,
+out may still reveal them: a name that is found in the documents of one telephone
+number and in no others.  Over the whole corpus, a term discloses an entity by the
+share of the entity's information content that their co-occurrence carries,
 
     log(N * both / (df(term) * df(entity))) / log(N / df(entity)),
 
-1 when the term is found with that entity only.  Terms near an entity that disclose
-enough of it, in more than one wording, are generalised; those that disclose
-nearly all of it are removed.
+1 when the term is found with that entity only; all counts are of documents.  Terms
+that disclose enough of an entity, in more than one text, are generalised wherever
+they stand in the documents with that entity; those that disclose nearly all of it
+are removed.
 """
 
 from __future__ import annotations
@@ -29,12 +30,12 @@ from tabwatch.llm.common import ship, stored, with_row_key
 KINDS = ("email", "ip", "card", "phone", "general", "remove")
 #: Shares of an entity's information from which a term is generalised, and removed.
 GENERALISE, REMOVE = 0.5, 0.9
-#: Different wordings around an entity in which a term must be seen.
-WORDINGS = 2
-#: Terms on each side of a mention, and the characters looked through for them.
-NEAR, REACH = 8, 160
+#: Different texts in which a term must be seen with an entity.
+TEXTS = 2
 #: Terms that a task counts before it sends them on.
 COUNTING = 300_000
+#: Terms of one text in a batch.
+SENT = 20_000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -97,39 +98,43 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode()) - (1 << 63)
 
 
-def _near(text: str, start: int, end: int, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """(term, start, end) of the terms around a mention, outside of all spans."""
-    lo, hi = max(0, start - REACH), min(len(text), end + REACH)
-    before = [m for m in _TERM.finditer(text, lo, start) if m.start() > lo or lo == 0 or not text[lo - 1].isalpha()][-NEAR:]
-    after = [m for m in _TERM.finditer(text, end, hi) if m.end() < hi or hi == len(text) or not text[hi].isalpha()][:NEAR]
-    around = [(s, e) for s, _, e in spans if s < hi and e > lo]
-    return [(_hash(m[0].lower()), m.start(), m.end()) for m in before + after
-            if not any(s < m.end() and m.start() < e for s, e in around)]
+def _terms_of(text: str) -> set[str]:
+    return {t.lower() for t in _TERM.findall(text)}
 
 
-_MENTIONS = pa.list_(pa.struct([("entity", pa.int64()), ("wording", pa.int64()), ("terms", pa.list_(pa.struct([
-    ("term", pa.int64()), ("start", pa.int64()), ("end", pa.int64())])))]))
+def _free(text: str, spans: list[tuple[int, int, int]]) -> Iterator[re.Match]:
+    """The terms of a text that do not touch any of its spans, in order."""
+    taken: list[list[int]] = []      # the spans, those that overlap as one
+    for s, _, e in spans:
+        if taken and s < taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], e)
+        else:
+            taken.append([s, e])
+    at = 0
+    for m in _TERM.finditer(text):
+        while at < len(taken) and taken[at][1] <= m.start():
+            at += 1
+        if at == len(taken) or m.end() <= taken[at][0]:
+            yield m
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts, spans and, of texts with any, the entities, the text and its hash."""
     for batch in batches:
-        counts, texts, mentions = [[], [], [], []], [], []
+        counts, bases, mentions, copies, hashes = [[], [], [], []], [], [], [], []
         for value in batch.column(1):
             text = value.as_py() or ""
             spans = base_spans(text)
             here = Counter(k for _, k, _ in spans)
             for k, column in enumerate(counts):
                 column.append(here[k])
-            texts.append(span_text(spans))
-            found = []
-            for s, k, e in spans:
-                value = text[s:e].lower() if k < 2 else _digits(text[s:e])
-                terms = _near(text, s, e, spans)
-                wording = _hash(" ".join(str(t) for t in sorted({t for t, _, _ in terms})))
-                found.append({"entity": _hash(f"{k}:{value}"), "wording": wording, "terms": [{"term": t, "start": a, "end": b} for t, a, b in terms]})
-            mentions.append(found)
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in counts), pa.array(texts, pa.string()), pa.array(mentions, _MENTIONS)],
-                                         names=["doc_id", *(f"n_{k}" for k in KINDS[:4]), "base", "mentions"])
+            bases.append(span_text(spans))
+            mentions.append(sorted({_hash(f"{k}:{text[s:e].lower() if k < 2 else _digits(text[s:e])}") for s, k, e in spans}))
+            copies.append(text if spans else None)
+            hashes.append(hashlib.sha256(text.encode()).digest()[:16] if spans else None)
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, pa.int64()) for x in counts), pa.array(bases, pa.string()),
+                                          pa.array(mentions, pa.list_(pa.int64())), pa.array(copies, pa.string()), pa.array(hashes, pa.binary())],
+                                         names=["doc_id", *(f"n_{k}" for k in KINDS[:4]), "base", "entities", "text", "same"])
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,48 +146,80 @@ def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for value in batch.column(0):
-            seen.update(set(_TERM.findall(value.as_py().lower())))
+            seen.update(_terms_of(value.as_py()))
             if len(seen) > COUNTING:
                 yield sent()
                 seen.clear()
     yield sent()
 
 
-def disclosures(docs: DataFrame, scanned: DataFrame, text_col: str = "text", generalise: float = GENERALISE) -> DataFrame:
-    """entity, term, share of the entity's information that the term discloses,
-    for the terms over the limit.  Counts are of documents, over all of them."""
+def _terms_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(same, n, term) of the terms outside the spans of each text."""
+    for batch in batches:
+        for same, n, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            terms = sorted({_hash(m[0].lower()) for m in _free(text, base_spans(text))})
+            for at in range(0, len(terms), SENT):
+                some = terms[at:at + SENT]
+                yield pa.RecordBatch.from_arrays([pa.array([same] * len(some), pa.binary()), pa.array([n] * len(some), pa.int64()), pa.array(some, pa.int64())],
+                                                 names=["same", "n", "term"])
+
+
+def disclosures(docs: DataFrame, scanned: DataFrame, text_col: str = "text", generalise: float = GENERALISE) -> tuple[DataFrame, DataFrame]:
+    """Two tables.  Told: same, entity, term, share of the entity's information that
+    the term discloses, for the terms over the limit in each text that has both, by
+    counts of documents over all of them.  Texts: same, n, text, one row for each
+    distinct text with an entity of several texts.
+
+    Pairs are of all terms of a text with all of its entities.  Since ``both`` is
+    at most df(entity) and at most the term's documents with entities, a pair with
+    min(df(entity), those) / df(term) < (df(entity) / N) ** (1 - generalise) cannot
+    reach the limit: it is left out before it is counted, and loses nothing."""
     n = scanned.count()
-    seen = scanned.select("row", F.explode("mentions").alias("m")).select("row", "m.entity", "m.wording", F.explode("m.terms.term").alias("term"))
-    entities = (scanned.select("row", F.explode("mentions.entity").alias("entity")).distinct()
-                .groupBy("entity").agg(F.count(F.lit(1)).alias("df_entity")))
-    both = (seen.groupBy("entity", "term", "row").agg(F.min("wording").alias("wording"))
-            .groupBy("entity", "term", "wording").agg(F.count(F.lit(1)).alias("docs"))
-            .groupBy("entity", "term").agg(F.sum("docs").alias("both"), F.count(F.lit(1)).alias("wordings")))
-    both = stored(both.where(F.col("wordings") >= WORDINGS), "pii-pairs")
+    mentioned = scanned.where(F.size("entities") > 0)
+    per_text = mentioned.select(F.explode("entities").alias("entity"), "same").groupBy("entity", "same").agg(F.count(F.lit(1)).alias("n"))
+    entities = per_text.groupBy("entity").agg(F.sum("n").alias("df_entity"), F.count(F.lit(1)).alias("texts"))
+    entities = entities.where((F.col("texts") >= TEXTS) & (F.col("df_entity") < n)).drop("texts")
+    held = stored(per_text.drop("n").join(entities, "entity"), "pii-held")
+    distinct = mentioned.groupBy("same").agg(F.count(F.lit(1)).alias("n"), F.first("text").alias("text"))
+    texts = stored(distinct.join(held.select("same").distinct(), "same", "left_semi"), "pii-texts")
+    with_terms = stored(texts.select("same", "n", "text").mapInArrow(_terms_with, "same binary, n long, term long"), "pii-text-terms")
+    several = with_terms.groupBy("term").agg(F.sum("n").alias("beside"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= TEXTS).drop("texts")
+    several = stored(several, "pii-several")
     counted = docs.where(F.col(text_col).isNotNull()).select(text_col).mapInArrow(_terms, "term long, n long")
-    terms = (counted.join(both.select("term").distinct(), "term", "left_semi") if both.limit(1).count() else counted.where("false"))
-    terms = terms.groupBy("term").agg(F.sum("n").alias("df_term"))
-    joined = both.join(entities, "entity").join(terms, "term")
-    share = F.log2(F.lit(float(n)) * F.col("both") / (F.col("df_term") * F.col("df_entity"))) / F.log2(F.lit(float(n)) / F.col("df_entity"))
-    return joined.where(F.col("df_entity") < n).select("entity", "term", share.alias("share")).where(F.col("share") >= generalise)
-
-
-def _all_spans(base: list[str | None], added: list) -> list[str]:
-    out = []
-    for text, more in zip(base, added):
-        spans = [(int(s), KINDS.index(k), int(e)) for k, s, e in (x.split(":") for x in text.split(","))] if text else []
-        best: dict[tuple[int, int], int] = {}
-        for x in more or ():
-            best[x["start"], x["end"]] = max(best.get((x["start"], x["end"]), 0), x["kind"])
-        out.append(span_text(sorted(spans + [(s, k, e) for (s, e), k in best.items()])))
-    return out
+    counted = counted.join(several.select("term"), "term", "left_semi") if several.limit(1).count() else counted.where("false")
+    terms = stored(counted.groupBy("term").agg(F.sum("n").alias("df_term")).join(several, "term"), "pii-term-counts")
+    bits = F.log2(F.lit(float(n)) / F.col("df_entity"))
+    share = lambda both: F.log2(F.lit(float(n)) * both / (F.col("df_term") * F.col("df_entity"))) / bits
+    can = share(F.least("df_entity", "beside")) >= generalise - 1e-9
+    # no term can do better than with the entity that asks least of it
+    most = held.agg(F.max("df_entity")).first()[0] or 1
+    some = F.col("df_term") <= F.lit(float(most) ** generalise * float(n) ** (1 - generalise) * (1 + 1e-9))
+    pairs = with_terms.join(terms.where(some), "term").join(held, "same").where(can)
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("both"), F.count(F.lit(1)).alias("texts"),
+                                                F.first("df_term").alias("df_term"), F.first("df_entity").alias("df_entity"))
+    telling = pairs.where(F.col("texts") >= TEXTS).select("entity", "term", share(F.col("both")).alias("share")).where(F.col("share") >= generalise)
+    telling = stored(telling, "pii-terms")
+    return with_terms.select("same", "term").join(telling, "term").join(held.select("same", "entity"), ["same", "entity"]), texts
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All spans of each text: the patterns' and every occurrence of its terms."""
+    for batch in batches:
+        same, texts, terms = (batch.column(i) for i in range(3))
+        out = []
+        for text, told in zip(texts.to_pylist(), terms.to_pylist()):
+            kind = {x["term"]: x["kind"] for x in told}
+            spans = base_spans(text)
+            more = [(m.start(), kind[h], m.end()) for m in _free(text, spans) if (h := _hash(m[0].lower())) in kind]
+            out.append(span_text(sorted(spans + more)))
+        yield pa.RecordBatch.from_arrays([same, pa.array(out, pa.string())], names=["same", "marked"])
 
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        base = batch.column(5).to_pylist()
-        digest = [hashlib.sha256(x.encode()).hexdigest() for x in base]
-        spans = _all_spans(base, batch.column(6).to_pylist())
+        base, marked = batch.column(5), batch.column(6).to_pylist()
+        digest = [hashlib.sha256(x.encode()).hexdigest() for x in base.to_pylist()]
+        spans = [b if m is None else m for b, m in zip(base.to_pylist(), marked)]
         yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(digest, pa.string()), pa.array(spans, pa.string())],
                                          names=[*batch.schema.names[:5], "base_sha256", "spans"])
 
@@ -193,23 +230,25 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     base_sha256, spans.
 
     ``spans`` has the patterns' matches and, of kind ``general`` or ``remove``,
-    the disclosing terms around them.  Null text is empty and has none; repeated
-    rows are rows of their own, and copies of one wording are no evidence against
-    a term; an entity that every document has is not protected.  An empty table
-    gives an empty result."""
+    every occurrence of the disclosing terms of the text's entities, outside of the
+    matches.  Null text is empty and has none; repeated rows are rows of their own,
+    and copies of one text are no evidence against a term; an entity that every
+    document has is not protected.  An empty table gives an empty result."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"n_{k} long" for k in KINDS[:4])
     scanned = with_row_key(rows.mapInArrow(
-        _scan, f"doc_id {kind}, {counts}, base string, mentions array<struct<entity:long,wording:long,terms:array<struct<term:long,start:long,end:long>>>>"), "pii-scan")
-    telling = stored(disclosures(rows, scanned, "text", generalise), "pii-terms")
-    places = (scanned.select("row", F.explode("mentions").alias("m")).select("row", "m.entity", F.explode("m.terms").alias("t"))
-              .select("row", "entity", "t.term", "t.start", "t.end"))
+        _scan, f"doc_id {kind}, {counts}, base string, entities array<long>, text string, same binary"), "pii-scan")
+    told, texts = disclosures(rows, scanned, "text", generalise)
     action = F.when(F.col("share") >= remove, KINDS.index("remove")).otherwise(KINDS.index("general"))
-    added = (places.join(telling, ["entity", "term"]).withColumn("kind", action)
-             .groupBy("row").agg(F.collect_set(F.struct("start", "end", "kind")).alias("added")))
-    whole = scanned.drop("mentions").join(added, "row", "left").select("doc_id", *(f"n_{k}" for k in KINDS[:4]), "base", "added")
+    told = (told.groupBy("same", "term").agg(F.max(action).alias("kind"))
+            .groupBy("same").agg(F.collect_list(F.struct("term", "kind")).alias("terms")))
+    # a plain table: its join can split a text with many copies
+    marks = stored(texts.join(told, "same").select("same", "text", "terms").mapInArrow(_mark, "same binary, marked string"), "pii-marks")
+    columns = ["doc_id", *(f"n_{k}" for k in KINDS[:4]), "base"]
+    plain = scanned.where("same is null").select(*columns, F.lit(None).cast("string").alias("marked"))
+    whole = scanned.where("same is not null").join(marks, "same", "left").select(*columns, "marked").unionByName(plain)
     return whole.mapInArrow(_finish, f"doc_id {kind}, {counts}, base_sha256 string, spans string")
 
 
