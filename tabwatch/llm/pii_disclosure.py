@@ -44,7 +44,7 @@ _IP = re.compile(r"(?<![0-9])([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_TERM = re.compile(r"[^\W\d_]{3,}")
+_TERM = re.compile(r"[^\W\d_]+")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -186,7 +186,8 @@ def disclosures(docs: DataFrame, scanned: DataFrame, text_col: str = "text", gen
     several = with_terms.groupBy("term").agg(F.sum("n").alias("beside"), F.count(F.lit(1)).alias("texts")).where(F.col("texts") >= TEXTS).drop("texts")
     several = stored(several, "pii-several")
     counted = docs.where(F.col(text_col).isNotNull()).select(text_col).mapInArrow(_terms, "term long, n long")
-    counted = counted.join(several.select("term"), "term", "left_semi") if several.limit(1).count() else counted.where("false")
+    counted = counted if several.limit(1).count() else counted.where("false")
+    # summed first: the tasks' counts of a term are many rows, and the join's need not be
     terms = stored(counted.groupBy("term").agg(F.sum("n").alias("df_term")).join(several, "term"), "pii-term-counts")
     bits = F.log2(F.lit(float(n)) / F.col("df_entity"))
     share = lambda both: F.log2(F.lit(float(n)) * both / (F.col("df_term") * F.col("df_entity"))) / bits

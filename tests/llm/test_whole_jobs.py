@@ -25,3 +25,16 @@ def test_shares_are_of_whole_documents(spark):
     texts = fill(100) + [f"the report {a} of today: +1 555 010 9999" for a in ("one", "two", "three")]
     out = pii_disclosure.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).where("doc_id >= 100")
     assert not out.where("spans rlike 'remove|general'").count()
+
+
+def test_form_letters_and_short_names_disclose(spark):
+    """Word for word the same around the number, in different documents; a name of two letters."""
+    same = " of today was quite short" * 20 + ". Ask Li or Zebulon or \u674e\u660e at +1 555 010 9999."
+    texts = fill(200) + [f"the report {a}{same}" for a in ("one", "two", "three")]
+    out = {r.doc_id: r.spans for r in pii_disclosure.personal_data(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i in range(200, 203):
+        for name in ("Li", "Zebulon", "\u674e\u660e"):
+            at = texts[i].index(name)
+            assert f"remove:{at}:{at + len(name)}" in out[i]
+        assert f":{texts[i].index(' of today') + 1}:" not in out[i]
+    assert all(out[i] == "" for i in range(200))
