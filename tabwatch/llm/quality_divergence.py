@@ -2,9 +2,10 @@
 
 Two histograms per document: characters by class, and the language's common
 words against all others.  The reference of a language is the sum over all of
-its documents.  A document whose Jensen-Shannon distance to its reference is over the
-limit goes; short documents, whose histograms are noise, are not judged by it,
-nor are documents of a language without a word list.
+its documents; documents without a language are a group of their own.  A document
+whose Jensen-Shannon distance to its reference is over the limit goes; short
+documents, whose histograms are noise, are not judged by it.  A language without a
+word list is judged by its characters alone.
 DataFrame functions only.
 """
 
@@ -83,12 +84,17 @@ def _names(docs: DataFrame, keep: bool) -> dict[str, str]:
 
 
 def references(measured: DataFrame, lang: str = "lang", classes: str = "classes", common: str = "common") -> DataFrame:
-    """ref_lang, ref_classes, ref_common: the summed histograms of each listed
-    language, one row for each of ``COMMON_WORDS`` at most."""
+    """ref_lang, ref_classes, ref_common: the summed histograms of each language,
+    null as one of them; ref_common is null without a word list.  The only
+    document of an unlisted language has nothing to be compared with: its
+    ref_classes is null."""
     sums = lambda name, n: F.array(*(F.sum(F.col(name)[i]) for i in range(n)))
     n_words = max(map(len, COMMON_WORDS.values())) + 1
-    return (measured.where(F.col(lang).isin(*COMMON_WORDS)).groupBy(F.col(lang).alias("ref_lang"))
-            .agg(sums(classes, len(CLASSES) + 2).alias("ref_classes"), sums(common, n_words).alias("ref_common")))
+    listed = F.coalesce(F.col("ref_lang").isin(*COMMON_WORDS), F.lit(False))
+    return (measured.groupBy(F.col(lang).alias("ref_lang"))
+            .agg(sums(classes, len(CLASSES) + 2).alias("ref_classes"), sums(common, n_words).alias("ref_common"), F.count(F.lit(1)).alias("n"))
+            .select("ref_lang", F.when(listed | (F.col("n") > 1), F.col("ref_classes")).alias("ref_classes"),
+                    F.when(listed, F.col("ref_common")).alias("ref_common")))
 
 
 def distance(counts: Column, reference: Column) -> Column:
@@ -118,14 +124,14 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     n_dup_lines, n_repeat_words, base_failed, char_distance, word_distance, kept.
 
     Null text has no words and fails the base rules.  A null or unlisted
-    language has no reference: distances are null and the base rules decide.
+    language has no word distance; the only document of one has no distance.
     Windows of words are compared by 64-bit hash within a text.  An empty table
     gives an empty result."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     c = _names(rows, keep=True)
     measured = stored(_measured(rows, "text", "lang", c).drop("text"), "quality-measures")
-    refs = references(measured, "lang", c["classes"], c["common"])
-    joined = measured.join(F.broadcast(refs), measured["lang"] == refs["ref_lang"], "left")      # a row per listed language
+    refs = stored(references(measured, "lang", c["classes"], c["common"]), "quality-references")      # a row per language: broadcast if they are few
+    joined = measured.join(refs, measured["lang"].eqNullSafe(refs["ref_lang"]), "left")
     c |= {k: k for k in ("ref_classes", "ref_common")}
     failed, chars, words_, kept = _verdict(joined, c)
     return joined.select("doc_id", *_BASE, failed.alias("base_failed"), chars.alias("char_distance"),
@@ -138,5 +144,5 @@ def passing(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     measured = _measured(docs, text_col, lang_col, c)
     refs = stored(references(measured.select(lang_col, c["classes"], c["common"]), lang_col, c["classes"], c["common"]), "quality-references")
     refs = refs.select(*(F.col(k).alias(c[k]) for k in ("ref_lang", "ref_classes", "ref_common")))
-    joined = measured.join(F.broadcast(refs), measured[lang_col] == refs[c["ref_lang"]], "left")
+    joined = measured.join(refs, measured[lang_col].eqNullSafe(refs[c["ref_lang"]]), "left")
     return joined.where(_verdict(joined, c)[3]).select(*docs.columns)

@@ -1,6 +1,8 @@
 """Cases in which an operator once did less than its whole job."""
 
-from tabwatch.llm import pii_disclosure
+import pytest
+
+from tabwatch.llm import pii_disclosure, quality_divergence
 
 
 def fill(n):
@@ -38,3 +40,14 @@ def test_form_letters_and_short_names_disclose(spark):
             assert f"remove:{at}:{at + len(name)}" in out[i]
         assert f":{texts[i].index(' of today') + 1}:" not in out[i]
     assert all(out[i] == "" for i in range(200))
+
+
+@pytest.mark.parametrize("lang", ["xx", None])
+def test_quality_compares_characters_in_every_language(spark, lang):
+    prose, odd = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)), " ".join(f"W{i}##" for i in range(300))
+    docs = spark.createDataFrame([(i, prose, lang) for i in range(30)] + [(30, odd, lang), (31, prose, "en"), (32, odd, "yy")], "doc_id long, text string, lang string")
+    out = {r.doc_id: r for r in quality_divergence.quality_rules(docs).collect()}
+    assert len(out) == 33 and all(out[i].kept and out[i].char_distance < 0.2 and out[i].word_distance is None for i in range(30))
+    assert out[30].char_distance > quality_divergence.MAX_CHAR_DISTANCE and not out[30].kept and not out[30].base_failed
+    assert out[32].char_distance is None and out[32].kept
+    assert 30 not in {r.doc_id for r in quality_divergence.passing(docs).collect()}
