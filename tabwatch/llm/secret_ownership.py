@@ -1,10 +1,12 @@
 """Secret scan with corpus-wide ownership of the candidates.
 
 Patterns find candidate values.  Each value's hash is counted over the whole
-corpus by distinct repositories and owners: a value that several owners hold is
-a copied example, one that stays with its owner and looks random is live.  Counts go
-through three aggregations (owner and repository, owner, value), each combined
-before its shuffle, so a value in a third of all files is a row per task.
+corpus by distinct repositories, owners and texts: a value that several owners,
+many repositories or many different texts hold is a copied example; one that stays
+with its owner, in few of its repositories and texts, and looks random is live.
+Counts go through three aggregations (owner and repository, owner, value) and two
+of texts, each combined before its shuffle, so a value in a third of all files is
+a row per task and text.
 DataFrame functions only.
 """
 
@@ -20,8 +22,8 @@ _ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']
 BASE_KINDS = (("assign", _ASSIGN, 2, 12), ("access", r"AKIA[A-Z0-9]+", 0, 18), ("hex", r"[0-9a-f]{16,}", 0, 16))
 #: A further kind of the ownership method: runs that mix cases and digits.
 OPAQUE = ("opaque", r"[A-Za-z0-9_-]{20,}", 0, 20)
-#: A value of so many owners is a copied example.
-EXAMPLE_OWNERS = 3
+#: A value of so many owners, repositories or different texts is a copied example.
+EXAMPLE_OWNERS, EXAMPLE_REPOS, EXAMPLE_TEXTS = 3, 5, 10
 #: Different characters that a live-looking value has at least.
 LIVE_VARIETY = 8
 
@@ -41,19 +43,20 @@ def _found(text: Column, pattern: str, group: int) -> Column:
 
 
 def candidates(docs: DataFrame, id_col: str, text_col: str, repo: Column, owner: Column) -> tuple[DataFrame, DataFrame]:
-    """The rows (row, doc_id) and their candidates (row, repo, owner, kind, k,
-    start, end, secret), spans in code points, values as SHA-256."""
+    """The rows (row, doc_id) and their candidates (row, repo, owner, same, kind, k,
+    start, end, secret), spans in code points, values as SHA-256; same is the
+    text's hash."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     scanned = docs.select(F.col(id_col).alias("doc_id"), repo.alias("repo"), owner.alias("owner"), text.alias("text"))
     found = [_found(F.col("text"), pattern, group).alias(kind) for kind, pattern, group, _ in _KINDS]
-    rows = with_row_key(scanned.select("doc_id", "repo", "owner", *found), "secret-scan")
+    rows = with_row_key(scanned.select("doc_id", "repo", "owner", F.xxhash64("text").alias("same"), *found), "secret-scan")
     per_kind = []
     for k, (kind, _, _, least) in enumerate(_KINDS):
-        one = rows.where(F.size(kind) > 0).select("row", "repo", "owner", F.posexplode(kind).alias("no", "x")).where("x.value is not null")
+        one = rows.where(F.size(kind) > 0).select("row", "repo", "owner", "same", F.posexplode(kind).alias("no", "x")).where("x.value is not null")
         so_far = Window.partitionBy("row").orderBy("no").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         end = F.sum(F.col("x.gap") + F.col("x.len")).over(so_far)
         one = one.withColumn("end", end).where(F.length("x.value") >= least)
-        per_kind.append(one.select("row", "repo", "owner", F.lit(kind).alias("kind"), F.lit(k).alias("k"), (F.col("end") - F.col("x.len")).alias("start"), "end",
+        per_kind.append(one.select("row", "repo", "owner", "same", F.lit(kind).alias("kind"), F.lit(k).alias("k"), (F.col("end") - F.col("x.len")).alias("start"), "end",
                                    F.sha2("x.value", 256).alias("secret"), _looks_live(F.col("x.value")).alias("random"),
                                    ))
     out = per_kind[0]
@@ -69,11 +72,14 @@ def _looks_live(value: Column) -> Column:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """secret, n_owners, n_repos: how many distinct owners and repositories of
-    owners hold each value.  A null owner or repository counts as one."""
+    """secret, n_owners, n_repos, n_texts: how many distinct owners, repositories of
+    owners and texts hold each value.  A null owner or repository counts as one,
+    and so do all copies of a text."""
     held = found.groupBy("secret", "owner", "repo").agg(F.count(F.lit(1)).alias("n"))
     by_owner = held.groupBy("secret", "owner").agg(F.count(F.lit(1)).alias("repos"))
-    return by_owner.groupBy("secret").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repos").alias("n_repos"))
+    by_secret = by_owner.groupBy("secret").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repos").alias("n_repos"))
+    texts = found.groupBy("secret", "same").agg(F.count(F.lit(1)).alias("n"))
+    return by_secret.join(texts.groupBy("secret").agg(F.count(F.lit(1)).alias("n_texts")), "secret")
 
 
 def _spans(entries: Column) -> Column:
@@ -87,7 +93,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base_sha256, spans, n_live, n_copied.
 
     Base matches all stay.  The method adds the opaque runs that only one owner's
-    files hold, and counts the document's live and copied values.
+    files hold and that are no copied examples, and counts the document's live and
+    copied values.  A value of two owners is neither.
     Without ``repo`` and ``owner``, a source is an owner and its documents of a
     language are a repository.  Null text is empty; repeated rows are rows of
     their own; an empty table gives an empty result."""
@@ -95,8 +102,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repo = F.concat_ws("/", F.col("source"), F.col("lang")) if repo is None else repo
     rows, found = candidates(docs, id_col, text_col, repo, owner)
     owned = stored(ownership(found), "secret-owners")       # a plain table: its join can split a hot value
-    judged = found.join(owned, "secret").withColumn("copied", F.col("n_owners") >= EXAMPLE_OWNERS)
-    judged = judged.withColumn("live", F.col("random") & (F.col("n_owners") == 1))
+    judged = found.join(owned, "secret").withColumn(
+        "copied", (F.col("n_owners") >= EXAMPLE_OWNERS) | (F.col("n_repos") >= EXAMPLE_REPOS) | (F.col("n_texts") >= EXAMPLE_TEXTS))
+    judged = judged.withColumn("live", F.col("random") & (F.col("n_owners") == 1) & ~F.col("copied"))
     base = F.col("kind") != OPAQUE[0]
     entry = F.struct("start", "k", "end", "kind")
     count = lambda cond: F.count(F.when(cond, F.lit(1)))

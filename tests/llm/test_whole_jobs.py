@@ -2,7 +2,7 @@
 
 import pytest
 
-from tabwatch.llm import pii_disclosure, quality_divergence
+from tabwatch.llm import pii_disclosure, quality_divergence, secret_ownership
 
 
 def fill(n):
@@ -51,3 +51,17 @@ def test_quality_compares_characters_in_every_language(spark, lang):
     assert out[30].char_distance > quality_divergence.MAX_CHAR_DISTANCE and not out[30].kept and not out[30].base_failed
     assert out[32].char_distance is None and out[32].kept
     assert 30 not in {r.doc_id for r in quality_divergence.passing(docs).collect()}
+
+
+def test_examples_of_one_source_are_copied(spark):
+    example, own, wide = "token = Ab1Cd2Ef3Gh4Ij5Kl6Mn7Op8", "secret: Zz9Yy8Xx7Ww6Vv5Uu4Tt3Ss2", "secret: Qq1Ww2Ee3Rr4Tt5Yy6Uu7Ii8"
+    data = [(i, f"page {i} {example} y", "en", "s0") for i in range(secret_ownership.EXAMPLE_TEXTS)]
+    data += [(i, own, "en", "s0") for i in range(100, 120)]                                                # copies of one text
+    data += [(200 + i, wide, f"l{i}", "s0") for i in range(secret_ownership.EXAMPLE_REPOS)]
+    out = {r.doc_id: r for r in secret_ownership.scan_secrets(spark.createDataFrame(data, "doc_id long, text string, lang string, source string")).collect()}
+    assert len(out) == len(data)
+    for i, r in out.items():
+        if 100 <= i < 200:
+            assert r.n_live == 2 and r.n_copied == 0 and "opaque:8:" in r.spans
+        else:
+            assert r.n_live == 0 and r.n_copied == 1 and "opaque" not in r.spans
