@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tabwatch.operators.profile import build_profile
 from tabwatch.plans import sqlfrag as S
@@ -24,10 +25,22 @@ FILES_PER_TRIGGER = 1000
 def file_stream(spark: SparkSession, sf_dir: str, name: str, schema) -> DataFrame:
     """A file stream over one table of the folder (new files are picked up
     as they land; each run starts from its checkpoint).  A backlog is read
-    ``FILES_PER_TRIGGER`` files at a time."""
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-            .option("maxFilesPerTrigger", FILES_PER_TRIGGER)
-            .parquet(sf_dir.rstrip("/")))
+    ``FILES_PER_TRIGGER`` files at a time.  A table that is a folder of part
+    files is streamed from that folder, since a name pattern is held against
+    the files' own names only."""
+    folder, file = sf_dir.rstrip("/"), f"{name}.parquet"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", FILES_PER_TRIGGER)
+    files = table(spark, sf_dir, name).inputFiles()
+    if len(files) == 1 and files[0].endswith(f"/{file}") and not files[0].endswith(f"/{file}/{file}"):
+        return stream.option("pathGlobFilter", file).parquet(folder)
+    return stream.parquet(f"{folder}/{file}")
+
+
+def check_seen(query: StreamingQuery, rows: DataFrame) -> None:
+    """Raise if a stream with a fresh checkpoint has read nothing of a table that
+    holds ``rows`` for it."""
+    if not any(p.numInputRows for p in query.recentProgress) and rows.limit(1).count():
+        raise RuntimeError("the stream read no rows, but its table has some")
 
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +54,10 @@ def _events_baseline(spark, sf_dir):
     return ev.where(F.col("ts") < F.lit(SPLIT_TS).cast("timestamp_ntz"))
 
 
+def _new(ev: DataFrame) -> DataFrame:
+    return ev.where(F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp_ntz"))
+
+
 def _ckpt(spark, name):
     """A fresh stream checkpoint location in the shared folder."""
     return scratch_path(spark, f"{name}-checkpoint")
@@ -52,24 +69,27 @@ def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tabwatch.operators.score import load_model
     model = load_model(lineitem_model(spark, sf_dir))
     sink = scratch_path(spark, "stream_score")
-    stream_score(stream, model, ["l_orderkey", "l_linenumber"], sink, _ckpt(spark, "stream_score"))
+    done = stream_score(stream, model, ["l_orderkey", "l_linenumber"], sink, _ckpt(spark, "stream_score"))
+    check_seen(done, li)
     return read_sink(spark, sink, "l_orderkey bigint, l_linenumber int, prediction int")
 
 
 def q_stream_drift_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     prof = build_profile(_events_baseline(spark, sf_dir), EV_FEATS, 10)
-    stream = _events_stream(spark, sf_dir).where(F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp_ntz"))
+    stream = _new(_events_stream(spark, sf_dir))
     sink = scratch_path(spark, "stream_drift_batch")
-    drift_per_batch(stream, prof, sink, _ckpt(spark, "stream_drift_batch"))
+    done = drift_per_batch(stream, prof, sink, _ckpt(spark, "stream_drift_batch"))
+    check_seen(done, _new(table(spark, sf_dir, "events")))
     rep = read_sink(spark, sink, "feature string, psi double, bins int, new_total bigint, batch_id bigint")
     return rep.select("batch_id", "feature", F.round("psi", R).alias("psi"), "bins", "new_total")
 
 
 def q_stream_drift_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     prof = build_profile(_events_baseline(spark, sf_dir), EV_FEATS, 10)
-    stream = _events_stream(spark, sf_dir).where(F.col("ts") >= F.lit(SPLIT_TS).cast("timestamp_ntz"))
+    stream = _new(_events_stream(spark, sf_dir))
     sink = scratch_path(spark, "stream_drift_window")
-    drift_per_window(stream, prof, EV_FEATS, "ts", WINDOW, DELAY, sink, _ckpt(spark, "stream_drift_window"))
+    done = drift_per_window(stream, prof, EV_FEATS, "ts", WINDOW, DELAY, sink, _ckpt(spark, "stream_drift_window"))
+    check_seen(done, _new(table(spark, sf_dir, "events")))
     rep = read_sink(spark, sink, "window_start bigint, feature string, psi double, bins int, "
                                  "new_total bigint, batch_id bigint")
     return rep.select("window_start", "feature", F.round("psi", R).alias("psi"), "bins", "new_total")

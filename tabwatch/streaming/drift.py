@@ -22,6 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tabwatch.operators.drift import expected_grid, score_counts, psi_report
 from tabwatch.operators.histogram import binned
@@ -59,24 +60,24 @@ def write_batch(df: DataFrame, batch_id: int, sink: str) -> None:
 
 
 def stream_score(stream: DataFrame, model: PipelineModel, keep: list[str], sink: str,
-                 checkpoint: str) -> None:
+                 checkpoint: str) -> StreamingQuery:
     scored = model.transform(stream).select(*keep, F.col("prediction").cast("int").alias("prediction"))
-    run_available(scored.writeStream.format("parquet").option("path", sink)
-                  .option("checkpointLocation", checkpoint).outputMode("append"))
+    return run_available(scored.writeStream.format("parquet").option("path", sink)
+                         .option("checkpointLocation", checkpoint).outputMode("append"))
 
 
 def drift_per_batch(stream: DataFrame, profile: DataFrame, sink: str, checkpoint: str,
-                    expected: str = "empirical") -> None:
+                    expected: str = "empirical") -> StreamingQuery:
     def score(batch: DataFrame, batch_id: int) -> None:
         rep = psi_report(profile, batch, expected)
         write_batch(rep, batch_id, sink)
 
-    run_available(stream.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint))
+    return run_available(stream.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint))
 
 
 def drift_per_window(stream: DataFrame, profile: DataFrame, features: list[str], time_col: str,
                      window: str, delay: str, sink: str, checkpoint: str,
-                     expected: str = "empirical", eps: float = PSI_EPS) -> None:
+                     expected: str = "empirical", eps: float = PSI_EPS) -> StreamingQuery:
     timed = stream.withColumn("_et", event_time(time_col)).withWatermark("_et", delay)
     rows = binned(timed.select("_et", *[f for f in features if f in timed.columns]), profile, ids=["_et"])
     counts = rows.groupBy(F.window("_et", window).alias("w"), "feature", "bin").agg(
@@ -89,8 +90,8 @@ def drift_per_window(stream: DataFrame, profile: DataFrame, features: list[str],
         write_batch(rep.select("window_start", "feature", "psi", F.col("bins").cast("int").alias("bins"),
                                "new_total"), batch_id, sink)
 
-    run_available(counts.writeStream.outputMode("append").foreachBatch(score)
-                  .option("checkpointLocation", checkpoint))
+    return run_available(counts.writeStream.outputMode("append").foreachBatch(score)
+                         .option("checkpointLocation", checkpoint))
 
 
 def read_sink(spark: SparkSession, sink: str, schema: str) -> DataFrame:
