@@ -158,13 +158,15 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           max_labelled: int = MAX_LABELLED) -> AttentionModel:
     """The model of the labelled documents that are not held out: of more than
-    ``max_labelled`` label rows, those of least id hash.  Null labels and labels
+    ``max_labelled`` label rows, those of least id hash.  Of several documents of
+    one id, the one of least text hash is learned from.  Null labels and labels
     without a document are left out; without any, every score is 0.5."""
     ship(docs.sparkSession)
     usable = labels.select(F.col(id_col).alias("key"), F.col(label_col).cast("long").alias("label"))
     usable = usable.where("key is not null and label is not null").where(~held_out(F.col("key")))
     sample = usable.groupBy("key").agg(F.max("label").alias("label")).orderBy(F.xxhash64("key"), "key").limit(max_labelled)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("key"))
+    rows = rows.groupBy("key").agg(F.first("label").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text"))
     found = rows.select("label", "text").mapInArrow(_bags, "label long, bag binary").collect()     # bounded by max_labelled bags
     model = AttentionModel(np.random.default_rng(SEED))
     if found:

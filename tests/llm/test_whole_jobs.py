@@ -2,7 +2,7 @@
 
 import pytest
 
-from tabwatch.llm import pii_disclosure, quality_divergence, secret_ownership
+from tabwatch.llm import mil_quality, pii_disclosure, quality_divergence, secret_ownership
 
 
 def fill(n):
@@ -65,3 +65,24 @@ def test_examples_of_one_source_are_copied(spark):
             assert r.n_live == 2 and r.n_copied == 0 and "opaque:8:" in r.spans
         else:
             assert r.n_live == 0 and r.n_copied == 1 and "opaque" not in r.spans
+
+
+@pytest.fixture
+def fitted(monkeypatch):
+    """The bags that the model is fitted on."""
+    seen = []
+    monkeypatch.setattr(mil_quality.AttentionModel, "fit", lambda self, bags, labels: seen.extend(bags))
+    return seen
+
+
+def learned(n):
+    """So many ids that are not held out."""
+    import zlib
+    return [i for i in range(10 * n) if zlib.crc32(str(i).encode()) % 3 != 1][:n]
+
+
+def test_repeated_id_is_fitted_once(spark, fitted):
+    one, two = learned(2)
+    docs = spark.createDataFrame([(one, f"text {i}") for i in range(50)] + [(two, "other text")], "doc_id long, text string").repartition(4)
+    mil_quality.train(docs, spark.createDataFrame([(one, 1), (two, 0)], "doc_id long, quality int"))
+    assert len(fitted) == 2
