@@ -18,12 +18,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwatch.llm.common import ship
+from tabwatch.llm.common import ship, stored
 
 PASSAGE = 128
-#: Most labelled documents that the model is fitted on, and most passages of one of
-#: them that it sees (evenly spaced; scoring takes all).
-MAX_LABELLED, MAX_PASSAGES = 6000, 64
+#: Most labelled documents that the model is fitted on, and most passages of all of
+#: them together (documents are taken whole; scoring takes all).
+MAX_LABELLED, MAX_PASSAGES = 6000, 384_000
 HIDDEN, ATTENTION, STEPS, RATE, DECAY = 24, 12, 250, 0.02, 1e-4
 SEED = 3
 BUCKETS = 48
@@ -145,20 +145,33 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per batch: bags can be large."""
     for batch in batches:
-        bags = []
-        for value in batch.column(1):
+        for at, value in enumerate(batch.column(2)):
             x = encode(value.as_py())
-            if len(x) > MAX_PASSAGES:
-                x = x[np.linspace(0, len(x) - 1, MAX_PASSAGES).astype(int)]
-            bags.append(x.tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bags, pa.binary())], names=["label", "bag"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).slice(at, 1) for i in (0, 1)), pa.array([len(x)], pa.int64()), pa.array([x.tobytes()], pa.binary())],
+                                             names=["key", "label", "n", "bag"])
+
+
+def _within(sizes: list, budget: int) -> list:
+    """The keys of the first whole documents that the budget of passages holds;
+    a document that is larger than the budget itself is passed over."""
+    taken, total = [], 0
+    for key, n in sizes:
+        if n > budget:
+            continue
+        total += n
+        if total > budget:
+            break
+        taken.append(key)
+    return taken
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           max_labelled: int = MAX_LABELLED) -> AttentionModel:
     """The model of the labelled documents that are not held out: of more than
-    ``max_labelled`` label rows, those of least id hash.  Of several documents of
+    ``max_labelled`` label rows, those of least id hash, and of these whole
+    documents, in the same order, up to ``MAX_PASSAGES`` passages.  Of several documents of
     one id, the one of least text hash is learned from.  Null labels and labels
     without a document are left out; without any, every score is 0.5."""
     ship(docs.sparkSession)
@@ -167,7 +180,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     sample = usable.groupBy("key").agg(F.max("label").alias("label")).orderBy(F.xxhash64("key"), "key").limit(max_labelled)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), F.col("doc_id") == F.col("key"))
     rows = rows.groupBy("key").agg(F.first("label").alias("label"), F.min_by("text", F.xxhash64("text")).alias("text"))
-    found = rows.select("label", "text").mapInArrow(_bags, "label long, bag binary").collect()     # bounded by max_labelled bags
+    kind = rows.schema["key"].dataType.simpleString()
+    bags = stored(rows.select("key", "label", "text").mapInArrow(_bags, f"key {kind}, label long, n long, bag binary"), "quality-bags")
+    sizes = [tuple(r) for r in bags.select("key", "n").orderBy(F.xxhash64("key"), "key").collect()]      # max_labelled rows at most
+    taken = _within(sizes, MAX_PASSAGES)
+    some = bags if len(taken) == len(sizes) else bags.where(F.col("key").isin(taken))
+    found = some.select("label", "bag").collect()     # bounded by max_labelled bags and MAX_PASSAGES passages
     model = AttentionModel(np.random.default_rng(SEED))
     if found:
         found.sort(key=lambda r: (r.label, bytes(r.bag)))

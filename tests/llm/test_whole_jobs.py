@@ -86,3 +86,15 @@ def test_repeated_id_is_fitted_once(spark, fitted):
     docs = spark.createDataFrame([(one, f"text {i}") for i in range(50)] + [(two, "other text")], "doc_id long, text string").repartition(4)
     mil_quality.train(docs, spark.createDataFrame([(one, 1), (two, 0)], "doc_id long, quality int"))
     assert len(fitted) == 2
+
+
+def test_long_documents_are_fitted_whole(spark, fitted, monkeypatch):
+    ids = learned(4)
+    docs = spark.createDataFrame([(ids[0], " ".join(f"w{i}" for i in range(20_000)))] + [(i, "short text") for i in ids[1:]], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, n % 2) for n, i in enumerate(ids)], "doc_id long, quality int")
+    mil_quality.train(docs, labels)
+    assert sorted(map(len, fitted)) == [1, 1, 1, 157]
+    fitted.clear()
+    monkeypatch.setattr(mil_quality, "MAX_PASSAGES", 2)
+    mil_quality.train(docs, labels)
+    assert sorted(map(len, fitted)) == [1, 1]
