@@ -1,11 +1,11 @@
-"""Token ids of the byte-level BPE vocabulary, as bytes of unsigned 32-bit ids.
-
-A pre-token never spans a single space between two other characters, so a text
-is cut there and the pieces' ids are kept in a bounded cache per worker.  Pieces
-that the cache lacks are merged by the rank file of the same vocabulary, which
-is several times as fast as the JSON tokenizer and gives the same ids (tested
-against it on whole texts).  Strings of special tokens inside a text become
-their ids, as is the JSON tokenizer's default.
+"""Token ids of the byte-level BPE vocabulary.
+
+Whole texts are encoded by the rank file of the vocabulary, which is faster than
+the JSON tokenizer and gives the same ids (tested against it on whole texts).
+Strings of special tokens inside a text become their ids, as is the JSON
+tokenizer's default, unless they are asked to be plain text.  A text with a
+very long run of white space goes to the JSON tokenizer: the rank file's
+splitting needs a stack as deep as the run.
 """
 
 from __future__ import annotations
@@ -20,65 +20,69 @@ from tabwatch.llm.common import tokenizer_path
 
 VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
-#: Entries of a worker's cache, and the longest piece that it holds.
-CACHED, LONGEST = 200_000, 64
+#: A run of white space of this length is long.
+LONG_RUN = 20_000
 
-# where cutting at every space would part a run of white space
-_UNSAFE = re.compile(r"\s \s|\s \Z")
-_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+_long_run = re.compile(r"\s{%d}" % LONG_RUN)
 _loaded: dict = {}
 
 
-class Pieces(dict):
-    """Text piece, without the space before it, to the bytes of its ids."""
+class Encoder:
+    """Encoder of one vocabulary, given as JSON and as ranks."""
 
     def __init__(self, vocabulary: str, ranks: str):
         import public_tokenizers
         import tiktoken
-        super().__init__()
-        self.before: dict[str, bytes] = {}      # the generation before: a piece in use moves over from it
         with open(ranks, "rb") as f:
-            table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        self.merge = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+            self.table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        self.merge = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=self.table, special_tokens={})
+        self.vocabulary, self.json = vocabulary, None
         with open(vocabulary, encoding="utf-8") as f:
-            self.special = {t["content"]: _bytes([t["id"]]) for t in json.load(f)["added_tokens"]}
+            self.special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
         self.any_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.before.get(piece)
-        if ids is None:
-            ids = _bytes(self.merge.encode_ordinary(" " + piece))
-        if len(piece) <= LONGEST:
-            if len(self) >= CACHED // 2:
-                self.before = dict(self)
-                self.clear()
-            self[piece] = ids
-        return ids
-
-    def _plain(self, text: str) -> bytes:
-        if not text:
-            return b""
-        parts = _BETWEEN.split(text) if _UNSAFE.search(text) else text.split(" ")
-        rest = map(self.__getitem__, parts[1:])
-        return (_bytes(self.merge.encode_ordinary(parts[0])) if parts[0] else b"") + b"".join(rest)
+    def plain(self, text: str) -> list[int]:
+        """The ids of a text whose special strings are plain text."""
+        if len(text) >= LONG_RUN and _long_run.search(text):
+            if self.json is None:
+                from tokenizers import Tokenizer
+                self.json = Tokenizer.from_file(self.vocabulary)
+                self.json.encode_special_tokens = True
+            return self.json.encode(text, add_special_tokens=False).ids
+        return self.merge.encode_ordinary(text)
 
     def ids(self, text: str | None) -> bytes:
         """The ids of a text, four bytes each, little-endian; none for null."""
         if not text:
             return b""
         if not any(s in text for s in self.special):
-            return self._plain(text)
-        return b"".join(self.special.get(part) or self._plain(part) for part in self.any_special.split(text))
+            return _bytes(self.plain(text))
+        found: list[int] = []
+        for part in self.any_special.split(text):
+            if part in self.special:
+                found.append(self.special[part])
+            elif part:
+                found += self.plain(part)
+        return _bytes(found)
+
+    def token_bytes(self) -> list[bytes]:
+        """The bytes of every id; special tokens have those of their string."""
+        out = [b""] * (1 + max([*self.table.values(), *self.special.values()]))
+        for token, rank in self.table.items():
+            out[rank] = token
+        for content, rank in self.special.items():
+            out[rank] = content.encode()
+        return out
 
 
 def _bytes(ids: list[int]) -> bytes:
     return np.array(ids, dtype="<u4").tobytes()
 
 
-def pieces(vocabulary: str, ranks: str) -> Pieces:
+def encoder(vocabulary: str, ranks: str) -> Encoder:
     """The worker's encoder of these files."""
     if (vocabulary, ranks) not in _loaded:
-        _loaded[vocabulary, ranks] = Pieces(vocabulary, ranks)
+        _loaded[vocabulary, ranks] = Encoder(vocabulary, ranks)
     return _loaded[vocabulary, ranks]
 
 

@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwatch.llm.bpe import default_files, pieces
+from tabwatch.llm.bpe import default_files, encoder
 from tabwatch.llm.common import ship
 
 WINDOW = 2048
@@ -107,7 +107,7 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
               "sequence_id long, offset long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer, kind = pieces(*files), LevelPacker(window, TaskContext.get().partitionId() << 33), None
+        encode, packer, kind = encoder(*files), LevelPacker(window, TaskContext.get().partitionId() << 33), None
 
         def batch_of(found: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*found)) if found else [[]] * 7
@@ -117,7 +117,7 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
         for batch in batches:
             kind = batch.schema.field(0).type
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                packer.add(doc, encoder.ids(text.as_py()) + end)
+                packer.add(doc, encode.ids(text.as_py()) + end)
             yield batch_of(packer.taken())
         if kind is not None:
             packer.finish()

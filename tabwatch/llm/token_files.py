@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabwatch.llm.bpe import default_files, pieces
+from tabwatch.llm.bpe import default_files, encoder
 from tabwatch.llm.common import ship
 from tabwatch.session import ensure_checkpoint_dir, scratch_path
 
@@ -45,9 +45,9 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
             .select("doc_id", "text", F.spark_partition_id().cast("long").alias("part"), F.monotonically_increasing_id().alias("place")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, at = pieces(*files), 0
+        encode, at = encoder(*files), 0
         for batch in batches:
-            ids = [encoder.ids(t.as_py()) + end for t in batch.column(1)]
+            ids = [encode.ids(t.as_py()) + end for t in batch.column(1)]
             counts = np.array([len(x) // 4 for x in ids], dtype=np.int64)
             offsets = np.concatenate([[0], np.cumsum(counts)])
             tokens = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
