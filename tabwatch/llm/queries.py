@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwatch.llm import (exact_dedup, fair_mix, mil_quality, ngram_join, packing, pii_disclosure, quality_divergence,
-                          secret_ownership, token_counts, token_files)
+from tabwatch.llm import (exact_dedup, fair_mix, line_dedup, mil_quality, ngram_join, packing, pii_disclosure, quality_divergence,
+                          secret_ownership, source_audit, token_counts, token_files)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,8 +53,16 @@ def op10_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mil_quality.score(docs, mil_quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_counts(_table(spark, sf_dir, "documents"))
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_distribution_divergence, op2_disclosure_sanitisation, op3_secret_ownership, op4_fair_queue_mix, op5_token_counts, op6_ngram_jaccard, op7_exact_dedup, op8_sum_of_squares_packing,
-                                   op9_token_files, op10_attention_quality)}
+                                   op9_token_files, op10_attention_quality, op12_line_dedup, op13_source_audit)}
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
@@ -132,10 +140,46 @@ reach(u, v) AS (SELECT r, r FROM d UNION SELECT reach.u, links.v FROM reach JOIN
 SELECT d.doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(o.doc_id) AS component_id
 FROM d LEFT JOIN sizes USING (r) JOIN reach ON reach.u = d.r JOIN d o ON o.r = reach.v GROUP BY d.r, d.doc_id"""
 
+_LINES = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM d),
+keyed AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM l),
+shared AS (SELECT k, min(doc_id) AS own FROM keyed WHERE length(k) >= {line_dedup.LEAST_CHARS} GROUP BY k HAVING count(DISTINCT doc_id) > 1),
+judged AS (SELECT r, doc_id, line, i, own IS NOT NULL AND own <> doc_id AS gone FROM keyed LEFT JOIN shared USING (k))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY r, doc_id"""
+
+
+def _share(count: str, total: str) -> str:
+    return f"1 + 1000000000::HUGEINT * ({count} + 2) // ({total} + 2 * v)"
+
+
+_AUDIT = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+             regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS all_n FROM t GROUP BY ALL HAVING count(DISTINCT r) >= {source_audit.LEAST_DOCUMENTS}),
+langs AS (SELECT lang, count(*) AS v, sum(all_n) AS all_total FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL),
+cells AS (SELECT g.lang, g.source, k.term, all_n, coalesce(n, 0) AS n FROM groups g JOIN kept k USING (lang) LEFT JOIN c USING (lang, source, term)),
+p AS (SELECT lang, source, term, n, {_share("n", "sum(n) OVER (PARTITION BY lang, source)")} AS p, {_share("all_n", "all_total")} AS q FROM cells JOIN langs USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p))::BIGINT AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+         FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND item = b.source),
+mark AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+FROM (SELECT * FROM pair UNION ALL SELECT * FROM mark) QUALIFY part = 'pair' OR rank <= {source_audit.TOP}"""
+
 ORACLES: dict[str, str] = {
     "op1_distribution_divergence": _QUALITY,
     "op3_secret_ownership": _SECRETS,
     "op6_ngram_jaccard": _SIMILAR,
+    "op12_line_dedup": _LINES,
+    "op13_source_audit": _AUDIT,
     "op4_fair_queue_mix": rf"""
 WITH docs AS (SELECT doc_id, source, {_WORDS}::BIGINT AS size FROM documents),
 keyed AS (SELECT *, ('0x' || substr(md5('{fair_mix.SEED}:' || coalesce(doc_id::VARCHAR, 'null') || ':' || size::VARCHAR), 1, 15))::BIGINT AS k FROM docs),
