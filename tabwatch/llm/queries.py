@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tabwatch.llm import (exact_dedup, fair_mix, line_dedup, mil_quality, ngram_join, packing, pii_disclosure, quality_divergence,
-                          secret_ownership, source_audit, token_counts, token_files)
+                          secret_ownership, source_audit, token_alignment, token_counts, token_files)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,6 +53,10 @@ def op10_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mil_quality.score(docs, mil_quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_tokens(_table(spark, sf_dir, "documents"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_counts(_table(spark, sf_dir, "documents"))
 
@@ -62,7 +66,7 @@ def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_distribution_divergence, op2_disclosure_sanitisation, op3_secret_ownership, op4_fair_queue_mix, op5_token_counts, op6_ngram_jaccard, op7_exact_dedup, op8_sum_of_squares_packing,
-                                   op9_token_files, op10_attention_quality, op12_line_dedup, op13_source_audit)}
+                                   op9_token_files, op10_attention_quality, op11_token_alignment, op12_line_dedup, op13_source_audit)}
 
 _WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 

@@ -173,3 +173,102 @@ def check_packing(pieces, ids_of_rows, window=2048):
         sizes.append(at)
     assert all(s == window or (0 < s < window and s & (s - 1) == 0) for s in sizes)
     return sizes
+
+
+def aligned(rows):
+    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, sha256), comparing the sets of ends."""
+    import base64
+
+    import public_tokenizers as P
+    import sentencepiece
+    whole = bpe()
+    whole.encode_special_tokens = True
+    model = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    with open(P.path("byte_bpe_50k.tiktoken"), "rb") as f:
+        bytes_a = {int(rank): base64.b64decode(token) for token, rank in map(bytes.split, f)}
+
+    def bytes_b(i):
+        piece = model.id_to_piece(i)
+        return bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace("\u2581", " ").encode()
+
+    def ends(tokens):
+        at, out = 0, []
+        for t in tokens:
+            at += len(t)
+            out.append(at)
+        return out
+
+    grouped, n_docs = [], Counter()
+    for _, text, *_ in rows:
+        a = whole.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = model.encode(text) if text else []
+        token_a, token_b = [bytes_a[i] for i in a], [bytes_b(i) for i in b]
+        if not text or b"".join(token_a) != (" " + text).encode() or b"".join(token_b) != (" " + text).encode():
+            grouped.append(([], [], []))
+            continue
+        common = sorted(set(ends(token_a)) & set(ends(token_b)))
+        groups = [([], []) for _ in common]
+        for side, ids, places in ((0, a, ends(token_a)), (1, b, ends(token_b))):
+            g = 0
+            for i, end in zip(ids, places):
+                while common[g] < end:
+                    g += 1
+                groups[g][side].append(i)
+        grouped.append((a, b, groups))
+        n_docs.update({(x, y) for ga, gb in groups for x in set(ga) for y in set(gb)})
+    most = Counter()
+    for (x, _), n in n_docs.items():
+        most[x] = max(most[x], n)
+    out = []
+    for (doc, *_), (a, b, groups) in zip(rows, grouped):
+        links = Counter()
+        for ga, gb in groups:
+            for x, m in Counter(ga).items():
+                for y, k in Counter(gb).items():
+                    links[x, y] += m * k
+        text = ";".join(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)) for ga, gb in groups)
+        out.append((doc, len(a), len(b), len(groups), sum(links.values()), sum(n for p, n in links.items() if n_docs[p] == most[p[0]]),
+                    sum(n * n_docs[p] for p, n in links.items()), hashlib.sha256(text.encode()).hexdigest() if a else ""))
+    return out
+
+
+def line_dedup(rows, least=10):
+    """(doc_id, n_lines, n_dropped, kept_sha256); rows of one id are one document, no id comes last."""
+    key = lambda line: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
+    order = lambda doc: (doc is None, doc or 0)
+    first = {}
+    for doc, text, *_ in rows:
+        for line in (text or "").split("\n"):
+            k = key(line)
+            if len(k) >= least:
+                first[k] = min(first.get(k, order(doc)), order(doc))
+    out = []
+    for doc, text, *_ in rows:
+        lines = (text or "").split("\n")
+        kept = [line for line in lines if first.get(key(line), order(doc)) == order(doc)]
+        out.append((doc, len(lines), len(lines) - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    return out
+
+
+def audit(rows, least=10, top=10):
+    """(lang, source, part, item, value, rank), term by term."""
+    docs, counts = defaultdict(Counter), defaultdict(Counter)
+    for _, text, lang, source, *_ in rows:
+        terms = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        counts[lang or "", source or ""].update(terms)
+        docs[lang or ""].update(set(terms))
+    out = []
+    for lang in docs | {lang: 0 for lang, _ in counts}:
+        kept = [t for t, n in docs[lang].items() if n >= least]
+        groups = {s: c for (of, s), c in counts.items() if of == lang}
+        total = {s: sum(c[t] for t in kept) for s, c in groups.items()}
+        p = {s: {t: 1 + 10**9 * (c[t] + 2) // (total[s] + 2 * len(kept)) for t in kept} for s, c in groups.items()}
+        everywhere = {t: sum(c[t] for c in groups.values()) for t in kept}
+        q = {t: 1 + 10**9 * (n + 2) // (sum(everywhere.values()) + 2 * len(kept)) for t, n in everywhere.items()}
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for s in groups:
+            pairs = [(-sum(f(p[s][t], p[o][t]) for t in kept), o.encode(), o) for o in groups if o != s]
+            marks = [(-f(p[s][t], q[t]), t.encode(), t) for t in kept if groups[s][t] > 0 and p[s][t] > q[t]]
+            for part, found in (("pair", sorted(pairs)), ("term", sorted(marks)[:top])):
+                out += [(lang, s, part, item, -v, i + 1) for i, (v, _, item) in enumerate(found)]
+    return out
