@@ -4,11 +4,12 @@ A text without white space is a string of bytes ``b``; its fingerprint is
 ``sum (b_i + 1) * B^(n-1-i)`` modulo two primes.  Fingerprints compose: with
 ``h(xy) = h(x) * B^|y| + h(y)`` the chunks of one text can be hashed apart and
 put together by length-shifted arithmetic.  Texts up to ``huge_chars`` do that
-inside one row; longer ones are dealt out as chunk rows over the cluster and
-folded back.  Rows of equal fingerprint and length are then compared chunk by
-chunk: of every chunk position only the least and the greatest chunk travel
+inside one row; longer ones are cut in one pass, dealt out as chunk rows over the
+cluster and folded back.  Rows of equal fingerprint and length are then compared
+chunk by chunk: of every chunk position only the least and the greatest chunk travel
 (aggregated before the shuffle), and a class is one class only when they are
-the same everywhere; otherwise it is divided by SHA-256.
+the same everywhere; otherwise it is divided by SHA-256.  Rows whose fingerprint
+no other row has are not compared.
 """
 
 from __future__ import annotations
@@ -29,10 +30,12 @@ BASE = 1000003
 CHUNK = 4096
 #: Texts of more code points than this are hashed as chunk rows.
 HUGE_CHARS = 1 << 22
-#: Code points of a chunk that is compared, and of a huge text's chunk row.
-COMPARE_CHARS = 1 << 16
+#: Bytes of a chunk that is compared, and of a huge text's chunk row.
+COMPARE = 1 << 16
+#: Classes that are sent to every task (16 bytes each); more are joined by shuffle.
+SENT_CLASSES = 2_000_000
 
-_SPACES = str.maketrans("", "", " \t\n\x0b\x0c\r")
+_SPACES = b" \t\n\x0b\x0c\r"
 # (b + 1) * power < 2^39, summed over 4096 bytes < 2^51: exact in float64
 _POWERS = np.array([[pow(BASE, CHUNK - 1 - i, p) for p in PRIMES] for i in range(CHUNK)], dtype=np.float64)
 
@@ -58,8 +61,9 @@ def fingerprint(data: bytes) -> tuple[int, ...]:
     return out
 
 
-def normalised(text: str | None) -> str:
-    return (text or "").translate(_SPACES)
+def normalised(text: bytes | None) -> bytes:
+    """The text's bytes without ASCII white space."""
+    return (text or b"").translate(None, _SPACES)
 
 
 def _mark(fp: tuple[int, ...]) -> int:
@@ -69,8 +73,8 @@ def _mark(fp: tuple[int, ...]) -> int:
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = [[], [], []]
-        for value in batch.column(0):
-            data = normalised(value.as_py()).encode()
+        for value in batch.column(0).cast(pa.binary()):
+            data = normalised(value.as_py())
             out[0].append(_mark(fingerprint(data)))
             out[1].append(len(data))
             out[2].append(hashlib.sha256(data).hexdigest())
@@ -79,11 +83,24 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=[*batch.schema.names[1:], "fp", "n_bytes", "text_sha256"])
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunk rows of huge texts, one text after the other."""
+    for batch in batches:
+        for i, value in enumerate(batch.column(0).cast(pa.binary())):
+            data = normalised(value.as_py())
+            sums = hashlib.sha256(data).hexdigest()
+            chunks = [data[lo:lo + COMPARE] for lo in range(0, max(1, len(data)), COMPARE)]
+            n = len(chunks)
+            same = [c.take(pa.array([i] * n, pa.int64())) for c in batch.columns[1:]]
+            yield pa.RecordBatch.from_arrays([pa.array(chunks, pa.binary()), *same, pa.array([sums] * n), pa.array(range(n), pa.int32())],
+                                             names=["chunk", *batch.schema.names[1:], "text_sha256", "no"])
+
+
 def _chunk_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         h = [[], [], [], [], []]
         for value in batch.column(0):
-            data = value.as_py().encode()
+            data = value.as_py()
             fp = fingerprint(data)
             for i, p in enumerate(PRIMES):
                 h[i].append(fp[i])
@@ -108,14 +125,10 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     fields = f"doc_id {id_type}, n_chars long"
     plain = base.where(F.col("n_chars") <= huge_chars).mapInArrow(
         _digests, f"{fields}, fp long, n_bytes long, text_sha256 string")
-    norm = F.regexp_replace("text", f"[{SPACE}]+", "")
-    huge = (base.where(F.col("n_chars") > huge_chars).withColumn("text", norm)
-            .withColumn("text_sha256", F.sha2("text", 256)).withColumn("key", F.monotonically_increasing_id())
-            .withColumn("no", F.explode(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("text") - 1) / COMPARE_CHARS).cast("int")))))
-            .select(F.substring(F.col("text"), F.col("no") * COMPARE_CHARS + 1, F.lit(COMPARE_CHARS)).alias("chunk"),
-                    "doc_id", "n_chars", "text_sha256", "key", "no")
+    huge = (base.where(F.col("n_chars") > huge_chars).withColumn("key", F.monotonically_increasing_id())
+            .mapInArrow(_cut, f"chunk binary, {fields}, key long, text_sha256 string, no int")
             .repartition("key", "no")
-            .mapInArrow(_chunk_hashes, f"{fields}, text_sha256 string, key long, no int, h0 long, h1 long, s0 long, s1 long, chunk_bytes long"))
+            .mapInArrow(_chunk_hashes, f"{fields}, key long, text_sha256 string, no int, h0 long, h1 long, s0 long, s1 long, chunk_bytes long"))
     folded = huge.groupBy("key").agg(
         F.first("doc_id").alias("doc_id"), F.first("n_chars").alias("n_chars"), F.first("text_sha256").alias("text_sha256"),
         F.sum("chunk_bytes").alias("n_bytes"), F.array_sort(F.collect_list(F.struct("no", "h0", "h1", "s0", "s1"))).alias("parts"))
@@ -123,36 +136,61 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return plain.unionByName(folded.select("doc_id", "n_chars", fp.alias("fp"), "n_bytes", "text_sha256"))
 
 
-def _compare_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        fps, sizes, nos, chunks, held = [], [], [], [], 0
-        for value in batch.column(0):
-            text = normalised(value.as_py())
-            data = text.encode()
-            mark = _mark(fingerprint(data))
-            for lo in range(0, max(1, len(text)), COMPARE_CHARS):
-                chunk = text[lo:lo + COMPARE_CHARS]
-                fps.append(mark)
-                sizes.append(len(data))
-                nos.append(lo // COMPARE_CHARS)
-                chunks.append(chunk)
-                held += len(chunk)
+        data = [normalised(value.as_py()) for value in batch.column(0).cast(pa.binary())]
+        yield pa.RecordBatch.from_arrays([pa.array([_mark(fingerprint(d)) for d in data], pa.int64()), pa.array(map(len, data), pa.int64())], names=["fp", "n_bytes"])
+
+
+def _sent(classes: DataFrame) -> DataFrame:
+    """A stored table of classes, for a join: broadcast if it is small."""
+    return F.broadcast(classes) if classes.count() <= SENT_CLASSES else classes
+
+
+def _several(digests: DataFrame) -> DataFrame:
+    """fp, n_bytes of the classes of two rows or more."""
+    return stored(digests.groupBy("fp", "n_bytes").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp", "n_bytes"), "dedup-classes")
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        out, held = [[], [], [], []], 0
+        for text, fp, size in zip(batch.column(0).cast(pa.binary()), batch.column(1), batch.column(2)):
+            data = normalised(text.as_py())
+            for lo in range(0, max(1, len(data)), COMPARE):
+                for column, value in zip(out, (fp.as_py(), size.as_py(), lo // COMPARE, data[lo:lo + COMPARE])):
+                    column.append(value)
+            held += len(data)
             if held > 1 << 24:
-                yield _chunk_batch(fps, sizes, nos, chunks)
-                fps, sizes, nos, chunks, held = [], [], [], [], 0
-        yield _chunk_batch(fps, sizes, nos, chunks)
+                yield _chunk_batch(*out)
+                out, held = [[], [], [], []], 0
+        yield _chunk_batch(*out)
 
 
 def _chunk_batch(fps, sizes, nos, chunks) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(sizes, pa.int64()), pa.array(nos, pa.int64()),
-                                       pa.array(chunks, pa.string())], names=["fp", "n_bytes", "no", "chunk"])
+                                       pa.array(chunks, pa.binary())], names=["fp", "n_bytes", "no", "chunk"])
 
 
-def collisions(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """fp, n_bytes of the classes whose texts differ in some chunk: the rows of
-    equal fingerprint and length are compared chunk by chunk."""
-    chunks = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(
-        _compare_chunks, "fp long, n_bytes long, no long, chunk string")
+def _with_marks(docs: DataFrame, text_col: str, names: list[str]) -> DataFrame:
+    """``docs`` with fingerprint and number of bytes in the columns ``names``."""
+    at = docs.columns.index(text_col)
+    columns = [*docs.columns, *names]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = next(_marks(iter([pa.RecordBatch.from_arrays([batch.column(at)], names=["text"])])))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *marks.columns], names=columns)
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(c, T.LongType()) for c in names)]))
+
+
+def collisions(docs: DataFrame, classes: DataFrame, text_col: str = "text") -> DataFrame:
+    """fp, n_bytes of those ``classes`` whose texts differ in some chunk: their rows
+    are compared chunk by chunk."""
+    rows = _with_marks(docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")), "text", ["fp", "n_bytes"])
+    chunks = rows.join(_sent(classes), ["fp", "n_bytes"], "left_semi").select("text", "fp", "n_bytes").mapInArrow(
+        _chunks, "fp long, n_bytes long, no long, chunk binary")
     return (chunks.groupBy("fp", "n_bytes", "no").agg(F.min("chunk").alias("least"), F.max("chunk").alias("most"))
             .where(F.col("least") != F.col("most")).select("fp", "n_bytes").distinct())
 
@@ -164,15 +202,15 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Texts are equal when identical without white space; null is empty, and all
     empty texts form one class.  Of equal texts the row of most code points
     stays, then the smallest id (null ids last); of fully repeated rows
-    exactly one stays.  An empty table gives an empty result."""
+    exactly one stays.  An empty table gives an empty result.  Ids may be of any
+    type that has an order."""
     rows = with_row_key(digests(docs, id_col, text_col, huge_chars), "dedup-digests")
-    split = stored(collisions(docs, text_col), "dedup-collisions")
+    split = stored(collisions(docs, _several(rows), text_col), "dedup-collisions")
     keyed = (rows.join(split.withColumn("differs", F.lit(True)), ["fp", "n_bytes"], "left")
              .withColumn("split_by", F.when(F.col("differs"), F.col("text_sha256")).otherwise(F.lit(""))).drop("differs"))
     key = ["fp", "n_bytes", "split_by"]
-    groups = keyed.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("group_size"),
-        F.max_by(F.struct("doc_id", "row"), F.struct("n_chars", F.negative("doc_id"), F.negative("row"))).alias("keep"))
+    order = F.struct(F.negative("n_chars"), F.col("doc_id").isNull(), "doc_id", "row")
+    groups = keyed.groupBy(*key).agg(F.count(F.lit(1)).alias("group_size"), F.min_by(F.struct("doc_id", "row"), order).alias("keep"))
     copies = stored(groups.where("group_size > 1"), "dedup-groups")     # a plain table: its join can split a hot class
     return keyed.join(copies, key, "left").select(
         "doc_id", F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"),
@@ -180,28 +218,22 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.coalesce(F.col("keep.row") == F.col("row"), F.lit(True)).alias("kept"), "text_sha256")
 
 
-def _with_class(names: list[str], text_at: int, fp: str, size: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            marks, sizes = [], []
-            for value in batch.column(text_at):
-                data = normalised(value.as_py()).encode()
-                marks.append(_mark(fingerprint(data)))
-                sizes.append(len(data))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(marks, pa.int64()), pa.array(sizes, pa.int64())],
-                                             names=[*names, fp, size])
-    return run
-
-
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that exact_duplicates() keeps, with all their columns."""
+    """The rows of ``docs`` that exact_duplicates() keeps, with all their columns.
+
+    Null text is empty and one class with the empty texts; of equal rows one
+    stays, null ids come last; an empty table gives an empty result.  Only rows
+    whose fingerprint another row has are shuffled."""
     ship(docs.sparkSession)
-    fp, size, row, split_by = fresh(docs, "fp", "n_bytes", "whole", "split_by")
-    schema = T.StructType([*docs.schema.fields, T.StructField(fp, T.LongType()), T.StructField(size, T.LongType())])
-    marked = docs.mapInArrow(_with_class(docs.columns, docs.columns.index(text_col), fp, size), schema)
-    split = stored(collisions(docs, text_col), "dedup-collisions").select(F.col("fp").alias(fp), F.col("n_bytes").alias(size), F.lit(True).alias(split_by))
-    norm = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), f"[{SPACE}]+", "")
-    keyed = marked.join(split, [fp, size], "left").withColumn(split_by, F.when(F.col(split_by), F.sha2(norm, 256)).otherwise(F.lit("")))
-    best = F.struct(F.length(F.coalesce(F.col(text_col), F.lit(""))), F.negative(F.col(id_col)))
-    kept = keyed.groupBy(fp, size, split_by).agg(F.max_by(F.struct(*docs.columns), best).alias(row))
-    return kept.select(f"{row}.*")
+    fp, size, whole, split_by = fresh(docs, "fp", "n_bytes", "whole", "split_by")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    classes = _several(docs.select(text.alias("text")).mapInArrow(_marks, "fp long, n_bytes long"))
+    split = stored(collisions(docs, classes, text_col), "dedup-collisions").select(F.col("fp").alias(fp), F.col("n_bytes").alias(size), F.lit(True).alias(split_by))
+    marked, named = _with_marks(docs, text_col, [fp, size]), _sent(classes).select(F.col("fp").alias(fp), F.col("n_bytes").alias(size))
+    alone = marked.join(named, [fp, size], "left_anti").select(*docs.columns)
+    norm = F.regexp_replace(text, f"[{SPACE}]+", "")
+    keyed = (marked.join(named, [fp, size], "left_semi").join(split, [fp, size], "left")
+             .withColumn(split_by, F.when(F.col(split_by), F.sha2(norm, 256)).otherwise(F.lit(""))))
+    order = F.struct(F.negative(F.length(text)), F.col(id_col).isNull(), F.col(id_col))
+    kept = keyed.groupBy(fp, size, split_by).agg(F.min_by(F.struct(*docs.columns), order).alias(whole))
+    return alone.union(kept.select(f"{whole}.*"))

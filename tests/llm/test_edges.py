@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tabwatch.llm import (bpe, components, exact_dedup, fair_mix, mil_quality, ngram_join, packing, pii_disclosure,
                           quality_divergence, secret_ownership, token_counts, token_files)
@@ -218,7 +219,6 @@ def test_fingerprints_compose():
 
 def test_equal_fingerprints_of_different_texts_are_told_apart(spark, monkeypatch):
     """With every fingerprint the same, the chunk comparison must divide the classes."""
-    import sys
     docs = spark.createDataFrame([(1, "ab"), (2, "a b"), (3, "cd"), (4, "xyz")], "doc_id long, text string")
     rows_ = exact_dedup.digests(docs).collect()
     same = spark.createDataFrame([(r.doc_id, r.n_chars, 7, r.n_bytes, r.text_sha256) for r in rows_], "doc_id long, n_chars long, fp long, n_bytes long, text_sha256 string")
@@ -226,7 +226,40 @@ def test_equal_fingerprints_of_different_texts_are_told_apart(spark, monkeypatch
     monkeypatch.setattr(exact_dedup, "collisions", lambda *a: spark.createDataFrame([(7, 2)], "fp long, n_bytes long"))
     assert rows(exact_dedup.exact_duplicates(docs), "doc_id", "keep_id", "group_size", "kept") == Counter(
         [(1, 2, 2, False), (2, 2, 2, True), (3, 3, 1, True), (4, 4, 1, True)])
-    assert "pyspark" in sys.modules
+
+
+@pytest.mark.parametrize("kind, ids", [("string", ["b", "a", None, "c"]), ("long", [5, -2**63, None, 2**63 - 1])])
+def test_exact_ids_of_any_order(spark, kind, ids):
+    docs = spark.createDataFrame(list(zip(ids, ["x y", "x\ty", "x\ny", "x  y"])), f"doc_id {kind}, text string")
+    out = {r.doc_id: (r.keep_id, r.kept) for r in exact_dedup.exact_duplicates(docs).collect()}
+    assert out == {i: (ids[3], i == ids[3]) for i in ids}
+    same = docs.where("text <> 'x  y'")
+    assert [r.doc_id for r in exact_dedup.keep_one_of_each(same).collect()] == [ids[1]]
+    assert {r.keep_id for r in exact_dedup.exact_duplicates(same).collect()} == {ids[1]}
+
+
+def test_differing_chunks_divide_a_class(spark, monkeypatch):
+    """Rows that claim one fingerprint and length: only the comparison tells them apart."""
+    long_ = "a" * (exact_dedup.COMPARE + 5)
+    docs = spark.createDataFrame([(1, long_ + "b"), (2, long_ + " b"), (3, long_ + "c")], "doc_id long, text string")
+    n_bytes = exact_dedup.COMPARE + 6
+
+    def one_mark(batches):
+        import pyarrow as pa
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([x] * batch.num_rows, pa.int64()) for x in (7, n_bytes)], names=["fp", "n_bytes"])
+
+    monkeypatch.setattr(exact_dedup, "_marks", one_mark)
+    assert rows(exact_dedup.keep_one_of_each(docs), "doc_id") == Counter([(2,), (3,)])
+
+
+def test_huge_texts_are_cut_in_one_pass(spark):
+    import time
+    huge = spark.range(2, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("twenty characters é\n"), 2_000_000).alias("text"))
+    start = time.monotonic()
+    out = exact_dedup.exact_duplicates(huge).collect()
+    assert time.monotonic() - start < 30
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in out} == {(0, 0, 2, True), (1, 0, 2, False)}
 
 
 def test_packing(hard):
