@@ -22,6 +22,7 @@ Sets are compared by 64-bit hashes of the n-grams.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -111,10 +112,9 @@ def _digest(n: int):
     return run
 
 
-def _gram_ids(grams: np.ndarray, fragments: int) -> tuple[np.ndarray, np.ndarray]:
-    """Fragment of each n-gram, by range of hash, and its low 48 bits."""
-    fragment = ((grams >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
-    return fragment.astype(np.int64), grams & np.uint64((1 << 48) - 1)
+def _fragments(grams: np.ndarray, fragments: int) -> np.ndarray:
+    """Fragment of each n-gram, by range of hash."""
+    return (((grams >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)).astype(np.int64)
 
 
 def _segments(n: int, fragments: int, heavy: np.ndarray):
@@ -142,14 +142,13 @@ def _segments(n: int, fragments: int, heavy: np.ndarray):
 def _deal(nodes: list[int], sets: list[np.ndarray], fragments: int, heavy: np.ndarray) -> Iterator[pa.RecordBatch]:
     node, size = np.array(nodes, dtype=np.int64), np.array([len(s) for s in sets], dtype=np.int32)
     grams, doc = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
-    f, low = _gram_ids(grams, fragments)
+    f = _fragments(grams, fragments)
     if len(heavy):
         at = np.minimum(np.searchsorted(heavy, grams), len(heavy) - 1)
         hot = heavy[at] == grams
-        low[hot] = at[hot]                                  # a heavy n-gram goes by its number in the list
         f[hot] = -1 - node[doc[hot]] % fragments
     order = np.lexsort((doc, f))
-    f, doc, low = f[order], doc[order], low[order]
+    f, doc, grams = f[order], doc[order], grams[order]
     cuts = np.flatnonzero(np.diff(f, prepend=f[0] - 1))
     out = [[], [], [], [], []]
     for lo, hi in zip(cuts, [*cuts[1:], len(f)]):
@@ -157,7 +156,7 @@ def _deal(nodes: list[int], sets: list[np.ndarray], fragments: int, heavy: np.nd
         out[0].append(int(f[lo]))
         for column, value in zip(out[1:], (node[docs], size[docs], lengths.astype(np.int32))):
             column.append(value.tobytes())
-        out[4].append(low[lo:hi].view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
+        out[4].append(grams[lo:hi].tobytes())
     yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])],
                                      names=["f", "nodes", "sizes", "lengths", "ids"])
 
@@ -165,22 +164,20 @@ def _deal(nodes: list[int], sets: list[np.ndarray], fragments: int, heavy: np.nd
 _SHARED = "node long, n int, f long, held long, ids array<long>, counts array<int>"
 
 
-def _shared(heavy_counts: np.ndarray):
-    """Of a fragment's segments the n-grams that two classes or more have."""
+def _shared(heavy: np.ndarray, heavy_counts: np.ndarray):
+    """Of a fragment's segments the n-grams that two classes or more have.  ``heavy``
+    are the sorted heavy n-grams."""
     def run(table: pa.Table) -> pa.Table:
         joined = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
         fragment = table.column("f")[0].as_py()
         node, size, length = joined("nodes", np.int64), joined("sizes", np.int32), joined("lengths", np.int32)
-        ids = np.zeros((int(length.sum()), 8), dtype=np.uint8)
-        ids[:, :6] = joined("ids", np.uint8).reshape(-1, 6)
-        ids = ids.view(np.uint64).ravel()
+        ids = joined("ids", np.uint64)
         first = np.zeros(len(node), dtype=bool)             # of a class that several tasks sent, one segment
         first[np.unique(node, return_index=True)[1]] = True
         ids = ids[np.repeat(first, length)]
         node, size, length = node[first], size[first], length[first]
         if fragment < 0:
-            counts, ids = heavy_counts[ids.astype(np.int64)], ids.view(np.int64) - (1 << 62)
-            keep = np.ones(len(ids), dtype=bool)
+            counts, keep = heavy_counts[np.searchsorted(heavy, ids)], np.ones(len(ids), dtype=bool)
         else:
             order = np.argsort(ids, kind="stable")
             starts = np.flatnonzero(np.diff(ids[order], prepend=~ids[order[0]]))
@@ -188,13 +185,12 @@ def _shared(heavy_counts: np.ndarray):
             counts = np.empty(len(ids), dtype=np.int32)
             counts[order] = np.repeat(runs, runs)
             keep = counts > 1
-            ids = ids.view(np.int64) + (fragment << 48)
         doc = np.repeat(np.arange(len(node)), length)[keep]
         held = np.bincount(doc, minlength=len(node))
         some = held > 0
         offsets = pa.array(np.concatenate([[0], np.cumsum(held[some])]), pa.int32())
         arrays = [pa.array(node[some]), pa.array(size[some]), pa.array(np.full(int(some.sum()), fragment)), pa.array(held[some].astype(np.int64)),
-                  pa.ListArray.from_arrays(offsets, pa.array(ids[keep])), pa.ListArray.from_arrays(offsets, pa.array(counts[keep].astype(np.int32)))]
+                  pa.ListArray.from_arrays(offsets, pa.array(ids[keep].view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(counts[keep].astype(np.int32)))]
         return pa.Table.from_arrays(arrays, names=["node", "n", "f", "held", "ids", "counts"])
     return run
 
@@ -272,7 +268,7 @@ def _partners(docs: DataFrame, digests: DataFrame, text_col: str, n: int, percen
         return _segments(n, fragments, sent.value[0])(batches)
 
     def shared(table):
-        return _shared(sent.value[1])(table)
+        return _shared(*sent.value)(table)
 
     segmented = docs.select(F.col(text_col)).mapInArrow(segments, "f long, nodes binary, sizes binary, lengths binary, ids binary")
     held = segmented.groupBy("f").applyInArrow(shared, _SHARED)
@@ -280,10 +276,14 @@ def _partners(docs: DataFrame, digests: DataFrame, text_col: str, n: int, percen
     able = stored(sets.where(F.col("held") >= least_overlap(F.col("n"), percent)), "ngram-sets")
     index = stored(able.select("node", F.col("n").cast("long").alias("n"), "held", "parts").mapInArrow(
         _prefixes(percent), "gram long, node long, n long, held long, rest long, sketch array<long>, prefix array<long>"), "ngram-index")
-    # the heavy n-grams are a part of their own, whatever fragment carried them
-    part = F.when(F.col("x.f") < 0, F.lit(PARTS)).otherwise(F.pmod(F.col("x.f"), F.lit(PARTS))).cast("int")
-    parts = (able.select("node", F.explode("parts").alias("x")).groupBy("node", part.alias("part"))
-             .agg(F.flatten(F.collect_list("x.ids")).alias("ids")))
+    # of every set PARTS + 1 rows, at most, whatever the number of fragments; the heavy
+    # n-grams are a part of their own, whatever fragment carried them
+    def part_ids(p: int) -> Column:
+        mine = F.filter("parts", lambda x: F.when(x["f"] < 0, F.lit(PARTS)).otherwise(F.pmod(x["f"], F.lit(PARTS))) == p)
+        return F.struct(F.lit(p).alias("part"), F.flatten(F.transform(mine, lambda x: x["ids"])).alias("ids"))
+
+    dealt = F.array(*map(part_ids, range(PARTS + 1)))
+    parts = able.select("node", F.explode(dealt).alias("x")).select("node", "x.part", "x.ids").where(F.size("ids") > 0)
     return index, stored(parts, "ngram-parts")
 
 
@@ -296,11 +296,17 @@ def _around_centres(index: DataFrame, percent: int) -> DataFrame:
     return joined.select("u", F.col("node").alias("v"), "n_u", F.col("n").alias("n_v")).distinct()
 
 
+def _size_band(n: str, percent: int) -> Column:
+    """Similar sets are in one band of sizes or in neighbouring ones."""
+    width = math.log(100 / percent) * 1.000001      # beyond what rounding may add
+    return F.floor(F.log(n) / width) if percent < 100 else F.col(n)
+
+
 def _across_components(index: DataFrame, parts_of: DataFrame, done: DataFrame, percent: int) -> DataFrame:
     """Pairs that share an indexed n-gram and are in different components, each
     at the first n-gram that they share: one of them is outside its n-gram's
-    largest component.  Only pairs that size, position and sketch allow leave the
-    join."""
+    largest component.  The join is on the n-gram and the band of sizes, and only
+    pairs that size, position and sketch allow leave it."""
     rows = index.join(parts_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
     rows = stored(rows, "ngram-index-components")
     sizes = rows.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("c"))
@@ -308,10 +314,12 @@ def _across_components(index: DataFrame, parts_of: DataFrame, done: DataFrame, p
     open_ = stored(largest.where("several > 1").select("gram", "largest"), "ngram-open")
     sketches = index.where("sketch is not null").select("node", "sketch", "prefix")
     rows = stored(rows.drop("sketch", "prefix").join(open_, "gram").join(sketches, "node"), "ngram-open-rows")
-    outside = rows.where(F.col("component") != F.col("largest")).select(
-        "gram", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("held").alias("held_u"),
+    band = _size_band("n", percent)
+    rows = rows.withColumn("band", band)
+    outside = rows.where(F.col("component") != F.col("largest")).withColumn("band", F.explode(F.array(*(F.col("band") + i for i in (-1, 0, 1))))).select(
+        "gram", "band", F.col("node").alias("u"), F.col("n").alias("n_u"), F.col("held").alias("held_u"),
         F.col("rest").alias("rest_u"), F.col("sketch").alias("sketch_u"), F.col("prefix").alias("prefix_u"), F.col("component").alias("of"))
-    met = outside.join(rows, "gram").where((F.col("component") != F.col("of")) & _can_match("n_u", "n", "rest_u", "rest", percent)
+    met = outside.join(rows, ["gram", "band"]).where((F.col("component") != F.col("of")) & _can_match("n_u", "n", "rest_u", "rest", percent)
                                            & _sketches_allow(percent)
                                            & (F.get(F.array_intersect("prefix_u", "prefix"), F.lit(0)) == F.col("gram")))
     met = met.select(*(F.when(F.col("u") < F.col("node"), F.col(a)).otherwise(F.col(b)).alias(name) for name, a, b in (

@@ -180,6 +180,41 @@ def test_similar_in_a_crowd_of_near_copies(spark, heavy, monkeypatch):
     assert 3 < len({c for _, _, c in want}) < 200
 
 
+def test_similar_over_thousands_of_fragments(spark, monkeypatch):
+    """Most fragments hold a hundred n-grams; a set's parts stay five rows."""
+    rng = np.random.default_rng(12)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 300)) for _ in range(150)]
+    data = list(enumerate(texts + [t + " and a tail" for t in texts[::3]] + ["x " + t for t in texts[::5]]))
+    monkeypatch.setattr(ngram_join, "FRAGMENT", 20)
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    seen = []
+    explode = ngram_join.F.explode
+    monkeypatch.setattr(ngram_join.F, "explode", lambda c: seen.append(c) or explode(c))
+    assert rows(ngram_join.similar_documents(docs), "doc_id", "n_shingles", "component_id") == Counter(brute.similar(data))
+    assert seen
+
+
+def test_any_fragment_number():
+    """A fragment beyond 2^15 gives the n-grams' whole hashes."""
+    import pyarrow as pa
+    grams = [np.sort(np.array(x, dtype=np.uint64)) for x in ([5, 2**63 + 7, 2**64 - 1], [2**63 + 7, 9], [2**64 - 1])]
+    column = lambda kind, values: pa.array([np.array(values, dtype=kind).tobytes()], pa.binary())
+    nothing = np.empty(0, dtype=np.uint64)
+    for f in (40_000, 2**40):
+        table = pa.table({"f": pa.array([f], pa.int64()), "nodes": column(np.int64, [1, 2, 3]), "sizes": column(np.int32, [3, 2, 1]),
+                          "lengths": column(np.int32, [3, 2, 1]), "ids": column(np.uint64, np.concatenate(grams))})
+        out = ngram_join._shared(nothing, nothing.astype(np.int32))(table).to_pydict()
+        assert out["node"] == [1, 2, 3] and out["held"] == [2, 1, 1] and out["counts"] == [[2, 2], [2], [2]]
+        assert [sorted(x % 2**64 for x in ids) for ids in out["ids"]] == [[2**63 + 7, 2**64 - 1], [2**63 + 7], [2**64 - 1]]
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 99])
+def test_similar_sizes_are_in_neighbouring_bands(spark, percent):
+    sizes = spark.range(1, 3000).withColumn("m", F.ceil(F.col("id") * percent / 100))
+    far = sizes.where(F.abs(ngram_join._size_band("id", percent) - ngram_join._size_band("m", percent)) > 1)
+    assert far.count() == 0
+
+
 def test_components(spark):
     rng = np.random.default_rng(2)
     pairs = [(int(a), int(b)) for a, b in rng.integers(0, 300, (170, 2))] + [(i, i + 1) for i in range(1000, 1100)] + [(5000, 5000)]
