@@ -94,10 +94,13 @@ def common_intervals(ends_a: np.ndarray, ends_b: np.ndarray, starts_a: np.ndarra
             tries[i] += len(order)
             if len(found):
                 probe[i], at[i], hit[i] = near[found[0]], place[found[0]], True
-        a, b = probe[hit] + 1, at[hit] + 1
-        a_lo, a_hi = np.concatenate([a_lo[~hit], a_lo[hit], a]), np.concatenate([a_hi[~hit], a, a_hi[hit]])
-        b_lo, b_hi = np.concatenate([b_lo[~hit], b_lo[hit], b]), np.concatenate([b_hi[~hit], b, b_hi[hit]])
-        tries = np.concatenate([tries[~hit], np.zeros(2 * len(a), dtype=np.int64)])
+        # both halves of an interval stay side by side, so that every level is bisected in order
+        halves = 1 + hit
+        right = np.cumsum(halves)[hit] - 1
+        a_lo, a_hi, b_lo, b_hi, tries = (np.repeat(x, halves) for x in (a_lo, a_hi, b_lo, b_hi, tries))
+        a_hi[right - 1] = a_lo[right] = probe[hit] + 1
+        b_hi[right - 1] = b_lo[right] = at[hit] + 1
+        tries[right - 1] = tries[right] = 0
     order = np.argsort(np.concatenate(leaves[0]))
     return tuple(np.concatenate(x)[order] for x in leaves)
 
@@ -126,19 +129,22 @@ def pair_weights(ids_a: np.ndarray, ids_b: np.ndarray, groups: tuple[np.ndarray,
     b, weight_b, _, first_b = _distinct(ids_b, np.repeat(np.arange(n), b_hi - b_lo), crowded, n)
     each = np.diff(first_b)[group_a]                                   # links of every token of A
     slices = max(1, -(-int(each.sum()) // PAIRS))
+    pairs_of_doc = (int(ids_a.max()) + 1) * size_b                     # documents are few: the key is far below 2^63
     for s in range(slices):
         mine = slice(None) if slices == 1 else a % slices == s
         reps, groups_of = each[mine], group_a[mine]
         offset = np.cumsum(reps) - reps
         other = np.arange(int(reps.sum())) + np.repeat(first_b[groups_of] - offset, reps)
-        pair = np.repeat(a[mine] * size_b, reps) + b[other]
-        doc = np.repeat(doc_of_group[groups_of], reps)
-        weight = np.repeat(weight_a[mine], reps) * weight_b[other]
-        order = np.lexsort((pair, doc))
-        doc, pair, weight = doc[order], pair[order], weight[order]
-        new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (pair[1:] != pair[:-1])])[:len(doc)])
+        key = np.repeat(doc_of_group[groups_of] * pairs_of_doc + a[mine] * size_b, reps) + b[other]
+        if crowded.any():
+            weight = np.repeat(weight_a[mine], reps) * weight_b[other]
+            order = np.argsort(key, kind="stable")
+            key, weight = key[order], weight[order]
+        else:
+            key.sort()
+        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
         if len(new):
-            yield doc[new], pair[new], np.add.reduceat(weight, new)
+            yield (*np.divmod(key[new], pairs_of_doc), np.add.reduceat(weight, new) if crowded.any() else np.diff(new, append=len(key)))
 
 
 class Aligner:
@@ -152,15 +158,18 @@ class Aligner:
         self.names_a = [texts(len(self.len_a), end) for end in ",|"]
         self.names_b = [texts(len(self.len_b), end) for end in (",", ";", "")]
 
-    def ids(self, text: str | None) -> tuple[list[int], list[int]]:
-        """Ids of A and of B; none where the joined bytes are not the text's."""
+    def ids(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of A and of B; none where the joined bytes are not the text's.  A's
+        tokens are runs of the text's bytes, so their length tells."""
+        none = np.empty(0, dtype=np.int64)
         if not text or "▁" in text:
-            return [], []
+            return none, none
         whole = " " + text
-        a, b = self.a.plain(whole), self.b.ids(text)
-        data = whole.encode()
-        same = b"".join(map(self.bytes_a.__getitem__, a)) == data and b"".join(map(self.b.bytes.__getitem__, b)) == data
-        return (a, b) if same else ([], [])
+        data, b = whole.encode(), self.b.ids(text)
+        if b"".join(map(self.b.bytes.__getitem__, b)) != data:
+            return none, none
+        a = np.array(self.a.plain(whole), dtype=np.int64)
+        return (a, np.array(b, dtype=np.int64)) if self.len_a[a].sum() == len(data) else (none, none)
 
     def group_texts(self, ids_a: np.ndarray, ids_b: np.ndarray, groups: tuple[np.ndarray, ...], starts_a: np.ndarray, starts_b: np.ndarray) -> list[str]:
         """``a1,a2|b1;a3|b2,b3`` of every document that has tokens."""
@@ -177,7 +186,7 @@ class Aligner:
         cuts = [*(starts_a + starts_b).tolist(), len(out)]
         return ["".join(out[lo:hi].tolist()) for lo, hi in zip(cuts, cuts[1:])]
 
-    def align(self, rows: pa.Array, docs: pa.Array, found: list[tuple[list[int], list[int]]]) -> Iterator[pa.RecordBatch]:
+    def align(self, rows: pa.Array, docs: pa.Array, found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         """Rows (row, doc_id, n_a, n_b, n_groups, n_links, groups_sha256, pairs,
         weights) of some documents; of further pairs, n_a is null."""
         n = len(found)
@@ -186,7 +195,7 @@ class Aligner:
         n_groups, n_links, sums = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64), [""] * n
         parts = iter(())
         if len(has):
-            ids_a, ids_b = (np.concatenate([np.array(found[i][side], dtype=np.int64) for i in has]) for side in (0, 1))
+            ids_a, ids_b = (np.concatenate([found[i][side] for i in has]) for side in (0, 1))
             starts_a, starts_b = np.cumsum(n_a[has]) - n_a[has], np.cumsum(n_b[has]) - n_b[has]
             groups = common_intervals(np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b]), starts_a, starts_b)
             doc = has[np.searchsorted(starts_a, groups[0], side="right") - 1]
