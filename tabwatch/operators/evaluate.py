@@ -5,45 +5,31 @@ AUC = sum over distinct scores s of pos(s) * (neg_below(s) + neg(s) / 2) / (P *
 
 Rows are first reduced to one row per distinct score (map-side combined),
 so a score that a third of all rows share is one row.  The running count of
-negatives below each score is a prefix sum over the ordered distinct
-scores: a bounded-memory sketch cuts the scores into range buckets (a
-binary-search expression over the literal cuts assigns them), bucket totals
-give each bucket's offset, and each bucket is sorted in its own task.
+negatives below each score is a prefix sum over the ordered distinct scores, by
+ranges that are split until each is one task's work (``ordered``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwatch.functions.search import count_le_sql
-from tabwatch.operators.quantiles import sketch_cuts
-from tabwatch.session import materialize
+from tabwatch.operators.ordered import MAX_ROWS, prefix_sums
 
 
-def auc_rank_sum(df: DataFrame, label: str, score: str, buckets: int = 256,
-                 accuracy: int = 2048) -> DataFrame:
+def auc_rank_sum(df: DataFrame, label: str, score: str, max_rows: int = MAX_ROWS) -> DataFrame:
     """One row ``(auc, n_pos, n_neg)``; label 1 = positive, 0 = negative, any
     other label fails the job.  Rows without a score or label are left out; a NaN
     score ranks above all numbers.  The rows are read once: their distinct scores
-    are written, and the cuts and the sums read that."""
+    are written, and the ranges and the sums read that.  No task sorts more than
+    ``max_rows`` distinct scores, however many there are."""
     y = F.col(label).cast("double")
     known = F.when(y.isin(0.0, 1.0), y).otherwise(F.raise_error(F.concat(F.lit("label is neither 0 nor 1: "), y.cast("string"))).cast("double"))
     sc = (df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
             .groupBy(F.col(score).cast("double").alias("s"))
             .agg(F.sum(known).cast("bigint").alias("p"),
                  F.sum(1.0 - known).cast("bigint").alias("n")))
-    sc = materialize(sc, "auc_scores")
-    fine = [i / buckets for i in range(1, buckets)]
-    # at most `buckets` doubles come back; they become literal cut points
-    cut_vals = sketch_cuts(sc, [("CASE WHEN NOT isnan(s) THEN 0 END", "s")], fine, accuracy).get(0, ([], 0))[0]
-    sb = sc.withColumn("_b", F.expr(count_le_sql("s", cut_vals)))
-    bt = sb.groupBy("_b").agg(F.sum("n").alias("_bn"))
-    w_off = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    bt = bt.withColumn("_off", F.coalesce(F.sum("_bn").over(w_off), F.lit(0)))  # buckets rows only
-    w_in = Window.partitionBy("_b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    t = (sb.join(F.broadcast(bt.select("_b", "_off")), "_b")
-           .withColumn("neg_below", F.col("_off") + F.coalesce(F.sum("n").over(w_in), F.lit(0))))
+    t = prefix_sums(sc, ["s"], {"neg_below": F.col("n")}, max_rows)
     agg = t.agg(F.sum(F.col("p").cast("double") * (F.col("neg_below").cast("double") + F.col("n") / 2.0))
                 .alias("_u"), F.sum("p").alias("n_pos"), F.sum("n").alias("n_neg"))
     den = F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
