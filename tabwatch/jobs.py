@@ -32,6 +32,7 @@ from tabwatch.operators.runlog import (best_run, current_production, metric_seri
                                        promote, run_wide)
 from tabwatch.operators.score import batch_score, load_model, production_model_path, save_model
 from tabwatch.operators.train import train_cv, training_report
+from tabwatch.sources.changes import append_change, missing, read_changes
 from tabwatch.sources.csv import read_csv, write_csv
 from tabwatch.spec import DriftSpec, FeatureSpec
 from tabwatch.session import local_frame
@@ -44,10 +45,6 @@ def _read(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return read_csv(spark, path, schema) if path.endswith(".csv") else spark.read.parquet(path)
 
 
-def _missing(error: AnalysisException) -> bool:
-    return error.getCondition() == "PATH_NOT_FOUND"
-
-
 def _log(spark, rows: DataFrame, runlog: str, ts_ms: int) -> None:
     cols = rows.columns
     out = rows.select("run_id", "kind", "key",
@@ -82,38 +79,46 @@ def train(spark, src: str, spec: FeatureSpec, model_out: str, runlog: str, schem
 
 
 def read_versions(spark, versions: str) -> DataFrame:
-    """The versions as of now: of the appended rows of each, the last change."""
-    rows = spark.read.schema(VERSION_COLS).parquet(versions)
+    """The versions as of now: of the rows of each, the last change."""
+    return _latest(read_changes(spark, versions, VERSION_COLS))
+
+
+def _latest(rows: DataFrame) -> DataFrame:
     last = rows.groupBy("name", "version").agg(F.max_by(F.struct("stage", "run_id", "path"), "change").alias("x"), F.max("change").alias("change"))
     return last.select("name", "version", "x.*", "change")
 
 
+def add_version(spark, versions: str, name: str, run_id: str, path: str, archive_existing: bool = True) -> str:
+    """The next version of ``name``, in Production; its number is returned.
+
+    The version table only grows: the new version and the stages that change
+    with it are rows of one change, and of several jobs at once each makes its
+    change from the one before.  A missing table is the first registration; a
+    table that cannot be read is an error."""
+    made = {}
+
+    def change(state: DataFrame, n: int) -> DataFrame:
+        known = local_frame(spark, _latest(state.where(F.col("name") == name)).collect(), VERSION_COLS)     # versions of one model
+        v = made["version"] = str(next_version(known, local_frame(spark, [(name,)], "name string")).first()["next_version"])
+        before = known.select("name", "version", F.col("stage").alias("was"))
+        row = local_frame(spark, [(name, v, "None", run_id, path, n)], VERSION_COLS)
+        after = promote(known.unionByName(row), policy="newest", archive_existing=archive_existing)
+        changed = after.join(before, ["name", "version"], "left").where(~F.col("stage").eqNullSafe(F.col("was"))).drop("was")
+        return changed.select(*row.columns)
+
+    append_change(spark, versions, VERSION_COLS, change)
+    return made["version"]
+
+
 def register(spark, runlog: str, versions: str, name: str, metric: str = "val_auc",
              archive_existing: bool = True) -> dict:
-    """Best run by ``metric`` -> next version of ``name`` -> Production.
-
-    The version table is only ever appended to: the new version and the stages that
-    change with it are rows of one change.  A missing table is the first
-    registration; a table that cannot be read is an error."""
+    """Best run by ``metric`` -> next version of ``name`` -> Production."""
     log = spark.read.parquet(runlog)
     wide = run_wide(log.withColumn("seq", F.lit(0).cast("bigint")), [metric])
     best = best_run(wide, metric, require=True).first()
     path = (log.where((F.col("run_id") == best["run_id"]) & (F.col("key") == "model_path"))
                .select("text").first()["text"])
-    try:
-        known = read_versions(spark, versions).where(F.col("name") == name)
-    except AnalysisException as e:
-        if not _missing(e):
-            raise
-        known = local_frame(spark, [], VERSION_COLS)
-    names = local_frame(spark, [(name,)], "name string")
-    v = str(next_version(known, names).first()["next_version"])
-    change = (known.agg(F.max("change")).first()[0] or 0) + 1
-    before = known.select("name", "version", F.col("stage").alias("was"))
-    row = local_frame(spark, [(name, v, "None", best["run_id"], path, change)], VERSION_COLS)
-    after = promote(known.unionByName(row), policy="newest", archive_existing=archive_existing)
-    changed = after.join(before, ["name", "version"], "left").where(~F.col("stage").eqNullSafe(F.col("was"))).drop("was")
-    changed.withColumn("change", F.lit(change).cast("bigint")).select(*row.columns).coalesce(1).write.mode("append").parquet(versions)
+    v = add_version(spark, versions, name, best["run_id"], path, archive_existing)
     return {"name": name, "version": v, "run_id": best["run_id"], "path": path}
 
 
@@ -123,7 +128,7 @@ def _new_batch(spark, new: str, train_df: DataFrame | None, schema, synthesize:
     try:
         return _read(spark, new, schema)
     except AnalysisException as e:
-        if not _missing(e) or not synthesize or train_df is None:
+        if not missing(e) or not synthesize or train_df is None:
             raise
     return generate_drift_batch(train_df, synthesize["key"], adjust=synthesize.get("adjust"))
 

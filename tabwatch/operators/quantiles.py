@@ -30,12 +30,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwatch.functions.search import quoted, sql_double
-from tabwatch.session import local_frame
+from tabwatch.operators.ordered import prefix_sums
+from tabwatch.session import local_frame, materialize
 
 DEFAULT_BUCKETS = 32          # cut points per interval and round
 MAX_SORT_ROWS = 1_000_000     # an interval this small is sorted in one task
@@ -317,13 +319,28 @@ def median_exact(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return q.select("feature", F.col("quantile").alias("median"), "n")
 
 
-def median_element(long_df: DataFrame, keys: Sequence[str], value: str = "value",
-                   relative_error: float = 0.001) -> DataFrame:
-    """Sketch median that is an actual element (the imputer's median)."""
-    acc = int(round(1.0 / relative_error))
-    return long_df.groupBy(*keys).agg(
-        F.percentile_approx(value, 0.5, acc).alias("median"),
-        F.count(F.lit(1)).alias("n"))
+def element_quantile(long_df: DataFrame, keys: Sequence[str], level: float, value: str = "value",
+                     max_rows: int = MAX_SORT_ROWS) -> DataFrame:
+    """``(*keys, quantile, n)``: the least element of each group whose rank is
+    ``level`` of the group's rows or more (no interpolation), exact at any size.
+
+    Rows are reduced to one per distinct value, and ranks are prefix sums over the
+    ordered values, so neither a group nor a value is one task's work.  Nulls are
+    left out, NaN is above all numbers, a null key is a group."""
+    names, long_df = list(keys), long_df.withColumn("_all", F.lit(0))
+    keys = names or ["_all"]
+    counts = long_df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_count"))
+    ranked = materialize(prefix_sums(counts, [*keys, "_value"], {"_before": F.col("_count")}, max_rows), "element-ranks")
+    groups = ranked.groupBy(*keys).agg(F.min("_before").alias("_first"), F.sum("_count").alias("n"))
+    groups = groups.select(*(F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)), "_first", "n")
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)))
+    at, wanted = F.col("_before") - F.col("_first"), F.greatest(F.ceil(F.lit(float(level)) * F.col("n")) - 1, F.lit(0))
+    return ranked.join(groups, same).where((at <= wanted) & (wanted < at + F.col("_count"))).select(*names, F.col("_value").alias("quantile"), "n")
+
+
+def median_element(long_df: DataFrame, keys: Sequence[str], value: str = "value", max_rows: int = MAX_SORT_ROWS) -> DataFrame:
+    """The median that is an actual element (the lower one of two), exact."""
+    return element_quantile(long_df, keys, 0.5, value, max_rows).withColumnRenamed("quantile", "median")
 
 
 # ------------------------------------------------------------ sketch mode

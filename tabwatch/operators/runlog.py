@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwatch.sources.parquet import read_parquet, write_parquet
-from tabwatch.session import local_frame
+from tabwatch.session import local_frame, materialize
 
 RUNLOG_SCHEMA = ("run_id string, kind string, key string, value double, "
                  "ts_ms bigint, seq bigint")
@@ -37,22 +37,31 @@ def read_runlog(spark, path: str) -> DataFrame:
     return read_parquet(spark, path)
 
 
-def metric_keys(log: DataFrame, kind: str = "metric") -> list[str]:
-    """The keys that any run logged, in order: names of columns to be, not data."""
-    return sorted(r["key"] for r in log.where(F.col("kind") == kind).select("key").distinct().collect())
+def run_map(log: DataFrame, kind: str = "metric") -> DataFrame:
+    """One row per run of the log: ``run_id, start_time, latest`` with the latest value
+    (by time, then sequence) of every key that the run logged, as a map; empty for a run
+    without any.  The plan is the same for any number of keys."""
+    key = F.when(F.col("kind") == kind, F.col("key"))
+    last = log.groupBy("run_id", key.alias("key")).agg(F.min("ts_ms").alias("first"), F.max_by("value", F.struct("ts_ms", "seq")).alias("value"))
+    entries = F.collect_list(F.when(F.col("key").isNotNull(), F.struct("key", "value")))
+    return last.groupBy("run_id").agg(F.min("first").alias("start_time"), F.map_from_entries(entries).alias("latest"))
+
+
+def metric_keys(runs: DataFrame) -> list[str]:
+    """The keys of a run_map() table, in order: names of columns to be, not data."""
+    return sorted(r["key"] for r in runs.select(F.explode(F.map_keys("latest")).alias("key")).distinct().collect())
 
 
 def run_wide(log: DataFrame, keys: Sequence[str] | None = None, kind: str = "metric") -> DataFrame:
     """One row per run of the log: ``run_id, start_time, <key>...`` with each key's
-    latest value (by time, then sequence); a key the run never logged is null, and a
-    run without any metric keeps its row.  Without ``keys``, all that were logged."""
-    keys = metric_keys(log, kind) if keys is None else keys
-    order = F.struct("ts_ms", "seq")
-    aggs = [F.min("ts_ms").alias("start_time")]
-    for k in keys:
-        hit = (F.col("kind") == kind) & (F.col("key") == F.lit(k))
-        aggs.append(F.max_by(F.when(hit, F.col("value")), F.when(hit, order)).alias(k))
-    return log.groupBy("run_id").agg(*aggs)
+    latest value; a key the run never logged is null, and a run without any metric
+    keeps its row.  Without ``keys``, all that were logged: the runs are written
+    once, and the columns are taken from what is written."""
+    runs = run_map(log, kind)
+    if keys is None:
+        runs = materialize(runs, "run_map")
+        keys = metric_keys(runs)
+    return runs.select("run_id", "start_time", *(F.try_element_at("latest", F.lit(k)).alias(k) for k in keys))
 
 
 def metric_series(wide: DataFrame, metric: str) -> DataFrame:
