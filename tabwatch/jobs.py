@@ -20,8 +20,9 @@ import time
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwatch.operators.drift import (drift_status, generate_drift_batch, monitor_log_rows, psi_raw_sample, psi_report,
                                       run_name)
@@ -55,10 +56,11 @@ def _log(spark, rows: DataFrame, runlog: str, ts_ms: int) -> None:
 
 
 def preprocess(spark, src: str, out: str, spec: FeatureSpec, schema=None,
-               clean: tuple[str, str, str] | None = None) -> int:
-    """Fit the feature stages on ``src`` and write ``(features, label)``."""
+               clean: tuple[str, str, str] | None = None, all_null: str = "error") -> int:
+    """Fit the feature stages on ``src`` and write ``(features, label)``.
+    ``all_null="drop"`` leaves out numeric columns without any value."""
     df = _read(spark, src, schema)
-    model = fit_features(df, spec, clean_sql=collapse_sql(*clean) if clean else None)
+    model = fit_features(df, spec, clean_sql=collapse_sql(*clean) if clean else None, all_null=all_null)
     model.transform(df).select("features", "label").write.mode("overwrite").parquet(out)
     return spark.read.parquet(out).count()
 
@@ -66,7 +68,7 @@ def preprocess(spark, src: str, out: str, spec: FeatureSpec, schema=None,
 def train(spark, src: str, spec: FeatureSpec, model_out: str, runlog: str, schema=None,
           clean: tuple[str, str, str] | None = None, **cv) -> dict:
     """Cross-validate, save the best pipeline, log params and metrics.
-    ``cv`` passes grid settings (trees, depths, folds, parallelism)."""
+    ``cv`` passes further settings (trees, depths, folds, parallelism, all_null, ...)."""
     df = _read(spark, src, schema)
     res = train_cv(df, spec, spec.key, clean_sql=collapse_sql(*clean) if clean else None, **cv)
     save_model(res.model, model_out)
@@ -88,8 +90,11 @@ def _latest(rows: DataFrame) -> DataFrame:
     return last.select("name", "version", "x.*", "change")
 
 
-def add_version(spark, versions: str, name: str, run_id: str, path: str, archive_existing: bool = True) -> str:
-    """The next version of ``name``, in Production; its number is returned.
+def add_version(spark, versions: str, name: str, run_id: str, path: str, archive_existing: bool = True,
+                policy: str = "newest", scores: DataFrame | None = None) -> str:
+    """The next version of ``name``; its number is returned.  It goes to Production
+    (policy ``newest``), or that version does whose run has the best of ``scores``
+    (``run_id, score``; policy ``best``).
 
     The version table only grows: the new version and the stages that change
     with it are rows of one change, and of several jobs at once each makes its
@@ -102,7 +107,9 @@ def add_version(spark, versions: str, name: str, run_id: str, path: str, archive
         v = made["version"] = str(next_version(known, local_frame(spark, [(name,)], "name string")).first()["next_version"])
         before = known.select("name", "version", F.col("stage").alias("was"))
         row = local_frame(spark, [(name, v, "None", run_id, path, n)], VERSION_COLS)
-        after = promote(known.unionByName(row), policy="newest", archive_existing=archive_existing)
+        every = known.unionByName(row)
+        metric = every.join(scores, "run_id").select("name", "version", "score") if policy == "best" else None
+        after = promote(every, policy=policy, archive_existing=archive_existing, metric=metric)
         changed = after.join(before, ["name", "version"], "left").where(~F.col("stage").eqNullSafe(F.col("was"))).drop("was")
         return changed.select(*row.columns)
 
@@ -111,14 +118,16 @@ def add_version(spark, versions: str, name: str, run_id: str, path: str, archive
 
 
 def register(spark, runlog: str, versions: str, name: str, metric: str = "val_auc",
-             archive_existing: bool = True) -> dict:
-    """Best run by ``metric`` -> next version of ``name`` -> Production."""
+             archive_existing: bool = True, policy: str = "newest") -> dict:
+    """Best run by ``metric`` -> next version of ``name`` -> Production.  With policy
+    ``best``, the version with the best ``metric`` goes there, the new one or another."""
     log = spark.read.parquet(runlog)
     wide = run_wide(log.withColumn("seq", F.lit(0).cast("bigint")), [metric])
     best = best_run(wide, metric, require=True).first()
     path = (log.where((F.col("run_id") == best["run_id"]) & (F.col("key") == "model_path"))
                .select("text").first()["text"])
-    v = add_version(spark, versions, name, best["run_id"], path, archive_existing)
+    scores = wide.select("run_id", F.col(metric).alias("score")) if policy == "best" else None
+    v = add_version(spark, versions, name, best["run_id"], path, archive_existing, policy, scores)
     return {"name": name, "version": v, "run_id": best["run_id"], "path": path}
 
 
@@ -179,8 +188,9 @@ def predict(spark, versions: str, name: str, src: str, out: str, schema=None) ->
     vt = read_versions(spark, versions)
     cur = current_production(vt).join(vt.select("name", "version", "path"), ["name", "version"])
     model = load_model(production_model_path(cur.withColumn("stage", F.lit("Production")), name))
-    write_csv(batch_score(model, _read(spark, src, schema)), out)
-    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(out).count()
+    seen = Observation()
+    write_csv(batch_score(model, _read(spark, src, schema)).observe(seen, F.count(F.lit(1)).alias("rows")), out)
+    return int(seen.get["rows"])
 
 
 def runs(spark, runlog: str, metric: str) -> DataFrame:
@@ -222,6 +232,8 @@ def main(argv=None) -> None:
         x.add_argument("--label", required=True)
         x.add_argument("--key", help="key column for splits and folds")
         x.add_argument("--clean", help="two-way category collapse col:keep:default")
+        x.add_argument("--all-null", default="error", choices=["error", "drop"], help="numeric columns without any value")
+        x.add_argument("--schema", help="types of a CSV's columns, as in SQL: 'id bigint, age double, ...'; without it a pass infers them")
         if cmd == "train":
             x.add_argument("--runlog", required=True)
     r = sub.add_parser("runs")
@@ -232,6 +244,7 @@ def main(argv=None) -> None:
     g.add_argument("--versions", required=True)
     g.add_argument("--name", required=True)
     g.add_argument("--metric", default="val_auc")
+    g.add_argument("--policy", default="newest", choices=["newest", "best"])
     g.add_argument("--keep-existing", action="store_true",
                    help="do not archive other Production versions")
     s_ = sub.add_parser("predict")
@@ -239,31 +252,34 @@ def main(argv=None) -> None:
     s_.add_argument("--name", required=True)
     s_.add_argument("--input", required=True)
     s_.add_argument("--out", required=True)
+    for x in (m, s_):
+        x.add_argument("--schema", help="types of a CSV's columns, as in SQL; without it a pass infers them")
     a = p.parse_args(argv)
     from tabwatch.session import get_spark
     spark = get_spark()
+    schema = T._parse_datatype_string(a.schema) if getattr(a, "schema", None) else None
     if a.cmd in ("preprocess", "train"):
         spec = FeatureSpec(num=tuple(c for c in a.num.split(",") if c),
                            cat=tuple(c for c in a.cat.split(",") if c), label=a.label, key=a.key)
         clean = tuple(a.clean.split(":")) if a.clean else None
         if a.cmd == "preprocess":
-            print(json.dumps({"rows": preprocess(spark, a.input, a.out, spec, clean=clean)}))
+            print(json.dumps({"rows": preprocess(spark, a.input, a.out, spec, schema, clean, a.all_null)}))
         else:
             if not spec.key:
                 raise SystemExit("train needs --key")
-            print(json.dumps(train(spark, a.input, spec, a.out, a.runlog, clean=clean)))
+            print(json.dumps(train(spark, a.input, spec, a.out, a.runlog, schema, clean, all_null=a.all_null)))
     elif a.cmd == "monitor":
         out = monitor(spark, a.baseline, a.new, a.features.split(","), a.train, a.bins, a.warn,
-                      a.alert, a.expected, a.report, a.runlog, levels=a.levels, formula=a.formula,
+                      a.alert, a.expected, a.report, a.runlog, schema, levels=a.levels, formula=a.formula,
                       synthesize=_adjustments(a.synthesize_key, a.synthesize))
         print(json.dumps(out, default=str))
     elif a.cmd == "runs":
         runs(spark, a.runlog, a.metric).show(truncate=False)
     elif a.cmd == "register":
         print(json.dumps(register(spark, a.runlog, a.versions, a.name, a.metric,
-                                  archive_existing=not a.keep_existing)))
+                                  archive_existing=not a.keep_existing, policy=a.policy)))
     elif a.cmd == "predict":
-        print(json.dumps({"rows": predict(spark, a.versions, a.name, a.input, a.out)}))
+        print(json.dumps({"rows": predict(spark, a.versions, a.name, a.input, a.out, schema)}))
 
 
 if __name__ == "__main__":

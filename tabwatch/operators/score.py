@@ -10,8 +10,24 @@ from pyspark.sql import functions as F
 from tabwatch.functions.search import quoted
 
 
-#: What a fitted classifier adds; an input column of such a name does not reach it.
-MODEL_COLUMNS = ("prediction", "probability", "rawPrediction")
+#: Settings of a stage that name what it reads and what it adds.
+_READ, _ADDED = ("inputCol", "inputCols", "featuresCol"), ("outputCol", "outputCols", "predictionCol", "probabilityCol", "rawPredictionCol")
+
+
+def _named(stage, settings: tuple[str, ...]) -> list[str]:
+    found = [stage.getOrDefault(s) for s in settings if stage.hasParam(s) and stage.isDefined(s)]
+    return [c for x in found for c in ([x] if isinstance(x, str) else x)]
+
+
+def added_columns(model: PipelineModel) -> list[str]:
+    """The columns that the pipeline's stages add.  An input column of such a name is
+    not the model's: no stage reads it before one adds it."""
+    added: list[str] = []
+    read: set[str] = set()
+    for stage in model.stages:
+        read.update(c for c in _named(stage, _READ) if c not in added)
+        added += _named(stage, _ADDED)
+    return [c for c in added if c not in read]
 
 
 def save_model(model: PipelineModel, path: str) -> str:
@@ -31,7 +47,7 @@ def batch_score(model: PipelineModel, df: DataFrame, out_col: str = "prediction"
     row = "_input"
     while row in df.columns:
         row = "_" + row
-    bare = df.withColumn(row, F.struct(*(F.col(quoted(c)).alias(c) for c in df.columns))).drop(*MODEL_COLUMNS)
+    bare = df.withColumn(row, F.struct(*(F.col(quoted(c)).alias(c) for c in df.columns))).drop(*added_columns(model))
     scored = model.transform(bare)
     kept = [F.col(f"{row}.{quoted(c)}").alias(c) for c in df.columns if c != out_col]
     return scored.select(*kept, F.col("prediction").cast("int").alias(out_col))
@@ -49,9 +65,10 @@ def production_model_path(versions: DataFrame, name: str, stage: str = "Producti
 def score_record(model: PipelineModel, spark, payload: dict, schema) -> int:
     """One record (a dict of raw fields) -> integer class.  Missing fields
     are null and take the pipeline's null handling (median fill, extra
-    category slot)."""
+    category slot).  A convenience: it runs a job per record; many records are a
+    table for batch_score()."""
     from pyspark.sql import types as T
     st = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     row = tuple(payload.get(f.name) for f in st.fields)
     df = spark.createDataFrame([row], st)
-    return int(model.transform(df).select("prediction").first()["prediction"])
+    return int(batch_score(model, df).first()["prediction"])

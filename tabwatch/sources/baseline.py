@@ -7,14 +7,26 @@ Current shape (one JSON object)::
 Legacy shape: ``{feature: {"bin_edges": [...]}}``.  Open ends are written as
 -Infinity / Infinity and read back with an explicit schema.  Any other shape
 is rejected.
+
+A baseline is saved as the next version beside the ones before
+(``version=<n>``), written apart and renamed when it is whole; the greatest
+number is the baseline.  A writer that fails, or a reader at the same time, finds
+the one before.  Plain JSON files, as other writers leave them, count as version 0.
 """
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabwatch.sources.changes import drop_folder, is_file, last_number, missing, rename_new
+
+BEFORE = ".before"
+
 EDGES_T = T.StructType([T.StructField("bin_edges", T.ArrayType(T.DoubleType()), True),
                         T.StructField("counts", T.ArrayType(T.LongType()), True)])
 BASELINE_SCHEMA = T.StructType([
@@ -43,7 +55,18 @@ def profile_document(open_edges: DataFrame, n_bins: int) -> DataFrame:
 
 
 def save_baseline(open_edges: DataFrame, path: str, n_bins: int) -> None:
-    profile_document(open_edges, n_bins).coalesce(1).write.mode("overwrite").json(path)
+    """Save the next version at ``path``.  A plain file there is moved to
+    ``<path>.before``, from which it is still read until the new one is in place."""
+    spark, path = open_edges.sparkSession, path.rstrip("/")
+    staged = f"{path}.staged-{uuid.uuid4().hex}"
+    try:
+        profile_document(open_edges, n_bins).coalesce(1).write.json(f"{staged}/version=0")
+        if is_file(spark, path):
+            rename_new(spark, path, path + BEFORE)
+        while not rename_new(spark, f"{staged}/version=0", f"{path}/version={last_number(spark, path, 'version') + 1}"):
+            pass                                       # another writer took the number
+    finally:
+        drop_folder(spark, staged)
 
 
 def save_legacy(open_edges: DataFrame, path: str) -> None:
@@ -53,8 +76,22 @@ def save_legacy(open_edges: DataFrame, path: str) -> None:
     doc.select(F.to_json(legacy).alias("value")).coalesce(1).write.mode("overwrite").text(path)
 
 
+def _read_text(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+
+
 def _whole_text(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path, wholetext=True).where(F.length(F.trim("value")) > 0)
+    """The text of the greatest version: plain files are of version 0."""
+    try:
+        text = _read_text(spark, path)
+    except AnalysisException as e:
+        if not (missing(e) and is_file(spark, path.rstrip("/") + BEFORE)):
+            raise
+        text = _read_text(spark, path.rstrip("/") + BEFORE)
+    number = F.coalesce(F.regexp_extract(F.col("_metadata.file_path"), r"/version=(\d+)/[^/]*$", 1).try_cast("bigint"), F.lit(0))
+    text = text.select("value", number.alias("version")).where(F.length(F.trim("value")) > 0)
+    last = text.agg(F.max("version")).first()[0]
+    return text.where(F.col("version") == F.lit(last)).select("value")
 
 
 def load_baseline(spark: SparkSession, path: str, n_bins: int | None = None) -> DataFrame:

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import errno
 import os
+import re
 import uuid
 from collections.abc import Callable
 from urllib.parse import unquote, urlparse
@@ -57,6 +58,7 @@ def rename_new(spark: SparkSession, source: str, target: str) -> bool:
     new = _hadoop(spark, target)[3]
     if fs.getScheme() == "file":
         try:
+            fs.mkdirs(new.getParent())
             os.rename(*(unquote(urlparse(p.toUri().toString()).path) for p in (old, new)))
             return True
         except OSError as e:
@@ -66,6 +68,7 @@ def rename_new(spark: SparkSession, source: str, target: str) -> bool:
     none = spark._sc._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
     none[0] = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").NONE
     try:
+        fs.mkdirs(new.getParent())
         jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(old, new, none)
         return True
     except Py4JJavaError as e:
@@ -74,6 +77,26 @@ def rename_new(spark: SparkSession, source: str, target: str) -> bool:
         raise
 
 
+def is_file(spark: SparkSession, path: str) -> bool:
+    """Whether there is a plain file of that name."""
+    _, _, fs, there = _hadoop(spark, path)
+    return bool(fs.exists(there)) and bool(fs.getFileStatus(there).isFile())
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    _, _, fs, there = _hadoop(spark, path)
+    fs.delete(there, True)
+
+
+def last_number(spark: SparkSession, path: str, name: str) -> int:
+    """The greatest n of the folders ``<name>=<n>`` in ``path``; 0 without any."""
+    _, _, fs, there = _hadoop(spark, path)
+    if not fs.exists(there):
+        return 0
+    found = [re.fullmatch(name + r"=(\d+)", f.getPath().getName()) for f in fs.listStatus(there)]
+    return max((int(m[1]) for m in found if m), default=0)
+
+
 def append_change(spark: SparkSession, path: str, schema: str, rows_after: Callable[[DataFrame, int], DataFrame]) -> int:
     """Append one change; its number is returned.
 
@@ -88,5 +111,4 @@ def append_change(spark: SparkSession, path: str, schema: str, rows_after: Calla
         rows_after(state, n).withColumn(CHANGE, F.lit(n).cast("bigint")).coalesce(1).write.parquet(staged)
         if rename_new(spark, staged, f"{path}/{CHANGE}={n}"):
             return n
-        _, _, fs, old = _hadoop(spark, staged)
-        fs.delete(old, True)
+        drop_folder(spark, staged)

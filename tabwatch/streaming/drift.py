@@ -26,6 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tabwatch.operators.drift import expected_grid, score_counts, psi_report
 from tabwatch.operators.histogram import binned
+from tabwatch.operators.score import batch_score
 from tabwatch.spec import PSI_EPS
 from tabwatch.session import local_frame
 
@@ -61,7 +62,9 @@ def write_batch(df: DataFrame, batch_id: int, sink: str) -> None:
 
 def stream_score(stream: DataFrame, model: PipelineModel, keep: list[str], sink: str,
                  checkpoint: str) -> StreamingQuery:
-    scored = model.transform(stream).select(*keep, F.col("prediction").cast("int").alias("prediction"))
+    """Score a stream as batch_score() does a table; ``keep`` names the input columns
+    that go to the sink, beside the model's ``prediction``."""
+    scored = batch_score(model, stream).select(*(c for c in keep if c != "prediction"), "prediction")
     return run_available(scored.writeStream.format("parquet").option("path", sink)
                          .option("checkpointLocation", checkpoint).outputMode("append"))
 

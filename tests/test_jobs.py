@@ -108,3 +108,29 @@ def test_unreadable_version_table_is_not_a_first_registration(spark, tmp_path):
     with pytest.raises(Exception):
         jobs.register(spark, log, str(versions), "m")
     assert (versions / "part.parquet").read_text() == "not parquet"
+
+
+def test_policy_best_and_declared_types(spark, tmp_path, capsys):
+    import json
+    from tabwatch.session import local_frame
+    log, versions = str(tmp_path / "log"), str(tmp_path / "versions")
+
+    def run(run_id, auc):
+        rows = [(run_id, "metric", "val_auc", auc, None, 1), (run_id, "artifact", "model_path", None, "/m/" + run_id, 1)]
+        local_frame(spark, rows, jobs.RUN_COLS).write.mode("append").parquet(log)
+
+    for run_id, auc in (("a", 0.7), ("b", 0.9)):
+        run(run_id, auc)
+        jobs.main(["register", "--runlog", log, "--versions", versions, "--name", "m", "--policy", "best"])
+    out = [json.loads(line) for line in capsys.readouterr().out.strip().splitlines() if line.startswith("{")]
+    assert [(o["version"], o["run_id"]) for o in out] == [("1", "a"), ("2", "b")]
+    assert jobs.add_version(spark, versions, "m", "a", "/m/a", policy="best", scores=spark.createDataFrame([("a", 0.7), ("b", 0.9)], "run_id string, score double")) == "3"
+    assert {r.version: r.stage for r in jobs.read_versions(spark, versions).collect()} == {"1": "Archived", "2": "Production", "3": "None"}
+
+    train = _csv(tmp_path / "t.csv", "id,age,none,y", [f"{i},{i % 40},,{i % 2}" for i in range(120)])
+    args = ["preprocess", "--input", train, "--num", "age,none", "--label", "y", "--schema", "id bigint, age double, none double, y int"]
+    with pytest.raises(Exception):
+        jobs.main([*args, "--out", str(tmp_path / "f")])
+    with pytest.warns(UserWarning, match="none"):
+        jobs.main([*args, "--out", str(tmp_path / "f"), "--all-null", "drop"])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["rows"] == 120

@@ -103,3 +103,90 @@ def test_csv_is_read_by_header_name(spark, tmp_path):
         read_csv(spark, str(p), T.StructType([T.StructField("sex", T.StringType())]))
     free = read_csv(spark, str(p))
     assert [f.dataType.simpleString() for f in free.schema] == ["double", "double", "double", "string"]
+
+
+def _file(folder, name, text):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text(text)
+    return str(folder / name)
+
+
+ROW = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())])
+
+
+def test_csv_without_breaks_is_read_in_splits(spark, tmp_path):
+    path = _file(tmp_path / "a b [1]", "x.csv", "id,text\n" + "".join(f'{i},"row ""{i}"" here, and more"\n' for i in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        df = read_csv(spark, path.replace("[", "\\[").replace("]", "\\]"), ROW)
+        assert df.rdd.getNumPartitions() > 3
+        assert df.count() == 20_000 and df.where("text = 'row \"77\" here, and more' and id = 77").count() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_only_files_with_breaks_are_read_whole(spark, tmp_path):
+    from tabwatch.sources.csv import files_with_breaks
+    folder = tmp_path / "é x"
+    _file(folder, "plain.csv", "id,text\n" + "".join(f"{i},t{i}\n" for i in range(1000)))
+    _file(folder, "broken.csv", 'id,text\n5000,"first\nsecond, ""third\n\nfourth"""\n5001,x\n')
+    _file(folder, "odd.csv", 'id,text\n6000,5" pipe\n')
+    _file(folder, "head.csv", "id,text\n")
+    path = str(folder)
+    whole, split = files_with_breaks(spark, path)
+    assert [w.rsplit("/", 1)[1] for w in whole] == ["broken.csv", "odd.csv"] and len(split) == 2
+    got = {r.id: r.text for r in read_csv(spark, path, ROW).collect()}
+    assert len(got) == 1003 and got[5000] == 'first\nsecond, "third\n\nfourth"' and got[5001] == "x" and got[6000] == '5" pipe' and got[999] == "t999"
+    assert {r.id for r in read_csv(spark, path).collect()} == set(got)
+
+
+def _old_and_new(spark):
+    new = spark.createDataFrame([("Age", 0, [float("-inf"), 1.0, float("inf")])], "feature string, pos int, bin_edges array<double>")
+    return _edges(spark), new
+
+
+@pytest.mark.parametrize("kind", ["version", "folder", "file"])
+def test_a_failed_writer_leaves_the_baseline(spark, tmp_path, kind):
+    """Whatever lies there before: a saved version, a folder of plain JSON, one plain file."""
+    old, new = _old_and_new(spark)
+    path = str(tmp_path / "bl")
+    if kind == "version":
+        save_baseline(old, path, 10)
+    else:
+        legacy = str(tmp_path / "made")
+        save_legacy(old, legacy)
+        text = "".join(r.value for r in spark.read.text(legacy).collect())
+        _file(tmp_path / "bl", "b.json", text) if kind == "folder" else (tmp_path / "bl").write_text(text)
+    failing = new.withColumn("pos", F.when(F.rand() < 2, F.raise_error(F.lit("lost"))).cast("int"))
+    with pytest.raises(Exception, match="lost"):
+        save_baseline(failing, path, 10)
+    assert load_baseline(spark, path, 10).count() == 2
+    assert [f for f in os.listdir(tmp_path) if "staged" in f] == []
+    save_baseline(new, path, 3)
+    rows = load_baseline(spark, path, 10).collect()
+    assert [(r.feature, r.n_bins) for r in rows] == [("Age", 3)]
+    save_baseline(old, path, 10)
+    assert load_baseline(spark, path).count() == 2
+
+
+def test_a_plain_file_is_read_until_the_new_baseline_is_there(spark, tmp_path, monkeypatch):
+    """A writer that is lost between moving the file and naming its own version."""
+    from tabwatch.sources import baseline
+    old, new = _old_and_new(spark)
+    save_legacy(old, str(tmp_path / "made"))
+    (tmp_path / "bl").write_text("".join(r.value for r in spark.read.text(str(tmp_path / "made")).collect()))
+    plain = baseline.rename_new
+
+    def lost(spark, source, target):
+        if "version=" in target:
+            raise RuntimeError("lost")
+        return plain(spark, source, target)
+
+    monkeypatch.setattr(baseline, "rename_new", lost)
+    with pytest.raises(RuntimeError):
+        save_baseline(new, str(tmp_path / "bl"), 3)
+    monkeypatch.undo()
+    assert load_baseline(spark, str(tmp_path / "bl"), 10).count() == 2
+    save_baseline(new, str(tmp_path / "bl"), 3)
+    assert load_baseline(spark, str(tmp_path / "bl")).count() == 1
