@@ -3,9 +3,12 @@
 Each task packs the documents of its own partition as they come.  A document
 gives its full windows first; what is left goes into the open window whose
 filling makes the sum of squared counts of partially filled windows, by level,
-least.  The level array is all that a placement looks at.  When the partition
-ends, what the open windows hold is strung together into full windows; the last
-rest is cut into windows whose lengths are powers of two, which need no padding.
+least.  The level array is all that a placement looks at.  Once ``most_open``
+windows are open, none is opened beside them: the choice is by the same sum, and an item
+that is longer than its window's room fills it and goes on in a window of its
+own.  So when the partition ends little is open; that is strung together into full
+windows, and the last rest is cut into windows whose lengths are powers of two,
+which need no padding.
 """
 
 from __future__ import annotations
@@ -24,13 +27,15 @@ from tabwatch.llm.common import ship
 
 WINDOW = 2048
 END_ID = 1
+#: Windows of a task that are open at a time.
+OPEN = 32
 
 
 class LevelPacker:
     """Windows of one task.  Items are (document, start, bytes of ids, document's tokens)."""
 
-    def __init__(self, window: int, first_sequence: int):
-        self.window, self.next = window, first_sequence
+    def __init__(self, window: int, first_sequence: int, most_open: int | None = None):
+        self.window, self.next, self.most_open, self.n_open = window, first_sequence, most_open, 0
         self.counts = np.zeros(window + 1, dtype=np.int64)      # partially filled windows by level
         self.open: list[list[list]] = [[] for _ in range(window + 1)]
         self.out: list[tuple] = []
@@ -45,22 +50,43 @@ class LevelPacker:
 
     def place(self, item: tuple) -> None:
         """One item shorter than a window into the best level."""
-        n, counts, window = len(item[2]) // 4, self.counts, self.window
+        full = self.most_open is not None and self.n_open >= self.most_open
+        level = self._best_filled(len(item[2]) // 4) if full else self._best(len(item[2]) // 4)
+        items = self.open[level].pop() if level else []
+        if level:
+            self.counts[level] -= 1
+            self.n_open -= 1
+        doc, start, ids, total = item
+        room = self.window - level
+        items.append((doc, start, ids[:4 * room], total))
+        filled = level + len(ids) // 4
+        if filled >= self.window:
+            self._close(items)
+            items, filled = [(doc, start + room, ids[4 * room:], total)], filled - self.window
+        if filled:
+            self.open[filled].append(items)
+            self.counts[filled] += 1
+            self.n_open += 1
+
+    def _best(self, n: int) -> int:
+        """The level to which n more tokens are added whole; 0 opens a window."""
+        counts, window = self.counts, self.window
         # what the sum of squares gains when a window of level g gets level g + n; g = 0 opens one
         gain = 2 * (counts[n:window + 1] - counts[:window + 1 - n]) + 2
         gain[0] = 2 * counts[n] + 1
         gain[-1] = 1 - 2 * counts[window - n]
         gain[1:][counts[1:window + 1 - n] == 0] = np.iinfo(np.int64).max
-        level = len(gain) - 1 - int(np.argmin(gain[::-1]))       # of equals, the fullest
-        items = self.open[level].pop() if level else []
-        if level:
-            counts[level] -= 1
-        items.append(item)
-        if level + n == window:
-            self._close(items)
-        else:
-            self.open[level + n].append(items)
-            counts[level + n] += 1
+        return len(gain) - 1 - int(np.argmin(gain[::-1]))       # of equals, the fullest
+
+    def _best_filled(self, n: int) -> int:
+        """The open level to which n more tokens are added, cut where its window is full."""
+        counts, window = self.counts, self.window
+        levels = np.flatnonzero(counts)
+        after = (levels + n) % window                           # 0: exactly full
+        gain = np.where(after == 0, 1 - 2 * counts[levels], np.where(after == levels, 0, 2 * (counts[after] - counts[levels]) + 2))
+        best = np.flatnonzero(gain == gain.min())
+        whole = best[levels[best] + n <= window]                # of equals one that cuts nothing, then the fullest
+        return int(levels[(whole if len(whole) else best)[-1]])
 
     def add(self, doc, ids: bytes) -> None:
         total, width = len(ids) // 4, 4 * self.window
@@ -91,7 +117,7 @@ class LevelPacker:
 
 
 def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
-           end_id: int = END_ID, files: tuple[str, str] | None = None) -> DataFrame:
+           end_id: int = END_ID, files: tuple[str, str] | None = None, most_open: int = OPEN) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Each document's ids are followed by ``end_id``; a null or empty text is that
@@ -107,7 +133,7 @@ def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wind
               "sequence_id long, offset long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, packer, kind = encoder(*files), LevelPacker(window, TaskContext.get().partitionId() << 33), None
+        encode, packer, kind = encoder(*files), LevelPacker(window, TaskContext.get().partitionId() << 33, most_open), None
 
         def batch_of(found: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*found)) if found else [[]] * 7

@@ -117,13 +117,17 @@ def _secret_kind(k: int, kind: str, pattern: str, group: int, least: int) -> str
 
 
 _SECRETS = rf"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, chr(1)) AS owner, coalesce(text, '') AS t FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, chr(1)) AS owner, concat_ws('/', source, lang) AS repo, coalesce(text, '') AS t FROM documents),
 found AS ({" UNION ALL ".join(f"({_secret_kind(k, *x)})" for k, x in enumerate((*secret_ownership.BASE_KINDS, secret_ownership.OPAQUE)))}),
 looked AS (SELECT *, len(list_distinct(string_split(value, ''))) >= {secret_ownership.LIVE_VARIETY} AND regexp_matches(value, '[0-9]')
              AND regexp_matches(value, '[A-Za-z]') AS random FROM found),
-cand AS (SELECT c.*, owner FROM looked c JOIN d USING (r) WHERE kind <> 'opaque' OR random),
-owned AS (SELECT value, count(DISTINCT owner) AS n_owners FROM cand GROUP BY value),
-judged AS (SELECT *, n_owners >= {secret_ownership.EXAMPLE_OWNERS} AS copied, random AND n_owners = 1 AS live FROM cand JOIN owned USING (value)),
+cand AS (SELECT c.*, owner, repo, md5(t) AS same FROM looked c JOIN d USING (r) WHERE kind <> 'opaque' OR random),
+owned AS (SELECT value, count(DISTINCT owner) AS n_owners, count(DISTINCT (owner, repo)) AS n_repos, count(DISTINCT same) AS n_texts FROM cand GROUP BY value),
+firsts AS (SELECT value, same, min(owner) AS owner FROM cand GROUP BY value, same),
+holders AS (SELECT value, count(DISTINCT owner) AS n_holders FROM firsts GROUP BY value),
+counted AS (SELECT *, n_owners >= {secret_ownership.EXAMPLE_OWNERS} OR n_repos >= {secret_ownership.EXAMPLE_REPOS} OR n_texts >= {secret_ownership.EXAMPLE_TEXTS} AS copied
+            FROM cand JOIN owned USING (value) JOIN holders USING (value)),
+judged AS (SELECT *, random AND n_holders = 1 AND NOT copied AS live FROM counted),
 per AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
           string_agg(kind || ':' || (e - n) || ':' || e, ',' ORDER BY e - n, k) FILTER (kind <> 'opaque') AS base,
           string_agg(kind || ':' || (e - n) || ':' || e, ',' ORDER BY e - n, k) AS spans,

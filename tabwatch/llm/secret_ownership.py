@@ -3,10 +3,11 @@
 Patterns find candidate values.  Each value's hash is counted over the whole
 corpus by distinct repositories, owners and texts: a value that several owners,
 many repositories or many different texts hold is a copied example; one that stays
-with its owner, in few of its repositories and texts, and looks random is live.
-Counts go through three aggregations (owner and repository, owner, value) and two
-of texts, each combined before its shuffle, so a value in a third of all files is
-a row per task and text.
+with its holder, in few repositories and texts, and looks random is live.  Holders
+are owners of different texts: a page that two sources mirror has one.
+Counts go through aggregations by text, repository, owner and value, each
+combined before its shuffle, so a value in a third of all files is a row per
+task, text and repository.
 DataFrame functions only.
 """
 
@@ -72,14 +73,18 @@ def _looks_live(value: Column) -> Column:
 
 
 def ownership(found: DataFrame) -> DataFrame:
-    """secret, n_owners, n_repos, n_texts: how many distinct owners, repositories of
-    owners and texts hold each value.  A null owner or repository counts as one,
-    and so do all copies of a text."""
-    held = found.groupBy("secret", "owner", "repo").agg(F.count(F.lit(1)).alias("n"))
-    by_owner = held.groupBy("secret", "owner").agg(F.count(F.lit(1)).alias("repos"))
-    by_secret = by_owner.groupBy("secret").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("repos").alias("n_repos"))
-    texts = found.groupBy("secret", "same").agg(F.count(F.lit(1)).alias("n"))
-    return by_secret.join(texts.groupBy("secret").agg(F.count(F.lit(1)).alias("n_texts")), "secret")
+    """secret, n_owners, n_repos, n_texts, n_holders: how many distinct owners,
+    repositories of owners and texts hold each value, and how many owners its
+    texts have if each text belongs to the first of its owners.  A null owner or
+    repository counts as one, and comes first."""
+    one = F.count(F.lit(1))
+    held = found.groupBy("secret", "same", "owner", "repo").agg(one.alias("n"))
+    by_repo = held.groupBy("secret", "owner", "repo").agg(one.alias("n"))
+    by_owner = by_repo.groupBy("secret", "owner").agg(one.alias("repos"))
+    owners = by_owner.groupBy("secret").agg(one.alias("n_owners"), F.sum("repos").alias("n_repos"))
+    by_text = held.groupBy("secret", "same").agg(F.min(F.struct("owner")).alias("first"))
+    by_first = by_text.groupBy("secret", F.col("first.owner").alias("owner")).agg(one.alias("texts"))
+    return owners.join(by_first.groupBy("secret").agg(one.alias("n_holders"), F.sum("texts").alias("n_texts")), "secret")
 
 
 def _spans(entries: Column) -> Column:
@@ -92,19 +97,19 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per row of ``docs``: doc_id, n_assign, n_access, n_hex,
     base_sha256, spans, n_live, n_copied.
 
-    Base matches all stay.  The method adds the opaque runs that only one owner's
-    files hold and that are no copied examples, and counts the document's live and
-    copied values.  A value of two owners is neither.
+    Base matches all stay.  The method adds the opaque runs that only one holder's
+    files have and that are no copied examples, and counts the document's live and
+    copied values.  A value of two holders is neither.
     Without ``repo`` and ``owner``, a source is an owner and its documents of a
     language are a repository.  Null text is empty; repeated rows are rows of
     their own; an empty table gives an empty result."""
     owner = F.col("source") if owner is None else owner
     repo = F.concat_ws("/", F.col("source"), F.col("lang")) if repo is None else repo
     rows, found = candidates(docs, id_col, text_col, repo, owner)
-    owned = stored(ownership(found), "secret-owners")       # a plain table: its join can split a hot value
+    owned = stored(ownership(found.select("secret", "same", "owner", "repo")), "secret-owners")       # a plain table: its join can split a hot value
     judged = found.join(owned, "secret").withColumn(
         "copied", (F.col("n_owners") >= EXAMPLE_OWNERS) | (F.col("n_repos") >= EXAMPLE_REPOS) | (F.col("n_texts") >= EXAMPLE_TEXTS))
-    judged = judged.withColumn("live", F.col("random") & (F.col("n_owners") == 1) & ~F.col("copied"))
+    judged = judged.withColumn("live", F.col("random") & (F.col("n_holders") == 1) & ~F.col("copied"))
     base = F.col("kind") != OPAQUE[0]
     entry = F.struct("start", "k", "end", "kind")
     count = lambda cond: F.count(F.when(cond, F.lit(1)))

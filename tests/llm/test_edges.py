@@ -80,11 +80,36 @@ def test_owned_and_copied_secrets(spark):
     docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string")
     out = {r.doc_id: r for r in secret_ownership.scan_secrets(docs).collect()}
     assert all(out[i].n_copied == 1 and out[i].n_live == 0 and "opaque" not in out[i].spans for i in range(8))
-    assert all(out[i].n_copied == 0 and out[i].n_live == 0 for i in (8, 9, 10, 11))      # two owners: neither
+    assert all(out[i].n_copied == 0 and out[i].n_live == 2 for i in (8, 9, 10)) and out[11].spans == ""      # one text, mirrored: one holder
+    two = docs.where("doc_id in (8, 9)").union(spark.createDataFrame([(12, "see " + own, "en", "s1")], docs.schema))
+    assert all(r.n_copied == 0 and r.n_live == 0 for r in secret_ownership.scan_secrets(two).collect())      # two holders: neither
     alone = {r.doc_id: r for r in secret_ownership.scan_secrets(docs.where("doc_id in (8, 9)")).collect()}
     assert all(r.n_live == 2 and "opaque:8:" in r.spans for r in alone.values())
 
 
+def test_secret_rules_and_their_sql(spark, tmp_path):
+    """Values around every limit: owners, repositories, texts, holders."""
+    import duckdb
+    from tabwatch.llm import queries
+    value = lambda i: f"Ab{i:02d}Cd2Ef3Gh4Ij5Kl6Mn7Op8"
+    data, add = [], lambda *row: data.append((len(data), *row))
+    for n in range(1, 13):
+        for i in range(n):
+            add(f"text {i} token = {value(n)}", "en", "one")                                              # n texts of one owner
+            add(f"same token = {value(20 + n)}", "en", f"s{i}")                                           # a text of n owners
+            add(f"same token = {value(40 + n)}", f"l{i}", "one")                                          # a text of n repositories
+            add(f"own {i % 2} token = {value(60 + n)}", None, [None, "x", "y"][i % 3])                    # nulls, two texts
+    add(None, None, None)
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string, source string").repartition(3)
+    docs.write.parquet(str(tmp_path / "d"))
+    with duckdb.connect() as c:
+        c.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/d/*.parquet')")
+        want = c.sql(queries.ORACLES["op3_secret_ownership"])
+        columns, want = want.columns, Counter(want.fetchall())
+    assert rows(secret_ownership.scan_secrets(docs), *columns) == want
+    assert len({w[-2:] for w in want}) >= 3
+
+
 def test_mix(hard):
     out = fair_mix.mix_shares(hard)
     size, total = Counter(), Counter()
@@ -324,6 +349,48 @@ def test_sum_of_squares_places_by_least_gain():
         assert int((packer.counts[1:16] ** 2).sum()) == best
 
 
+@pytest.mark.parametrize("most", [1, 8, 32])
+def test_open_windows_stay_under_their_bound(most):
+    """At the bound an item goes where the squares grow least, and is cut rather than opening a window."""
+    rng = np.random.default_rng(most)
+    packer, tokens = packing.LevelPacker(64, 0, most), 0
+    for doc in range(600):
+        n = int(rng.integers(1, 64))
+        before, squares = packer.counts.copy(), int((packer.counts[1:64] ** 2).sum())
+        packer.place((doc, 0, bytes(4 * n), n))
+        tokens += n
+        assert packer.counts.sum() <= most
+        if before.sum() >= most:
+            best = []
+            for g in np.flatnonzero(before):
+                after = before.copy()
+                after[g] -= 1
+                if g + n != 64:
+                    after[(g + n) % 64] += 1
+                best.append(int((after[1:64] ** 2).sum()))
+            assert int((packer.counts[1:64] ** 2).sum()) == min(best)
+    closed = sum(p[2] for p in packer.out)
+    assert closed >= tokens - most * 64 and all(s == 64 for s in Counter(p[5] for p in packer.out for _ in range(p[2])).values())
+    packer.finish()
+    assert sum(p[2] for p in packer.out) == tokens
+
+
+def test_levels_place_most_tokens_of_a_small_partition(documents):
+    """320 documents a task: most of what is left beside full windows is in windows closed by placement."""
+    encode = bpe.encoder(*bpe.default_files())
+    shares = []
+    for at in range(0, 960, 320):
+        packer = packing.LevelPacker(packing.WINDOW, 0, packing.OPEN)
+        rest = 0
+        for doc, text, *_ in documents[at:at + 320]:
+            ids = encode.ids(text) + bytes(4)
+            rest += len(ids) // 4 % packing.WINDOW
+            packer.add(doc, ids)
+        left = int((packer.counts * np.arange(packing.WINDOW + 1)).sum())
+        shares.append(1 - left / rest)
+    assert min(shares) >= 0.7, shares
+
+
 def test_token_files(spark, hard, tmp_path):
     tokenizer = brute.bpe()
     path = str(tmp_path / "tokens")
