@@ -161,17 +161,25 @@ def _deal(nodes: list[int], sets: list[np.ndarray], fragments: int, heavy: np.nd
                                      names=["f", "nodes", "sizes", "lengths", "ids"])
 
 
-_SHARED = "node long, n int, f long, held long, ids array<long>, counts array<int>"
+_PACKETS = "b long, f long, nodes binary, sizes binary, lengths binary, ids binary, counts binary"
+_SETS = "node long, n long, held long, parts array<struct<part:int,ids:array<long>,counts:array<int>>>"
 
 
-def _shared(heavy: np.ndarray, heavy_counts: np.ndarray):
-    """Of a fragment's segments the n-grams that two classes or more have.  ``heavy``
-    are the sorted heavy n-grams."""
+def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
+
+
+def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The positions of several ranges, one range after the other."""
+    return np.arange(int(lengths.sum())) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+
+
+def _shared(heavy: np.ndarray, heavy_counts: np.ndarray, buckets: int):
+    """Of a fragment's segments the n-grams that two classes or more have, packed
+    by bucket of their classes.  ``heavy`` are the sorted heavy n-grams."""
     def run(table: pa.Table) -> pa.Table:
-        joined = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
         fragment = table.column("f")[0].as_py()
-        node, size, length = joined("nodes", np.int64), joined("sizes", np.int32), joined("lengths", np.int32)
-        ids = joined("ids", np.uint64)
+        node, size, length, ids = (_joined(table, c, k) for c, k in (("nodes", np.int64), ("sizes", np.int32), ("lengths", np.int32), ("ids", np.uint64)))
         first = np.zeros(len(node), dtype=bool)             # of a class that several tasks sent, one segment
         first[np.unique(node, return_index=True)[1]] = True
         ids = ids[np.repeat(first, length)]
@@ -185,13 +193,47 @@ def _shared(heavy: np.ndarray, heavy_counts: np.ndarray):
             counts = np.empty(len(ids), dtype=np.int32)
             counts[order] = np.repeat(runs, runs)
             keep = counts > 1
-        doc = np.repeat(np.arange(len(node)), length)[keep]
-        held = np.bincount(doc, minlength=len(node))
-        some = held > 0
-        offsets = pa.array(np.concatenate([[0], np.cumsum(held[some])]), pa.int32())
-        arrays = [pa.array(node[some]), pa.array(size[some]), pa.array(np.full(int(some.sum()), fragment)), pa.array(held[some].astype(np.int64)),
-                  pa.ListArray.from_arrays(offsets, pa.array(ids[keep].view(np.int64))), pa.ListArray.from_arrays(offsets, pa.array(counts[keep].astype(np.int32)))]
-        return pa.Table.from_arrays(arrays, names=["node", "n", "f", "held", "ids", "counts"])
+        held = np.bincount(np.repeat(np.arange(len(node)), length)[keep], minlength=len(node)).astype(np.int32)
+        ids, counts, starts = ids[keep], counts[keep], np.cumsum(held) - held
+        bucket = np.mod(node, buckets)
+        order = np.argsort(bucket, kind="stable")
+        order = order[held[order] > 0]
+        cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        out = [[], [], [], [], [], [], []]
+        for lo, hi in zip(cuts, [*cuts[1:], len(order)]):
+            these = order[lo:hi]
+            at = _ranges(starts[these], held[these])
+            for column, value in zip(out, (int(bucket[these[0]]), fragment, *(x.tobytes() for x in (node[these], size[these], held[these], ids[at], counts[at])))):
+                column.append(value)
+        return pa.Table.from_arrays([*(pa.array(x, pa.int64()) for x in out[:2]), *(pa.array(x, pa.binary()) for x in out[2:])],
+                                    names=["b", "f", "nodes", "sizes", "lengths", "ids", "counts"])
+    return run
+
+
+def _gathered(percent: int):
+    """The sets of a bucket that may have a partner, each as PARTS + 1 parts at most:
+    fragments are dealt to parts, the heavy n-grams are one of their own."""
+    def run(table: pa.Table) -> pa.Table:
+        node, size, length, ids, counts = (_joined(table, c, k) for c, k in (("nodes", np.int64), ("sizes", np.int32), ("lengths", np.int32), ("ids", np.int64), ("counts", np.int32)))
+        fragment = np.repeat(table.column("f").to_numpy(), [len(x) // 8 for x in table.column("nodes").to_pylist()])
+        part = np.where(fragment < 0, PARTS, fragment % PARTS)
+        order = np.lexsort((part, node))
+        at = _ranges((np.cumsum(length) - length)[order], length[order])
+        node, size, part, length, ids, counts = node[order], size[order], part[order], length[order].astype(np.int64), ids[at], counts[at]
+        sets = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+        held = np.add.reduceat(length, sets)
+        able = held >= (percent * size[sets].astype(np.int64) + 99) // 100
+        of = np.repeat(able, np.diff(sets, append=len(node)))                   # the segments of these sets
+        ids, counts = ids[np.repeat(of, length)], counts[np.repeat(of, length)]
+        node_of, part, length = node[of], part[of], length[of]
+        first = np.flatnonzero(np.concatenate([[True], (node_of[1:] != node_of[:-1]) | (part[1:] != part[:-1])])[:len(part)])
+        ends = pa.array(np.append((np.cumsum(length) - length)[first], length.sum()), pa.int32())
+        entries = pa.StructArray.from_arrays([pa.array(part[first].astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(ids)),
+                                              pa.ListArray.from_arrays(ends, pa.array(counts))], names=["part", "ids", "counts"])
+        chosen = node[sets][able]
+        offsets = pa.array(np.append(np.flatnonzero(np.concatenate([[True], node_of[first][1:] != node_of[first][:-1]])[:len(first)]), len(first)), pa.int32())
+        return pa.Table.from_arrays([pa.array(chosen), pa.array(size[sets][able].astype(np.int64)), pa.array(held[able]), pa.ListArray.from_arrays(offsets, entries)],
+                                    names=["node", "n", "held", "parts"])
     return run
 
 
@@ -268,22 +310,14 @@ def _partners(docs: DataFrame, digests: DataFrame, text_col: str, n: int, percen
         return _segments(n, fragments, sent.value[0])(batches)
 
     def shared(table):
-        return _shared(*sent.value)(table)
+        return _shared(*sent.value, fragments)(table)
 
     segmented = docs.select(F.col(text_col)).mapInArrow(segments, "f long, nodes binary, sizes binary, lengths binary, ids binary")
-    held = segmented.groupBy("f").applyInArrow(shared, _SHARED)
-    sets = held.groupBy("node").agg(F.first("n").alias("n"), F.sum("held").alias("held"), F.collect_list(F.struct("f", "ids", "counts")).alias("parts"))
-    able = stored(sets.where(F.col("held") >= least_overlap(F.col("n"), percent)), "ngram-sets")
-    index = stored(able.select("node", F.col("n").cast("long").alias("n"), "held", "parts").mapInArrow(
-        _prefixes(percent), "gram long, node long, n long, held long, rest long, sketch array<long>, prefix array<long>"), "ngram-index")
-    # of every set PARTS + 1 rows, at most, whatever the number of fragments; the heavy
-    # n-grams are a part of their own, whatever fragment carried them
-    def part_ids(p: int) -> Column:
-        mine = F.filter("parts", lambda x: F.when(x["f"] < 0, F.lit(PARTS)).otherwise(F.pmod(x["f"], F.lit(PARTS))) == p)
-        return F.struct(F.lit(p).alias("part"), F.flatten(F.transform(mine, lambda x: x["ids"])).alias("ids"))
-
-    dealt = F.array(*map(part_ids, range(PARTS + 1)))
-    parts = able.select("node", F.explode(dealt).alias("x")).select("node", "x.part", "x.ids").where(F.size("ids") > 0)
+    packets = segmented.groupBy("f").applyInArrow(shared, _PACKETS)
+    able = stored(packets.groupBy("b").applyInArrow(_gathered(percent), _SETS), "ngram-sets")
+    index = stored(able.mapInArrow(_prefixes(percent), "gram long, node long, n long, held long, rest long, sketch array<long>, prefix array<long>"), "ngram-index")
+    # of every set PARTS + 1 rows, at most, whatever the number of fragments
+    parts = able.select("node", F.explode("parts").alias("x")).select("node", "x.part", "x.ids")
     return index, stored(parts, "ngram-parts")
 
 

@@ -212,11 +212,7 @@ def test_similar_over_thousands_of_fragments(spark, monkeypatch):
     data = list(enumerate(texts + [t + " and a tail" for t in texts[::3]] + ["x " + t for t in texts[::5]]))
     monkeypatch.setattr(ngram_join, "FRAGMENT", 20)
     docs = spark.createDataFrame(data, "doc_id long, text string")
-    seen = []
-    explode = ngram_join.F.explode
-    monkeypatch.setattr(ngram_join.F, "explode", lambda c: seen.append(c) or explode(c))
     assert rows(ngram_join.similar_documents(docs), "doc_id", "n_shingles", "component_id") == Counter(brute.similar(data))
-    assert seen
 
 
 def test_any_fragment_number():
@@ -228,9 +224,40 @@ def test_any_fragment_number():
     for f in (40_000, 2**40):
         table = pa.table({"f": pa.array([f], pa.int64()), "nodes": column(np.int64, [1, 2, 3]), "sizes": column(np.int32, [3, 2, 1]),
                           "lengths": column(np.int32, [3, 2, 1]), "ids": column(np.uint64, np.concatenate(grams))})
-        out = ngram_join._shared(nothing, nothing.astype(np.int32))(table).to_pydict()
-        assert out["node"] == [1, 2, 3] and out["held"] == [2, 1, 1] and out["counts"] == [[2, 2], [2], [2]]
-        assert [sorted(x % 2**64 for x in ids) for ids in out["ids"]] == [[2**63 + 7, 2**64 - 1], [2**63 + 7], [2**64 - 1]]
+        packets = ngram_join._shared(nothing, nothing.astype(np.int32), 2)(table)
+        assert packets.column("b").to_pylist() == [0, 1] and packets.column("f").to_pylist() == [f, f]
+        sets = {r["node"]: r for r in ngram_join._gathered(50)(packets).to_pylist()}
+        assert {k: (r["n"], r["held"]) for k, r in sets.items()} == {1: (3, 2), 2: (2, 1), 3: (1, 1)}
+        assert {k: [sorted(x % 2**64 for x in p["ids"]) for p in r["parts"]] for k, r in sets.items()} == {1: [[2**63 + 7, 2**64 - 1]], 2: [[2**63 + 7]], 3: [[2**64 - 1]]}
+        assert all(p["counts"] == [2] * len(p["ids"]) and p["part"] == f % ngram_join.PARTS for r in sets.values() for p in r["parts"])
+        assert ngram_join._gathered(100)(packets).column("node").to_pylist() == [3]
+
+
+def test_parts_of_a_set_over_many_fragments():
+    """Segments of many fragments and the heavy part come together, five parts at most."""
+    import pyarrow as pa
+    heavy = np.array([3, 2**63 + 1], dtype=np.uint64)
+    rng = np.random.default_rng(7)
+    want, tables = {node: set() for node in (-5, 8, 11)}, []
+    for f in [*range(30), -2]:
+        rows, ids = [], []
+        for node in want:
+            grams = heavy if f < 0 else np.unique(rng.integers(f * 1000, f * 1000 + 9, 6).astype(np.uint64))
+            rows.append((node, len(grams)))
+            ids.append(grams)
+            want[node] |= {int(g) for g in grams}
+        packed = lambda kind, values: pa.array([np.array(values, dtype=kind).tobytes()], pa.binary())
+        table = pa.table({"f": pa.array([f], pa.int64()), "nodes": packed(np.int64, [r[0] for r in rows]), "sizes": packed(np.int32, [200] * 3),
+                          "lengths": packed(np.int32, [r[1] for r in rows]), "ids": packed(np.uint64, np.concatenate(ids))})
+        tables.append(ngram_join._shared(heavy, np.array([7, 9], dtype=np.int32), 1)(table))
+    seen = Counter(g for grams in want.values() for g in grams)
+    got = {r["node"]: r for r in ngram_join._gathered(1)(pa.concat_tables(tables)).to_pylist()}
+    for node, grams in want.items():
+        parts = got[node]["parts"]
+        assert sorted(p["part"] for p in parts) == [0, 1, 2, 3, 4]
+        assert sorted(g % 2**64 for p in parts for g in p["ids"]) == sorted(g for g in grams if seen[g] > 1)
+        assert got[node]["held"] == sum(len(p["ids"]) for p in parts)
+        assert all(c == (7 if g == 3 else 9 if p["part"] == 4 else seen[g]) for p in parts for g, c in zip(p["ids"], p["counts"]))
 
 
 @pytest.mark.parametrize("percent", [50, 80, 85, 99])
