@@ -173,7 +173,10 @@ def disclosures(docs: DataFrame, scanned: DataFrame, text_col: str = "text", gen
     Pairs are of all terms of a text with all of its entities.  Since ``both`` is
     at most df(entity) and at most the term's documents with entities, a pair with
     min(df(entity), those) / df(term) < (df(entity) / N) ** (1 - generalise) cannot
-    reach the limit: it is left out before it is counted, and loses nothing."""
+    reach the limit: it is left out before it is counted, and loses nothing.  Nor
+    does it to begin with all texts of an entity but the one of most terms: a pair
+    that counts is in another text as well.  In that text, often a directory of
+    many names and numbers, only such pairs are looked up."""
     n = scanned.count()
     mentioned = scanned.where(F.size("entities") > 0)
     per_text = mentioned.select(F.explode("entities").alias("entity"), "same").groupBy("entity", "same").agg(F.count(F.lit(1)).alias("n"))
@@ -195,9 +198,17 @@ def disclosures(docs: DataFrame, scanned: DataFrame, text_col: str = "text", gen
     # no term can do better than with the entity that asks least of it
     most = held.agg(F.max("df_entity")).first()[0] or 1
     some = F.col("df_term") <= F.lit(float(most) ** generalise * float(n) ** (1 - generalise) * (1 + 1e-9))
-    pairs = with_terms.join(terms.where(some), "term").join(held, "same").where(can)
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("both"), F.count(F.lit(1)).alias("texts"),
-                                                F.first("df_term").alias("df_term"), F.first("df_entity").alias("df_entity"))
+    terms = terms.where(some)
+    size = with_terms.groupBy("same").agg(F.count(F.lit(1)).alias("size"))
+    sized = stored(held.join(size, "same"), "pii-held-sizes")
+    largest = stored(sized.groupBy("entity").agg(F.max_by("same", F.struct("size", "same")).alias("same")), "pii-largest")
+    others = sized.drop("size").join(largest, ["entity", "same"], "left_anti")
+    pairs = with_terms.join(terms, "term").join(others, "same").where(can)
+    pairs = stored(pairs.groupBy("entity", "term").agg(F.sum("n").alias("both"), F.count(F.lit(1)).alias("texts"),
+                                                       F.first("df_term").alias("df_term"), F.first("df_entity").alias("df_entity")), "pii-pairs")
+    here = pairs.select("entity", "term").join(largest, "entity").join(with_terms, ["same", "term"]).select("entity", "term", F.col("n").alias("more"))
+    pairs = pairs.join(here, ["entity", "term"], "left").withColumns(
+        {"both": F.col("both") + F.coalesce("more", F.lit(0)), "texts": F.col("texts") + F.when(F.col("more").isNull(), 0).otherwise(1)})
     telling = pairs.where(F.col("texts") >= TEXTS).select("entity", "term", share(F.col("both")).alias("share")).where(F.col("share") >= generalise)
     telling = stored(telling, "pii-terms")
     return with_terms.select("same", "term").join(telling, "term").join(held.select("same", "entity"), ["same", "entity"]), texts
@@ -269,9 +280,10 @@ def redact(text: str | None, spans: str) -> str | None:
 
 
 def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the spans of personal_data() taken out of the text.
+    """``docs`` with the spans of personal_data() taken out of the text; a null text
+    stays null, an empty one empty, and an empty table empty.
 
-    Spans are joined by id and text hash: rows that agree in both have the same."""
+    Spans are joined by id and text hash: rows that agree in both have the same, null ids too."""
     ship(docs.sparkSession)
     keyed = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h")).alias("doc_id"), F.col(text_col).alias("text"))
     spans = personal_data(keyed).where("spans <> ''").select("doc_id", "spans").distinct()

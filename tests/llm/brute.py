@@ -272,3 +272,37 @@ def audit(rows, least=10, top=10):
             for part, found in (("pair", sorted(pairs)), ("term", sorted(marks)[:top])):
                 out += [(lang, s, part, item, -v, i + 1) for i, (v, _, item) in enumerate(found)]
     return out
+
+
+def disclosed(texts, generalise=0.5, remove=0.9):
+    """Spans of each text, patterns' and method's, by counting every pair of term and entity."""
+    import math
+
+    from tabwatch.llm import pii_disclosure as P
+    texts = [t or "" for t in texts]
+    bases = [P.base_spans(t) for t in texts]
+    term = re.compile(r"[^\W\d_]+")
+    digits = lambda t: re.sub("[^0-9]", "", t)
+    entities = [{(k, t[s:e].lower() if k < 2 else digits(t[s:e])) for s, k, e in b} for t, b in zip(texts, bases)]
+    free = [[m for m in term.finditer(t) if all(m.end() <= s or e <= m.start() for s, _, e in b)] for t, b in zip(texts, bases)]
+    df_term, df_entity, both, wordings = Counter(), Counter(), Counter(), defaultdict(set)
+    for t, ents, found in zip(texts, entities, free):
+        df_term.update({m[0].lower() for m in term.finditer(t)})
+        df_entity.update(ents)
+        for e in ents:
+            wordings[e].add(t)
+            for w in {m[0].lower() for m in found}:
+                both[e, w] += 1
+                wordings[e, w].add(t)
+    n, kind = len(texts), {}
+    for (e, w), c in both.items():
+        if len(wordings[e]) >= 2 and df_entity[e] < n and len(wordings[e, w]) >= 2:
+            share = math.log2(n * c / (df_term[w] * df_entity[e])) / math.log2(n / df_entity[e])
+            if share >= generalise:
+                kind[e, w] = 5 if share >= remove else 4
+    out = []
+    for t, b, ents, found in zip(texts, bases, entities, free):
+        more = [(m.start(), max(kind[e, m[0].lower()] for e in ents if (e, m[0].lower()) in kind), m.end())
+                for m in found if any((e, m[0].lower()) in kind for e in ents)]
+        out.append(",".join(f"{P.KINDS[k]}:{s}:{e}" for s, k, e in sorted(b + more)))
+    return out

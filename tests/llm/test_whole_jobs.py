@@ -98,3 +98,46 @@ def test_long_documents_are_fitted_whole(spark, fitted, monkeypatch):
     monkeypatch.setattr(mil_quality, "MAX_PASSAGES", 2)
     mil_quality.train(docs, labels)
     assert sorted(map(len, fitted)) == [1, 1]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_disclosing_spans_equal_brute_force(spark, seed):
+    """Names that go with numbers more or less closely, directories of many, copies, hot words."""
+    import numpy as np
+    from tests.llm import brute
+    rng = np.random.default_rng(seed)
+    names = [f"{a}{b}" for a in ("Zeb", "Ann", "Li", "Kar", "Tom") for b in ("ulon", "abel", "", "ina")]
+    phones = [f"+1 555 010 {i:04d}" for i in range(20)]
+    words = [f"{a}{b}" for a in "bcdfghklmn" for b in ("an", "er", "ol")]
+
+    def text():
+        some = list(rng.choice(words, int(rng.integers(2, 9))))
+        for i in rng.integers(0, 20, int(rng.integers(0, 3))):
+            some += [names[i if rng.random() < 0.7 else int(rng.integers(0, 20))], phones[i] if rng.random() < 0.8 else f"{names[i].lower()}@example.org"]
+        rng.shuffle(some)
+        return " ".join(some)
+
+    texts = [text() for _ in range(160)]
+    texts += texts[:25] + [None, ""] + [" ".join(f"{n} {p}" for n, p in zip(names[:k], phones[:k])) for k in (20, 20, 15)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    want = brute.disclosed(texts)
+    assert {r.doc_id: r.spans for r in pii_disclosure.personal_data(docs).collect()} == dict(enumerate(want))
+    assert any("remove" in w for w in want) and any("general" in w for w in want)
+
+
+def test_a_directory_is_looked_up_by_its_other_texts(spark):
+    """A page of 3,000 names and 500 numbers: no pair of theirs is made but those of the short letters."""
+    phones = [f"+1 555 {i // 1000:03d} {i % 1000:04d}" for i in range(500)]
+    name = lambda i: "N" + "".join(chr(97 + int(c)) for c in f"{i:05d}")
+    page = " ".join(f"{name(i)} {phones[i % 500]}" for i in range(3000))
+    letters = [f"{name(i)} wrote from {phones[i]}" for i in range(500)]
+    texts = [page, *letters, *fill(700)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen, plain = {}, pii_disclosure.stored
+    pii_disclosure.stored = lambda df, what: seen.setdefault(what, plain(df, what))
+    try:
+        out = {r.doc_id: r.spans for r in pii_disclosure.personal_data(docs).collect()}
+    finally:
+        pii_disclosure.stored = plain
+    assert seen["pii-pairs"].count() < 5_000
+    assert all(f"remove:0:{len(name(i))}" in out[1 + i] for i in range(500)) and out[0].count("remove") == 500
