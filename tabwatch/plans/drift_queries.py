@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from tabwatch.operators.drift import drift_status, psi_raw_sample, psi_report
 from tabwatch.operators.histogram import histogram_closed, histogram_open
 from tabwatch.operators.profile import build_profile, quantile_edges, row_count
-from tabwatch.operators.quantiles import median_exact
+from tabwatch.operators.quantiles import KLL_K, feature_sketches, median_exact, merge_sketches, quantiles, sketch_quantiles
+from tabwatch.operators.reshape import to_long
 from tabwatch.plans import sqlfrag as S
-from tabwatch.plans.tables import (NUM_FEATURES, SQL_CUTOFF, lineitem_baseline, lineitem_new,
+from tabwatch.plans.tables import (NUM_FEATURES, SQL_CUTOFF, cutoff_col, lineitem_baseline, lineitem_new,
                                    sql_nulls, table, with_nulls)
 from tabwatch.spec import PSI_EPS, RAW_LAST_EDGE_PAD, RAW_SHARE_FLOOR
 
 FEATS = list(NUM_FEATURES)
 BINS = 10
 R = 6  # decimals in reports
+DECILES = [i / 10 for i in range(11)]
+RANK_ERROR = 0.01           # of an estimated quantile, as a share of the rows
 
 BASE_SQL = f"(SELECT * FROM lineitem WHERE l_shipdate < {SQL_CUTOFF})"
 NEW_SQL = f"(SELECT * FROM lineitem WHERE l_shipdate >= {SQL_CUTOFF})"
@@ -150,6 +153,40 @@ FROM prof, LATERAL (SELECT unnest(range(1, len(edges) + 1)) AS i)
 """
 
 
+def _rank_errors(df: DataFrame, found: DataFrame) -> DataFrame:
+    """``(feature, level_idx, level, n, within)``: whether each estimated quantile's rank,
+    counted exactly, lies within RANK_ERROR of its level."""
+    long = to_long(df, FEATS).where(~F.isnan("value"))
+    marks = found.select("feature", "level_idx", "level", "quantile")
+    counts = long.join(F.broadcast(marks), "feature").groupBy("feature", "level_idx", "level").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") < F.col("quantile")).alias("below"), F.count_if(F.col("value") <= F.col("quantile")).alias("upto"))
+    target, slack = F.col("level") * F.col("n"), RANK_ERROR * F.col("n") + 1
+    return counts.select("feature", F.col("level_idx").cast("int").alias("level_idx"), F.round("level", R).alias("level"), "n",
+                         ((F.col("below") <= target + slack) & (F.col("upto") >= target - slack)).alias("within"))
+
+
+def q_quantiles_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deciles by ``percentile_approx``, held against the exact ranks of the whole table."""
+    df = with_nulls(table(spark, sf_dir, "lineitem"))
+    return _rank_errors(df, quantiles(df, FEATS, DECILES, "approx"))
+
+
+def q_quantiles_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deciles from KLL sketches of two halves of the table, merged as an incremental
+    baseline is, held against the exact ranks of the whole table."""
+    df = with_nulls(table(spark, sf_dir, "lineitem"))
+    early = F.col("l_shipdate") < cutoff_col()
+    halves = feature_sketches(df.where(early), FEATS, KLL_K).unionByName(feature_sketches(df.where(~early), FEATS, KLL_K))
+    return _rank_errors(df, sketch_quantiles(merge_sketches(halves), DECILES))
+
+
+SQL_QUANTILE_RANKS = f"""
+WITH l AS (SELECT unnest([{", ".join(f"'{f}'" for f in FEATS)}]) AS feature, unnest([{", ".join(f"{f}::DOUBLE" for f in FEATS)}]) AS value FROM {NULLED_SQL})
+SELECT feature, CAST(i AS INTEGER) AS level_idx, round(i / 10.0, {R}) AS level, count(value)::BIGINT AS n, true AS within
+FROM l, (SELECT unnest(range(0, 11)) AS i) GROUP BY feature, i
+"""
+
+
 def q_histogram_open(spark: SparkSession, sf_dir: str) -> DataFrame:
     prof = _profile(spark, sf_dir, counts=False)
     return histogram_open(lineitem_new(spark, sf_dir), prof).select(
@@ -321,6 +358,8 @@ QUERIES = {
     "psi_empirical": q_psi_empirical,
     "psi_raw_sample": q_psi_raw_sample,
     "quantile_edges": q_quantile_edges,
+    "quantiles_approx": q_quantiles_approx,
+    "quantiles_sketch": q_quantiles_sketch,
     "histogram_open": q_histogram_open,
     "histogram_closed": q_histogram_closed,
     "bin_shares": q_bin_shares,
@@ -337,6 +376,8 @@ ORACLES = {
     "psi_empirical": SQL_PSI_EMPIRICAL,
     "psi_raw_sample": SQL_PSI_RAW,
     "quantile_edges": SQL_QUANTILE_EDGES,
+    "quantiles_approx": SQL_QUANTILE_RANKS,
+    "quantiles_sketch": SQL_QUANTILE_RANKS,
     "histogram_open": SQL_HISTOGRAM_OPEN,
     "histogram_closed": SQL_HISTOGRAM_CLOSED,
     "bin_shares": SQL_BIN_SHARES,
