@@ -95,12 +95,13 @@ counted AS (SELECT *, length(array_to_string(w, '')) AS word_chars, [{_CLASS_COU
 hist AS (SELECT *, [word_chars - list_sum(found), length(t) - word_chars] || found AS classes,
            list_transform(cw, lambda c: len(list_filter(w, lambda x: x = c))) AS hits FROM counted),
 full_hist AS (SELECT *, hits || [len(w) - list_sum(hits)] AS common FROM hist),
-refs AS (SELECT lang AS ref_lang, [{", ".join(f"sum(classes[{i}])" for i in range(1, 8))}] AS ref_classes,
-           [{", ".join(f"sum(common[{i}])" for i in range(1, 22))}] AS ref_common FROM full_hist WHERE cw IS NOT NULL GROUP BY lang),
+refs AS (SELECT lang AS ref_lang,
+           CASE WHEN count(cw) > 0 OR count(*) > 1 THEN [{", ".join(f"sum(classes[{i}])" for i in range(1, 8))}] END AS ref_classes,
+           CASE WHEN count(cw) > 0 THEN [{", ".join(f"sum(common[{i}])" for i in range(1, 22))}] END AS ref_common FROM full_hist GROUP BY lang),
 judged AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars, found[3]::BIGINT AS n_symbols,
              coalesce(n_dup, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat, 0)::BIGINT AS n_repeat_words, length(t) AS n_chars,
              {_distance("classes", "ref_classes")} AS char_distance, {_distance("common", "ref_common")} AS word_distance
-           FROM full_hist LEFT JOIN rep USING (r) LEFT JOIN dup USING (r) LEFT JOIN refs ON lang = ref_lang),
+           FROM full_hist LEFT JOIN rep USING (r) LEFT JOIN dup USING (r) LEFT JOIN refs ON lang IS NOT DISTINCT FROM ref_lang),
 failed AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM judged)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_distance, word_distance,
        NOT coalesce(base_failed OR (n_chars >= {quality_divergence.MIN_JUDGED_CHARS} AND char_distance > {quality_divergence.MAX_CHAR_DISTANCE})

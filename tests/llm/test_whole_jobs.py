@@ -53,6 +53,29 @@ def test_quality_compares_characters_in_every_language(spark, lang):
     assert 30 not in {r.doc_id for r in quality_divergence.passing(docs).collect()}
 
 
+def test_quality_sql_holds_for_every_language(spark, tmp_path):
+    """Listed languages, one without a list, none, and a document alone in its language."""
+    import duckdb
+    import numpy as np
+    from collections import Counter
+    from tabwatch.llm import queries
+    rng = np.random.default_rng(4)
+    words = ["the", "of", "und", "der", "la", "que", "Word", "x1", "naïve", "#a", "été,", "(so)"]
+    data = [(i, " ".join(rng.choice(words, int(rng.integers(1, 300)))) + "\n" * int(rng.integers(0, 3)), [None, "xx", "en", "de", "fr"][i % 5]) for i in range(90)]
+    data += [(90, " ".join(f"W{i}##" for i in range(300)), "xx"), (91, " ".join(f"W{i}##" for i in range(300)), None), (92, " ".join(words * 30), "alone"), (93, None, "xx"), (94, "", None)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string").repartition(3)
+    docs.write.parquet(str(tmp_path / "d"))
+    with duckdb.connect() as c:
+        c.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/d/*.parquet')")
+        rel = c.sql(queries.ORACLES["op1_distribution_divergence"])
+        columns, want = rel.columns, rel.fetchall()
+    near = lambda rows: Counter(tuple(round(x, 5) if isinstance(x, float) else x for x in r) for r in rows)
+    got = near(tuple(r) for r in quality_divergence.quality_rules(docs).select(*columns).collect())
+    assert got == near(want)
+    at = columns.index("char_distance")
+    assert sum(w[at] is not None for w in want) == 92 and [w[at] for w in want if w[0] == 92] == [None]
+
+
 def test_examples_of_one_source_are_copied(spark):
     example, own, wide = "token = Ab1Cd2Ef3Gh4Ij5Kl6Mn7Op8", "secret: Zz9Yy8Xx7Ww6Vv5Uu4Tt3Ss2", "secret: Qq1Ww2Ee3Rr4Tt5Yy6Uu7Ii8"
     data = [(i, f"page {i} {example} y", "en", "s0") for i in range(secret_ownership.EXAMPLE_TEXTS)]
