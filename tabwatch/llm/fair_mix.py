@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabwatch.llm.common import fresh, stored, word_count
+from tabwatch.operators.ordered import prefix_sums
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -32,19 +33,19 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
     ``share`` times all words by weight; none is above ``repeats`` times its
     source, what is over goes to the others by weight.  In order of the ratio of
     cap to weight, a source is capped when its ratio is at most the level that
-    the rest would reach.  The table has one row per source of the mix."""
+    the rest would reach.  The table has one row per source of the mix; its running
+    sums are made by ranges, so the sources may be many."""
     per = sizes.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("source_size"))
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    weight = F.element_at(F.array(*map(F.lit, weights)), (rank % len(weights) + 1).cast("int"))
+    per = prefix_sums(per.withColumn("none", F.col("source").isNull()), ["none", "source"], {"rank": F.lit(1)})
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))
     per = per.withColumn("weight", weight).withColumn("cap", repeats * F.col("source_size"))
-    before = Window.orderBy("ratio", F.col("source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    everyone = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    level = ((share * F.sum("source_size").over(everyone) - F.coalesce(F.sum("cap").over(before), F.lit(0)))
-             / (F.sum("weight").over(everyone) - F.coalesce(F.sum("weight").over(before), F.lit(0))))
-    per = per.withColumn("ratio", F.col("cap") / F.col("weight")).withColumn("level", level)
-    per = per.withColumn("capped", F.col("ratio") <= F.col("level"))
-    reached = F.max(F.when(~F.col("capped"), F.col("level"))).over(everyone)
-    target = F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(reached * F.col("weight"))
+    per = per.withColumn("ratio", F.col("cap") / F.col("weight"))
+    per = stored(prefix_sums(per, ["ratio", "none", "source"], {"cap_before": F.col("cap"), "weight_before": F.col("weight")}), "mix-levels")
+    words, weight_sum = per.agg(F.sum("source_size"), F.sum("weight")).first()
+    level = (share * F.lit(words) - F.col("cap_before")) / (F.lit(weight_sum) - F.col("weight_before"))
+    per = per.withColumn("level", level).withColumn("capped", F.col("ratio") <= F.col("level"))
+    reached = per.agg(F.max(F.when(~F.col("capped"), F.col("level")))).first()[0]
+    target = F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(F.lit(reached).cast("double") * F.col("weight"))
     return per.select("source", "n_docs", "source_size", target.alias("target"))
 
 
@@ -118,7 +119,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """The mix itself, with the columns of ``docs``, in order of virtual finish
     time: documents taken twice come twice, and the one document of each source
     at the end of its share is cut after the words taken (``chars_col``, if
-    given, then counts the code points that are left)."""
+    given, then counts the code points that are left).  Null and blank texts are
+    not taken; null is a source of its own; an empty table gives an empty result."""
     sizes = _sizes(docs, id_col, text_col, source_col)
     targets = stored(source_targets(sizes, weights, share, repeats), "mix-targets")
     names = ("size", "key", "source_size", "target", "before", "t_source", "n", "bucket", "t_bucket", "inside", "turn", "finish", "taken")

@@ -40,8 +40,9 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     files = files or default_files()
     end = np.array([end_id], dtype="<u4").tobytes()
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"))
-    rows = (rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
+    # the third key deals rows of one id and text over several ranges
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("h"), F.monotonically_increasing_id().alias("no"))
+    rows = (rows.repartitionByRange("doc_id", "h", "no").sortWithinPartitions("doc_id", "h", "no")
             .select("doc_id", "text", F.spark_partition_id().cast("long").alias("part"), F.monotonically_increasing_id().alias("place")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

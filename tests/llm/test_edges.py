@@ -123,6 +123,22 @@ def test_mix(hard):
     assert all(0 <= k[4] <= 2 * k[1] for k in got)
 
 
+def test_targets_of_many_sources(spark):
+    """More sources than a task may order, capped and not, one null, some empty."""
+    rng = np.random.default_rng(11)
+    total = Counter({f"s{i}": int(x) for i, x in enumerate(rng.pareto(0.7, 400) * 10)})
+    total[None] = 50
+    sizes = spark.createDataFrame([(s, n) for s, n in total.items()], "source string, size long").repartition(4)
+    plain = fair_mix.prefix_sums
+    fair_mix.prefix_sums = lambda df, order, sums: plain(df, order, sums, 40)
+    try:
+        got = {r.source: r.target for r in fair_mix.source_targets(sizes).collect()}
+    finally:
+        fair_mix.prefix_sums = plain
+    want = brute.targets(total)
+    assert set(got) == set(want) and all(got[s] == pytest.approx(want[s], rel=1e-9, abs=1e-9) for s in want)
+
+
 def test_mixed_rows_add_up_to_the_shares(hard):
     out = fair_mix.mixed(hard, chars_col="n_chars")
     assert out.columns == hard.columns
