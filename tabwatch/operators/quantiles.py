@@ -18,7 +18,8 @@ iterative range refinement.  No task ever holds a whole column:
    its distinct values and sorted in one task to pick the exact values.
 
 At 100 TB this is about log_32(rows / max_sort_rows) rounds of two scans;
-at small scale it is one sketch scan and one sort scan.  The driver only
+at small scale it is one scan for the row counts and one sort scan (an input
+of few bytes is counted before it is sketched, and few rows need no sketch).  The driver only
 sees configuration-sized metadata (cuts, bucket totals, the picked
 values), the way an MLlib estimator collects its fitted parameters.
 
@@ -44,6 +45,7 @@ MAX_SORT_ROWS = 1_000_000     # an interval this small is sorted in one task
 DEFAULT_ACCURACY = 10000      # percentile_approx accuracy in the approx mode
 KLL_K = 1024                  # KLL sketch size for the refinement cuts
 SKETCH_SALTS = 256            # first-level merge groups of the sketch tree
+SMALL_BYTES = 1 << 28         # an input of so many bytes is counted first
 
 QUANTILE_SCHEMA_TAIL = "level_idx int, level double, quantile double, n bigint"
 
@@ -99,6 +101,16 @@ class _Seg:
         return " AND ".join(conds)
 
 
+def _small_counts(df: DataFrame, xs: dict[str, str], max_rows: int) -> dict[str, int] | None:
+    """Row counts of the expressions, if the input is small and none has more than
+    ``max_rows``: then nothing needs a sketch."""
+    plan = getattr(df, "_jdf", None)
+    if plan is None or int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes())) > SMALL_BYTES:
+        return None
+    row = df.agg(*(F.count_if(F.expr(f"{x} IS NOT NULL AND NOT isnan({x})")) for x in xs.values())).first()
+    return dict(zip(xs, map(int, row))) if max(row, default=0) <= max_rows else None
+
+
 def _point_tree(x: str, cuts: list[float]) -> str:
     """SQL: 2*(#cuts < x) + (1 if x is a cut): odd ids are single-value
     buckets, even ids the open intervals between cuts (binary search)."""
@@ -131,8 +143,14 @@ def select_ranks(df: DataFrame, exprs: dict[str, str], ranks_for: Callable[[str,
     xs = dict(exprs)
     at_rank: dict[tuple[str, int], tuple[float, int]] = {}
     n_of: dict[str, int] = {}
-    active = [_Seg(f, None, None, 0, None, None) for f in xs]
+    counted = _small_counts(df, xs, max_sort_rows) if xs else None
+    active = [_Seg(f, None, None, 0, None, None) for f in xs] if counted is None else []
     final: list[_Seg] = []
+    for f, n in (counted or {}).items():
+        n_of[f] = n
+        ranks = {r for r in ranks_for(f, n) if 0 <= r < n} if n else set()
+        if ranks:
+            final.append(_Seg(f, None, None, 0, n, ranks))
     while active:
         # sketch cuts and row count of every active segment: a feature's segments
         # are disjoint, so one column per feature carries (segment, value)

@@ -79,3 +79,18 @@ def test_sketch_mode_is_mergeable(spark):
     assert merged.first()["n"] == 10000
     for lv, v in q.items():
         assert abs(v - lv * 9999) <= 0.02 * 10000     # within the sketch's rank error
+
+
+def test_counted_and_sketched_inputs_agree(spark, monkeypatch):
+    """The same quantiles, ranks and counts whether an input is counted or sketched first."""
+    from tabwatch.operators import quantiles as Q
+    df = spark.range(5000).selectExpr("cast(id * 37 % 911 as double) as a", "if(id % 3 = 0, null, cast(id as double)) as b", "cast(null as double) as c", "if(id % 7 = 0, double('NaN'), 1.0D) as d")
+    both = []
+    for small in (Q.SMALL_BYTES, 0):
+        monkeypatch.setattr(Q, "SMALL_BYTES", small)
+        calls, plain = [], Q.sketch_cuts
+        monkeypatch.setattr(Q, "sketch_cuts", lambda *a: calls.append(1) or plain(*a))
+        both.append(sorted(map(tuple, feature_quantiles(df, ["a", "b", "c", "d"], LEVELS).collect())))
+        monkeypatch.setattr(Q, "sketch_cuts", plain)
+        assert bool(calls) == (small == 0)
+    assert both[0] == both[1] and {r[0] for r in both[0]} == {"a", "b", "d"}
