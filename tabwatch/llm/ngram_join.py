@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +38,7 @@ from tabwatch.llm.components import components
 
 WORDS, PERCENT = 4, 85
 #: n-grams of a fragment, about, and the least number of fragments.
-FRAGMENT, LEAST_FRAGMENTS = 2_000_000, 16
+FRAGMENT, LEAST_FRAGMENTS = 1_000_000, 16
 #: Parts of a set whose overlaps are counted apart.
 PARTS = 4
 #: An n-gram is heavy when this share of all documents has it: of a set's average
@@ -166,7 +167,13 @@ _SETS = "node long, n long, held long, parts array<struct<part:int,ids:array<lon
 
 
 def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=kind)
+    """The values of a binary column, one after the other, as numbers; one copy."""
+    parts = [np.empty(0, dtype=np.uint8)]
+    for chunk in table.column(name).chunks:
+        ends = np.frombuffer(chunk.buffers()[1], dtype=np.int32)[chunk.offset:chunk.offset + len(chunk) + 1]
+        if len(chunk) and ends[-1] > ends[0]:
+            parts.append(np.frombuffer(chunk.buffers()[2], dtype=np.uint8)[ends[0]:ends[-1]])
+    return np.concatenate(parts).view(kind)
 
 
 def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -215,7 +222,7 @@ def _gathered(percent: int):
     fragments are dealt to parts, the heavy n-grams are one of their own."""
     def run(table: pa.Table) -> pa.Table:
         node, size, length, ids, counts = (_joined(table, c, k) for c, k in (("nodes", np.int64), ("sizes", np.int32), ("lengths", np.int32), ("ids", np.int64), ("counts", np.int32)))
-        fragment = np.repeat(table.column("f").to_numpy(), [len(x) // 8 for x in table.column("nodes").to_pylist()])
+        fragment = np.repeat(table.column("f").to_numpy(), pc.binary_length(table.column("nodes")).to_numpy() // 8)
         part = np.where(fragment < 0, PARTS, fragment % PARTS)
         order = np.lexsort((part, node))
         at = _ranges((np.cumsum(length) - length)[order], length[order])
@@ -318,7 +325,7 @@ def _partners(docs: DataFrame, digests: DataFrame, text_col: str, n: int, percen
     index = stored(able.mapInArrow(_prefixes(percent), "gram long, node long, n long, held long, rest long, sketch array<long>, prefix array<long>"), "ngram-index")
     # of every set PARTS + 1 rows, at most, whatever the number of fragments
     parts = able.select("node", F.explode("parts").alias("x")).select("node", "x.part", "x.ids")
-    return index, stored(parts, "ngram-parts")
+    return index, parts
 
 
 def _around_centres(index: DataFrame, percent: int) -> DataFrame:

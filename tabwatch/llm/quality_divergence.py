@@ -140,10 +140,11 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def passing(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that quality_rules() keeps, with all their columns; nulls,
-    repeated rows and empty tables are as there.  The rows are written once with
-    their measures, which are too dear to be taken again for the verdict."""
+    repeated rows and empty tables are as there.  The histograms are measured twice,
+    for the references and for the verdict: written with their rows, they would be a
+    copy of the corpus beside the one that a pipeline keeps."""
     c = _names(docs, keep=False)
-    measured = stored(_measured(docs, text_col, lang_col, c), "quality-rows")
+    measured = _measured(docs, text_col, lang_col, c)
     refs = stored(references(measured.select(lang_col, c["classes"], c["common"]), lang_col, c["classes"], c["common"]), "quality-references")
     refs = refs.select(*(F.col(k).alias(c[k]) for k in ("ref_lang", "ref_classes", "ref_common")))
     joined = measured.join(refs, measured[lang_col].eqNullSafe(refs[c["ref_lang"]]), "left")
