@@ -4,8 +4,10 @@ The global order of n-grams (by hash) is cut into fragments, and every
 document's set into one segment per fragment.  A fragment sees all segments of
 its range: it knows how many documents have each of its n-grams, and keeps of a segment
 the n-grams that another document has too.  Summed over the fragments, that
-bounds a document's overlap with any other, and most documents are out.  The rest
-look for partners by the rarest n-grams of their sets (the prefix that two
+bounds a document's overlap with any other, and most documents are out.  That is
+done twice: first with the head of each set alone, of which similar sets share
+some n-grams for sure, and then with the whole sets of the documents that are left.
+The rest look for partners by the rarest n-grams of their sets (the prefix that two
 similar sets must share), and a pair's overlap is counted in each fragment apart and
 summed.
 
@@ -41,6 +43,11 @@ WORDS, PERCENT = 4, 85
 FRAGMENT, LEAST_FRAGMENTS = 1_000_000, 16
 #: Parts of a set whose overlaps are counted apart.
 PARTS = 4
+#: The head of a set is the prefix that similar sets must share an n-gram of, and
+#: this percentage of the set more; so they share that percentage, too.
+AHEAD = 20
+#: Bits of the table of documents that are left, and of one of its slices.
+LISTED, SLICE = 1 << 25, 1 << 15
 #: An n-gram is heavy when this share of all documents has it: of a set's average
 #: length divided by the share there are so many heavy n-grams at most.
 HEAVY, HEAVY_IN_BATCH = 0.005, 8
@@ -118,10 +125,9 @@ def _fragments(grams: np.ndarray, fragments: int) -> np.ndarray:
     return (((grams >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)).astype(np.int64)
 
 
-def _segments(n: int, fragments: int, heavy: np.ndarray):
-    """Rows (f, nodes, sizes, lengths, ids): of each fragment, the segments of a
-    batch's documents.  Heavy n-grams go to a fragment of their document's class,
-    numbered below 0."""
+def _segments(n: int, deal):
+    """What ``deal`` gives for the classes and sets of a batch's documents: of each
+    fragment, the segments."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
@@ -133,21 +139,62 @@ def _segments(n: int, fragments: int, heavy: np.ndarray):
                     nodes.append(node)
                     sets.append(s)
                 if len(nodes) >= TOGETHER:
-                    yield from _deal(nodes, sets, fragments, heavy)
+                    yield from deal(nodes, sets)
                     nodes, sets = [], []
             if nodes:
-                yield from _deal(nodes, sets, fragments, heavy)
+                yield from deal(nodes, sets)
     return run
 
 
+def _is_heavy(grams: np.ndarray, heavy: np.ndarray) -> np.ndarray:
+    if not len(heavy):
+        return np.zeros(len(grams), dtype=bool)
+    return heavy[np.minimum(np.searchsorted(heavy, grams), len(heavy) - 1)] == grams
+
+
+def _deal_heads(nodes: list[int], sets: list[np.ndarray], percent: int, fragments: int, heavy: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows (f, nodes, wanted, lengths, ids): the heads of the sets, as the halves of
+    the hashes that a fragment does not know.  Of a head, ``wanted`` n-grams are in
+    the head of any similar set.
+
+    Two similar sets of n and m share ``least`` n-grams or more, so the first
+    ``k`` of these have, in either set's order, n - least + k at most before and
+    with the last one.  Heavy n-grams come last in that order; they are not sent,
+    as others have them for sure."""
+    node, size = np.array(nodes, dtype=np.int64), np.array([len(s) for s in sets], dtype=np.int64)
+    grams, doc = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
+    least = (percent * size + 99) // 100
+    head, wanted = size - least + 1 + AHEAD * size // 100, 1 + AHEAD * least // 100
+    light = ~_is_heavy(grams, heavy)
+    grams, doc = grams[light], doc[light]
+    lights = np.bincount(doc, minlength=len(sets))
+    wanted = wanted - np.clip(head - lights, 0, size - lights)
+    first = np.arange(len(doc)) - np.repeat(np.cumsum(lights) - lights, lights) < head[doc]
+    grams, doc = grams[first], doc[first]
+    f = _fragments(grams, fragments)
+    order = np.lexsort((doc, f))
+    f, doc, grams = f[order], doc[order], grams[order].astype(np.uint32)
+    cuts = np.flatnonzero(np.diff(f, prepend=-1))
+    out = [[], [], [], [], []]
+    for lo, hi in zip(cuts, [*cuts[1:], len(f)]):
+        docs, lengths = np.unique(doc[lo:hi], return_counts=True)
+        for column, value in zip(out, (int(f[lo]), *(x.tobytes() for x in (node[docs], wanted[docs].astype(np.int32), lengths.astype(np.int32), grams[lo:hi])))):
+            column.append(value)
+    if len(bare := np.flatnonzero(lights == 0)):                                # of heavy n-grams alone
+        for column, value in zip(out, (-1 - int(node[bare[0]] % fragments), *(x.tobytes() for x in (node[bare], wanted[bare].astype(np.int32), np.zeros(len(bare), dtype=np.int32))), b"")):
+            column.append(value)
+    yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])],
+                                     names=["f", "nodes", "wanted", "lengths", "ids"])
+
+
 def _deal(nodes: list[int], sets: list[np.ndarray], fragments: int, heavy: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows (f, nodes, sizes, lengths, ids) of whole sets.  Heavy n-grams go to a
+    fragment of their document's class, numbered below 0."""
     node, size = np.array(nodes, dtype=np.int64), np.array([len(s) for s in sets], dtype=np.int32)
     grams, doc = np.concatenate(sets), np.repeat(np.arange(len(sets)), size)
     f = _fragments(grams, fragments)
-    if len(heavy):
-        at = np.minimum(np.searchsorted(heavy, grams), len(heavy) - 1)
-        hot = heavy[at] == grams
-        f[hot] = -1 - node[doc[hot]] % fragments
+    hot = _is_heavy(grams, heavy)
+    f[hot] = -1 - node[doc[hot]] % fragments
     order = np.lexsort((doc, f))
     f, doc, grams = f[order], doc[order], grams[order]
     cuts = np.flatnonzero(np.diff(f, prepend=f[0] - 1))
@@ -162,6 +209,7 @@ def _deal(nodes: list[int], sets: list[np.ndarray], fragments: int, heavy: np.nd
                                      names=["f", "nodes", "sizes", "lengths", "ids"])
 
 
+_HEADS = "b long, nodes binary, wanted binary, held binary"
 _PACKETS = "b long, f long, nodes binary, sizes binary, lengths binary, ids binary, counts binary"
 _SETS = "node long, n long, held long, parts array<struct<part:int,ids:array<long>,counts:array<int>>>"
 
@@ -181,24 +229,80 @@ def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(int(lengths.sum())) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
 
 
+def _counts(ids: np.ndarray) -> np.ndarray:
+    """How many entries equal each one."""
+    order = np.argsort(ids, kind="stable")
+    starts = np.flatnonzero(np.concatenate([[True], ids[order][1:] != ids[order][:-1]])[:len(ids)])
+    runs = np.diff(starts, append=len(ids))
+    counts = np.empty(len(ids), dtype=np.int32)
+    counts[order] = np.repeat(runs, runs)
+    return counts
+
+
+def _one_of_a_class(node: np.ndarray) -> np.ndarray:
+    """Of a class that several tasks sent, one segment."""
+    first = np.zeros(len(node), dtype=bool)
+    first[np.unique(node, return_index=True)[1]] = True
+    return first
+
+
+def _heads_shared(buckets: int):
+    """How many n-grams of each head in a fragment another class has, packed by
+    bucket of their classes.  Different n-grams of equal halves count as shared,
+    which puts a document on the list too many, and none too few."""
+    def run(table: pa.Table) -> pa.Table:
+        node, wanted, length, ids = (_joined(table, c, k) for c, k in (("nodes", np.int64), ("wanted", np.int32), ("lengths", np.int32), ("ids", np.uint32)))
+        first = _one_of_a_class(node)
+        ids = ids[np.repeat(first, length)]
+        node, wanted, length = node[first], wanted[first], length[first]
+        held = np.bincount(np.repeat(np.arange(len(node)), length)[_counts(ids) > 1], minlength=len(node)).astype(np.int32)
+        bucket = np.mod(node, buckets)
+        order = np.argsort(bucket, kind="stable")
+        order = order[(held[order] > 0) | (wanted[order] <= 0)]
+        cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        out = [[], [], [], []]
+        for lo, hi in zip(cuts, [*cuts[1:], len(order)]):
+            these = order[lo:hi]
+            for column, value in zip(out, (int(bucket[these[0]]), *(x[these].tobytes() for x in (node, wanted, held)))):
+                column.append(value)
+        return pa.Table.from_arrays([pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["b", "nodes", "wanted", "held"])
+    return run
+
+
+def _left(table: pa.Table) -> pa.Table:
+    """The classes of a bucket whose heads share what they must."""
+    node, wanted, held = (_joined(table, c, k) for c, k in (("nodes", np.int64), ("wanted", np.int32), ("held", np.int32)))
+    found, first, at = np.unique(node, return_index=True, return_inverse=True)
+    return pa.table({"node": pa.array(found[np.bincount(at, weights=held, minlength=len(found)) >= wanted[first]])})
+
+
+def _bits(table: pa.Table) -> pa.Table:
+    """A slice of the table of documents that are left, one bit for each of their keys."""
+    bits = np.zeros(SLICE, dtype=bool)
+    bits[table.column("bit").to_numpy()] = True
+    return pa.table({"slice": table.column("slice").slice(0, 1), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())})
+
+
+def _listed(bits: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (text, key) whose key has its bit: those on the list, and a few more."""
+    for batch in batches:
+        key = np.mod(batch.column(1).to_numpy(), LISTED)
+        yield batch.filter(pa.array((bits[key >> 3] >> (key & 7).astype(np.uint8) & 1).astype(bool)))
+
+
 def _shared(heavy: np.ndarray, heavy_counts: np.ndarray, buckets: int):
     """Of a fragment's segments the n-grams that two classes or more have, packed
     by bucket of their classes.  ``heavy`` are the sorted heavy n-grams."""
     def run(table: pa.Table) -> pa.Table:
         fragment = table.column("f")[0].as_py()
         node, size, length, ids = (_joined(table, c, k) for c, k in (("nodes", np.int64), ("sizes", np.int32), ("lengths", np.int32), ("ids", np.uint64)))
-        first = np.zeros(len(node), dtype=bool)             # of a class that several tasks sent, one segment
-        first[np.unique(node, return_index=True)[1]] = True
+        first = _one_of_a_class(node)
         ids = ids[np.repeat(first, length)]
         node, size, length = node[first], size[first], length[first]
         if fragment < 0:
             counts, keep = heavy_counts[np.searchsorted(heavy, ids)], np.ones(len(ids), dtype=bool)
         else:
-            order = np.argsort(ids, kind="stable")
-            starts = np.flatnonzero(np.diff(ids[order], prepend=~ids[order[0]]))
-            runs = np.diff(starts, append=len(ids))
-            counts = np.empty(len(ids), dtype=np.int32)
-            counts[order] = np.repeat(runs, runs)
+            counts = _counts(ids)
             keep = counts > 1
         held = np.bincount(np.repeat(np.arange(len(node)), length)[keep], minlength=len(node)).astype(np.int32)
         ids, counts, starts = ids[keep], counts[keep], np.cumsum(held) - held
@@ -300,12 +404,41 @@ def _sketches_allow(percent: int) -> Column:
     return most * (100 + percent) >= percent * (F.col("n_u") + F.col("n"))
 
 
-def _partners(docs: DataFrame, digests: DataFrame, text_col: str, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _number_of_fragments(grams: int | None) -> int:
+    return max(LEAST_FRAGMENTS, -(-(grams or 0) // FRAGMENT))
+
+
+def _list_of(docs: DataFrame, digests: DataFrame, id_col: str, text_col: str, n: int, percent: int, grams: int | None, sent) -> tuple[DataFrame, DataFrame]:
+    """Rows (text, key) of the documents that are left after the heads are compared,
+    one of each class, and (key, n) of their classes."""
+    heads = _number_of_fragments((grams or 0) * (100 - percent + AHEAD) // 100)
+
+    def segments(batches):
+        return _segments(n, lambda nodes, sets: _deal_heads(nodes, sets, percent, heads, sent.value[0]))(batches)
+
+    segmented = docs.select(F.col(text_col)).mapInArrow(segments, "f long, nodes binary, wanted binary, lengths binary, ids binary")
+    left = segmented.groupBy("f").applyInArrow(_heads_shared(heads), _HEADS).groupBy("b").applyInArrow(_left, "node long")
+    classes = digests.where("gram is null and node is not null").groupBy("node").agg(F.min(F.xxhash64("doc_id")).alias("key"), F.max("n").alias("n"))
+    keys = stored(classes.join(left, "node").select("key", "n"), "ngram-listed")
+    slot = F.pmod("key", F.lit(LISTED))
+    slices = keys.select(F.floor(slot / SLICE).cast("int").alias("slice"), F.pmod(slot, F.lit(SLICE)).cast("int").alias("bit")).groupBy("slice").applyInArrow(_bits, "slice int, bits binary")
+    bits = np.zeros((LISTED // SLICE, SLICE // 8), dtype=np.uint8)
+    for r in slices.collect():                                                  # LISTED / 8 bytes at most
+        bits[r["slice"]] = np.frombuffer(r["bits"], dtype=np.uint8)
+    table = docs.sparkSession.sparkContext.broadcast(bits.ravel())
+
+    def listed(batches):
+        return _listed(table.value, batches)
+
+    rows = docs.select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("key"))
+    return rows.mapInArrow(listed, rows.schema), keys
+
+
+def _partners(docs: DataFrame, digests: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The index of prefixes and the sets' parts of the classes that may have a partner."""
     spark = docs.sparkSession
     real = digests.where("gram is null")
     total = real.agg(F.sum("n").alias("grams"), F.count("node").alias("docs")).first()
-    fragments = max(LEAST_FRAGMENTS, -(-(total.grams or 0) // FRAGMENT))
     heavy = (digests.where("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))
              .where(F.col("n") >= max(4 * HEAVY_IN_BATCH, HEAVY * total.docs)).collect())      # bounded by average set / HEAVY
     listed = np.sort(np.array([r.gram for r in heavy], dtype=np.int64).view(np.uint64))
@@ -313,13 +446,16 @@ def _partners(docs: DataFrame, digests: DataFrame, text_col: str, n: int, percen
     heavy_counts = np.array([min(counts[int(g)], 2**31 - 1) for g in listed.view(np.int64)], dtype=np.int32)
     sent = spark.sparkContext.broadcast((listed, heavy_counts))
 
+    listed, keys = _list_of(docs, digests, id_col, text_col, n, percent, total.grams, sent)
+    fragments = _number_of_fragments(keys.agg(F.sum("n")).first()[0])
+
     def segments(batches):
-        return _segments(n, fragments, sent.value[0])(batches)
+        return _segments(n, lambda nodes, sets: _deal(nodes, sets, fragments, sent.value[0]))(batches)
 
     def shared(table):
         return _shared(*sent.value, fragments)(table)
 
-    segmented = docs.select(F.col(text_col)).mapInArrow(segments, "f long, nodes binary, sizes binary, lengths binary, ids binary")
+    segmented = listed.mapInArrow(segments, "f long, nodes binary, sizes binary, lengths binary, ids binary")
     packets = segmented.groupBy("f").applyInArrow(shared, _PACKETS)
     able = stored(packets.groupBy("b").applyInArrow(_gathered(percent), _SETS), "ngram-sets")
     index = stored(able.mapInArrow(_prefixes(percent), "gram long, node long, n long, held long, rest long, sketch array<long>, prefix array<long>"), "ngram-index")
@@ -369,9 +505,9 @@ def _across_components(index: DataFrame, parts_of: DataFrame, done: DataFrame, p
     return met.join(known, ["u", "v"], "left_anti")
 
 
-def similar_classes(docs: DataFrame, digests: DataFrame, text_col: str, n: int, percent: int) -> DataFrame:
+def similar_classes(docs: DataFrame, digests: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
     """node, component of the classes of equal sets that are linked to another."""
-    index, parts = _partners(docs, digests, text_col, n, percent)
+    index, parts = _partners(docs, digests, id_col, text_col, n, percent)
     first = stored(_around_centres(index, percent), "ngram-pairs")
     links = stored(_overlaps(first, parts, percent), "ngram-links")
     grouped = stored(components(links), "ngram-components")
@@ -395,7 +531,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     have no n-grams and are linked with nothing.  Null ids are reached by no
     component but their own.  An empty table gives an empty result."""
     digests = _digests(docs, id_col, text_col, n)
-    linked = similar_classes(docs, digests, text_col, n, percent)
+    linked = similar_classes(docs, digests, id_col, text_col, n, percent)
     real = digests.where("gram is null")
     least = real.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     named = least.join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -419,7 +555,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     component the row of smallest id stays (of one id, any one), and every row
     without n-grams."""
     digests = _digests(docs, id_col, text_col, n)
-    linked = similar_classes(docs, digests, text_col, n, percent)
+    linked = similar_classes(docs, digests, id_col, text_col, n, percent)
     least = digests.where("gram is null and node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     ranked = least.join(linked, "node").groupBy("component").agg(F.min_by("node", F.struct(F.col("least").isNull(), "least", "node")).alias("stays"))
     gone = linked.join(ranked, "component").where("node <> stays").select("node")

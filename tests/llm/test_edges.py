@@ -231,6 +231,45 @@ def test_similar_over_thousands_of_fragments(spark, monkeypatch):
     assert rows(ngram_join.similar_documents(docs), "doc_id", "n_shingles", "component_id") == Counter(brute.similar(data))
 
 
+@pytest.mark.parametrize("percent", [50, 80, 85, 99])
+def test_heads_of_similar_sets_share_what_they_must(percent):
+    """Heads alone put every set with a similar one on the list, heavy n-grams or not,
+    and leave out most others; what they send does not grow with the fragments' number."""
+    import pyarrow as pa
+    rng = np.random.default_rng(percent)
+    heavy = np.unique(rng.integers(0, 2**64, 40, dtype=np.uint64))
+    sets, paired = [], []
+    for n in (1, 2, 3, 7, 20, 90, 400):
+        for kind in range(12):
+            one = np.unique(np.concatenate([rng.integers(0, 2**64, n, dtype=np.uint64), heavy[:kind] if kind < 5 else heavy[:0]]))
+            drop = rng.integers(0, len(one) * (100 - percent) // 100 + 1)
+            paired += [len(sets), len(sets) + 1]
+            sets += [one, np.sort(rng.choice(one, len(one) - drop, replace=False))]
+    sets.append(heavy)
+    alone = len(sets)
+    sets += [np.unique(rng.integers(0, 2**64, 200, dtype=np.uint64)) for _ in range(50)]
+    nodes = list(range(1, len(sets) + 1))
+    for fragments in (3, 1000):
+        dealt = pa.Table.from_batches([b for at in range(0, len(sets), 37) for b in ngram_join._deal_heads(nodes[at:at + 37], sets[at:at + 37], percent, fragments, heavy)])
+        found = [ngram_join._heads_shared(5)(dealt.filter(pa.compute.equal(dealt["f"], f))) for f in sorted(set(dealt["f"].to_pylist()))]
+        packets = pa.concat_tables(found)
+        left = {x for b in set(packets["b"].to_pylist()) for x in ngram_join._left(packets.filter(pa.compute.equal(packets["b"], b)))["node"].to_pylist()}
+        assert {i + 1 for i in paired} <= left and not left & set(nodes[alone:])
+        sent = sum(len(x) for x in dealt["ids"].to_pylist())
+        assert sent <= sum(4 * (len(s) * (100 - percent + ngram_join.AHEAD) // 100 + 2) for s in sets)
+
+
+def test_whole_sets_are_sent_of_listed_documents_alone(spark, monkeypatch):
+    """Documents that share nothing with others are out before whole sets are sent."""
+    sent, plain = [], ngram_join._number_of_fragments
+    monkeypatch.setattr(ngram_join, "_number_of_fragments", lambda grams: sent.append(grams) or plain(grams))
+    data = [(i, " ".join(f"w{i}x{j}" for j in range(200))) for i in range(80)]
+    data += [(100, data[3][1] + " more"), (101, data[3][1] + " and more"), (102, data[4][1].upper())]
+    out = ngram_join.similar_documents(spark.createDataFrame(data, "doc_id long, text string"))
+    assert rows(out, "doc_id", "n_shingles", "component_id") == Counter(brute.similar(data))
+    assert sent[1] == 197 + 198 + 199
+
+
 def test_any_fragment_number():
     """A fragment beyond 2^15 gives the n-grams' whole hashes."""
     import pyarrow as pa
