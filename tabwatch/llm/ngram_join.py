@@ -408,9 +408,9 @@ def _number_of_fragments(grams: int | None) -> int:
     return max(LEAST_FRAGMENTS, -(-(grams or 0) // FRAGMENT))
 
 
-def _list_of(docs: DataFrame, digests: DataFrame, id_col: str, text_col: str, n: int, percent: int, grams: int | None, sent) -> tuple[DataFrame, DataFrame]:
-    """Rows (text, key) of the documents that are left after the heads are compared,
-    one of each class, and (key, n) of their classes."""
+def _list_of(docs: DataFrame, digests: DataFrame, text_col: str, n: int, percent: int, grams: int | None, sent) -> tuple[np.ndarray, DataFrame]:
+    """The documents that are left after the heads are compared, one of each class:
+    the table of their keys' bits, and rows (key, n)."""
     heads = _number_of_fragments((grams or 0) * (100 - percent + AHEAD) // 100)
 
     def segments(batches):
@@ -425,13 +425,7 @@ def _list_of(docs: DataFrame, digests: DataFrame, id_col: str, text_col: str, n:
     bits = np.zeros((LISTED // SLICE, SLICE // 8), dtype=np.uint8)
     for r in slices.collect():                                                  # LISTED / 8 bytes at most
         bits[r["slice"]] = np.frombuffer(r["bits"], dtype=np.uint8)
-    table = docs.sparkSession.sparkContext.broadcast(bits.ravel())
-
-    def listed(batches):
-        return _listed(table.value, batches)
-
-    rows = docs.select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("key"))
-    return rows.mapInArrow(listed, rows.schema), keys
+    return bits.ravel(), keys
 
 
 def _partners(docs: DataFrame, digests: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -446,16 +440,18 @@ def _partners(docs: DataFrame, digests: DataFrame, id_col: str, text_col: str, n
     heavy_counts = np.array([min(counts[int(g)], 2**31 - 1) for g in listed.view(np.int64)], dtype=np.int32)
     sent = spark.sparkContext.broadcast((listed, heavy_counts))
 
-    listed, keys = _list_of(docs, digests, id_col, text_col, n, percent, total.grams, sent)
+    bits, keys = _list_of(docs, digests, text_col, n, percent, total.grams, sent)
+    table = spark.sparkContext.broadcast(bits)
     fragments = _number_of_fragments(keys.agg(F.sum("n")).first()[0])
 
     def segments(batches):
-        return _segments(n, lambda nodes, sets: _deal(nodes, sets, fragments, sent.value[0]))(batches)
+        return _segments(n, lambda nodes, sets: _deal(nodes, sets, fragments, sent.value[0]))(_listed(table.value, batches))
 
     def shared(table):
         return _shared(*sent.value, fragments)(table)
 
-    segmented = listed.mapInArrow(segments, "f long, nodes binary, sizes binary, lengths binary, ids binary")
+    keyed = docs.select(F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("key"))
+    segmented = keyed.mapInArrow(segments, "f long, nodes binary, sizes binary, lengths binary, ids binary")
     packets = segmented.groupBy("f").applyInArrow(shared, _PACKETS)
     able = stored(packets.groupBy("b").applyInArrow(_gathered(percent), _SETS), "ngram-sets")
     index = stored(able.mapInArrow(_prefixes(percent), "gram long, node long, n long, held long, rest long, sketch array<long>, prefix array<long>"), "ngram-index")
