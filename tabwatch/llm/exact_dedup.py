@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwatch.llm.common import SPACE, fresh, ship, stored, with_row_key
+from tabwatch.llm.common import SPACE, fresh, ship, sliced, stored, with_row_key
 
 PRIMES = (2147483647, 2147483629)
 BASE = 1000003
@@ -137,7 +137,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in sliced(batches):
         data = [normalised(value.as_py()) for value in batch.column(0).cast(pa.binary())]
         yield pa.RecordBatch.from_arrays([pa.array([_mark(fingerprint(d)) for d in data], pa.int64()), pa.array(map(len, data), pa.int64())], names=["fp", "n_bytes"])
 
@@ -152,33 +152,13 @@ def _several(digests: DataFrame) -> DataFrame:
     return stored(digests.groupBy("fp", "n_bytes").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("fp", "n_bytes"), "dedup-classes")
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        out, held = [[], [], [], []], 0
-        for text, fp, size in zip(batch.column(0).cast(pa.binary()), batch.column(1), batch.column(2)):
-            data = normalised(text.as_py())
-            for lo in range(0, max(1, len(data)), COMPARE):
-                for column, value in zip(out, (fp.as_py(), size.as_py(), lo // COMPARE, data[lo:lo + COMPARE])):
-                    column.append(value)
-            held += len(data)
-            if held > 1 << 24:
-                yield _chunk_batch(*out)
-                out, held = [[], [], [], []], 0
-        yield _chunk_batch(*out)
-
-
-def _chunk_batch(fps, sizes, nos, chunks) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(sizes, pa.int64()), pa.array(nos, pa.int64()),
-                                       pa.array(chunks, pa.binary())], names=["fp", "n_bytes", "no", "chunk"])
-
-
 def _with_marks(docs: DataFrame, text_col: str, names: list[str]) -> DataFrame:
     """``docs`` with fingerprint and number of bytes in the columns ``names``."""
     at = docs.columns.index(text_col)
     columns = [*docs.columns, *names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             marks = next(_marks(iter([pa.RecordBatch.from_arrays([batch.column(at)], names=["text"])])))
             yield pa.RecordBatch.from_arrays([*batch.columns, *marks.columns], names=columns)
 
@@ -187,10 +167,20 @@ def _with_marks(docs: DataFrame, text_col: str, names: list[str]) -> DataFrame:
 
 def collisions(docs: DataFrame, classes: DataFrame, text_col: str = "text") -> DataFrame:
     """fp, n_bytes of those ``classes`` whose texts differ in some chunk: their rows
-    are compared chunk by chunk."""
-    rows = _with_marks(docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")), "text", ["fp", "n_bytes"])
-    chunks = rows.join(_sent(classes), ["fp", "n_bytes"], "left_semi").select("text", "fp", "n_bytes").mapInArrow(
-        _chunks, "fp long, n_bytes long, no long, chunk binary")
+    are compared chunk by chunk.  The texts are cut by Spark: a second Python step behind
+    the join would be a second Python worker for each task."""
+
+    def bare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches):
+            marks = next(_marks(iter([batch])))
+            data = pa.array([normalised(value.as_py()) for value in batch.column(0).cast(pa.binary())], pa.binary())
+            yield pa.RecordBatch.from_arrays([data, *marks.columns], names=["data", *marks.schema.names])
+
+    rows = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(bare, "data binary, fp long, n_bytes long")
+    last = F.floor(F.greatest(F.col("n_bytes") - 1, F.lit(0)) / COMPARE).cast("int")
+    chunks = (rows.join(_sent(classes), ["fp", "n_bytes"], "left_semi")
+              .select("data", "fp", "n_bytes", F.explode(F.sequence(F.lit(0), last)).alias("no"))
+              .select("fp", "n_bytes", "no", F.substring("data", F.col("no") * COMPARE + 1, F.lit(COMPARE)).alias("chunk")))
     return (chunks.groupBy("fp", "n_bytes", "no").agg(F.min("chunk").alias("least"), F.max("chunk").alias("most"))
             .where(F.col("least") != F.col("most")).select("fp", "n_bytes").distinct())
 

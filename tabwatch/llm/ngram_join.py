@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwatch.llm.common import SPACE, fresh, ship, stored
+from tabwatch.llm.common import SPACE, TOGETHER, fresh, ship, sliced, stored
 from tabwatch.llm.components import components
 
 WORDS, PERCENT = 4, 85
@@ -51,8 +51,6 @@ LISTED, SLICE = 1 << 25, 1 << 15
 #: An n-gram is heavy when this share of all documents has it: of a set's average
 #: length divided by the share there are so many heavy n-grams at most.
 HEAVY, HEAVY_IN_BATCH = 0.005, 8
-#: Documents whose sets a task holds at a time.
-TOGETHER = 1000
 #: 64-bit words of the sketch of a set, one bit per n-gram that it shares.
 SKETCH = 16
 #: Entries of a worker's cache of word hashes.
@@ -103,20 +101,18 @@ def _digest(n: int):
     """Rows (doc_id, n, node, null), and (null, count, null, gram) of the n-grams
     that many of a few hundred documents have; sets are held for those alone."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, TOGETHER):
-                batch = whole.slice(at, TOGETHER)
-                sets = [ngram_set(t.as_py(), n) for t in batch.column(1)]
-                nodes = [class_of(s) if len(s) else None for s in sets]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(len(sets), pa.int64())],
-                                                 names=["doc_id", "n", "node", "gram"])
-                first = {node: s for node, s in zip(nodes, sets) if node is not None}
-                if first:
-                    grams, counts = np.unique(np.concatenate(list(first.values())), return_counts=True)
-                    often = counts >= max(HEAVY_IN_BATCH, HEAVY * len(first))
-                    m = int(often.sum())
-                    yield pa.RecordBatch.from_arrays([pa.nulls(m, batch.schema.field(0).type), pa.array(counts[often].astype(np.int64)), pa.nulls(m, pa.int64()),
-                                                      pa.array(grams[often].view(np.int64))], names=["doc_id", "n", "node", "gram"])
+        for batch in sliced(batches):
+            sets = [ngram_set(t.as_py(), n) for t in batch.column(1)]
+            nodes = [class_of(s) if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(len, sets), pa.int64()), pa.array(nodes, pa.int64()), pa.nulls(len(sets), pa.int64())],
+                                             names=["doc_id", "n", "node", "gram"])
+            first = {node: s for node, s in zip(nodes, sets) if node is not None}
+            if first:
+                grams, counts = np.unique(np.concatenate(list(first.values())), return_counts=True)
+                often = counts >= max(HEAVY_IN_BATCH, HEAVY * len(first))
+                m = int(often.sum())
+                yield pa.RecordBatch.from_arrays([pa.nulls(m, batch.schema.field(0).type), pa.array(counts[often].astype(np.int64)), pa.nulls(m, pa.int64()),
+                                                  pa.array(grams[often].view(np.int64))], names=["doc_id", "n", "node", "gram"])
     return run
 
 
@@ -540,7 +536,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def _with_class(names: list[str], text_at: int, node: str, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in sliced(batches):
             sets = (ngram_set(t.as_py(), n) for t in batch.column(text_at))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([class_of(s) if len(s) else None for s in sets], pa.int64())], names=[*names, node])
     return run

@@ -395,6 +395,61 @@ def test_differing_chunks_divide_a_class(spark, monkeypatch):
     assert rows(exact_dedup.keep_one_of_each(docs), "doc_id") == Counter([(2,), (3,)])
 
 
+def test_chunks_are_compared_to_their_last_byte(spark):
+    """Of classes that claim to be one, those whose texts differ at a chunk's border."""
+    size = exact_dedup.COMPARE
+    texts = {0: ["", None, " \t"], 1: ["a", " a"], size - 1: ["é" * (size // 2 - 1) + "a"] * 2, size: ["é" * (size // 2), "é \n" * (size // 2)],
+             size + 1: ["é" * (size // 2) + "a", "é" * (size // 2) + " a"], 2 * size: ["b" * 2 * size, " " + "b" * 2 * size]}
+    docs = spark.createDataFrame([(t,) for same in texts.values() for t in same], "text string")
+    marks = docs.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(exact_dedup._marks, "fp long, n_bytes long").distinct().cache()
+    assert {r.n_bytes for r in marks.collect()} == set(texts) and exact_dedup.collisions(docs, marks).count() == 0
+
+    plain, claims = exact_dedup._marks, spark.createDataFrame([(n, n) for n in texts], "fp long, n_bytes long")
+
+    def claimed(batches):
+        for batch in plain(batches):
+            yield batch.set_column(0, "fp", batch.column(1))
+
+    for at in (0, size - 1, size, 2 * size - 1):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(exact_dedup, "_marks", claimed)
+            changed = docs.union(spark.createDataFrame([("b" * at + "c" + "b" * (2 * size - at - 1),)], "text string"))
+            assert rows(exact_dedup.collisions(changed, claims), "fp", "n_bytes") == Counter([(2 * size, 2 * size)])
+
+
+def _python_steps(plan):
+    """Of a physical plan: the Python steps that a task of its last stage has, and the most of any task."""
+    kids = [_python_steps(plan.children().apply(i)) for i in range(plan.children().size())]
+    own, most = [k[0] for k in kids], max([k[1] for k in kids], default=0)
+    name = plan.nodeName()
+    if "Exchange" in name:
+        return 0, max([most, *own])
+    here = (max if name == "Union" else sum)(own or [0]) + (name in ("MapInArrow", "PythonMapInArrow", "FlatMapGroupsInArrow"))
+    return here, max(most, here)
+
+
+@pytest.mark.parametrize("operator", [exact_dedup.keep_one_of_each, exact_dedup.exact_duplicates, ngram_join.keep_one_of_each, ngram_join.similar_documents])
+def test_a_task_has_one_python_step(spark, documents, monkeypatch, operator):
+    """Each further one is a Python worker more, which stays and is used by the steps after it."""
+    seen = []
+
+    def steps(df):
+        seen.append(_python_steps(df._jdf.queryExecution().executedPlan())[1])
+        return df
+
+    for module in (exact_dedup, ngram_join):
+        monkeypatch.setattr(module, "stored", lambda df, name, f=module.stored: f(steps(df), name))
+    monkeypatch.setattr(exact_dedup, "with_row_key", lambda df, name, f=exact_dedup.with_row_key: f(steps(df), name))
+    docs = spark.createDataFrame(documents[:60] + documents[:20], "doc_id long, text string, lang string, source string")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        steps(operator(docs)).count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert max(seen) == 1
+
+
 def test_huge_texts_are_cut_in_one_pass(spark):
     import time
     huge = spark.range(2, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("twenty characters é\n"), 2_000_000).alias("text"))
