@@ -27,60 +27,63 @@ MAX_LABELLED, MAX_PASSAGES = 6000, 384_000
 HIDDEN, ATTENTION, STEPS, RATE, DECAY = 24, 12, 250, 0.02, 1e-4
 SEED = 3
 BUCKETS = 48
-#: Entries of a worker's cache of word codes.
-CACHED = 150_000
+_MARKS = b".,;:'\"!?()-"
 
 # character classes of a byte: lower, upper, digit, space, mark of a sentence, sign, beyond ASCII
 _CLASS = np.full(256, 5, dtype=np.int64)
-for _i, _chars in enumerate(("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", " \t\n\x0b\x0c\r", ".,;:'\"!?()-")):
-    _CLASS[list(_chars.encode())] = _i
+for _i, _chars in enumerate((b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\n\x0b\x0c\r", _MARKS)):
+    _CLASS[list(_chars)] = _i
 _CLASS[128:] = 6
+#: One bit per class, for the classes that a word has.
+_BIT = (1 << _CLASS).astype(np.uint8)
+_LOWER, _UPPER, _SIGN, _BEYOND = 1, 2, 32, 64
+_ENDS = np.isin(np.arange(256), list(b".,;:!?"))
 _SHAPES = 6
+#: The shapes of each set of shapes, as a row of ones and zeros.
+_SHAPE_SETS = (np.arange(1 << _SHAPES)[:, None] >> np.arange(_SHAPES) & 1).astype(np.float64)
 N_FEATURES = 7 + _SHAPES + BUCKETS + 5
 
 
-class _Codes(dict):
-    """Word to bucket, shape flags and hash in one number."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED:
-            self.clear()
-        h = xxhash.xxh64_intdigest(word)
-        core = word.strip(b".,;:'\"!?()-")
-        flags = (word.isupper() and len(word) > 1, word[:1].isupper(), word[-1:] in b".,;:!?", not any(_CLASS[b] in (0, 1, 6) for b in word),
-                 any(_CLASS[b] == 5 for b in word), len(core) > 15)
-        self[word] = code = (h >> 20) << 12 | sum(f << i for i, f in enumerate(flags)) << 6 | h % BUCKETS
-        return code
-
-
-_codes = _Codes()
-
-
 def encode(text: str | None) -> np.ndarray:
-    """One row of features per passage; a text without words is one empty passage."""
+    """One row of features per passage; a text without words is one empty passage.
+
+    All words of the text are looked at together; of each, only the hash is made
+    on its own, and the ends of one of over 15 bytes are stripped."""
     data = (text or "").encode()
     words = data.split()
     if not words:
         return np.zeros((1, N_FEATURES), dtype=np.float32)
     n = -(-len(words) // PASSAGE)
-    code = np.fromiter(map(_codes.__getitem__, words), dtype=np.uint64, count=len(words))
-    length = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-    at = np.arange(len(words)) // PASSAGE
-    size = np.bincount(at, minlength=n).astype(np.float64)
-    # where passages begin: of every byte, the number of words begun so far
     raw = np.frombuffer(data, dtype=np.uint8)
-    space = _CLASS[raw] == 3
-    begun = np.cumsum(~space & np.concatenate([[True], space[:-1]]))
-    passage = np.minimum(np.maximum(begun - 1, 0) // PASSAGE, n - 1)
-    chars = np.bincount(passage * 7 + _CLASS[raw], minlength=7 * n).reshape(n, 7).astype(np.float64)
+    kind = _CLASS[raw]
+    edges = np.flatnonzero(np.diff(kind != 3, prepend=False, append=False))
+    start, end = edges[::2], edges[1::2]
+    length = end - start
+    at = np.arange(len(words)) // PASSAGE
+    first = np.arange(0, len(words), PASSAGE)
+    size = np.diff(first, append=len(words)).astype(np.float64)
+    # where passages begin: the first with the text, others with their first word
+    begin = start[first]
+    begin[0] = 0
+    chars = np.bincount(np.repeat(np.arange(n) * 7, np.diff(begin, append=len(raw))) + kind, minlength=7 * n).reshape(n, 7).astype(np.float64)
     chars /= chars.sum(axis=1, keepdims=True)
-    shapes = np.stack([np.bincount(at, weights=(code >> np.uint64(6 + i)) & np.uint64(1), minlength=n) for i in range(_SHAPES)], axis=1)
-    buckets = np.bincount(at * BUCKETS + (code & np.uint64(63)).astype(np.int64), minlength=n * BUCKETS).reshape(n, BUCKETS)
-    again = np.concatenate([[0.0], (code[1:] == code[:-1]) & (at[1:] == at[:-1])])
-    distinct = np.bincount(np.unique(np.stack([at.astype(np.uint64), code >> np.uint64(12)], axis=1), axis=0)[:, 0].astype(np.int64), minlength=n)
-    mean = np.bincount(at, weights=length, minlength=n) / size
-    lines = np.bincount(passage, weights=raw == 10, minlength=n)
-    rest = np.stack([np.bincount(at, weights=again, minlength=n) / size, distinct / size, mean / 10, np.log(size), lines / size], axis=1)
+    has = np.bitwise_or.reduceat(_BIT[raw], start)
+    long = length > 15
+    for i in np.flatnonzero(long):
+        long[i] = len(words[i].strip(_MARKS)) > 15
+    flags = ((has & (_LOWER | _UPPER) == _UPPER) & (length > 1), kind[start] == 1, _ENDS[raw[end - 1]], has & (_LOWER | _UPPER | _BEYOND) == 0,
+             has & _SIGN != 0, long)
+    shape = sum(f.astype(np.int64) << i for i, f in enumerate(flags))
+    shapes = np.bincount(at << _SHAPES | shape, minlength=n << _SHAPES).reshape(n, -1) @ _SHAPE_SETS
+    code = np.fromiter(map(xxhash.xxh64_intdigest, words), dtype=np.uint64, count=len(words))
+    buckets = np.bincount(at * BUCKETS + (code % np.uint64(BUCKETS)).astype(np.int64), minlength=n * BUCKETS).reshape(n, BUCKETS)
+    again = np.bincount(at[1:][(code[1:] == code[:-1]) & (at[1:] == at[:-1])], minlength=n)
+    # a row of codes per passage, the last one filled up with a code that it has
+    rows = np.sort(np.concatenate([code, np.repeat(code[-1:], n * PASSAGE - len(code))]).reshape(n, PASSAGE), axis=1)
+    distinct = 1 + np.count_nonzero(rows[:, 1:] != rows[:, :-1], axis=1)
+    mean = np.add.reduceat(length, first) / size
+    lines = np.add.reduceat(raw == 10, begin, dtype=np.int64)
+    rest = np.stack([again / size, distinct / size, mean / 10, np.log(size), lines / size], axis=1)
     return np.concatenate([chars, shapes / size[:, None], buckets / size[:, None], rest], axis=1).astype(np.float32)
 
 

@@ -581,6 +581,60 @@ def test_attention_gradient():
     assert loss() < 0.2 * start
 
 
+def features(text):
+    """mil_quality.encode by plain loops over passages, words and bytes."""
+    import math
+    import re
+    import xxhash
+    marks, n_buckets = b".,;:'\"!?()-", mil_quality.BUCKETS
+    kinds = (re.compile(rb"[a-z]"), re.compile(rb"[A-Z]"), re.compile(rb"[0-9]"), re.compile(rb"[ \t-\r]"), re.compile(rb"[.,;:'\"!?()-]"),
+             re.compile(rb"[^a-zA-Z0-9 \t-\r.,;:'\"!?()\x80-\xff-]"), re.compile(rb"[\x80-\xff]"))
+    data = (text or "").encode()
+    found = list(re.finditer(rb"[^ \t-\r]+", data))
+    if not found:
+        return np.zeros((1, mil_quality.N_FEATURES))
+    out, step = [], mil_quality.PASSAGE
+    for i in range(0, len(found), step):
+        words = [m.group() for m in found[i:i + step]]
+        part = data[found[i].start() if i else 0:found[i + step].start() if i + step < len(found) else len(data)]
+        mean = lambda values: sum(values) / len(words)  # noqa: B023, E731
+        shapes = [mean(w.isupper() and len(w) > 1 for w in words), mean(w[:1].isupper() for w in words), mean(w[-1:] in b".,;:!?" for w in words),
+                  mean(not re.search(rb"[a-zA-Z\x80-\xff]", w) for w in words), mean(bool(kinds[5].search(w)) for w in words),
+                  mean(len(w.strip(marks)) > 15 for w in words)]
+        buckets = Counter(xxhash.xxh64_intdigest(w) % n_buckets for w in words)
+        out.append([len(k.findall(part)) / len(part) for k in kinds] + shapes + [buckets[b] / len(words) for b in range(n_buckets)]
+                   + [mean(a == b for a, b in zip(words, words[1:])), len(set(words)) / len(words), mean(map(len, words)) / 10,
+                      math.log(len(words)), part.count(b"\n") / len(words)])
+    return np.array(out)
+
+
+def test_passages_equal_plain_loops():
+    import random
+    r = random.Random(6)
+    texts = [row[1] for row in HARD] + ["a", " a", "a ", "\n\na\n", "-" * 40, "(" + "x" * 15 + ")", "(" + "x" * 16 + ").", "AB Ab A 1 $ é. É"]
+    texts += [" ".join(r.choice(["AB", "ab.", "\n", "(" + "x" * r.randint(1, 20) + ").", f"w{r.randint(0, 90)}", "é$"]) for _ in range(n))
+              for n in (1, 127, 128, 129, 256, 257, 1000)]
+    texts += ["".join(r.choice("aZ09 \t\n\x0b\x0c\r.,-'(!$\x00\x1c\x7f\xa0é😀") for _ in range(n)) for n in (3, 30, 900, 9000) for _ in range(50)]
+    for text in texts:
+        have, want = mil_quality.encode(text), features(text)
+        assert have.shape == want.shape and np.allclose(have, want, rtol=1e-6, atol=0)
+
+
+def test_new_words_take_no_python_calls():
+    """A text of words never seen before: calls in Python grow with neither words nor passages."""
+    import sys
+    calls = Counter()
+    mil_quality.encode("warm up")
+    for n in (1_000, 20_000):
+        text = " ".join(f"{n}x{i}" for i in range(n))
+        sys.setprofile(lambda frame, event, arg: calls.update([n]) if event == "call" else None)  # noqa: B023
+        try:
+            mil_quality.encode(text)
+        finally:
+            sys.setprofile(None)
+    assert 0 < calls[20_000] <= calls[1_000] + 20 < 500
+
+
 @pytest.mark.parametrize("operator", [
     quality_divergence.quality_rules, quality_divergence.passing, pii_disclosure.personal_data, secret_ownership.scan_secrets,
     fair_mix.mix_shares, fair_mix.mixed, token_counts.count_tokens, ngram_join.similar_documents, ngram_join.keep_one_of_each,
